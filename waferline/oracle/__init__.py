@@ -131,3 +131,23 @@ def round_ratio(num: str, den: str, digits: int) -> str:
     m = 10 ** digits
     return (f"(CAST(sign({num}) * ((2 * abs({num}) * {m} + {den}) // (2 * {den})) AS DOUBLE)"
             f" / {m}.0)")
+
+
+def hu_div(num: str, den: str) -> str:
+    """Integer division rounding half away from zero (den > 0)."""
+    return f"(sign({num}) * ((2 * abs({num}) + ({den})) // (2 * ({den}))))"
+
+
+def dec_avg(expr: str, scale: int = 6) -> str:
+    """Spark's AVG over DECIMAL(p, scale) values as an integer scaled by 10^(scale+4)
+    (Spark keeps 4 more digits and rounds half up)."""
+    s = f"SUM(CAST(ROUND(({expr}) * 1e{scale}) AS HUGEINT))"
+    return hu_div(f"{s} * 10000", f"NULLIF(CAST(COUNT({expr}) AS HUGEINT), 0)")
+
+
+YEARWEEK = ("(year(CAST({ts} AS DATE) - CAST(dayofweek({ts}) AS INTEGER)) * 100 + "
+            "(dayofyear(CAST({ts} AS DATE) - CAST(dayofweek({ts}) AS INTEGER)) + 6) // 7)")
+
+
+def yearweek(ts: str) -> str:
+    return "CAST(" + YEARWEEK.format(ts=ts) + " AS INTEGER)"

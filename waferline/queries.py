@@ -17,3 +17,13 @@ query("y5_defect_pareto")(Y.y5_defect_pareto)
 query("y6_first_pass_yield")(Y.y6_first_pass_yield)
 query("y7_utilization_yield_corr")(Y.y7_utilization_yield_corr)
 query("r1_yield_tool_step")(Y.r1_yield_tool_step)
+
+from waferline.plans import equipment as E  # noqa: E402
+
+query("e1_uptime")(E.e1_uptime)
+query("e2_mtbf")(E.e2_mtbf)
+query("e3_alarm_severity")(E.e3_alarm_severity)
+query("e4_degradation")(E.e4_degradation)
+query("e5_maintenance_effect")(E.e5_maintenance_effect)
+query("e6_criticality")(E.e6_criticality)
+query("r2_health_status")(E.r2_health_status)
