@@ -122,7 +122,7 @@ def round_avg(expr: str, digits: int, scale: int = 6) -> str:
     """Exact half-up ROUND(AVG(expr), digits) in integer arithmetic (DuckDB divides
     DECIMALs in DOUBLE)."""
     s = f"SUM(CAST(ROUND(({expr}) * 1e{scale}) AS HUGEINT))"
-    n = f"(CAST(COUNT({expr}) AS HUGEINT) * CAST(1e{scale} AS HUGEINT))"
+    n = f"(NULLIF(CAST(COUNT({expr}) AS HUGEINT), 0) * CAST(1e{scale} AS HUGEINT))"
     return round_ratio(s, n, digits)
 
 

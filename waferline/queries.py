@@ -27,3 +27,23 @@ query("e4_degradation")(E.e4_degradation)
 query("e5_maintenance_effect")(E.e5_maintenance_effect)
 query("e6_criticality")(E.e6_criticality)
 query("r2_health_status")(E.r2_health_status)
+
+from waferline.plans import trace as B  # noqa: E402
+
+query("b1_wafer_trace")(B.b1_wafer_trace)
+query("b2_batch_root_cause")(B.b2_batch_root_cause)
+# Driver tables: wafers repeat steps, so the wafer-denominator yield is far above 100 %
+# and no batch is below 85; the test-row denominator with threshold 90.
+query("b2_batch_root_cause_tests")(
+    lambda t: B.b2_batch_root_cause(t, max_yield=90, denominator="tests"))
+query("b3_failing_routes")(B.b3_failing_routes)
+# Driver tables have no route shared by 5 failed wafers.
+query("b3_failing_routes_min1")(lambda t: B.b3_failing_routes(t, min_wafers=1))
+query("b4_first_failure_step")(B.b4_first_failure_step)
+query("b5_yield_autocorrelation")(B.b5_yield_autocorrelation)
+query("b6_lot_trace")(B.b6_lot_trace)
+query("b6_lot_trace_tests")(lambda t: B.b6_lot_trace(t, denominator="tests"))
+query("b7_contamination")(B.b7_contamination)
+query("r3_wafer_lineage")(B.r3_wafer_lineage)
+query("x5_route_explode")(B.x5_route_explode)
+query("x6_route_conformance")(B.x6_route_conformance)
