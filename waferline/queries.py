@@ -6,6 +6,8 @@ constant (SURVEY §7.3), a second key carries it and the default stays registere
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from waferline.plans import yields as Y
 from waferline.registry import query
 
@@ -47,3 +49,19 @@ query("b7_contamination")(B.b7_contamination)
 query("r3_wafer_lineage")(B.r3_wafer_lineage)
 query("x5_route_explode")(B.x5_route_explode)
 query("x6_route_conformance")(B.x6_route_conformance)
+
+from waferline.plans import quality as Q  # noqa: E402
+
+
+def _dq(rid):
+    return lambda t: Q.as_text(Q.run_checks(t, rule_ids=[rid])).drop("layer")
+
+
+for _r in Q.RULES:
+    query(_r.rule_id.lower())(_dq(_r.rule_id))
+query("dq_results")(lambda t: Q.as_text(Q.run_checks(t)))
+query("dq_results_raw")(lambda t: Q.as_text(Q.run_checks(t, layer="raw")))
+query("dq_summary")(lambda t: Q.summary(Q.run_checks(t)))
+query("dq_issues")(lambda t: Q.as_text(Q.issues(Q.run_checks(t))))
+query("dq_gate")(lambda t: Q.gate(Q.run_checks(t)).select(
+    "promote", *[F.array_join(c, ",").alias(c) for c in ("blocking_rules", "warning_rules")]))
