@@ -65,3 +65,14 @@ query("dq_summary")(lambda t: Q.summary(Q.run_checks(t)))
 query("dq_issues")(lambda t: Q.as_text(Q.issues(Q.run_checks(t))))
 query("dq_gate")(lambda t: Q.gate(Q.run_checks(t)).select(
     "promote", *[F.array_join(c, ",").alias(c) for c in ("blocking_rules", "warning_rules")]))
+
+from waferline.plans import layer_queries as LQ  # noqa: E402
+from waferline.plans import layers as L  # noqa: E402
+
+for _n in ("pl1_standardize", "pl2_dedupe", "pl3_incremental", "pl3_watermark", "pl4_lookback",
+           "pl5_watermark", "pl6_upsert", "pl8_scd2", "pl10_dq_warning", "c8_sampled_checks",
+           "c9_incremental_checks", "c10_violation_trend", "c12_clean_batch_share"):
+    query(_n)(getattr(LQ, _n))
+query("pl9_daily_yield")(L.daily_yield)
+query("pl9_daily_yield_recipe")(lambda t: L.daily_yield(t, by_recipe=True))
+query("pl9_daily_uptime")(L.daily_uptime)
