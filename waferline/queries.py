@@ -76,3 +76,10 @@ for _n in ("pl1_standardize", "pl2_dedupe", "pl3_incremental", "pl3_watermark",
 query("pl9_daily_yield")(L.daily_yield)
 query("pl9_daily_yield_recipe")(lambda t: L.daily_yield(t, by_recipe=True))
 query("pl9_daily_uptime")(L.daily_uptime)
+
+from waferline.plans import kpi as X  # noqa: E402
+
+query("x1_chamber_matching")(X.x1_chamber_matching)
+query("x2_executive_kpis")(X.x2_executive_kpis)
+query("x3_control_limits")(X.x3_control_limits)
+query("x4_yield_excursion")(X.x4_yield_excursion)
