@@ -83,3 +83,9 @@ query("x1_chamber_matching")(X.x1_chamber_matching)
 query("x2_executive_kpis")(X.x2_executive_kpis)
 query("x3_control_limits")(X.x3_control_limits)
 query("x4_yield_excursion")(X.x4_yield_excursion)
+
+from waferline.registry import raw_query  # noqa: E402
+from waferline.streaming import queries as SQ  # noqa: E402
+
+for _n in ("s1_ingest", "s2_late_data", "s3_stream_dedupe", "s4_daily_metrics", "s5_stream_checks"):
+    raw_query(_n)(getattr(SQ, _n))

@@ -50,6 +50,28 @@ def process_steps(spark: SparkSession) -> DataFrame:
         "process_step_id int, process_step_name string, equipment_type string, duration_min int")
 
 
+RAW_EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+                     "value double, props string")
+
+
+def map_events(events: DataFrame) -> DataFrame:
+    """Driver ``events`` rows -> equipment log rows (row-wise: batch or streaming)."""
+    ev = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return ev.select(
+        F.col("user_id").alias("equipment_id"),
+        F.col("ts").alias("event_timestamp"),
+        F.when(F.col("event_type").isin("view", "click"), "RUNNING")
+         .when(F.col("event_type") == "purchase", "IDLE")
+         .when(F.col("event_type") == "error", "ALARM")
+         .when(F.col("event_type") == "signup", "DOWN").alias("status"),
+        F.col("value").alias("temperature_c"),
+        F.get_json_object("props", "$.k").cast("double").alias("pressure_torr"),
+        F.timestamp_add("SECOND", (F.col("event_id") * 9973) % 93600, F.col("ts"))
+         .alias("ingestion_timestamp"),
+        F.col("event_id"),
+    )
+
+
 def driver_tables(spark: SparkSession, sf_dir: str) -> FabTables:
     def rd(t: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{t}.parquet")
@@ -107,20 +129,7 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> FabTables:
         "wafer_count",
     )
 
-    ev = rd("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    fact_equipment_events = ev.select(
-        F.col("user_id").alias("equipment_id"),
-        F.col("ts").alias("event_timestamp"),
-        F.when(F.col("event_type").isin("view", "click"), "RUNNING")
-         .when(F.col("event_type") == "purchase", "IDLE")
-         .when(F.col("event_type") == "error", "ALARM")
-         .when(F.col("event_type") == "signup", "DOWN").alias("status"),
-        F.col("value").alias("temperature_c"),
-        F.get_json_object("props", "$.k").cast("double").alias("pressure_torr"),
-        F.timestamp_add("SECOND", (F.col("event_id") * 9973) % 93600, F.col("ts"))
-         .alias("ingestion_timestamp"),
-        F.col("event_id"),
-    )
+    fact_equipment_events = map_events(rd("events"))
     maintenance_events = (fact_equipment_events.filter(F.col("pressure_torr") < 10).select(
         "event_id", "equipment_id",
         F.when(F.col("event_id") % 2 == 0, "PREVENTIVE").otherwise("CORRECTIVE").alias("event_type"),
