@@ -18,7 +18,8 @@ from waferline.operators.intervals import interval_aggregate
 from waferline.operators.sequence import lag_col
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
-ST = F.col("status")
+def st_():
+    return F.col("status")
 
 
 def _events_since(t: FabTables, as_of, **kw) -> DataFrame:
@@ -29,9 +30,9 @@ def e1_uptime(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, tiers=(95, 90,
     daily = (_events_since(t, as_of, days=days)
              .groupBy("equipment_id", F.to_date("event_timestamp").alias("date"))
              .agg(F.count(F.lit(1)).alias("n"),
-                  F.sum(flag(ST == "RUNNING")).alias("run"),
-                  F.sum(flag(ST == "ALARM")).alias("alarm"),
-                  F.sum(flag(ST == "DOWN")).alias("down")))
+                  F.sum(flag(st_() == "RUNNING")).alias("run"),
+                  F.sum(flag(st_() == "ALARM")).alias("alarm"),
+                  F.sum(flag(st_() == "DOWN")).alias("down")))
     per_tool = (daily.groupBy("equipment_id")
                 .agg(stable(F.avg(pct("run", "n"))).alias("avg_uptime_pct"),
                      stable(F.avg(pct("alarm", "n"))).alias("avg_alarm_rate_pct"),
@@ -50,7 +51,7 @@ def e1_uptime(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, tiers=(95, 90,
 
 def down_gaps(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 90) -> DataFrame:
     """Whole hours between consecutive DOWN events of a tool (TIMESTAMPDIFF truncates)."""
-    down = (_events_since(t, as_of, days=days).filter(ST == "DOWN")
+    down = (_events_since(t, as_of, days=days).filter(st_() == "DOWN")
             .select("equipment_id", "event_timestamp"))
     g = lag_col(down, "equipment_id", "event_timestamp", "event_timestamp", name="prev_ts")
     return (g.filter(F.col("prev_ts").isNotNull())
@@ -80,7 +81,7 @@ def e2_mtbf(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 90,
 
 def e3_alarm_severity(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_alarms: int = 10,
                       tiers=(100, 50, 20)) -> DataFrame:
-    alarms = _events_since(t, as_of, days=days).filter(ST == "ALARM")
+    alarms = _events_since(t, as_of, days=days).filter(st_() == "ALARM")
     daily = (alarms.groupBy("equipment_id", F.to_date("event_timestamp").alias("date"))
              .agg(F.count(F.lit(1)).alias("alarm_count"),
                   F.avg(F.col("temperature_c").cast("decimal(30,6)")).alias("avg_temp"),
@@ -106,10 +107,10 @@ def e3_alarm_severity(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_ala
 def e4_degradation(t: FabTables, as_of=DEFAULT_AS_OF, weeks: int = 12, window_weeks: int = 4,
                    temp_high: float = 1.5, alarm_high: float = 2.0,
                    temp_moderate: float = 1.2) -> DataFrame:
-    ev = (_events_since(t, as_of, weeks=weeks).filter(ST.isin("RUNNING", "ALARM")))
+    ev = (_events_since(t, as_of, weeks=weeks).filter(st_().isin("RUNNING", "ALARM")))
     weekly = (ev.groupBy("equipment_id", yearweek("event_timestamp").alias("year_week"))
               .agg(F.stddev_samp("temperature_c").alias("temp_std"),
-                   F.count(F.when(ST == "ALARM", 1)).alias("alarm_count")))
+                   F.count(F.when(st_() == "ALARM", 1)).alias("alarm_count")))
     # At most `weeks`+1 rows per tool: the per-tool window is bounded by construction.
     w = Window.partitionBy("equipment_id").orderBy("year_week").rowsBetween(-(window_weeks - 1), 0)
     trend = weekly.select("*", F.avg("temp_std").over(w).alias("temp_std_4wk_avg"),
@@ -153,7 +154,7 @@ def e5_maintenance_effect(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 90,
 
     day = 86400
     ev = t.fact_equipment_events.select("equipment_id", "event_timestamp",
-                                        flag(ST == "ALARM").alias("is_alarm"))
+                                        flag(st_() == "ALARM").alias("is_alarm"))
     a = interval_aggregate(win, ev, "equipment_id", "w_lo", "w_hi", "event_timestamp", [
         F.avg(F.when(pre("event_timestamp"), F.col("is_alarm"))).alias("pre_alarm_rate"),
         F.avg(F.when(post("event_timestamp"), F.col("is_alarm"))).alias("post_alarm_rate"),
@@ -207,7 +208,7 @@ def e6_criticality(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, value_per_
                 .agg(F.countDistinct("batch_id").alias("batches_processed_30d"),
                      F.count(F.lit(1)).alias("wafers_processed_30d"),
                      pct(F.sum("p"), F.sum("n")).alias("avg_yield")))
-    downs = (_events_since(t, as_of, days=days).filter(ST == "DOWN")
+    downs = (_events_since(t, as_of, days=days).filter(st_() == "DOWN")
              .groupBy("equipment_id").agg(F.count(F.lit(1)).alias("down_events")))
     dim = (t.dim_equipment.filter(F.col("status") == "ACTIVE")
            .select("equipment_id", "equipment_type", "manufacturer"))
@@ -234,8 +235,8 @@ def r2_health_status(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30,
                      min_uptime: float = 0.85, max_alarms: int = 10) -> DataFrame:
     daily = (_events_since(t, as_of, days=days)
              .groupBy("equipment_id", F.date_trunc("day", "event_timestamp").alias("date"))
-             .agg(F.avg(flag(ST == "RUNNING")).alias("uptime_ratio"),
-                  F.count(F.when(ST == "ALARM", 1)).alias("alarm_count")))
+             .agg(F.avg(flag(st_() == "RUNNING")).alias("uptime_ratio"),
+                  F.count(F.when(st_() == "ALARM", 1)).alias("alarm_count")))
     g = (daily.groupBy("equipment_id")
          .agg(stable(F.avg("uptime_ratio")).alias("avg_uptime"),
               F.sum("alarm_count").alias("total_alarms")))

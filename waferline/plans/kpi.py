@@ -15,7 +15,8 @@ from waferline.operators.intervals import interval_aggregate
 from waferline.plans.layers import clean_batch_share, daily_yield
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
-PASS = F.col("pass_fail") == "PASS"
+def pass_():
+    return F.col("pass_fail") == "PASS"
 
 
 def _dec2(c) -> F.Column:
@@ -27,7 +28,7 @@ def x1_chamber_matching(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) -> Da
     tests = (t.fact_wafer_tests.filter(F.col("test_timestamp") >= since)
              .join(t.dim_wafer_batches.select("batch_id", "recipe"), "batch_id"))
     per = (tests.groupBy("recipe", "equipment_id")
-           .agg(F.count(F.lit(1)).alias("tests"), F.sum(flag(PASS)).alias("passed"))
+           .agg(F.count(F.lit(1)).alias("tests"), F.sum(flag(pass_())).alias("passed"))
            .withColumn("yield_pct", F.round(pct("passed", "tests"), 2)))
     temp = (t.fact_equipment_events.filter(F.col("event_timestamp") >= since)
             .groupBy("equipment_id").agg(round_avg("temperature_c", 2).alias("avg_temp_c")))
@@ -50,7 +51,7 @@ def x1_chamber_matching(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) -> Da
 def x2_executive_kpis(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, trend_days: int = 7) -> DataFrame:
     since = window_start(as_of, days=days)
     tests = t.fact_wafer_tests.filter(F.col("test_timestamp") >= since)
-    fab = tests.agg(F.round(pct(F.sum(flag(PASS)), F.count(F.lit(1))), 2).alias("fab_yield_pct"),
+    fab = tests.agg(F.round(pct(F.sum(flag(pass_())), F.count(F.lit(1))), 2).alias("fab_yield_pct"),
                     F.round(F.avg(ts_diff("SECOND", "start_time", "end_time").cast("decimal(20,0)")) / 60, 2)
                     .cast("double").alias("avg_step_minutes"))
     trend = (daily_yield(t, as_of, days=trend_days)
@@ -93,8 +94,8 @@ def x4_yield_excursion(t: FabTables, drop_pts: float = 5.0, lookback_hours: int
     tests = t.fact_wafer_tests.join(t.dim_wafer_batches.select("batch_id", "lot_number"), "batch_id")
     lot = tests.groupBy("lot_number").agg(
         F.countDistinct("batch_id").alias("batches"), F.count(F.lit(1)).alias("tests"),
-        F.sum(flag(PASS)).alias("passed"), F.countDistinct("equipment_id").alias("tools"))
-    base = t.fact_wafer_tests.agg(pct(F.sum(flag(PASS)), F.count(F.lit(1))).alias("_base"))
+        F.sum(flag(pass_())).alias("passed"), F.countDistinct("equipment_id").alias("tools"))
+    base = t.fact_wafer_tests.agg(pct(F.sum(flag(pass_())), F.count(F.lit(1))).alias("_base"))
     win = (t.fact_wafer_tests.select("batch_id", "equipment_id").distinct()
            .join(t.dim_wafer_batches.select("batch_id", "lot_number", F.col("start_time").alias("b_start"),
                                             F.col("end_time").alias("b_end")), "batch_id")

@@ -329,14 +329,17 @@ def summary(results: DataFrame) -> DataFrame:
             .orderBy("layer", "status"))
 
 
-SEVERITY_ORDER = F.create_map(*[x for i, sv in enumerate(["CRITICAL", "HIGH", "MEDIUM", "LOW", "WARNING"])
-                                for x in (F.lit(sv), F.lit(i))])
+SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM", "LOW", "WARNING"]
+
+
+def severity_rank(c) -> Column:
+    return F.array_position(F.array(*[F.lit(x) for x in SEVERITIES]), F.col(c) if isinstance(c, str) else c)
 
 
 def issues(results: DataFrame) -> DataFrame:
     """Failed and warned rules, most severe first."""
     return (results.filter(F.col("status").isin("FAIL", "WARNING", "ERROR"))
-            .orderBy(SEVERITY_ORDER[F.col("severity")], "rule_id"))
+            .orderBy(severity_rank("severity"), "rule_id"))
 
 
 def gate(results: DataFrame) -> DataFrame:

@@ -20,8 +20,15 @@ from waferline.operators.routes import explode_route, route_string
 from waferline.operators.sequence import keyed_lag
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
-PASS = F.col("pass_fail") == "PASS"
-FAIL = F.col("pass_fail") == "FAIL"
+
+def pass_():
+    return F.col("pass_fail") == "PASS"
+
+
+def fail_():
+    return F.col("pass_fail") == "FAIL"
+
+
 HOUR, DAY = 3600, 86400
 
 
@@ -60,7 +67,7 @@ def b1_wafer_trace(t: FabTables, wafer_ids=None) -> DataFrame:
         "step_start", "step_end", ts_diff("MINUTE", "step_start", "step_end").alias("duration_minutes"),
         "pass_fail", "defect_density", "bin_code", "avg_temp_c", "avg_pressure_torr",
         F.coalesce("alarms_during_process", F.lit(0)).alias("alarms_during_process"),
-        F.when(FAIL, "❌ FAILED HERE").otherwise("✓").alias("status_indicator"),
+        F.when(fail_(), "❌ FAILED HERE").otherwise("✓").alias("status_indicator"),
     ).orderBy("wafer_id", "process_step_id", "equipment_id", "step_start")
 
 
@@ -68,7 +75,7 @@ def batch_yield(tests: DataFrame, denominator: str = "wafers") -> DataFrame:
     """Per batch: distinct wafers, passed test rows and yield. ``denominator`` is
     ``wafers`` (COUNT(DISTINCT wafer_id), can exceed 100 % - trap T1) or ``tests``."""
     g = tests.groupBy("batch_id").agg(F.countDistinct("wafer_id").alias("wafer_count"),
-                                      F.sum(flag(PASS)).alias("passed"),
+                                      F.sum(flag(pass_())).alias("passed"),
                                       F.count("wafer_id").alias("n_tests"))
     den = "wafer_count" if denominator == "wafers" else "n_tests"
     return g.withColumn("yield_pct", F.round(pct("passed", den), 2))
@@ -100,7 +107,7 @@ def b2_batch_root_cause(t: FabTables, max_yield: float = 85, denominator: str =
     factors = per_tool.groupBy("batch_id").agg(
         F.count(F.when(F.col("n_alarms") > 0, 1)).alias("equipment_with_alarms"),
         F.coalesce(F.sum(F.col("n_tests") * F.col("n_maint")), F.lit(0)).alias("recent_maintenance_count"))
-    fails = (tests.filter(FAIL).join(low.select("batch_id"), "batch_id", "left_semi")
+    fails = (tests.filter(fail_()).join(low.select("batch_id"), "batch_id", "left_semi")
              .groupBy("batch_id", "process_step_id").agg(F.count(F.lit(1)).alias("n")))
     names = F.broadcast(t.dim_process_steps.select("process_step_id", "process_step_name"))
     worst_n = fails.groupBy("batch_id").agg(F.max("n").alias("failures_at_worst_step"))
@@ -128,7 +135,7 @@ def b3_failing_routes(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_waf
                       top: int = 20, high: int = 50, moderate: int = 20) -> DataFrame:
     tests = t.fact_wafer_tests.filter(F.col("test_timestamp") >= window_start(as_of, days=days))
     routes = route_string(tests, ["wafer_id", "batch_id"], name="equipment_sequence")
-    failed = (tests.groupBy("wafer_id", "batch_id").agg(F.sum(flag(FAIL)).alias("failure_count"))
+    failed = (tests.groupBy("wafer_id", "batch_id").agg(F.sum(flag(fail_())).alias("failure_count"))
               .filter(F.col("failure_count") > 0))
     fwe = failed.join(routes, ["wafer_id", "batch_id"])
     total = tests.agg(F.countDistinct("wafer_id").alias("_all"))   # one row
@@ -149,7 +156,7 @@ def b3_failing_routes(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_waf
 def b4_first_failure_step(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) -> DataFrame:
     tests = t.fact_wafer_tests.filter(F.col("test_timestamp") >= window_start(as_of, days=days))
     wfp = (tests.groupBy("wafer_id", "batch_id")
-           .agg(F.min(F.when(FAIL, F.col("process_step_id"))).alias("first_failure_step"),
+           .agg(F.min(F.when(fail_(), F.col("process_step_id"))).alias("first_failure_step"),
                 F.max("process_step_id").alias("last_step_reached"))
            .filter(F.col("first_failure_step").isNotNull()))
     total = wfp.agg(F.countDistinct("wafer_id").alias("_all"))     # one row
@@ -170,7 +177,7 @@ def b4_first_failure_step(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) ->
 def _batch_tool_yield(tests: DataFrame, batches: DataFrame) -> DataFrame:
     """One row per (tool, batch) with the batch start and the yield over test rows."""
     return (tests.groupBy("equipment_id", "batch_id")
-            .agg(F.round(pct(F.sum(flag(PASS)), F.count(F.lit(1))), 2).alias("yield_pct"))
+            .agg(F.round(pct(F.sum(flag(pass_())), F.count(F.lit(1))), 2).alias("yield_pct"))
             .join(batches.select("batch_id", "start_time"), "batch_id"))
 
 

@@ -17,8 +17,13 @@ from waferline.functions.exprs import (flag, pct, round_avg, safe_corr, stable,
                                        window_start)
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
-PASS = F.col("pass_fail") == "PASS"
-FAIL = F.col("pass_fail") == "FAIL"
+
+def pass_():
+    return F.col("pass_fail") == "PASS"
+
+
+def fail_():
+    return F.col("pass_fail") == "FAIL"
 
 
 def _tests_since(t: FabTables, as_of, days: int) -> DataFrame:
@@ -30,7 +35,7 @@ def y1_yield_by_equipment(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 7,
     per_tool = (_tests_since(t, as_of, days)
                 .groupBy("equipment_id")
                 .agg(F.countDistinct("wafer_id").alias("total_wafers_processed"),
-                     F.sum(flag(PASS)).alias("passed_wafers"),
+                     F.sum(flag(pass_())).alias("passed_wafers"),
                      F.min("test_timestamp").alias("first_test"),
                      F.max("test_timestamp").alias("last_test"))
                 .filter(F.col("total_wafers_processed") >= min_wafers))
@@ -51,7 +56,7 @@ def y2_yield_trend(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_wafers
     dim = t.dim_equipment.select("equipment_id", "equipment_type")
     daily = (_tests_since(t, as_of, days).join(dim, "equipment_id")
              .groupBy(F.to_date("test_timestamp").alias("test_date"), "equipment_type")
-             .agg(F.countDistinct("wafer_id").alias("wafers"), F.sum(flag(PASS)).alias("passed"))
+             .agg(F.countDistinct("wafer_id").alias("wafers"), F.sum(flag(pass_())).alias("passed"))
              .filter(F.col("wafers") >= min_wafers)
              .withColumn("yield_pct", F.round(pct("passed", "wafers"), 2)))
     # Windows run over one row per (day, type): a few thousand rows at most.
@@ -74,8 +79,8 @@ def y3_step_failure(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) -> DataFr
     per_step = (_tests_since(t, as_of, days)
                 .groupBy("process_step_id")
                 .agg(F.countDistinct("wafer_id").alias("wafers_tested"),
-                     F.sum(flag(PASS)).alias("passed"),
-                     F.sum(flag(FAIL)).alias("failed"),
+                     F.sum(flag(pass_())).alias("passed"),
+                     F.sum(flag(fail_())).alias("failed"),
                      F.count(F.lit(1)).alias("n"),
                      F.avg("defect_density").alias("avg_dd"),
                      F.avg(F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time"))
@@ -98,7 +103,7 @@ def y4_batch_yield(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 7,
                                    "equipment_id").join(batches, "batch_id")
          .groupBy("batch_id", "lot_number", "recipe", F.col("b_start").alias("start_time"))
          .agg(F.countDistinct("wafer_id").alias("wafer_count"),
-              F.sum(flag(PASS)).alias("passed_wafers"),
+              F.sum(flag(pass_())).alias("passed_wafers"),
               round_avg("defect_density", 3).alias("avg_defect_density"),
               # bounded per batch: the distinct tools of one batch
               F.array_join(F.array_sort(F.collect_set(F.col("equipment_id").cast("string"))), ", ")
@@ -115,7 +120,7 @@ def y4_batch_yield(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 7,
 
 def y5_defect_pareto(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30,
                      high: float = 80, medium: float = 95) -> DataFrame:
-    bins = (_tests_since(t, as_of, days).filter(FAIL)
+    bins = (_tests_since(t, as_of, days).filter(fail_())
             .groupBy("bin_code").agg(F.count(F.lit(1)).alias("defect_count")))
     # Both windows run over one row per bin code (the grouped result), never the fact.
     total = F.sum("defect_count").over(Window.partitionBy())
@@ -166,7 +171,7 @@ def y7_utilization_yield_corr(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30,
                  .alias("utilization_pct")))
     dy = (_tests_since(t, as_of, days)
           .groupBy("equipment_id", F.to_date("test_timestamp").alias("date"))
-          .agg(F.round(pct(F.sum(flag(PASS)), F.count(F.lit(1))), 2).alias("yield_pct"),
+          .agg(F.round(pct(F.sum(flag(pass_())), F.count(F.lit(1))), 2).alias("yield_pct"),
                F.count(F.lit(1)).alias("n"))
           .filter(F.col("n") >= min_tests_per_day).drop("n"))
     # Both sides are already one row per (tool, day): the join shuffles aggregates only.
@@ -191,7 +196,7 @@ def r1_yield_tool_step(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 7,
     g = (_tests_since(t, as_of, days)
          .groupBy("equipment_id", "process_step_id")
          .agg(F.countDistinct("wafer_id").alias("total_wafers"),
-              F.sum(flag(PASS)).alias("passed_wafers"), F.count(F.lit(1)).alias("n"))
+              F.sum(flag(pass_())).alias("passed_wafers"), F.count(F.lit(1)).alias("n"))
          .filter(F.col("n") >= min_tests))
     dim = t.dim_equipment.select("equipment_id", "equipment_type")
     steps = F.broadcast(t.dim_process_steps.select(
