@@ -242,44 +242,77 @@ def _rule_catalog(spark: SparkSession, ids: list[str]) -> DataFrame:
               "threshold bigint, impact string")
 
 
-def _examples(items: DataFrame, rule_id: str, k: int) -> DataFrame:
-    top = (items.filter(F.col("ex").isNotNull()).select("ex").distinct()
-           .orderBy("ex").limit(k))
-    return top.select(F.lit(rule_id).alias("rule_id"), "ex")
-
-
-def rule_outcomes(t: FabTables, rule_ids: list[str], o: Options) -> tuple[DataFrame, DataFrame]:
-    """(rule_id, violations) for the rules, and their examples (rule_id, ex)."""
+def _partial_outcomes(k: int):
+    """mapInPandas body: per input partition and rule, the summed weight and the k
+    smallest distinct example ids. Memory per task is O(rules * k) plus one batch."""
+    def fn(batches):
+        import numpy as np
+        import pandas as pd
+        acc: dict[str, list] = {}
+        for pdf in batches:
+            for rid, g in pdf.groupby("rule_id", sort=False):
+                n, ex = acc.get(rid, (0, np.array([], dtype=object)))
+                n += int(g["w"].fillna(0).sum())
+                cand = g["ex"].dropna().to_numpy(dtype=object)
+                if len(cand) and k:
+                    ex = np.unique(np.concatenate([ex, cand]).astype(str))[:k].astype(object)
+                acc[rid] = (n, ex)
+        if acc:
+            yield pd.DataFrame({"rule_id": [str(r) for r in acc],
+                                "violations": [int(v[0]) for v in acc.values()],
+                                "ex": [[str(x) for x in v[1]] for v in acc.values()]})
+    return fn
+
+
+def violation_stream(t: FabTables, rule_ids: list[str], o: Options) -> DataFrame:
+    """All violating items of the rules as one stream (rule_id, ex, w).
+
+    The row-level rules of a table are evaluated in ONE scan of it: each row yields
+    one item per rule it breaks (rows that break nothing yield nothing)."""
     tabs = layer_tables(t)
     rr = row_rules(o)
-    counts, examples = [], []
+    parts = []
     by_table: dict[str, list[str]] = {}
     for rid in rule_ids:
         if rid in rr:
             by_table.setdefault(rr[rid][0], []).append(rid)
     for table, rids in by_table.items():
         df = tabs[table]
-        fused = df.agg(*[F.count_if(rr[r][1]).alias(r) for r in rids])   # one scan, one row
-        stack = ", ".join(f"'{r}', `{r}`" for r in rids)
-        counts.append(fused.select(F.expr(f"stack({len(rids)}, {stack}) AS (rule_id, violations)")))
-        if o.examples:
-            for r in rids:
-                if rr[r][2]:
-                    examples.append(_examples(_items(df.filter(rr[r][1]), rr[r][2]), r, o.examples))
+        broken = F.filter(F.array(*[F.when(rr[r][1], F.lit(r)) for r in rids]), lambda x: x.isNotNull())
+        ex_cols = sorted({rr[r][2] for r in rids if rr[r][2]})
+        ex = None
+        for r in rids:
+            if rr[r][2]:
+                ex = (F.when(F.col("rule_id") == r, s(rr[r][2])) if ex is None
+                      else ex.when(F.col("rule_id") == r, s(rr[r][2])))
+        ex = ex if ex is not None else F.lit(None).cast("string")
+        parts.append(df.select(F.explode(broken).alias("rule_id"), *ex_cols)
+                     .select("rule_id", ex.alias("ex"), F.lit(1).cast("long").alias("w")))
     for rid in rule_ids:
         if rid in SET_RULES:
-            items = SET_RULES[rid](t, o)
-            counts.append(items.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("violations"))
-                          .select(F.lit(rid).alias("rule_id"), "violations"))
-            if o.examples:
-                examples.append(_examples(items, rid, o.examples))
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    ex = None
-    for e in examples:
-        ex = e if ex is None else ex.unionByName(e)
-    return out, ex
+            parts.append(SET_RULES[rid](t, o).select(F.lit(rid).alias("rule_id"), "ex", "w"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def rule_outcomes(t: FabTables, rule_ids: list[str], o: Options) -> DataFrame:
+    """(rule_id, violations, details) for the rules that have any violating item.
+
+    Counts need only a partial aggregate. Examples (the k smallest distinct ids) are
+    reduced inside each input partition first (``mapInPandas``; Spark has no bounded
+    top-k aggregate), so the final merge sees at most k ids per rule and partition."""
+    items = violation_stream(t, rule_ids, o)
+    if not o.examples:
+        return items.groupBy("rule_id").agg(F.sum("w").alias("violations"),
+                                            F.array().cast("array<string>").alias("details"))
+    part = items.mapInPandas(_partial_outcomes(o.examples),
+                             "rule_id string, violations long, ex array<string>")
+    return part.groupBy("rule_id").agg(
+        F.sum("violations").alias("violations"),
+        F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ex")))), 1, o.examples)
+        .alias("details"))
 
 
 def verdict(violations: Column, threshold: Column, severity: Column) -> Column:
@@ -302,17 +335,12 @@ def run_checks(t: FabTables, layer: str | None = None, rule_ids: list[str] | Non
         return cat.select("*", F.lit(None).cast("string").alias("status"),
                           F.lit(None).cast("long").alias("violations"),
                           F.array().cast("array<string>").alias("details"))
-    counts, ex = rule_outcomes(t, ids, o)
-    res = F.broadcast(cat).join(counts, "rule_id", "left")
-    if ex is not None:
-        det = ex.groupBy("rule_id").agg(F.array_sort(F.collect_list("ex")).alias("details"))
-        res = res.join(det, "rule_id", "left")
-    else:
-        res = res.withColumn("details", F.lit(None).cast("array<string>"))
+    res = F.broadcast(cat).join(rule_outcomes(t, ids, o), "rule_id", "left")
+    v = F.coalesce(F.col("violations"), F.lit(0)).cast("long")
     return res.select(
         "rule_id", "rule_name", "category", "severity",
-        verdict(F.col("violations"), F.col("threshold"), F.col("severity")).alias("status"),
-        F.col("violations").cast("long").alias("violations"), "threshold", "impact",
+        verdict(v, F.col("threshold"), F.col("severity")).alias("status"),
+        v.alias("violations"), "threshold", "impact",
         F.coalesce("details", F.array().cast("array<string>")).alias("details"), "layer",
     ).orderBy("rule_id")
 
