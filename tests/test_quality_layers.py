@@ -148,3 +148,14 @@ def test_gate_blocks_on_critical_failure(spark):
     assert rows(flagged, "dq_warning") == [(["DQ008"],)]
     assert L.promote(t.fact_wafer_tests, Q.gate(Q.run_checks(t, rule_ids=["DQ001"]))).count() == 0
     _ = AS_OF
+
+
+def test_failing_rule_is_isolated_as_error(spark):
+    s = ago(days=1)
+    t = make_tables(spark, tests=[wt_row("W1", "B1", 1, "T", s, result="MAYBE")])
+    broken = t.with_(fact_wafer_tests=t.fact_wafer_tests.drop("defect_density"))
+    res = {r.rule_id: (r.status, r.violations, list(r.details))
+           for r in Q.run_checks(broken, rule_ids=["DQ008", "DQ013", "DQ016"]).collect()}
+    assert res["DQ008"][0] == "ERROR" and res["DQ008"][1] == -1 and res["DQ008"][2][0].startswith("Error:")
+    assert res["DQ013"] == ("FAIL", 1, ["W1"])
+    assert res["DQ016"][:2] == ("PASS", 1)

@@ -109,7 +109,7 @@ def register(name: str, body: str) -> None:
 
 def load_all() -> dict[str, str]:
     from waferline.oracle import yields  # noqa: F401
-    for mod in ("equipment", "trace", "quality", "layers", "kpi", "streaming"):
+    for mod in ("equipment", "trace", "quality", "layers", "kpi", "streaming", "primitives"):
         try:
             __import__(f"waferline.oracle.{mod}")
         except ModuleNotFoundError as e:

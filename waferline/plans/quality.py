@@ -271,13 +271,14 @@ def violation_stream(t: FabTables, rule_ids: list[str], o: Options) -> DataFrame
     one item per rule it breaks (rows that break nothing yield nothing)."""
     tabs = layer_tables(t)
     rr = row_rules(o)
-    parts = []
+    parts: list[DataFrame] = []
     by_table: dict[str, list[str]] = {}
     for rid in rule_ids:
         if rid in rr:
             by_table.setdefault(rr[rid][0], []).append(rid)
-    for table, rids in by_table.items():
-        df = tabs[table]
+    spark = t.fact_wafer_tests.sparkSession
+
+    def row_items(df: DataFrame, rids: list[str]) -> DataFrame:
         broken = F.filter(F.array(*[F.when(rr[r][1], F.lit(r)) for r in rids]), lambda x: x.isNotNull())
         ex_cols = sorted({rr[r][2] for r in rids if rr[r][2]})
         ex = None
@@ -286,11 +287,37 @@ def violation_stream(t: FabTables, rule_ids: list[str], o: Options) -> DataFrame
                 ex = (F.when(F.col("rule_id") == r, s(rr[r][2])) if ex is None
                       else ex.when(F.col("rule_id") == r, s(rr[r][2])))
         ex = ex if ex is not None else F.lit(None).cast("string")
-        parts.append(df.select(F.explode(broken).alias("rule_id"), *ex_cols)
-                     .select("rule_id", ex.alias("ex"), F.lit(1).cast("long").alias("w")))
+        out = (df.select(F.explode(broken).alias("rule_id"), *ex_cols)
+               .select("rule_id", ex.alias("ex"), F.lit(1).cast("long").alias("w")))
+        out.schema          # analyse now, so a broken rule is caught here (C3)
+        return out
+
+    def error_item(rid: str, e: Exception) -> DataFrame:
+        msg = f"Error: {type(e).__name__}: {str(e).splitlines()[0][:200]}"
+        return spark.createDataFrame([(rid, msg, -1)], "rule_id string, ex string, w long")
+
+    for table, rids in by_table.items():
+        df = tabs[table]
+        try:
+            parts.append(row_items(df, rids))
+        except Exception:  # noqa: BLE001 - isolate the failing rule(s), keep the others fused
+            ok = []
+            for r in rids:
+                try:
+                    row_items(df, [r])
+                    ok.append(r)
+                except Exception as e:  # noqa: BLE001
+                    parts.append(error_item(r, e))
+            if ok:
+                parts.append(row_items(df, ok))
     for rid in rule_ids:
         if rid in SET_RULES:
-            parts.append(SET_RULES[rid](t, o).select(F.lit(rid).alias("rule_id"), "ex", "w"))
+            try:
+                items = SET_RULES[rid](t, o).select(F.lit(rid).alias("rule_id"), "ex", "w")
+                items.schema
+                parts.append(items)
+            except Exception as e:  # noqa: BLE001
+                parts.append(error_item(rid, e))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

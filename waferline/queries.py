@@ -89,3 +89,9 @@ from waferline.streaming import queries as SQ  # noqa: E402
 
 for _n in ("s1_ingest", "s2_late_data", "s3_stream_dedupe", "s4_daily_metrics", "s5_stream_checks"):
     raw_query(_n)(getattr(SQ, _n))
+
+from waferline.plans import primitives as P  # noqa: E402
+
+for _n in ("j4_interval_lookup", "ag9_route", "sf6_yearweek", "j7_orphans", "w4_moving_avg", "w7_share",
+           "w8_cumulative"):
+    query(_n)(getattr(P, _n))
