@@ -78,3 +78,14 @@ def test_explode_route_positions(spark):
     df = spark.createDataFrame([("B1", "LIT001,ETC002, IMP003")], "batch_id string, equipment_sequence string")
     assert [tuple(r) for r in explode_route(df).collect()] == [("B1", 1, "LIT001"), ("B1", 2, "ETC002"),
                                                                 ("B1", 3, "IMP003")]
+
+
+def test_keyed_lag_with_explicit_bucket_columns(spark):
+    rng = random.Random(9)
+    data = [("w", rng.randrange(1, 7), T0 + timedelta(days=rng.randrange(5), minutes=rng.randrange(999)), i)
+            for i in range(400)]
+    df = spark.createDataFrame(data, "k string, step int, t timestamp_ntz, i int")
+    got = keyed_lag(df, "k", "step", ["i"], tie=["t", "i"], bucket=[F.col("step"), F.to_date("t")])
+    w = Window.partitionBy("k").orderBy("step", "t", "i")
+    want = {r.i: r.p for r in df.select("i", F.lag("i").over(w).alias("p")).collect()}
+    assert {r.i: r.prev_i for r in got.collect()} == want

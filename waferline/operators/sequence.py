@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waferline.functions.exprs import epoch_seconds
@@ -25,19 +25,23 @@ def _names(x) -> list[str]:
 
 def keyed_lag(df: DataFrame, key, order: str, values: Sequence[str], tie: Sequence[str] = (),
               prefix: str = "prev_", bucket_seconds: int = 86400,
-              direction: str = "lag") -> DataFrame:
+              direction: str = "lag", bucket: Sequence[Column] | None = None) -> DataFrame:
     """Add ``prefix + v`` = value of ``v`` on the previous (``lag``) or next (``lead``)
     row with the same ``key`` ordered by ``(order, *tie)``; NULL on the first/last row.
 
-    ``order`` must be a timestamp column; ``tie`` should make the order total (rows
-    tied on the full order key get an arbitrary but consistent neighbour, as LAG does).
+    ``order`` is a timestamp column bucketed by ``bucket_seconds``, or any column
+    when ``bucket`` gives the bucket columns explicitly (they must not decrease along
+    the order, e.g. ``[step, day(start_time)]`` for the order ``(step, start_time)``).
+    ``tie`` should make the order total (rows tied on the full order key get an
+    arbitrary but consistent neighbour, as LAG does).
     """
     keys = _names(key)
     tie = list(tie)
     order_cols = [order, *tie]
     rec = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
                    *[F.col(v).alias(v) for v in values])
-    d = df.withColumn("_b", F.floor(epoch_seconds(order) / bucket_seconds)).withColumn("_r", rec)
+    b = F.struct(*bucket) if bucket else F.floor(epoch_seconds(order) / bucket_seconds)
+    d = df.withColumn("_b", b).withColumn("_r", rec)
     if direction == "lag":
         w_in = Window.partitionBy(*keys, "_b").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
         edge = F.max("_r")          # last row of a bucket

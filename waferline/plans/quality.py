@@ -14,10 +14,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waferline.functions.exprs import ts_diff, ts_lit
+from waferline.functions.exprs import epoch_seconds, ts_diff, ts_lit
 from waferline.operators.routes import explode_route
 from waferline.operators.sequence import keyed_lag
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
@@ -162,11 +162,11 @@ def dq004(t, o):
 
 
 def dq005(t, o):
-    # Steps of one wafer: the window group is bounded by the route length.
-    w = Window.partitionBy("batch_id", "wafer_id").orderBy("process_step_id", "start_time")
-    seq = t.fact_wafer_tests.select("batch_id", "wafer_id", "process_step_id", "start_time",
-                                    F.lag("start_time").over(w).alias("prev_step_time"))
-    g = (seq.filter(F.col("start_time") < F.col("prev_step_time"))
+    # LAG per wafer by step; bucketed by (step, day) so even a huge wafer group is spread.
+    tests = t.fact_wafer_tests.select("batch_id", "wafer_id", "process_step_id", "start_time")
+    seq = keyed_lag(tests, ["batch_id", "wafer_id"], "process_step_id", ["start_time"], tie=["start_time"],
+                    bucket=[F.col("process_step_id"), F.floor(epoch_seconds("start_time") / 86400)])
+    g = (seq.filter(F.col("start_time") < F.col("prev_start_time"))
          .groupBy("batch_id").agg(F.count(F.lit(1)).alias("violations")))
     return _items(g, "batch_id", F.col("violations"))
 
