@@ -159,3 +159,21 @@ def test_failing_rule_is_isolated_as_error(spark):
     assert res["DQ008"][0] == "ERROR" and res["DQ008"][1] == -1 and res["DQ008"][2][0].startswith("Error:")
     assert res["DQ013"] == ("FAIL", 1, ["W1"])
     assert res["DQ016"][:2] == ("PASS", 1)
+
+
+def test_curated_layer_roundtrip_pushes_time_filters(spark):
+    from waferline.plans.yields import y1_yield_by_equipment
+    from waferline.sources.driver import driver_tables
+    from waferline.sources.layers import read_curated, write_curated
+    root = tempfile.mkdtemp(prefix="wl-layer-")
+    t = driver_tables(spark, "/root/testdata/sf0.001")
+    write_curated(t, root)
+    c = read_curated(spark, root)
+    a = y1_yield_by_equipment(t, AS_OF, days=30, min_wafers=1)
+    b = y1_yield_by_equipment(c, AS_OF, days=30, min_wafers=1)
+    assert sorted(rows(a)) == sorted(rows(b))
+    scan = [ln for ln in b._jdf.queryExecution().executedPlan().toString().splitlines()
+            if "fact_wafer_tests" in ln and "FileScan" in ln][0]
+    assert "PushedFilters: [IsNotNull(test_timestamp), GreaterThanOrEqual(test_timestamp" in scan
+    ev = c.fact_equipment_events.filter(F.col("event_date") >= "2024-01-20")
+    assert "PartitionFilters: [isnotnull(event_date" in ev._jdf.queryExecution().executedPlan().toString()
