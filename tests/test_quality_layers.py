@@ -175,5 +175,7 @@ def test_curated_layer_roundtrip_pushes_time_filters(spark):
     scan = [ln for ln in b._jdf.queryExecution().executedPlan().toString().splitlines()
             if "fact_wafer_tests" in ln and "FileScan" in ln][0]
     assert "PushedFilters: [IsNotNull(test_timestamp), GreaterThanOrEqual(test_timestamp" in scan
-    ev = c.fact_equipment_events.filter(F.col("event_date") >= "2024-01-20")
-    assert "PartitionFilters: [isnotnull(event_date" in ev._jdf.queryExecution().executedPlan().toString()
+    from waferline.plans.equipment import e1_uptime
+    plan = e1_uptime(c, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "PushedFilters: [IsNotNull(event_timestamp)" in plan
+    assert sorted(rows(e1_uptime(c, AS_OF))) == sorted(rows(e1_uptime(t, AS_OF)))

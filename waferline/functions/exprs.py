@@ -42,6 +42,19 @@ def window_start(as_of, days: float = 0, weeks: float = 0, hours: float = 0) ->
     return ts_lit(as_of_date(as_of) - timedelta(days=days, weeks=weeks, hours=hours))
 
 
+def since(df, ts: str, as_of, **interval):
+    """``df`` rows with ``ts >= CURRENT_DATE - INTERVAL`` (as of ``as_of``). When the
+    table is date-partitioned (an ``event_date`` column next to ``event_timestamp``)
+    the same bound is also put on the partition column, so whole partitions are
+    pruned before any file is opened."""
+    bound = window_start(as_of, **interval)
+    out = df.filter(F.col(ts) >= bound)
+    part = {"event_timestamp": "event_date", "test_timestamp": "test_date"}.get(ts)
+    if part and part in df.columns:
+        out = out.filter(F.col(part) >= F.to_date(bound))
+    return out
+
+
 def ts_diff(unit: str, start, end) -> Column:
     """``TIMESTAMPDIFF(unit, start, end)``: whole units, truncated toward zero."""
     return F.timestamp_diff(unit, col(start), col(end))

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waferline.functions.exprs import (as_of_date, flag, pct, round_avg, stable, tier, ts_diff,
-                                       window_start, yearweek)
+from waferline.functions.exprs import (as_of_date, flag, pct, round_avg, since, stable, tier,
+                                       ts_diff, window_start, yearweek)
 from waferline.operators.intervals import interval_aggregate
 from waferline.operators.sequence import lag_col
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
@@ -23,7 +23,7 @@ def st_():
 
 
 def _events_since(t: FabTables, as_of, **kw) -> DataFrame:
-    return t.fact_equipment_events.filter(F.col("event_timestamp") >= window_start(as_of, **kw))
+    return since(t.fact_equipment_events, "event_timestamp", as_of, **kw)
 
 
 def e1_uptime(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, tiers=(95, 90, 85)) -> DataFrame:
@@ -197,8 +197,7 @@ def e5_maintenance_effect(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 90,
 
 def e6_criticality(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, value_per_wafer: int = 1000,
                    tiers=(500, 200, 50)) -> DataFrame:
-    since = window_start(as_of, days=days)
-    tests = t.fact_wafer_tests.filter(F.col("test_timestamp") >= since)
+    tests = since(t.fact_wafer_tests, "test_timestamp", as_of, days=days)
     # A wafer lies in one batch: dedupe (tool, batch, wafer) first so the two distinct
     # counts need no row expansion.
     per_wafer = (tests.groupBy("equipment_id", "batch_id", "wafer_id")

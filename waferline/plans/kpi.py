@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waferline.functions.exprs import flag, pct, round_avg, ts_diff, window_start
+from waferline.functions.exprs import since as since_
 from waferline.operators.intervals import interval_aggregate
 from waferline.plans.layers import clean_batch_share, daily_yield
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
@@ -30,7 +31,7 @@ def x1_chamber_matching(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) -> Da
     per = (tests.groupBy("recipe", "equipment_id")
            .agg(F.count(F.lit(1)).alias("tests"), F.sum(flag(pass_())).alias("passed"))
            .withColumn("yield_pct", F.round(pct("passed", "tests"), 2)))
-    temp = (t.fact_equipment_events.filter(F.col("event_timestamp") >= since)
+    temp = (since_(t.fact_equipment_events, "event_timestamp", as_of, days=days)
             .groupBy("equipment_id").agg(round_avg("temperature_c", 2).alias("avg_temp_c")))
     dim = t.dim_equipment.select("equipment_id", "equipment_type")
     j = per.join(dim, "equipment_id").join(temp, "equipment_id", "left")
@@ -58,7 +59,7 @@ def x2_executive_kpis(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, trend_d
              .agg(round_avg("yield_pct", 2).alias("yield_7day_avg")))
     batches = (t.dim_wafer_batches.filter(F.col("start_time") >= since)
                .agg(F.round(F.count(F.lit(1)) / F.lit(float(days)), 2).alias("batches_per_day")))
-    util = (t.fact_equipment_events.filter(F.col("event_timestamp") >= since)
+    util = (since_(t.fact_equipment_events, "event_timestamp", as_of, days=days)
             .agg(F.round(pct(F.sum(flag(F.col("status") == "RUNNING")), F.count(F.lit(1))), 2)
                  .alias("utilization_pct")))
     clean = clean_batch_share(t).select(F.col("clean_pct").alias("batches_passing_all_rules_pct"))
@@ -69,7 +70,7 @@ def x2_executive_kpis(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, trend_d
 
 
 def x3_control_limits(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, sigmas: float = 3.0) -> DataFrame:
-    ev = t.fact_equipment_events.filter(F.col("event_timestamp") >= window_start(as_of, days=days))
+    ev = since_(t.fact_equipment_events, "event_timestamp", as_of, days=days)
     lim = ev.groupBy("equipment_id").agg(
         F.count("temperature_c").alias("n"), round_avg("temperature_c", 3).alias("mean_temp_c"),
         F.avg("temperature_c").alias("_m"), F.stddev_samp("temperature_c").alias("_sd"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waferline.functions.exprs import as_datetime, flag, pct, ts_lit, window_start
+from waferline.functions.exprs import as_datetime, flag, pct, since, ts_lit, window_start
 from waferline.plans.quality import Options, row_rules
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
@@ -182,7 +182,7 @@ def daily_yield(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, by_recipe: bo
 
 
 def daily_uptime(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) -> DataFrame:
-    ev = t.fact_equipment_events.filter(F.col("event_timestamp") >= window_start(as_of, days=days))
+    ev = since(t.fact_equipment_events, "event_timestamp", as_of, days=days)
     st = F.col("status")
     g = (ev.groupBy("equipment_id", F.to_date("event_timestamp").alias("date"))
          .agg(F.count(F.lit(1)).alias("events"), F.sum(flag(st == "RUNNING")).alias("running"),

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waferline.functions.exprs import (flag, pct, round_avg, safe_corr, stable, tier,
+from waferline.functions.exprs import (flag, pct, round_avg, safe_corr, since, stable, tier,
                                        window_start)
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
@@ -27,7 +27,7 @@ def fail_():
 
 
 def _tests_since(t: FabTables, as_of, days: int) -> DataFrame:
-    return t.fact_wafer_tests.filter(F.col("test_timestamp") >= window_start(as_of, days=days))
+    return since(t.fact_wafer_tests, "test_timestamp", as_of, days=days)
 
 
 def y1_yield_by_equipment(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 7,
@@ -164,8 +164,7 @@ def y6_first_pass_yield(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30,
 def y7_utilization_yield_corr(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30,
                               min_tests_per_day: int = 20, min_days: int = 7,
                               strong: float = -0.5, moderate: float = -0.3) -> DataFrame:
-    since = window_start(as_of, days=days)
-    util = (t.fact_equipment_events.filter(F.col("event_timestamp") >= since)
+    util = (since(t.fact_equipment_events, "event_timestamp", as_of, days=days)
             .groupBy("equipment_id", F.to_date("event_timestamp").alias("date"))
             .agg(pct(F.sum(flag(F.col("status") == "RUNNING")), F.count(F.lit(1)))
                  .alias("utilization_pct")))
