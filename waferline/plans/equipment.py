@@ -152,22 +152,22 @@ def e5_maintenance_effect(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 90,
     def post(c):
         return F.col(c) >= mt
 
-    day = 86400
-    ev = t.fact_equipment_events.select("equipment_id", "event_timestamp",
-                                        flag(st_() == "ALARM").alias("is_alarm"))
-    a = interval_aggregate(win, ev, "equipment_id", "w_lo", "w_hi", "event_timestamp", [
-        F.avg(F.when(pre("event_timestamp"), F.col("is_alarm"))).alias("pre_alarm_rate"),
-        F.avg(F.when(post("event_timestamp"), F.col("is_alarm"))).alias("post_alarm_rate"),
-    ], bucket_seconds=day)
-    tests = t.fact_wafer_tests.select("equipment_id", "test_timestamp",
-                                      F.when(F.col("pass_fail") == "PASS", 100.0).otherwise(0.0)
-                                      .alias("y"))
-    y = interval_aggregate(win, tests, "equipment_id", "w_lo", "w_hi", "test_timestamp", [
-        F.avg(F.when(pre("test_timestamp"), F.col("y"))).alias("pre_yield"),
-        F.avg(F.when(post("test_timestamp"), F.col("y"))).alias("post_yield"),
-    ], bucket_seconds=day)
+    # Events and tests form one observation stream, so all four sub-windows are one
+    # bucketed interval join (day buckets: the windows span 14 days).
+    obs = (t.fact_equipment_events.select("equipment_id", F.col("event_timestamp").alias("ts"),
+                                          flag(st_() == "ALARM").alias("is_alarm"),
+                                          F.lit(None).cast("double").alias("y"))
+           .unionByName(t.fact_wafer_tests.select(
+               "equipment_id", F.col("test_timestamp").alias("ts"), F.lit(None).cast("int").alias("is_alarm"),
+               F.when(F.col("pass_fail") == "PASS", 100.0).otherwise(0.0).alias("y"))))
+    a = interval_aggregate(win, obs, "equipment_id", "w_lo", "w_hi", "ts", [
+        F.avg(F.when(pre("ts"), F.col("is_alarm"))).alias("pre_alarm_rate"),
+        F.avg(F.when(post("ts"), F.col("is_alarm"))).alias("post_alarm_rate"),
+        F.avg(F.when(pre("ts"), F.col("y"))).alias("pre_yield"),
+        F.avg(F.when(post("ts"), F.col("y"))).alias("post_yield"),
+    ], bucket_seconds=86400)
     keys = ["equipment_id", "w_lo", "w_hi"]
-    per_m = (win.join(a, keys, "left").join(y, keys, "left")
+    per_m = (win.join(a, keys, "left")
              .select("equipment_id", "mt", "pre_alarm_rate", "post_alarm_rate", "pre_yield",
                      "post_yield"))
     rows = (m.join(per_m, ["equipment_id", "mt"])

@@ -235,11 +235,11 @@ SET_RULES: dict[str, Callable[[FabTables, Options], DataFrame]] = {
 
 
 def _rule_catalog(spark: SparkSession, ids: list[str]) -> DataFrame:
+    from waferline.sources.driver import literal_table
     rows = [(r.rule_id, r.name, r.category, r.severity, r.layer, r.threshold, r.impact)
             for r in RULES if r.rule_id in ids]
-    return spark.createDataFrame(
-        rows, "rule_id string, rule_name string, category string, severity string, layer string, "
-              "threshold bigint, impact string")
+    return literal_table(spark, rows, "rule_id string, rule_name string, category string, severity string, "
+                                      "layer string, threshold bigint, impact string")
 
 
 def _partial_outcomes(k: int):

@@ -55,7 +55,9 @@ def b1_wafer_trace(t: FabTables, wafer_ids=None) -> DataFrame:
     ev = t.fact_equipment_events.select("equipment_id", "event_timestamp", "temperature_c",
                                         "pressure_torr", "status")
     # All three subqueries share one window, so they are one interval aggregate.
-    cond = interval_aggregate(h, ev, "equipment_id", "step_start", "step_end", "event_timestamp", [
+    # Windows come from the tests alone (no dimension joins); extra windows of rows the
+    # inner joins drop are simply never joined back.
+    cond = interval_aggregate(tests, ev, "equipment_id", "step_start", "step_end", "event_timestamp", [
         round_avg("temperature_c", 2).alias("avg_temp_c"),
         round_avg("pressure_torr", 3).alias("avg_pressure_torr"),
         F.count(F.when(F.col("status") == "ALARM", 1)).alias("alarms_during_process"),

@@ -6,6 +6,7 @@ Every registered query reads the driver tables through
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,23 @@ from waferline.sources.tables import FabTables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, FabTables]]" = weakref.WeakKeyDictionary()
+
+
+def tables_for(spark: SparkSession, sf_dir: str) -> FabTables:
+    """The table definitions of a folder, defined once per session (they are lazy
+    plans: defining them once is what a catalog does; no data is cached)."""
+    per = _TABLES.setdefault(spark, {})
+    if sf_dir not in per:
+        per[sf_dir] = driver_tables(spark, sf_dir)
+    return per[sf_dir]
+
+
 def query(name: str):
     """Decorator: register ``fn(tables) -> DataFrame`` under ``name``."""
     def deco(fn: Callable[[FabTables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(driver_tables(spark, sf_dir))
+            return fn(tables_for(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

@@ -44,10 +44,17 @@ def batch_start(batch: Column) -> Column:
     return F.timestamp_add("MINUTE", (batch * 7919) % 43200, _base())
 
 
+def literal_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small fixed table as a local relation (no RDD, no job to read it)."""
+    names = [f.strip().split(" ")[0] for f in schema.split(",")]
+    types = [f.strip().split(" ", 1)[1] for f in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(r, names, types)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def process_steps(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        PROCESS_STEP_ROWS,
-        "process_step_id int, process_step_name string, equipment_type string, duration_min int")
+    return literal_table(spark, PROCESS_STEP_ROWS,
+                         "process_step_id int, process_step_name string, equipment_type string, duration_min int")
 
 
 RAW_EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
