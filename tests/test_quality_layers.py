@@ -179,3 +179,21 @@ def test_curated_layer_roundtrip_pushes_time_filters(spark):
     plan = e1_uptime(c, AS_OF)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and "PushedFilters: [IsNotNull(event_timestamp)" in plan
     assert sorted(rows(e1_uptime(c, AS_OF))) == sorted(rows(e1_uptime(t, AS_OF)))
+
+
+def test_dq005_aggregate_form_equals_lag_form(spark):
+    import random
+    from pyspark.sql import Window
+    rng = random.Random(3)
+    base = datetime(2024, 1, 10)
+    rowsx = []
+    for w in range(60):
+        for _ in range(rng.randrange(1, 9)):
+            st = rng.randrange(1, 7)
+            start = None if rng.random() < 0.05 else base + timedelta(minutes=rng.randrange(0, 400))
+            rowsx.append((f"W{w}", f"B{w % 7}", st, None, "T", start, start, "PASS", 0.1, "b", start))
+    t = make_tables(spark, tests=rowsx)
+    got = _one(t, "DQ005")[0]
+    w = Window.partitionBy("batch_id", "wafer_id").orderBy("process_step_id", "start_time")
+    lagged = t.fact_wafer_tests.select("start_time", F.lag("start_time").over(w).alias("p"))
+    assert got == lagged.filter(F.col("start_time") < F.col("p")).count()

@@ -44,20 +44,19 @@ def keyed_lag(df: DataFrame, key, order: str, values: Sequence[str], tie: Sequen
     d = df.withColumn("_b", b).withColumn("_r", rec)
     if direction == "lag":
         w_in = Window.partitionBy(*keys, "_b").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-        edge = F.max("_r")          # last row of a bucket
         w_b = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first())
-        carry_fn = F.lag
     elif direction == "lead":
         w_in = Window.partitionBy(*keys, "_b").orderBy(*[F.col(c).desc_nulls_last() for c in order_cols])
-        edge = F.min("_r")          # first row of a bucket
         w_b = Window.partitionBy(*keys).orderBy(F.col("_b").desc_nulls_last())
-        carry_fn = F.lag            # lag over descending buckets == lead
     else:
         raise ValueError(direction)
     # NB: NULL order values form their own bucket, which sorts first (like NULLS FIRST).
-    d = d.withColumn("_in", F.lag("_r").over(w_in))
-    per_bucket = d.groupBy(*keys, "_b").agg(edge.alias("_edge"))
-    carry = per_bucket.select(*keys, "_b", carry_fn("_edge").over(w_b).alias("_carry"))
+    # The bucket edge (last row along the direction) comes from the same window spec,
+    # so the carry branch reuses the window's exchange instead of re-reading the input.
+    d = d.select("*", F.lag("_r").over(w_in).alias("_in"),
+                 F.lead("_r").over(w_in).isNull().alias("_edge_row"))
+    edges = d.filter("_edge_row").select(*keys, "_b", F.col("_r").alias("_edge"))
+    carry = edges.select(*keys, "_b", F.lag("_edge").over(w_b).alias("_carry"))
     out = d.join(carry, [*keys, "_b"], "left").withColumn("_p", F.coalesce("_in", "_carry"))
     return out.select(*df.columns, *[F.col("_p")[v].alias(prefix + v) for v in values])
 

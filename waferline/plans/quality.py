@@ -14,10 +14,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waferline.functions.exprs import epoch_seconds, ts_diff, ts_lit
+from waferline.functions.exprs import ts_diff, ts_lit
 from waferline.operators.routes import explode_route
 from waferline.operators.sequence import keyed_lag
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
@@ -162,12 +162,19 @@ def dq004(t, o):
 
 
 def dq005(t, o):
-    # LAG per wafer by step; bucketed by (step, day) so even a huge wafer group is spread.
-    tests = t.fact_wafer_tests.select("batch_id", "wafer_id", "process_step_id", "start_time")
-    seq = keyed_lag(tests, ["batch_id", "wafer_id"], "process_step_id", ["start_time"], tie=["start_time"],
-                    bucket=[F.col("process_step_id"), F.floor(epoch_seconds("start_time") / 86400)])
-    g = (seq.filter(F.col("start_time") < F.col("prev_start_time"))
-         .groupBy("batch_id").agg(F.count(F.lit(1)).alias("violations")))
+    """LAG(start_time) per wafer ordered by (step, start_time): inside one step the
+    order is by start time, so only the first row of a step can be earlier than its
+    predecessor, the last row of the previous step. That is exactly
+    ``min(start of step) < max(start of previous step)`` - a partial aggregate per
+    (wafer, step) followed by a LAG over at most route-length rows per wafer, so even
+    a wafer with millions of duplicate rows stays one small group."""
+    per_step = (t.fact_wafer_tests.groupBy("batch_id", "wafer_id", "process_step_id")
+                .agg(F.min("start_time").alias("first_start"), F.max("start_time").alias("last_start"),
+                     F.count_if(F.col("start_time").isNull()).alias("nulls")))
+    w = Window.partitionBy("batch_id", "wafer_id").orderBy(F.col("process_step_id").asc_nulls_first())
+    seq = per_step.withColumn("prev_last", F.lag("last_start").over(w))
+    bad = seq.filter((F.col("nulls") == 0) & (F.col("first_start") < F.col("prev_last")))
+    g = bad.groupBy("batch_id").agg(F.count(F.lit(1)).alias("violations"))
     return _items(g, "batch_id", F.col("violations"))
 
 
@@ -242,28 +249,6 @@ def _rule_catalog(spark: SparkSession, ids: list[str]) -> DataFrame:
                                       "layer string, threshold bigint, impact string")
 
 
-def _partial_outcomes(k: int):
-    """mapInPandas body: per input partition and rule, the summed weight and the k
-    smallest distinct example ids. Memory per task is O(rules * k) plus one batch."""
-    def fn(batches):
-        import numpy as np
-        import pandas as pd
-        acc: dict[str, list] = {}
-        for pdf in batches:
-            for rid, g in pdf.groupby("rule_id", sort=False):
-                n, ex = acc.get(rid, (0, np.array([], dtype=object)))
-                n += int(g["w"].fillna(0).sum())
-                cand = g["ex"].dropna().to_numpy(dtype=object)
-                if len(cand) and k:
-                    ex = np.unique(np.concatenate([ex, cand]).astype(str))[:k].astype(object)
-                acc[rid] = (n, ex)
-        if acc:
-            yield pd.DataFrame({"rule_id": [str(r) for r in acc],
-                                "violations": [int(v[0]) for v in acc.values()],
-                                "ex": [[str(x) for x in v[1]] for v in acc.values()]})
-    return fn
-
-
 def violation_stream(t: FabTables, rule_ids: list[str], o: Options) -> DataFrame:
     """All violating items of the rules as one stream (rule_id, ex, w).
 
@@ -324,22 +309,32 @@ def violation_stream(t: FabTables, rule_ids: list[str], o: Options) -> DataFrame
     return out
 
 
+EXAMPLE_BUCKETS = 1024
+
+
 def rule_outcomes(t: FabTables, rule_ids: list[str], o: Options) -> DataFrame:
     """(rule_id, violations, details) for the rules that have any violating item.
 
-    Counts need only a partial aggregate. Examples (the k smallest distinct ids) are
-    reduced inside each input partition first (``mapInPandas``; Spark has no bounded
-    top-k aggregate), so the final merge sees at most k ids per rule and partition."""
+    One linear pipeline, so every table is read once:
+    1. partial aggregate per (rule, example id) - shuffled on the id, so no rule is
+       concentrated in one task;
+    2. a window per (rule, hash bucket of the id) - each bucket's total weight and
+       its k smallest ids (a bucket holds 1/EXAMPLE_BUCKETS of a rule's ids);
+    3. per rule: the sum of the bucket totals and the k smallest of the at most
+       k * EXAMPLE_BUCKETS surviving ids."""
     items = violation_stream(t, rule_ids, o)
-    if not o.examples:
-        return items.groupBy("rule_id").agg(F.sum("w").alias("violations"),
-                                            F.array().cast("array<string>").alias("details"))
-    part = items.mapInPandas(_partial_outcomes(o.examples),
-                             "rule_id string, violations long, ex array<string>")
-    return part.groupBy("rule_id").agg(
-        F.sum("violations").alias("violations"),
-        F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ex")))), 1, o.examples)
-        .alias("details"))
+    per_ex = items.groupBy("rule_id", "ex").agg(F.sum("w").alias("w"))
+    k = max(o.examples, 1)
+    bucket = Window.partitionBy("rule_id", F.pmod(F.hash("ex"), F.lit(EXAMPLE_BUCKETS)))
+    ranked = per_ex.select("rule_id", "ex",
+                           F.row_number().over(bucket.orderBy(F.col("ex").asc_nulls_last())).alias("_r"),
+                           F.sum("w").over(bucket).alias("_bucket_w"))
+    kept = ranked.filter(F.col("_r") <= k)
+    details = (F.slice(F.array_sort(F.collect_list("ex")), 1, o.examples) if o.examples
+               else F.array().cast("array<string>"))
+    return kept.groupBy("rule_id").agg(
+        F.sum(F.when(F.col("_r") == 1, F.col("_bucket_w"))).alias("violations"),
+        details.alias("details"))
 
 
 def verdict(violations: Column, threshold: Column, severity: Column) -> Column:
