@@ -89,3 +89,28 @@ def test_keyed_lag_with_explicit_bucket_columns(spark):
     w = Window.partitionBy("k").orderBy("step", "t", "i")
     want = {r.i: r.p for r in df.select("i", F.lag("i").over(w).alias("p")).collect()}
     assert {r.i: r.prev_i for r in got.collect()} == want
+
+
+def test_interval_sums_equal_nested_loop_with_copies(spark):
+    from waferline.operators.intervals import interval_sums
+    rng = random.Random(21)
+    wins = []
+    for i in range(300):
+        s = _rand_ts(rng)
+        wins.append((rng.randrange(4), s, s + timedelta(minutes=rng.randrange(0, 3000))))
+    wins.append((1, T0, T0 - timedelta(minutes=5)))                 # inverted: no rows
+    evs = [(rng.randrange(5), _rand_ts(rng), float(rng.randrange(100))) for _ in range(1500)]
+    evs += [evs[0]] * 50                                            # copies of one reading
+    evs += [(w[0], w[1], 1.0) for w in wins[:30]] + [(w[0], w[2], 2.0) for w in wins[30:60]]   # on the bounds
+    w = spark.createDataFrame(wins, "k int, s timestamp_ntz, e timestamp_ntz")
+    ev = spark.createDataFrame(evs, "k int, t timestamp_ntz, v double")
+    got = interval_sums(w, ev, "k", "s", "e", "t",
+                        {"n": F.lit(1).cast("long"), "sv": F.col("v").cast("decimal(20,2)")}, bucket_seconds=3600)
+    got = {(r.k, r.s, r.e): (r.n, float(r.sv)) for r in got.collect()}
+    want = {}
+    for k, s, e in set(wins):
+        if e < s:
+            continue
+        m = [v for kk, t, v in evs if kk == k and s <= t <= e]
+        want[(k, s, e)] = (len(m), float(sum(m)))
+    assert got == want

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waferline.functions.exprs import epoch_seconds
@@ -77,3 +77,59 @@ def interval_events(left: DataFrame, events: DataFrame, key: str, start: str, en
              .filter((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end)))
              .drop("_b"))
     return left.join(pairs, [key, start, end], "left")
+
+
+def interval_sums(windows: DataFrame, events: DataFrame, key: str, start: str, end: str, ts: str,
+                  values: dict, bucket_seconds: int = 86400, event_key: str | None = None) -> DataFrame:
+    """Sums of event ``values`` (name -> numeric Column) over ``start <= ts <= end``
+    for every distinct window ``(key, start, end)``, by prefix sums - no join of
+    windows with events, so the work is linear in rows however densely windows
+    overlap or events repeat.
+
+    * Events are collapsed per (key, ts) first: copies of one reading are one row.
+    * Window ends become marker rows next to the events: at equal time, start
+      markers sort before events (sum over ts < start) and end markers after them
+      (sum over ts <= end); ``sum = P(end) - P(start-)``.
+    * The running sum is computed per (key, time bucket) and the totals of earlier
+      buckets are carried in from a one-row-per-bucket table, so a hot key is
+      spread over its buckets (same scheme as the bucketed LAG).
+
+    Returns (key, start, end, *values) with 0 sums for windows without events and
+    NULL for windows with a NULL bound or ``end < start``."""
+    ek = event_key or key
+    names = list(values)
+    ev = (events.select(F.col(ek).alias("_k"), F.col(ts).cast("timestamp_ntz").alias("_t"),
+                        *[values[n].alias(n) for n in names])
+          .groupBy("_k", "_t").agg(*[F.sum(n).alias(n) for n in names])
+          .select("_k", "_t", F.lit(1).alias("_kind"), F.lit(None).cast("timestamp_ntz").alias("_s"),
+                  F.lit(None).cast("timestamp_ntz").alias("_e"), *names))
+    w = (windows.select(F.col(key).alias("_k"), F.col(start).cast("timestamp_ntz").alias("_s"),
+                        F.col(end).cast("timestamp_ntz").alias("_e")).distinct()
+         .filter(F.col("_s").isNotNull() & F.col("_e").isNotNull() & (F.col("_e") >= F.col("_s"))))
+    zero = [F.lit(0).cast(ev.schema[n].dataType).alias(n) for n in names]
+    marks = (w.select("_k", F.col("_s").alias("_t"), F.lit(0).alias("_kind"), "_s", "_e", *zero)
+             .unionByName(w.select("_k", F.col("_e").alias("_t"), F.lit(2).alias("_kind"), "_s", "_e", *zero)))
+    u = ev.unionByName(marks).withColumn("_b", _bucket("_t", bucket_seconds))
+    part = Window.partitionBy("_k", "_b")
+    run = part.orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    d = u.select("_k", "_b", "_kind", "_s", "_e",
+                 *[F.sum(n).over(run).alias(n) for n in names],
+                 F.lead(F.lit(1)).over(part.orderBy("_t", "_kind")).isNull().alias("_last"))
+    # bucket totals (the last running value of each bucket) -> totals of all earlier buckets
+    earlier = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (d.filter("_last").select("_k", "_b", *[F.sum(n).over(earlier).alias("_c_" + n) for n in names]))
+    p = (d.filter(F.col("_kind") != 1).join(carry, ["_k", "_b"])
+         .select("_k", "_s", "_e", "_kind",
+                 *[(F.col(n) + F.coalesce(F.col("_c_" + n), F.lit(0))).alias(n) for n in names]))
+    lo = p.filter(F.col("_kind") == 0).select("_k", "_s", "_e", *[F.col(n).alias("_lo_" + n) for n in names])
+    hi = p.filter(F.col("_kind") == 2).select("_k", "_s", "_e", *[F.col(n).alias("_hi_" + n) for n in names])
+    return lo.join(hi, ["_k", "_s", "_e"]).select(
+        F.col("_k").alias(key), F.col("_s").alias(start), F.col("_e").alias(end),
+        *[(F.col("_hi_" + n) - F.col("_lo_" + n)).alias(n) for n in names])
+
+
+def ratio_of(total, count, digits: int | None = None) -> Column:
+    """An average from interval sums: NULL when the window holds no counted event."""
+    r = F.try_divide(F.col(total) if isinstance(total, str) else total,
+                     F.col(count) if isinstance(count, str) else count)
+    return (F.round(r, digits) if digits is not None else r).cast("double")

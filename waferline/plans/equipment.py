@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from waferline.functions.exprs import (as_of_date, flag, pct, round_avg, since, stable, tier,
                                        ts_diff, window_start, yearweek)
-from waferline.operators.intervals import interval_aggregate
+from waferline.operators.intervals import interval_sums, ratio_of
 from waferline.operators.sequence import lag_col
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
@@ -143,33 +143,30 @@ def e5_maintenance_effect(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 90,
     span = F.expr(f"INTERVAL {window_days} DAYS")
     win = (m.select("equipment_id", "mt").distinct()
            .withColumn("w_lo", F.col("mt") - span).withColumn("w_hi", F.col("mt") + span))
-    # The maintenance instant is the window centre (aggregates see window columns only).
-    mt = F.col("w_lo") + span
-
-    def pre(c):
-        return F.col(c) <= mt
-
-    def post(c):
-        return F.col(c) >= mt
-
-    # Events and tests form one observation stream, so all four sub-windows are one
-    # bucketed interval join (day buckets: the windows span 14 days).
+    # Events and tests form one observation stream and the pre/post windows one window
+    # set, so all four subqueries are one prefix-sum pass (both windows include mt).
     obs = (t.fact_equipment_events.select("equipment_id", F.col("event_timestamp").alias("ts"),
-                                          flag(st_() == "ALARM").alias("is_alarm"),
-                                          F.lit(None).cast("double").alias("y"))
+                                          (st_() == "ALARM").cast("long").alias("alarm"),
+                                          F.lit(1).cast("long").alias("n_ev"),
+                                          F.lit(0.0).alias("y"), F.lit(0).cast("long").alias("n_t"))
            .unionByName(t.fact_wafer_tests.select(
-               "equipment_id", F.col("test_timestamp").alias("ts"), F.lit(None).cast("int").alias("is_alarm"),
-               F.when(F.col("pass_fail") == "PASS", 100.0).otherwise(0.0).alias("y"))))
-    a = interval_aggregate(win, obs, "equipment_id", "w_lo", "w_hi", "ts", [
-        F.avg(F.when(pre("ts"), F.col("is_alarm"))).alias("pre_alarm_rate"),
-        F.avg(F.when(post("ts"), F.col("is_alarm"))).alias("post_alarm_rate"),
-        F.avg(F.when(pre("ts"), F.col("y"))).alias("pre_yield"),
-        F.avg(F.when(post("ts"), F.col("y"))).alias("post_yield"),
-    ], bucket_seconds=86400)
-    keys = ["equipment_id", "w_lo", "w_hi"]
-    per_m = (win.join(a, keys, "left")
-             .select("equipment_id", "mt", "pre_alarm_rate", "post_alarm_rate", "pre_yield",
-                     "post_yield"))
+               "equipment_id", F.col("test_timestamp").alias("ts"), F.lit(0).cast("long").alias("alarm"),
+               F.lit(0).cast("long").alias("n_ev"),
+               F.when(F.col("pass_fail") == "PASS", 100.0).otherwise(0.0).alias("y"),
+               F.lit(1).cast("long").alias("n_t"))))
+    windows = (win.select("equipment_id", F.col("w_lo").alias("s"), F.col("mt").alias("e"))
+               .unionByName(win.select("equipment_id", F.col("mt").alias("s"), F.col("w_hi").alias("e"))))
+    sums = interval_sums(windows, obs, "equipment_id", "s", "e", "ts",
+                         {c: F.col(c) for c in ("alarm", "n_ev", "y", "n_t")}, bucket_seconds=86400)
+    rates = sums.select("equipment_id", "s", "e", ratio_of("alarm", "n_ev").alias("alarm_rate"),
+                        ratio_of("y", "n_t").alias("yield"))
+    pre = rates.select("equipment_id", F.col("s").alias("w_lo"), F.col("e").alias("mt"),
+                       F.col("alarm_rate").alias("pre_alarm_rate"), F.col("yield").alias("pre_yield"))
+    post = rates.select("equipment_id", F.col("s").alias("mt"), F.col("e").alias("w_hi"),
+                        F.col("alarm_rate").alias("post_alarm_rate"), F.col("yield").alias("post_yield"))
+    per_m = (win.join(pre, ["equipment_id", "w_lo", "mt"], "left")
+             .join(post, ["equipment_id", "mt", "w_hi"], "left")
+             .select("equipment_id", "mt", "pre_alarm_rate", "post_alarm_rate", "pre_yield", "post_yield"))
     rows = (m.join(per_m, ["equipment_id", "mt"])
             .filter(F.col("pre_alarm_rate").isNotNull() & F.col("post_alarm_rate").isNotNull()))
     g = (rows.groupBy("equipment_id", "event_type")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from waferline.functions.exprs import flag, pct, round_avg, ts_diff, window_start
 from waferline.functions.exprs import since as since_
-from waferline.operators.intervals import interval_aggregate
+from waferline.operators.intervals import interval_sums
 from waferline.plans.layers import clean_batch_share, daily_yield
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
@@ -101,12 +101,10 @@ def x4_yield_excursion(t: FabTables, drop_pts: float = 5.0, lookback_hours: int
            .join(t.dim_wafer_batches.select("batch_id", "lot_number", F.col("start_time").alias("b_start"),
                                             F.col("end_time").alias("b_end")), "batch_id")
            .withColumn("m_lo", F.col("b_start") - F.expr(f"INTERVAL {lookback_hours} HOURS")))
-    alarms = t.fact_equipment_events.filter(F.col("status") == "ALARM").select("equipment_id", "event_timestamp")
-    a = interval_aggregate(win, alarms, "equipment_id", "b_start", "b_end", "event_timestamp",
-                           [F.count(F.lit(1)).alias("n_alarms")], bucket_seconds=3600)
-    m = interval_aggregate(win, t.maintenance_events.select("equipment_id", "event_timestamp"),
-                           "equipment_id", "m_lo", "b_start", "event_timestamp",
-                           [F.count(F.lit(1)).alias("n_maint")], bucket_seconds=6 * 3600)
+    a = interval_sums(win, t.fact_equipment_events, "equipment_id", "b_start", "b_end", "event_timestamp",
+                      {"n_alarms": (F.col("status") == "ALARM").cast("long")}, bucket_seconds=3600)
+    m = interval_sums(win, t.maintenance_events, "equipment_id", "m_lo", "b_start", "event_timestamp",
+                      {"n_maint": F.lit(1).cast("long")}, bucket_seconds=6 * 3600)
     per_lot = (win.join(a, ["equipment_id", "b_start", "b_end"], "left")
                .join(m, ["equipment_id", "m_lo", "b_start"], "left")
                .groupBy("lot_number")

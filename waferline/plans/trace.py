@@ -1,8 +1,8 @@
 """Traceability and root-cause analytics.
 
 Every correlated ``BETWEEN`` subquery of the reference is an
-:func:`~waferline.operators.intervals.interval_aggregate` (equi-join on tool and
-time bucket), every correlated equality subquery is a pre-aggregation joined back
+:func:`~waferline.operators.intervals.interval_sums` (prefix sums per tool, no
+window x event join), every correlated equality subquery is a pre-aggregation joined back
 on its key, and every per-tool LAG is the bucketed
 :func:`~waferline.operators.sequence.keyed_lag`. Wafer/lot parameters are optional
 filters; ``None`` traces every wafer/lot.
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from waferline.functions.exprs import (flag, pct, round_avg, safe_corr, ts_diff, ts_lit,
                                        window_start)
-from waferline.operators.intervals import interval_aggregate, interval_events
+from waferline.operators.intervals import interval_events, interval_sums, ratio_of
 from waferline.operators.routes import explode_route, route_string
 from waferline.operators.sequence import keyed_lag
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
@@ -52,16 +52,19 @@ def b1_wafer_trace(t: FabTables, wafer_ids=None) -> DataFrame:
                                                    "equipment_type"))
     dim = t.dim_equipment.select("equipment_id", "manufacturer")
     h = (tests.join(batches, "batch_id").join(steps, "process_step_id").join(dim, "equipment_id"))
-    ev = t.fact_equipment_events.select("equipment_id", "event_timestamp", "temperature_c",
-                                        "pressure_torr", "status")
-    # All three subqueries share one window, so they are one interval aggregate.
-    # Windows come from the tests alone (no dimension joins); extra windows of rows the
-    # inner joins drop are simply never joined back.
-    cond = interval_aggregate(tests, ev, "equipment_id", "step_start", "step_end", "event_timestamp", [
-        round_avg("temperature_c", 2).alias("avg_temp_c"),
-        round_avg("pressure_torr", 3).alias("avg_pressure_torr"),
-        F.count(F.when(F.col("status") == "ALARM", 1)).alias("alarms_during_process"),
-    ], bucket_seconds=HOUR)
+    ev = t.fact_equipment_events
+    # All three subqueries share one window: one prefix-sum pass over the events.
+    # Windows come from the tests alone (no dimension joins).
+    sums = interval_sums(tests, ev, "equipment_id", "step_start", "step_end", "event_timestamp", {
+        "t_sum": F.col("temperature_c").cast("decimal(30,6)"),
+        "t_n": F.col("temperature_c").isNotNull().cast("long"),
+        "p_sum": F.col("pressure_torr").cast("decimal(30,6)"),
+        "p_n": F.col("pressure_torr").isNotNull().cast("long"),
+        "alarms_during_process": (F.col("status") == "ALARM").cast("long"),
+    }, bucket_seconds=HOUR)
+    cond = sums.select("equipment_id", "step_start", "step_end", "alarms_during_process",
+                       ratio_of("t_sum", "t_n", 2).alias("avg_temp_c"),
+                       ratio_of("p_sum", "p_n", 3).alias("avg_pressure_torr"))
     out = h.join(cond, ["equipment_id", "step_start", "step_end"], "left")
     return out.select(
         "wafer_id", "batch_id", "lot_number", "recipe", "batch_start", "batch_end",
@@ -96,14 +99,11 @@ def b2_batch_root_cause(t: FabTables, max_yield: float = 85, denominator: str =
     tools = bt.groupBy("batch_id", "equipment_id").agg(F.count(F.lit(1)).alias("n_tests"))
     win = tools.join(b.select("batch_id", F.col("start_time").alias("b_start"),
                               F.col("end_time").alias("b_end")), "batch_id")
-    alarms = t.fact_equipment_events.filter(F.col("status") == "ALARM").select(
-        "equipment_id", "event_timestamp")
-    a = interval_aggregate(win, alarms, "equipment_id", "b_start", "b_end", "event_timestamp",
-                           [F.count(F.lit(1)).alias("n_alarms")], bucket_seconds=HOUR)
     win2 = win.withColumn("m_lo", F.col("b_start") - F.expr(f"INTERVAL {lookback_hours} HOURS"))
-    m = interval_aggregate(win2, t.maintenance_events.select("equipment_id", "event_timestamp"),
-                           "equipment_id", "m_lo", "b_start", "event_timestamp",
-                           [F.count(F.lit(1)).alias("n_maint")], bucket_seconds=6 * HOUR)
+    a = interval_sums(win, t.fact_equipment_events, "equipment_id", "b_start", "b_end", "event_timestamp",
+                      {"n_alarms": (F.col("status") == "ALARM").cast("long")}, bucket_seconds=HOUR)
+    m = interval_sums(win2, t.maintenance_events, "equipment_id", "m_lo", "b_start", "event_timestamp",
+                      {"n_maint": F.lit(1).cast("long")}, bucket_seconds=6 * HOUR)
     per_tool = (win2.join(a, ["equipment_id", "b_start", "b_end"], "left")
                 .join(m, ["equipment_id", "m_lo", "b_start"], "left"))
     factors = per_tool.groupBy("batch_id").agg(
@@ -232,10 +232,9 @@ def b7_contamination(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 14, low: flo
                            batches)
     seq = keyed_lag(sb, "equipment_id", "start_time", ["batch_id", "yield_pct", "start_time"],
                     tie=["batch_id"], bucket_seconds=DAY)
-    mb = interval_aggregate(seq.filter(F.col("prev_start_time").isNotNull()),
-                            t.maintenance_events.select("equipment_id", "event_timestamp"),
-                            "equipment_id", "prev_start_time", "start_time", "event_timestamp",
-                            [F.count(F.lit(1)).alias("maintenance_between")], bucket_seconds=DAY)
+    mb = interval_sums(seq.filter(F.col("prev_start_time").isNotNull()), t.maintenance_events,
+                       "equipment_id", "prev_start_time", "start_time", "event_timestamp",
+                       {"maintenance_between": F.lit(1).cast("long")}, bucket_seconds=DAY)
     j = (seq.filter(F.col("prev_batch_id").isNotNull())
          .join(mb, ["equipment_id", "prev_start_time", "start_time"], "left")
          .withColumn("maintenance_between", F.coalesce("maintenance_between", F.lit(0))))
