@@ -107,25 +107,29 @@ def interval_sums(windows: DataFrame, events: DataFrame, key: str, start: str, e
                         F.col(end).cast("timestamp_ntz").alias("_e")).distinct()
          .filter(F.col("_s").isNotNull() & F.col("_e").isNotNull() & (F.col("_e") >= F.col("_s"))))
     zero = [F.lit(0).cast(ev.schema[n].dataType).alias(n) for n in names]
-    marks = (w.select("_k", F.col("_s").alias("_t"), F.lit(0).alias("_kind"), "_s", "_e", *zero)
-             .unionByName(w.select("_k", F.col("_e").alias("_t"), F.lit(2).alias("_kind"), "_s", "_e", *zero)))
+    # both markers of a window from one pass over the windows
+    ends = F.explode(F.array(F.struct(F.col("_s").alias("_t"), F.lit(0).alias("_kind")),
+                             F.struct(F.col("_e").alias("_t"), F.lit(2).alias("_kind"))))
+    marks = w.select("_k", "_s", "_e", ends.alias("_m")).select("_k", "_m._t", "_m._kind", "_s", "_e", *zero)
     u = ev.unionByName(marks).withColumn("_b", _bucket("_t", bucket_seconds))
-    part = Window.partitionBy("_k", "_b")
-    run = part.orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    d = u.select("_k", "_b", "_kind", "_s", "_e",
-                 *[F.sum(n).over(run).alias(n) for n in names],
-                 F.lead(F.lit(1)).over(part.orderBy("_t", "_kind")).isNull().alias("_last"))
-    # bucket totals (the last running value of each bucket) -> totals of all earlier buckets
+    run = Window.partitionBy("_k", "_b").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    d = u.select("_k", "_b", "_kind", "_s", "_e", *[F.sum(n).over(run).alias(n) for n in names])
+    # Totals of all earlier buckets of the key. Built from the two pre-aggregated inputs
+    # (their exchanges are shared with the main branch), one row per key and bucket;
+    # buckets that hold only markers get a zero row so every marker finds its carry.
+    tot = (ev.select("_k", _bucket("_t", bucket_seconds).alias("_b"), *names)
+           .unionByName(w.select("_k", F.explode(F.array(_bucket("_s", bucket_seconds),
+                                                        _bucket("_e", bucket_seconds))).alias("_b"), *zero))
+           .groupBy("_k", "_b").agg(*[F.sum(n).alias(n) for n in names]))
     earlier = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (d.filter("_last").select("_k", "_b", *[F.sum(n).over(earlier).alias("_c_" + n) for n in names]))
+    carry = tot.select("_k", "_b", *[F.sum(n).over(earlier).alias("_c_" + n) for n in names])
     p = (d.filter(F.col("_kind") != 1).join(carry, ["_k", "_b"])
          .select("_k", "_s", "_e", "_kind",
                  *[(F.col(n) + F.coalesce(F.col("_c_" + n), F.lit(0))).alias(n) for n in names]))
-    lo = p.filter(F.col("_kind") == 0).select("_k", "_s", "_e", *[F.col(n).alias("_lo_" + n) for n in names])
-    hi = p.filter(F.col("_kind") == 2).select("_k", "_s", "_e", *[F.col(n).alias("_hi_" + n) for n in names])
-    return lo.join(hi, ["_k", "_s", "_e"]).select(
-        F.col("_k").alias(key), F.col("_s").alias(start), F.col("_e").alias(end),
-        *[(F.col("_hi_" + n) - F.col("_lo_" + n)).alias(n) for n in names])
+    # one aggregate per window instead of joining the start and end halves: P(end) - P(start-)
+    sign = F.when(F.col("_kind") == 2, F.lit(1)).otherwise(F.lit(-1))
+    return p.groupBy("_k", "_s", "_e").agg(*[F.sum(F.col(n) * sign).alias(n) for n in names]).select(
+        F.col("_k").alias(key), F.col("_s").alias(start), F.col("_e").alias(end), *names)
 
 
 def ratio_of(total, count, digits: int | None = None) -> Column:
