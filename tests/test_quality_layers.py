@@ -197,3 +197,13 @@ def test_dq005_aggregate_form_equals_lag_form(spark):
     w = Window.partitionBy("batch_id", "wafer_id").orderBy("process_step_id", "start_time")
     lagged = t.fact_wafer_tests.select("start_time", F.lag("start_time").over(w).alias("p"))
     assert got == lagged.filter(F.col("start_time") < F.col("p")).count()
+
+
+def test_dq017_option_excludes_gaps_with_maintenance(spark):
+    from conftest import maint_row
+    t0 = ago(days=10)
+    events = [event_row("D1", t0, "DOWN"), event_row("D1", t0 + timedelta(hours=80), "DOWN"),
+              event_row("D2", t0, "DOWN"), event_row("D2", t0 + timedelta(hours=80), "DOWN")]
+    t = make_tables(spark, events=events, maintenance=[maint_row("PM", "D1", t0 + timedelta(hours=5))])
+    assert _one(t, "DQ017")[0] == 2
+    assert _one(t, "DQ017", dq017_exclude_maintained=True) == (1, "PASS", ["D2"])

@@ -216,13 +216,12 @@ def dq017(t, o):
     gaps = down_gaps_forward(t)
     if o.dq017_exclude_maintained:
         # The rule text: long DOWN gaps "without maintenance event" in between.
-        from waferline.operators.intervals import interval_aggregate
-        m = interval_aggregate(gaps.filter(F.col("next_event_timestamp").isNotNull()),
-                               t.maintenance_events.select("equipment_id", F.col("event_timestamp").alias("m_ts")),
-                               "equipment_id", "event_timestamp", "next_event_timestamp", "m_ts",
-                               [F.count(F.lit(1)).alias("n_maint")], bucket_seconds=86400)
+        from waferline.operators.intervals import interval_sums
+        m = interval_sums(gaps.filter(F.col("next_event_timestamp").isNotNull()), t.maintenance_events,
+                          "equipment_id", "event_timestamp", "next_event_timestamp", "event_timestamp",
+                          {"n_maint": F.lit(1).cast("long")}, bucket_seconds=86400)
         gaps = (gaps.join(m, ["equipment_id", "event_timestamp", "next_event_timestamp"], "left")
-                .filter(F.col("n_maint").isNull()))
+                .filter(F.coalesce(F.col("n_maint"), F.lit(0)) == 0))
     g = (gaps.groupBy("equipment_id").agg(F.max("gap_hours").alias("downtime_hours"))
          .filter(F.col("downtime_hours") > o.dq017_hours))
     return _items(g, "equipment_id")
