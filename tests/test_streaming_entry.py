@@ -92,3 +92,12 @@ def test_query_matches_duckdb_oracle_sf0001(spark, duck, name):
         return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
     assert key(s) == key(o)
     _ = os
+
+
+@pytest.mark.parametrize("name", ["e2_mtbf", "b7_contamination", "sf6_yearweek", "s4_daily_metrics"])
+def test_results_do_not_depend_on_session_time_zone(spark, name):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    a = sorted(tuple(r) for r in E.queries()[name](spark, SF).collect())
+    b = sorted(tuple(r) for r in E.queries()[name](other, SF).collect())
+    assert a == b
