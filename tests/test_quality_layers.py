@@ -207,3 +207,24 @@ def test_dq017_option_excludes_gaps_with_maintenance(spark):
     t = make_tables(spark, events=events, maintenance=[maint_row("PM", "D1", t0 + timedelta(hours=5))])
     assert _one(t, "DQ017")[0] == 2
     assert _one(t, "DQ017", dq017_exclude_maintained=True) == (1, "PASS", ["D2"])
+
+
+def test_raw_csv_layer_roundtrip_and_result_sink(spark):
+    from conftest import maint_row
+    from waferline.sources.layers import read_layer, store_results, write_layer
+    root = tempfile.mkdtemp(prefix="wl-raw-")
+    t0 = ago(days=1)
+    t = make_tables(spark, events=[event_row("A", t0, "ALARM", temp=600.0)],
+                    maintenance=[maint_row("PM1", "A", t0)])
+    write_layer(t.fact_equipment_events, root, "raw", "equipment_logs", fmt="csv")
+    write_layer(t.maintenance_events, root, "raw", "maintenance_events", fmt="csv")
+    raw = read_layer(spark, root, "raw", fmt="csv")
+    assert set(raw) == {"equipment_logs", "maintenance_events"}          # missing tables are skipped
+    assert rows(raw["equipment_logs"], "equipment_id", "event_timestamp", "temperature_c") == [("A", t0, 600.0)]
+    assert read_layer(spark, root, "staging", fmt="csv") == {}          # empty layer
+    res = Q.run_checks(t, layer="raw")
+    path = store_results(res, root, "2024-01-31", "raw")
+    store_results(res, root, "2024-02-01", "raw")
+    stored = spark.read.parquet(path)
+    assert stored.count() == 2 * res.count()
+    assert rows(stored.filter("rule_id = 'DQ009'").select("violations").distinct()) == [(1,)]
