@@ -29,6 +29,12 @@ def tables_for(spark: SparkSession, sf_dir: str) -> FabTables:
     return per[sf_dir]
 
 
+def use_tables(spark: SparkSession, sf_dir: str, tables: FabTables) -> None:
+    """Serve the registered queries of ``sf_dir`` from other table definitions (e.g.
+    the curated Parquet layer written by :func:`waferline.sources.layers.write_curated`)."""
+    _TABLES.setdefault(spark, {})[sf_dir] = tables
+
+
 def query(name: str):
     """Decorator: register ``fn(tables) -> DataFrame`` under ``name``."""
     def deco(fn: Callable[[FabTables], DataFrame]):
