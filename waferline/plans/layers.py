@@ -8,14 +8,17 @@ one sort), not ``ROW_NUMBER`` over the key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+import uuid
 from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waferline.functions.exprs import as_datetime, flag, pct, since, ts_lit, window_start
 from waferline.plans.quality import Options, row_rules
+from waferline.session import checkpoint_dir
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
 
@@ -114,12 +117,12 @@ def write_upsert(spark, updates: DataFrame, path: str, keys: Sequence[str], orde
     that receive updates are rewritten. Parquet cannot overwrite what it reads in
     one plan, so the merged partitions are first written to a staging path in the
     shared checkpoint folder, then swapped in with dynamic partition overwrite."""
-    from waferline.session import checkpoint_dir
-    import uuid
     try:
         target = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first load
-        updates.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        updates.write.mode("overwrite").partitionBy(partition_col).parquet(path)   # first load
         return
     touched = updates.select(partition_col).distinct()
     merged = upsert(target.join(touched, partition_col, "left_semi"), updates, keys, order)
