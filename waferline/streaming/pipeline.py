@@ -96,12 +96,13 @@ def stream_dir(spark: SparkSession, name: str) -> tuple[str, str]:
 def run_available_now(df: DataFrame, out: str, checkpoint: str, mode: str = "append",
                       foreach: Callable[[DataFrame, int], DataFrame] | None = None) -> str:
     """S1 trigger: process everything available, then stop. With ``foreach`` each
-    micro-batch's result DataFrame is appended to ``out`` (exactly-once per epoch:
-    the batch id is part of the rows, a replayed epoch overwrites nothing else)."""
+    micro-batch's result DataFrame is written to its own ``epoch=<id>`` folder under
+    ``out`` with overwrite, so an epoch that Spark replays after a failure replaces
+    its earlier output instead of duplicating it (exactly-once per epoch)."""
     w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if foreach is not None:
         def sink(batch: DataFrame, epoch_id: int) -> None:
-            foreach(batch, epoch_id).write.mode("append").parquet(out)
+            foreach(batch, epoch_id).write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
         q = w.foreachBatch(sink).outputMode(mode).start()
     else:
         q = w.format("parquet").option("path", out).outputMode(mode).start()
