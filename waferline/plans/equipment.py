@@ -17,6 +17,13 @@ from waferline.functions.exprs import (as_of_date, flag, pct, round_avg, since,
 from waferline.operators.intervals import interval_sums, ratio_of
 from waferline.operators.sequence import lag_col
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
+from waferline.plans.labels import (E1_HEALTH_STATUS,
+                                     E2_RELIABILITY,
+                                     E3_ALARM_SEVERITY,
+                                     E4_DEGRADATION,
+                                     E5_EFFECTIVENESS,
+                                     E6_CRITICALITY,
+                                     R2_HEALTH_STATUS)
 
 def st_():
     return F.col("status")
@@ -44,8 +51,8 @@ def e1_uptime(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, tiers=(95, 90,
             .select("equipment_id", "equipment_type", "manufacturer", "avg_uptime_pct",
                     "avg_alarm_rate_pct", "avg_downtime_pct", "total_alarms_30d",
                     "total_down_events_30d",
-                    tier("avg_uptime_pct", list(zip(tiers, ["🟢 EXCELLENT", "🟡 GOOD", "🟠 ACCEPTABLE"])),
-                         "🔴 NEEDS ATTENTION").alias("health_status"))
+                    tier("avg_uptime_pct", list(zip(tiers, E1_HEALTH_STATUS[:3])),
+                         E1_HEALTH_STATUS[3]).alias("health_status"))
             .orderBy("avg_uptime_pct", "equipment_id"))
 
 
@@ -73,9 +80,7 @@ def e2_mtbf(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 90,
                     F.coalesce("failure_count", F.lit(0)).alias("failure_count"),
                     F.round(mh, 1).cast("double").alias("mtbf_hours"),
                     F.round(mh / 24, 1).cast("double").alias("mtbf_days"),
-                    tier(mh, list(zip(tiers, ["🟢 EXCELLENT (>30 days)", "🟡 GOOD (15-30 days)",
-                                              "🟠 ACCEPTABLE (7-15 days)"])),
-                         "🔴 POOR (<7 days)").alias("reliability_rating"))
+                    tier(mh, list(zip(tiers, E2_RELIABILITY[:3])), E2_RELIABILITY[3]).alias("reliability_rating"))
             .orderBy(F.asc_nulls_last("mtbf_hours"), "equipment_id"))
 
 
@@ -94,12 +99,10 @@ def e3_alarm_severity(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_ala
                      F.round(F.avg("temp_std"), 2).alias("temp_variability"))
                 .filter(F.col("total_alarms") >= min_alarms))
     dim = t.dim_equipment.select("equipment_id", "equipment_type")
-    labels = ["🔴 CRITICAL - Immediate intervention needed", "🟠 HIGH - Schedule maintenance",
-              "🟡 MEDIUM - Monitor closely"]
     return (per_tool.join(dim, "equipment_id")
             .select("equipment_id", "equipment_type", "days_with_alarms", "total_alarms",
                     "avg_alarms_per_day", "avg_alarm_temperature", "temp_variability",
-                    tier("total_alarms", list(zip(tiers, labels)), "🟢 LOW - Normal operations")
+                    tier("total_alarms", list(zip(tiers, E3_ALARM_SEVERITY[:3])), E3_ALARM_SEVERITY[3])
                     .alias("alarm_severity"))
             .orderBy(F.desc("total_alarms"), "equipment_id"))
 
@@ -123,9 +126,9 @@ def e4_degradation(t: FabTables, as_of=DEFAULT_AS_OF, weeks: int = 12, window_we
     ts_, tb = F.col("c.temp_std"), F.col("c.temp_std_4wk_avg")
     al, ab = F.col("c.alarm_count").cast("double"), F.col("c.alarm_4wk_avg")
     status = (F.when((ts_ > tb * temp_high) & (al > ab * alarm_high),
-                     "🔴 HIGH RISK - Degradation detected")
-              .when(ts_ > tb * temp_moderate, "🟡 MODERATE RISK - Monitor closely")
-              .otherwise("🟢 STABLE"))
+                     E4_DEGRADATION[0])
+              .when(ts_ > tb * temp_moderate, E4_DEGRADATION[1])
+              .otherwise(E4_DEGRADATION[2]))
     return (per_tool.join(dim, "equipment_id")
             .select("equipment_id", "equipment_type", "latest_week",
                     F.round(ts_, 3).alias("current_temp_variability"),
@@ -178,9 +181,9 @@ def e5_maintenance_effect(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 90,
               F.avg(F.col("post_yield") - F.col("pre_yield")).alias("dy"),
               F.avg("pre_alarm_rate").alias("par"), F.avg("post_alarm_rate").alias("qar")))
     eff = (F.when((F.col("qar") < F.col("par") * high_factor) & (F.col("qy") > F.col("py")),
-                  "🟢 HIGHLY EFFECTIVE")
-           .when(F.col("qar") < F.col("par"), "🟡 MODERATELY EFFECTIVE")
-           .otherwise("🔴 LIMITED EFFECTIVENESS"))
+                  E5_EFFECTIVENESS[0])
+           .when(F.col("qar") < F.col("par"), E5_EFFECTIVENESS[1])
+           .otherwise(E5_EFFECTIVENESS[2]))
     return g.select(
         "equipment_id", "event_type", "maintenance_count",
         F.round("pa", 2).alias("avg_pre_alarm_rate_pct"),
@@ -215,14 +218,12 @@ def e6_criticality(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, value_per_
                  "avg_yield", F.coalesce("down_events", F.lit(0)).alias("down_events")))
     score = ((F.col("wafers_processed_30d") / F.lit(100.0)) * (F.lit(100) - F.col("avg_yield"))
              * (F.lit(1) + F.col("down_events")))
-    labels = ["🔴 TIER 1 - Critical Equipment", "🟠 TIER 2 - Important Equipment",
-              "🟡 TIER 3 - Standard Equipment"]
     return j.select(
         "equipment_id", "equipment_type", "manufacturer", "batches_processed_30d",
         "wafers_processed_30d", F.round("avg_yield", 2).alias("yield_pct"), "down_events",
         (F.col("wafers_processed_30d") * value_per_wafer).alias("estimated_value_processed"),
         F.round(score, 2).alias("criticality_score"),
-        tier(score, list(zip(tiers, labels)), "🟢 TIER 4 - Low Impact Equipment", op=">")
+        tier(score, list(zip(tiers, E6_CRITICALITY[:3])), E6_CRITICALITY[3], op=">")
         .alias("criticality_tier"),
     ).orderBy(F.desc_nulls_last("criticality_score"), "equipment_id")
 
@@ -238,8 +239,8 @@ def r2_health_status(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30,
               F.sum("alarm_count").alias("total_alarms")))
     return g.select(
         "equipment_id", "avg_uptime", "total_alarms",
-        F.when(F.col("avg_uptime") < min_uptime, "CRITICAL")
-         .when(F.col("total_alarms") > max_alarms, "WARNING").otherwise("HEALTHY")
+        F.when(F.col("avg_uptime") < min_uptime, R2_HEALTH_STATUS[0])
+         .when(F.col("total_alarms") > max_alarms, R2_HEALTH_STATUS[1]).otherwise(R2_HEALTH_STATUS[2])
         .alias("health_status"),
     ).orderBy("avg_uptime", "equipment_id")
 

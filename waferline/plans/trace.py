@@ -19,6 +19,12 @@ from waferline.operators.intervals import interval_events, interval_sums, ratio_
 from waferline.operators.routes import explode_route, route_string
 from waferline.operators.sequence import keyed_lag
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
+from waferline.plans.labels import (B1_STATUS_INDICATOR,
+                                     B2_ROOT_CAUSE,
+                                     B3_SEVERITY,
+                                     B5_INTERPRETATION,
+                                     B6_DISPOSITION,
+                                     B7_CONTAMINATION_RISK)
 
 
 def pass_():
@@ -72,7 +78,7 @@ def b1_wafer_trace(t: FabTables, wafer_ids=None) -> DataFrame:
         "step_start", "step_end", ts_diff("MINUTE", "step_start", "step_end").alias("duration_minutes"),
         "pass_fail", "defect_density", "bin_code", "avg_temp_c", "avg_pressure_torr",
         F.coalesce("alarms_during_process", F.lit(0)).alias("alarms_during_process"),
-        F.when(fail_(), "❌ FAILED HERE").otherwise("✓").alias("status_indicator"),
+        F.when(fail_(), B1_STATUS_INDICATOR[0]).otherwise(B1_STATUS_INDICATOR[1]).alias("status_indicator"),
     ).orderBy("wafer_id", "process_step_id", "equipment_id", "step_start")
 
 
@@ -120,11 +126,11 @@ def b2_batch_root_cause(t: FabTables, max_yield: float = 85, denominator: str =
            .join(worst_n, "batch_id", "left"))
     ea, rm, fw = (F.col("equipment_with_alarms"), F.col("recent_maintenance_count"),
                   F.col("failures_at_worst_step"))
-    cause = (F.when(ea >= alarm_tools, "🔴 Multiple equipment issues")
-             .when(rm >= maint_events, "🟡 Post-maintenance instability")
-             .when(fw >= step_failures, F.concat(F.lit("🟠 Systematic process issue at "),
+    cause = (F.when(ea >= alarm_tools, B2_ROOT_CAUSE[0])
+             .when(rm >= maint_events, B2_ROOT_CAUSE[1])
+             .when(fw >= step_failures, F.concat(F.lit(B2_ROOT_CAUSE[2]),
                                                   F.col("most_failed_step")))
-             .otherwise("🔵 Further investigation needed"))
+             .otherwise(B2_ROOT_CAUSE[3]))
     return out.select(
         "batch_id", "lot_number", "recipe", "start_time", "yield_pct",
         F.coalesce(ea, F.lit(0)).alias("equipment_with_alarms"),
@@ -149,8 +155,8 @@ def b3_failing_routes(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_waf
     n = F.col("failed_wafer_count")
     return (g.select("equipment_sequence", "failed_wafer_count", "affected_batches",
                      F.round(pct(n, "_all"), 2).alias("pct_of_all_wafers"),
-                     F.when(n >= high, "🔴 HIGH IMPACT COMBO").when(n >= moderate, "🟡 MODERATE IMPACT")
-                     .otherwise("🟢 LOW IMPACT").alias("severity"))
+                     F.when(n >= high, B3_SEVERITY[0]).when(n >= moderate, B3_SEVERITY[1])
+                     .otherwise(B3_SEVERITY[2]).alias("severity"))
             .orderBy(F.desc("failed_wafer_count"), "equipment_sequence")
             .limit(top))
 
@@ -197,9 +203,9 @@ def b5_yield_autocorrelation(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 14,
     r = F.col("r")
     return (g.select("equipment_id", "batch_pairs_analyzed", "avg_yield",
                      F.round(r, 3).alias("yield_autocorrelation"),
-                     F.when(r > strong, "🔴 STRONG CORRELATION - Process drift likely")
-                     .when(r > moderate, "🟡 MODERATE CORRELATION - Monitor")
-                     .otherwise("🟢 INDEPENDENT BATCHES - Normal").alias("interpretation"))
+                     F.when(r > strong, B5_INTERPRETATION[0])
+                     .when(r > moderate, B5_INTERPRETATION[1])
+                     .otherwise(B5_INTERPRETATION[2]).alias("interpretation"))
             .orderBy(F.desc_nulls_last("yield_autocorrelation"), "equipment_id"))
 
 
@@ -214,9 +220,9 @@ def b6_lot_trace(t: FabTables, as_of=DEFAULT_AS_OF, lots=None, denominator: str
     j = b.join(y, "batch_id", "left").join(route, "batch_id", "left")
     den = "wafer_count" if denominator == "wafers" else "n_tests"
     yy = pct(F.coalesce("passed", F.lit(0)), F.coalesce(den, F.lit(0)))
-    disp = (F.when(F.col("end_time") > ts_lit(as_of), "IN PROGRESS")
-            .when(yy >= release, "RELEASED").when(yy >= conditional, "CONDITIONAL RELEASE")
-            .otherwise("QUARANTINE"))
+    disp = (F.when(F.col("end_time") > ts_lit(as_of), B6_DISPOSITION[0])
+            .when(yy >= release, B6_DISPOSITION[1]).when(yy >= conditional, B6_DISPOSITION[2])
+            .otherwise(B6_DISPOSITION[3]))
     return j.select(
         "lot_number", "batch_id", "recipe", "start_time", "end_time",
         F.coalesce("wafer_count", F.lit(0)).alias("wafer_count"),
@@ -240,10 +246,10 @@ def b7_contamination(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 14, low: flo
          .withColumn("maintenance_between", F.coalesce("maintenance_between", F.lit(0))))
     y, p, mbw = F.col("yield_pct"), F.col("prev_yield_pct"), F.col("maintenance_between")
     risk = (F.when((p < low) & (y < low) & (mbw == 0),
-                   "🔴 POSSIBLE CONTAMINATION - No cleaning between low-yield batches")
-            .when((p >= high) & (y < low) & (mbw == 0), "🟠 SUDDEN DROP - Investigate chamber condition")
-            .when((p < recovered) & (y >= high) & (mbw >= 1), "🟢 MAINTENANCE EFFECTIVE")
-            .otherwise("⚪ NORMAL VARIATION"))
+                   B7_CONTAMINATION_RISK[0])
+            .when((p >= high) & (y < low) & (mbw == 0), B7_CONTAMINATION_RISK[1])
+            .when((p < recovered) & (y >= high) & (mbw >= 1), B7_CONTAMINATION_RISK[2])
+            .otherwise(B7_CONTAMINATION_RISK[3]))
     return j.select(
         "equipment_id", "batch_id", F.col("prev_batch_id").alias("prev_batch"),
         y.alias("current_yield"), p.alias("prev_yield"), F.round(y - p, 2).alias("yield_delta"),

@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from waferline.functions.exprs import (flag, pct, round_avg, safe_corr, since, stable, tier,
                                        window_start)
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
+from waferline.plans.labels import (Y1_PERFORMANCE_TIER,
+                                     Y2_TREND_STATUS,
+                                     Y4_DISPOSITION,
+                                     Y5_PRIORITY,
+                                     Y7_INTERPRETATION)
 
 
 def pass_():
@@ -44,8 +49,8 @@ def y1_yield_by_equipment(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 7,
     return (per_tool.join(dim, "equipment_id")
             .select("equipment_id", "equipment_type", "manufacturer", "total_wafers_processed",
                     "passed_wafers", y.alias("yield_pct"),
-                    tier(y, list(zip(tiers, ["EXCELLENT", "GOOD", "ACCEPTABLE"])),
-                         "NEEDS ATTENTION").alias("performance_tier"),
+                    tier(y, list(zip(tiers, Y1_PERFORMANCE_TIER[:3])),
+                         Y1_PERFORMANCE_TIER[3]).alias("performance_tier"),
                     F.datediff("last_test", "first_test").alias("days_in_operation"))
             .orderBy("yield_pct", "equipment_id"))
 
@@ -70,8 +75,8 @@ def y2_yield_trend(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_wafers
         "test_date", "equipment_type", "wafers", "yield_pct",
         stable("ma").alias("yield_7day_ma"), stable("overall").alias("overall_avg_yield"),
         F.round(y - F.col("ma"), 2).alias("deviation_from_trend"),
-        F.when(y < o - drop_major, "🔴 SIGNIFICANT DROP").when(y < o - drop_minor, "🟡 MINOR DROP")
-         .when(y > o + improve, "🟢 IMPROVED").otherwise("⚪ STABLE").alias("trend_status"),
+        F.when(y < o - drop_major, Y2_TREND_STATUS[0]).when(y < o - drop_minor, Y2_TREND_STATUS[1])
+         .when(y > o + improve, Y2_TREND_STATUS[2]).otherwise(Y2_TREND_STATUS[3]).alias("trend_status"),
     ).orderBy(F.desc("test_date"), "equipment_type")
 
 
@@ -112,7 +117,7 @@ def y4_batch_yield(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 7,
     return (m.select("batch_id", "lot_number", "recipe", F.to_date("start_time").alias("batch_date"),
                      "wafer_count", "passed_wafers", y.alias("batch_yield_pct"),
                      "avg_defect_density", "equipment_used",
-                     tier(y, list(zip(tiers, ["EXCELLENT", "GOOD", "MARGINAL"])), "REJECT")
+                     tier(y, list(zip(tiers, Y4_DISPOSITION[:3])), Y4_DISPOSITION[3])
                      .alias("disposition"), "start_time")
             .orderBy("batch_yield_pct", F.desc("start_time"), "batch_id")
             .drop("start_time"))
@@ -135,8 +140,8 @@ def y5_defect_pareto(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30,
         F.col("bin_code").alias("defect_type"), "defect_count",
         F.col("pct_of_total").cast("double").alias("pct_of_total"),
         cp.cast("double").alias("cumulative_pct"),
-        F.when(cp <= high, "🔴 HIGH PRIORITY").when(cp <= medium, "🟡 MEDIUM PRIORITY")
-         .otherwise("🟢 LOW PRIORITY").alias("improvement_priority"),
+        F.when(cp <= high, Y5_PRIORITY[0]).when(cp <= medium, Y5_PRIORITY[1])
+         .otherwise(Y5_PRIORITY[2]).alias("improvement_priority"),
     ).orderBy(F.desc("defect_count"), "defect_type")
 
 
@@ -183,9 +188,9 @@ def y7_utilization_yield_corr(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30,
     return g.select(
         "equipment_id", stable("u").alias("avg_utilization"), stable("y").alias("avg_yield"),
         stable(r).alias("utilization_yield_correlation"),
-        F.when(r < strong, "⚠️ High utilization hurts yield")
-         .when(r < moderate, "🟡 Moderate negative correlation")
-         .otherwise("✅ No significant correlation").alias("interpretation"),
+        F.when(r < strong, Y7_INTERPRETATION[0])
+         .when(r < moderate, Y7_INTERPRETATION[1])
+         .otherwise(Y7_INTERPRETATION[2]).alias("interpretation"),
     ).orderBy(F.asc_nulls_first("utilization_yield_correlation"), "equipment_id")
 
 
