@@ -142,10 +142,10 @@ def b2_batch_root_cause(t: FabTables, max_yield: float = 85, denominator: str =
 def b3_failing_routes(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_wafers: int = 5,
                       top: int = 20, high: int = 50, moderate: int = 20) -> DataFrame:
     tests = t.fact_wafer_tests.filter(F.col("test_timestamp") >= window_start(as_of, days=days))
-    routes = route_string(tests, ["wafer_id", "batch_id"], name="equipment_sequence")
-    failed = (tests.groupBy("wafer_id", "batch_id").agg(F.sum(flag(fail_())).alias("failure_count"))
-              .filter(F.col("failure_count") > 0))
-    fwe = failed.join(routes, ["wafer_id", "batch_id"])
+    # Route and failure count of a wafer in one aggregation chain over the tests.
+    fwe = (route_string(tests.withColumn("failure_count", flag(fail_())), ["wafer_id", "batch_id"],
+                        name="equipment_sequence", sums=["failure_count"])
+           .filter(F.col("failure_count") > 0))
     total = tests.agg(F.countDistinct("wafer_id").alias("_all"))   # one row
     g = (fwe.groupBy("equipment_sequence")
          .agg(F.countDistinct("wafer_id").alias("failed_wafer_count"),
