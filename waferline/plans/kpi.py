@@ -93,9 +93,13 @@ def x3_control_limits(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, sigmas:
 
 def x4_yield_excursion(t: FabTables, drop_pts: float = 5.0, lookback_hours: int = 24) -> DataFrame:
     tests = t.fact_wafer_tests.join(t.dim_wafer_batches.select("batch_id", "lot_number"), "batch_id")
-    lot = tests.groupBy("lot_number").agg(
-        F.countDistinct("batch_id").alias("batches"), F.count(F.lit(1)).alias("tests"),
-        F.sum(flag(pass_())).alias("passed"), F.countDistinct("equipment_id").alias("tools"))
+    # (lot, batch, tool) partial sums first: the two distinct counts then expand only
+    # the de-duplicated rows, not every test row.
+    lbt = tests.groupBy("lot_number", "batch_id", "equipment_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(flag(pass_())).alias("p"))
+    lot = lbt.groupBy("lot_number").agg(
+        F.countDistinct("batch_id").alias("batches"), F.sum("n").alias("tests"),
+        F.sum("p").alias("passed"), F.countDistinct("equipment_id").alias("tools"))
     base = t.fact_wafer_tests.agg(pct(F.sum(flag(pass_())), F.count(F.lit(1))).alias("_base"))
     win = (t.fact_wafer_tests.select("batch_id", "equipment_id").distinct()
            .join(t.dim_wafer_batches.select("batch_id", "lot_number", F.col("start_time").alias("b_start"),
