@@ -7,19 +7,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waferline.llm import decontaminate
+from waferline.llm import decontaminate, tokens
 from waferline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.digest(tokens.write_tokens(table(spark, sf_dir, "documents"),
+                                             public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(
         decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 def queries() -> dict[str, Query]:
-    return {"op10_decontamination": op10_decontamination}
+    return {
+        "op4_token_files": op4_token_files,
+        "op10_decontamination": op10_decontamination,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
