@@ -7,12 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waferline.llm import decontaminate, tokens
+from waferline.llm import chat, decontaminate, mix, shard, tokens
 from waferline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.digest(mix.mix(table(spark, sf_dir, "documents")))
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(chat.format_chats(chat.with_hostile(table(spark, sf_dir, "conversations"))))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -20,6 +28,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard.digest(shard.assign(table(spark, sf_dir, "documents")))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(
         decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -27,10 +39,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_source_mix": op1_source_mix,
+        "op2_chat_format": op2_chat_format,
         "op4_token_files": op4_token_files,
+        "op5_ring_shards": op5_ring_shards,
         "op10_decontamination": op10_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontamination": decontaminate.ORACLE}
+    return {
+        "op1_source_mix": mix.ORACLE,
+        "op2_chat_format": chat.ORACLE,
+        "op10_decontamination": decontaminate.ORACLE,
+    }
