@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waferline.llm import chat, decontaminate, mix, shard, tokens
+from waferline.llm import chat, decontaminate, language_model, mix, shard, tokens
 from waferline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.digest(shard.assign(table(spark, sf_dir, "documents")))
 
 
+def op9_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(
         decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -43,6 +47,7 @@ def queries() -> dict[str, Query]:
         "op2_chat_format": op2_chat_format,
         "op4_token_files": op4_token_files,
         "op5_ring_shards": op5_ring_shards,
+        "op9_trie_scores": op9_trie_scores,
         "op10_decontamination": op10_decontamination,
     }
 
