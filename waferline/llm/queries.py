@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waferline.llm import chat, decontaminate, language_model, mix, shard, tokens
+from waferline.llm import chat, decontaminate, language_model, mix, near_dedup, shard, tokens
 from waferline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(chat.with_hostile(table(spark, sf_dir, "conversations"))))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -45,6 +49,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_source_mix": op1_source_mix,
         "op2_chat_format": op2_chat_format,
+        "op3_near_duplicates": op3_near_duplicates,
         "op4_token_files": op4_token_files,
         "op5_ring_shards": op5_ring_shards,
         "op9_trie_scores": op9_trie_scores,
@@ -56,5 +61,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_source_mix": mix.ORACLE,
         "op2_chat_format": chat.ORACLE,
+        "op3_near_duplicates": near_dedup.ORACLE,
         "op10_decontamination": decontaminate.ORACLE,
     }
