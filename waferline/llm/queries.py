@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waferline.llm import chat, decontaminate, language_model, mix, near_dedup, shard, tokens
+from waferline.llm import chat, decontaminate, language_id, language_model, mix, near_dedup, shard, tokens, vector_search
 from waferline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,15 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.digest(shard.assign(table(spark, sf_dir, "documents")))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_search.top_k(vectors, vector_search.every_nth(vectors))
+
+
 def op9_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(table(spark, sf_dir, "documents"))
 
@@ -52,6 +61,8 @@ def queries() -> dict[str, Query]:
         "op3_near_duplicates": op3_near_duplicates,
         "op4_token_files": op4_token_files,
         "op5_ring_shards": op5_ring_shards,
+        "op6_language_id": op6_language_id,
+        "op8_exact_top_k": op8_exact_top_k,
         "op9_trie_scores": op9_trie_scores,
         "op10_decontamination": op10_decontamination,
     }
@@ -62,5 +73,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_source_mix": mix.ORACLE,
         "op2_chat_format": chat.ORACLE,
         "op3_near_duplicates": near_dedup.ORACLE,
+        "op8_exact_top_k": vector_search.ORACLE,
         "op10_decontamination": decontaminate.ORACLE,
     }
