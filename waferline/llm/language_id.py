@@ -5,8 +5,8 @@ only, runs of anything else as one border), hashed to ``DIMENSIONS`` and of leng
 language has up to ``CENTROIDS`` centroids, found by spherical k-means on a bounded sample of
 its labelled texts (``SAMPLE`` per language, chosen by a hash of the id). Inverse document
 frequencies count all labelled training texts. A text gets the language of its nearest
-centroid by cosine; it is rejected where it lies further from it than ``SLACK`` times the
-furthest training text of the sample (in cosine: below the least one divided by SLACK).
+centroid by cosine; it is rejected where its cosine is less than ``1 / SLACK`` of that of the
+furthest text of that language's sample: one or two words of a known language still pass.
 
 The model is a matrix of languages x centroids x dimensions: bounded by its parameters, and
 small enough to broadcast. Texts never move: both passes read them where they lie.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 DIMENSIONS = 1 << 14
 GRAMS = 3
 SAMPLE, CENTROIDS, ROUNDS = 1500, 4, 12
-SLACK = 2.0
+SLACK = 4.0
 FOLDS, HELD = 4, 2
 UNKNOWN = "und"
 
@@ -120,7 +120,7 @@ def spherical_means(x: np.ndarray, k: int, rounds: int = ROUNDS) -> tuple[np.nda
 
 
 class Model:
-    """languages (of each centroid), centroids by dimension, least cosine of each, idf."""
+    """languages (of each centroid), centroids by dimension, least cosine of its language, idf."""
 
     def __init__(self, languages: list[str], centroids: np.ndarray, least: np.ndarray, idf: np.ndarray):
         self.languages, self.by_dimension, self.least, self.idf = languages, np.ascontiguousarray(centroids.T), least, idf
@@ -159,8 +159,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
         if not len(x):
             return pa.table({"lang": pa.array([], pa.string()), "vector": pa.array([], pa.list_(pa.float32())), "least": pa.array([], pa.float64())})
         c, cosines = spherical_means(x, centroids)
-        own = np.argmax(x @ c.T, axis=1)
-        least = [float(cosines[own == j].min()) if (own == j).any() else 1.0 for j in range(len(c))]
+        least = [float(cosines.min())] * len(c)
         return pa.table({"lang": pa.array([rows["lang"][0].as_py()] * len(c), pa.string()),
                          "vector": pa.array(list(c), pa.list_(pa.float32())), "least": pa.array(least, pa.float64())})
 

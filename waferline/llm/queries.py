@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waferline.llm import chat, decontaminate, language_id, language_model, mix, near_dedup, shard, tokens, vector_search
+from waferline.llm import chat, decontaminate, language_id, language_model, licenses, mix, near_dedup, shard, tokens, vector_search
 from waferline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan_documents(table(spark, sf_dir, "documents")))
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return vector_search.top_k(vectors, vector_search.every_nth(vectors))
@@ -54,6 +58,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_source_mix": op1_source_mix,
@@ -62,9 +72,11 @@ def queries() -> dict[str, Query]:
         "op4_token_files": op4_token_files,
         "op5_ring_shards": op5_ring_shards,
         "op6_language_id": op6_language_id,
+        "op7_license_scan": op7_license_scan,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_trie_scores": op9_trie_scores,
         "op10_decontamination": op10_decontamination,
+        "pipeline": pipeline,
     }
 
 
