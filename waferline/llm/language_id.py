@@ -26,7 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DIMENSIONS = 1 << 14
@@ -170,16 +170,15 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
                  np.array([r[2] for r in found]), idf)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` and lang_pred, score, rejected."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def identify(text: Column, model: Model, spark: SparkSession) -> Column:
+    """A struct column of lang_pred, score, rejected for a column of texts."""
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score", "rejected"])
 
-    return docs.withColumn("language_id", predict(F.col("text").cast("string"))).select(
-        *[F.col(f"`{c}`") for c in docs.columns], "language_id.*")
+    return predict(text.cast("string"))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -188,14 +187,15 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 def identify_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected, learned from the rows outside the fold."""
-    found = identify(docs.select("doc_id", "text"), fit(training_rows(docs)))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+    found = identify(F.col("text"), fit(training_rows(docs)), docs.sparkSession)
+    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), found.alias("found")).select(
+        "doc_id", "held_out", "found.*")
 
 
 def accepted_documents(docs: DataFrame) -> DataFrame:
     """The documents whose language is recognised, all columns kept."""
-    found = identify(docs.withColumn("language_text", F.col("text")), fit(training_rows(docs)))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & ~F.col("rejected")).select(*docs.columns)
+    found = identify(F.col("text"), fit(training_rows(docs)), docs.sparkSession)
+    return docs.filter(~found["rejected"])
 
 
 def crc_fold(doc_id) -> bool:

@@ -121,11 +121,13 @@ def digest(assigned: DataFrame) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, **options) -> None:
-    """Write the documents as ``path/shard=K``, with their slot, all columns kept."""
+    """Write the documents as ``path/shard=K``, with their slot, all other columns kept."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
     one = (docs.withColumn("shard_size", (F.octet_length(text) + 1).cast("long"))
            .withColumn("shard_crc", F.crc32(text.cast("binary"))).dropDuplicates(["doc_id", "shard_size", "shard_crc"]))
-    a = assign(docs, shards, **options).withColumnRenamed("doc_id", "shard_doc")
-    (one.join(a, F.col("doc_id").cast("long").eqNullSafe(F.col("shard_doc")) & (F.col("shard_size") == F.col("size"))
-              & (F.col("shard_crc") == F.col("text_crc32")))
-     .select(*docs.columns, "shard", "slot").write.partitionBy("shard").parquet(path))
+    a = assign(docs, shards, **options).toDF("a_doc", "a_size", "a_crc", "shard", "slot")
+    (one.select(*kept, "shard_size", "shard_crc").join(
+        a, F.col("doc_id").cast("long").eqNullSafe(F.col("a_doc")) & (F.col("shard_size") == F.col("a_size"))
+        & (F.col("shard_crc") == F.col("a_crc")))
+     .select(*kept, "shard", "slot").write.partitionBy("shard").parquet(path))
