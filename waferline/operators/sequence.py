@@ -56,8 +56,13 @@ def keyed_lag(df: DataFrame, key, order: str, values: Sequence[str], tie: Sequen
     d = d.select("*", F.lag("_r").over(w_in).alias("_in"),
                  F.lead("_r").over(w_in).isNull().alias("_edge_row"))
     edges = d.filter("_edge_row").select(*keys, "_b", F.col("_r").alias("_edge"))
-    carry = edges.select(*keys, "_b", F.lag("_edge").over(w_b).alias("_carry"))
-    out = d.join(carry, [*keys, "_b"], "left").withColumn("_p", F.coalesce("_in", "_carry"))
+    carry = edges.select(*[F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)], F.col("_b").alias("_cb"),
+                         F.lag("_edge").over(w_b).alias("_carry"))
+    # NULL keys are a sequence of their own, as in a window: the join must be null-safe.
+    same = F.col("_b").eqNullSafe(F.col("_cb"))
+    for i, k in enumerate(keys):
+        same = same & d[k].eqNullSafe(F.col(f"_ck{i}"))
+    out = d.join(carry, same, "left").withColumn("_p", F.coalesce("_in", "_carry"))
     return out.select(*df.columns, *[F.col("_p")[v].alias(prefix + v) for v in values])
 
 

@@ -92,12 +92,62 @@ maintenance_events AS (
 )"""
 
 
-def with_views(body: str) -> str:
+_FACTS = ("dim_equipment", "fact_wafer_tests", "dim_wafer_batches", "fact_equipment_events", "maintenance_events")
+
+
+def _clean(text: str) -> str:
+    for name in _FACTS:
+        text = text.replace(name, "clean_" + name)
+    return text
+
+
+#: The faults of :mod:`waferline.sources.dirty` over the clean views.
+DIRTY_VIEWS = _clean(VIEWS) + """,
+dim_equipment AS (
+  SELECT * FROM clean_dim_equipment
+  UNION ALL SELECT -1, 'ETCH', 'NONE', DATE '2020-01-01', 'ACTIVE'
+),
+fact_wafer_tests AS (
+  SELECT * REPLACE (
+    CASE WHEN (wafer_id + process_step_id) % 997 = 1 OR (batch_id % 79 = 5 AND process_step_id <= 3) THEN NULL ELSE wafer_id END AS wafer_id,
+    CASE WHEN wafer_id % 983 = 3 THEN batch_id + 1000000 ELSE batch_id END AS batch_id,
+    CASE WHEN wafer_id % 977 = 4 THEN 99 ELSE process_step_id END AS process_step_id,
+    CASE WHEN wafer_id % 991 = 2 THEN NULL ELSE equipment_id END AS equipment_id,
+    CASE WHEN wafer_id % 937 = 11 AND process_step_id = 3 THEN start_time - INTERVAL 2 DAY ELSE start_time END AS start_time,
+    CASE WHEN wafer_id % 953 = 8 THEN start_time + INTERVAL 5 SECOND ELSE end_time END AS end_time,
+    CASE WHEN wafer_id % 967 = 6 THEN 'MAYBE' WHEN wafer_id % 967 = 7 THEN NULL ELSE pass_fail END AS pass_fail,
+    CASE WHEN wafer_id % 971 = 5 THEN -defect_density - 1 ELSE defect_density END AS defect_density)
+  FROM (SELECT * FROM clean_fact_wafer_tests
+        UNION ALL SELECT * FROM clean_fact_wafer_tests WHERE wafer_id % 947 = 9
+        UNION ALL SELECT * REPLACE (batch_id + 1 AS batch_id) FROM clean_fact_wafer_tests WHERE wafer_id % 941 = 10)
+),
+dim_wafer_batches AS (
+  SELECT * REPLACE (
+    CASE WHEN batch_id % 97 = 1 THEN start_time ELSE end_time END AS end_time,
+    CASE WHEN batch_id % 83 = 3 THEN equipment_sequence || ',X99' ELSE equipment_sequence END AS equipment_sequence)
+  FROM (SELECT * FROM clean_dim_wafer_batches UNION ALL SELECT * FROM clean_dim_wafer_batches WHERE batch_id % 89 = 2)
+),
+fact_equipment_events AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 499 = 3 THEN NULL ELSE equipment_id END AS equipment_id,
+    CASE WHEN event_id % 37 = 1 THEN 900.0 ELSE temperature_c END AS temperature_c,
+    CASE WHEN event_id % 41 = 2 THEN 5000.0 ELSE pressure_torr END AS pressure_torr,
+    event_timestamp - INTERVAL 5 HOUR AS event_timestamp)
+  FROM clean_fact_equipment_events
+),
+maintenance_events AS (
+  SELECT * REPLACE (CASE WHEN event_id % 499 = 3 THEN NULL ELSE equipment_id END AS equipment_id,
+                    event_timestamp - INTERVAL 5 HOUR AS event_timestamp)
+  FROM clean_maintenance_events
+)"""
+
+
+def with_views(body: str, views: str = VIEWS) -> str:
     """Prefix a query that may start with its own ``WITH`` CTEs by the star-schema views."""
     b = body.strip()
     if b[:4].upper() == "WITH":
-        return "WITH " + VIEWS + ",\n" + b[4:]
-    return "WITH " + VIEWS + "\n" + b
+        return "WITH " + views + ",\n" + b[4:]
+    return "WITH " + views + "\n" + b
 
 
 QUERIES: dict[str, str] = {}
@@ -107,6 +157,11 @@ def register(name: str, body: str) -> None:
     QUERIES[name] = with_views(body.replace("{AS_OF}", AS_OF))
 
 
+def register_dirty(name: str, body: str) -> None:
+    """The same statement over the tables with faults."""
+    QUERIES[name] = with_views(body.replace("{AS_OF}", AS_OF), DIRTY_VIEWS)
+
+
 def load_all() -> dict[str, str]:
     from waferline.oracle import yields  # noqa: F401
     for mod in ("equipment", "trace", "quality", "layers", "kpi", "streaming", "primitives"):
@@ -118,6 +173,18 @@ def load_all() -> dict[str, str]:
     return dict(QUERIES)
 
 
+def since(ts: str, days: int) -> str:
+    """``ts`` within the last ``days`` days before the as-of instant."""
+    return f"{ts} >= {AS_OF} - INTERVAL {days} DAY"
+
+
+def pick(labels, *conditions: str) -> str:
+    """The label of the first condition that holds; the last label if none does."""
+    names = ", ".join("'" + x.replace("'", "''") + "'" for x in labels)
+    tests = ", ".join(f"coalesce({c}, false)" for c in conditions)
+    return f"[{names}][list_position([{tests}, true], true)]"
+
+
 def round_avg(expr: str, digits: int, scale: int = 6) -> str:
     """Exact half-up ROUND(AVG(expr), digits) in integer arithmetic (DuckDB divides
     DECIMALs in DOUBLE)."""

@@ -1,6 +1,7 @@
 """Oracle SQL for the fleet KPIs (decimal averages emulated in integer arithmetic)."""
 
 from waferline.oracle import hu_div, register, round_avg
+from waferline.oracle.layers import CLEAN, FAULTS
 
 PASS = "CASE WHEN pass_fail = 'PASS' THEN 1 ELSE 0 END"
 
@@ -55,16 +56,8 @@ batches AS (
   SELECT ROUND(100.0 * CAST(SUM(CASE WHEN status = 'RUNNING' THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*), 2)
            AS utilization_pct
   FROM fact_equipment_events WHERE event_timestamp >= {{AS_OF}} - INTERVAL 30 DAY
-), bad AS (
-  SELECT DISTINCT batch_id FROM fact_wafer_tests
-  WHERE defect_density < 0 OR wafer_id IS NULL OR CAST(wafer_id AS VARCHAR) = ''
-     OR pass_fail IS NULL OR pass_fail NOT IN ('PASS', 'FAIL')
-     OR {_secs} < 10 OR {_secs} > 3600
-), clean AS (
-  SELECT ROUND(100.0 * CAST(COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.batch_id = b.batch_id))
-                            AS DOUBLE) / COUNT(*), 2) AS batches_passing_all_rules_pct
-  FROM dim_wafer_batches b
-)
+), bad AS ({FAULTS}), c AS ({CLEAN}),
+clean AS (SELECT ROUND(1e2 * clean_batches / batches, 2) AS batches_passing_all_rules_pct FROM c)
 SELECT fab_yield_pct, yield_7day_avg, batches_per_day, avg_step_minutes, utilization_pct,
        batches_passing_all_rules_pct
 FROM fab, trend, batches, util, clean

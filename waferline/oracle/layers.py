@@ -1,7 +1,7 @@
 """Oracle SQL for the layer-pipeline queries."""
 
-from waferline.oracle import register
-from waferline.oracle.quality import rule_cte
+from waferline.oracle import register, register_dirty
+from waferline.oracle.quality import ITEMS, neighbours, rule_row
 
 WM = "TIMESTAMP '2024-01-24 00:00:00'"
 EV = "fact_equipment_events"
@@ -112,65 +112,129 @@ FROM {EV} WHERE event_timestamp >= {{AS_OF}} - INTERVAL 30 DAY
 GROUP BY 1, 2 ORDER BY 1, 2
 """)
 
-TEST_FLAGS = {
-    "DQ008": "defect_density < 0",
-    "DQ011": "wafer_id IS NULL OR CAST(wafer_id AS VARCHAR) = ''",
-    "DQ013": "pass_fail IS NULL OR pass_fail NOT IN ('PASS', 'FAIL')",
-    "DQ018": "date_sub('second', start_time, end_time) < 10 OR date_sub('second', start_time, end_time) > 3600",
-}
-_flags = ", ".join(f"CASE WHEN {p} THEN '{r}' END" for r, p in TEST_FLAGS.items())
-_any = " OR ".join(f"({p})" for p in TEST_FLAGS.values())
-register("pl10_dq_warning", f"""
-SELECT wafer_id, batch_id, process_step_id, equipment_id, start_time, concat_ws(',', {_flags}) AS dq_warning
-FROM fact_wafer_tests WHERE {_any}
+FLAGS = {"DQ008": "defect_density < 0", "DQ013": "coalesce(pass_fail, '') NOT IN ('PASS', 'FAIL')"}
+_pl10 = f"""
+SELECT wafer_id, batch_id, process_step_id, equipment_id, start_time,
+       concat_ws(',', {", ".join(f"if({p}, '{r}', NULL)" for r, p in FLAGS.items())}) AS dq_warning
+FROM fact_wafer_tests WHERE {" OR ".join(f"coalesce({p}, false)" for p in FLAGS.values())}
+"""
+register("pl10_dq_warning", _pl10)
+register_dirty("pl10_dq_warning_dirty", _pl10)
+
+register_dirty("pl1_rejects", f"""
+SELECT event_id, concat_ws(',', if(event_id % 223 = 2, 'cast:temperature_c', NULL), if(equipment_id IS NULL, 'null:equipment_id', NULL),
+                           if(event_id % 211 = 1, 'domain:status', NULL)) AS reasons
+FROM {EV} WHERE event_id % 223 = 2 OR equipment_id IS NULL OR event_id % 211 = 1
 """)
 
-FACT_RULES = ["DQ004", "DQ005", "DQ008", "DQ009", "DQ010", "DQ011", "DQ012", "DQ013", "DQ014",
-              "DQ017", "DQ018", "DQ019"]
+_NEWEST = """FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingestion_timestamp DESC) AS k FROM u) WHERE k = 1"""
+register("pl6_write_upsert", f"""
+WITH u AS (SELECT * FROM {EV} WHERE ingestion_timestamp <= {WM}
+           UNION ALL SELECT * REPLACE (event_timestamp + INTERVAL 36 HOUR AS event_timestamp,
+                                       ingestion_timestamp + INTERVAL 36 HOUR AS ingestion_timestamp) FROM {EV} WHERE event_id % 5 = 0)
+SELECT event_id, event_timestamp, ingestion_timestamp, event_timestamp::DATE AS event_date {_NEWEST}
+""")
 
+# The sample of keys that Spark takes, by the same hash
+_LOT = "('0x' || substr(md5(coalesce({0}::VARCHAR, '')), 1, 4))::BIGINT < 3277"
+_SOME = {"fact_wafer_tests": _LOT.format("batch_id"), EV: _LOT.format("equipment_id"), "dim_wafer_batches": _LOT.format("batch_id")}
 
-def _inc(sql: str) -> str:
-    return sql.replace("fact_wafer_tests", "inc_tests").replace("fact_equipment_events", "inc_events")
 
+def _swap(items: str, names: dict) -> str:
+    for a, b in names.items():
+        items = items.replace(a, b)
+    return items
 
-_inc_rules = " UNION ALL ".join(
-    "(" + _inc(rule_cte(r)) + ")" for r in FACT_RULES)
-register("c9_incremental_checks", f"""
-WITH inc_tests AS (SELECT * FROM fact_wafer_tests WHERE test_timestamp > {WM}),
-     inc_events AS (SELECT * FROM {EV} WHERE event_timestamp > {WM})
-SELECT * FROM ({_inc_rules}) r ORDER BY rule_id
-""")
 
-ROW_RULES = {
-    "tests": ("fact_wafer_tests", "test_timestamp", ["DQ008", "DQ011", "DQ013", "DQ018"]),
-    "events": (EV, "event_timestamp", ["DQ009", "DQ010", "DQ012", "DQ019"]),
-    "batches": ("dim_wafer_batches", "start_time", ["DQ006"]),
-}
-PRED = dict(TEST_FLAGS, **{
-    "DQ009": "temperature_c < -50 OR temperature_c > 500",
-    "DQ010": "pressure_torr < 0.001 OR pressure_torr > 1000",
-    "DQ012": "equipment_id IS NULL OR CAST(equipment_id AS VARCHAR) = ''",
-    "DQ019": "ingestion_timestamp > event_timestamp + INTERVAL 24 HOUR",
-    "DQ006": "start_time >= end_time",
-})
-_daily = " UNION ALL ".join(
-    f"SELECT '{r}' AS rule_id, CAST({ts} AS DATE) AS date, COUNT(*) FILTER (WHERE {PRED[r]}) AS violations "
-    f"FROM {tab} WHERE {ts} >= {{AS_OF}} - INTERVAL 30 DAY GROUP BY 2"
-    for tab, ts, ids in ROW_RULES.values() for r in ids)
-register("c10_violation_trend", f"""
-WITH d AS ({_daily})
-SELECT rule_id, date, violations, LAG(violations) OVER w AS prev_violations,
-       ROUND(AVG(violations) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS trailing_avg
-FROM d WINDOW w AS (PARTITION BY rule_id ORDER BY date)
-ORDER BY rule_id, date
+_SAMPLED = ["DQ001", "DQ002", "DQ003", "DQ004", "DQ005", "DQ007", "DQ014", "DQ015", "DQ016", "DQ017"]
+_TE, _EV, _BA = "some_tests", "some_events", "some_batches"
+_rows = " UNION ALL ".join("(" + rule_row(r, _swap(ITEMS[r], {"fact_wafer_tests": _TE, EV: _EV} | (
+    {"dim_wafer_batches": _BA} if r in ("DQ002", "DQ015") else {})), "round(v / 0.05)") + ")" for r in _SAMPLED)
+register("c8_sampled_checks", f"""
+WITH some_tests AS (SELECT * FROM fact_wafer_tests WHERE {_SOME["fact_wafer_tests"]}),
+     some_events AS (SELECT * FROM {EV} WHERE {_SOME[EV]}),
+     some_batches AS (SELECT * FROM dim_wafer_batches WHERE {_SOME["dim_wafer_batches"]})
+SELECT *, true AS estimated FROM ({_rows})
 """)
 
-register("c12_clean_batch_share", f"""
-WITH bad AS (SELECT DISTINCT batch_id FROM fact_wafer_tests WHERE {_any}),
-     c AS (SELECT (SELECT COUNT(*) FROM dim_wafer_batches) AS batches,
-                  (SELECT COUNT(*) FROM dim_wafer_batches b WHERE NOT EXISTS
-                     (SELECT 1 FROM bad WHERE bad.batch_id = b.batch_id)) AS clean_batches)
-SELECT batches, clean_batches, ROUND(100.0 * CAST(clean_batches AS DOUBLE) / batches, 2) AS clean_pct FROM c
+# Rows after the mark, judged with all rows of the groups and sequences they touch
+_NEW_ROWS = ["DQ001", "DQ003", "DQ008", "DQ009", "DQ010", "DQ011", "DQ012", "DQ013", "DQ018", "DQ019"]
+_new = {r: _swap(ITEMS[r], {"fact_wafer_tests": "new_tests", EV: "new_events"}) for r in _NEW_ROWS}
+_new["DQ004"] = ("SELECT b.equipment_id::VARCHAR AS ex, 1 AS w FROM "
+                 + neighbours(EV, "equipment_id", "ingestion_timestamp, event_timestamp", "equipment_id, event_timestamp")
+                 + f" AND b.event_timestamp < a.event_timestamp AND b.event_timestamp > {WM}")
+_steps = """(SELECT batch_id, wafer_id, process_step_id, min(start_time) AS lo, max(start_time) AS hi, max(test_timestamp) AS ts
+             FROM fact_wafer_tests GROUP BY ALL)"""
+_bad_steps = ("SELECT b.batch_id, b.ts, greatest(a.ts, b.ts) AS newest FROM "
+              + neighbours(_steps, "batch_id, wafer_id", "process_step_id NULLS FIRST", "batch_id, wafer_id, lo, hi, ts")
+              + " AND b.lo < a.hi")
+_new["DQ005"] = f"SELECT batch_id::VARCHAR AS ex, 1 AS w FROM ({_bad_steps}) WHERE newest > {WM}"
+for _r in ("DQ007", "DQ016"):
+    _new[_r] = _swap(ITEMS[_r], {"fact_wafer_tests": "(SELECT * FROM fact_wafer_tests WHERE batch_id IN (SELECT batch_id FROM new_tests))"})
+_new["DQ014"] = _swap(ITEMS["DQ014"], {"fact_wafer_tests": """(SELECT * FROM fact_wafer_tests t SEMI JOIN (SELECT batch_id AS nb, wafer_id AS nw
+  FROM new_tests) ON batch_id IS NOT DISTINCT FROM nb AND wafer_id IS NOT DISTINCT FROM nw)"""})
+_new["DQ017"] = ITEMS["DQ017"] + f" AND b.event_timestamp > {WM}"
+_rows = " UNION ALL ".join(f"({rule_row(r, _new[r])})" for r in sorted(_new))
+register("c9_incremental_checks", f"""
+WITH new_tests AS (SELECT * FROM fact_wafer_tests WHERE test_timestamp > {WM}),
+     new_events AS (SELECT * FROM {EV} WHERE event_timestamp > {WM})
+SELECT * FROM ({_rows})
 """)
 
-
+# A date for every violation
+_T, _E, _B = "fact_wafer_tests", EV, "dim_wafer_batches"
+_LATE = "SELECT batch_id, max(test_timestamp) AS ts, count(DISTINCT wafer_id) AS n, round(1e2 * count(*) FILTER (pass_fail = 'PASS') / nullif(count(wafer_id), 0), 2) AS y FROM fact_wafer_tests GROUP BY batch_id"
+_dated = {
+    "DQ001": f"SELECT test_timestamp AS ts, 1 AS w FROM {_T} WHERE batch_id IS NULL OR batch_id NOT IN (SELECT batch_id FROM {_B})",
+    "DQ002": f"""SELECT start_time AS ts, 1 AS w FROM (SELECT batch_id, trim(unnest(string_split(equipment_sequence, ','))) AS tool FROM {_B})
+                 ANTI JOIN (SELECT equipment_id::VARCHAR AS tool FROM dim_equipment) USING (tool) JOIN {_B} USING (batch_id)""",
+    "DQ003": f"SELECT test_timestamp AS ts, 1 AS w FROM {_T} ANTI JOIN dim_process_steps USING (process_step_id)",
+    "DQ004": "SELECT b.event_timestamp AS ts, 1 AS w FROM "
+             + neighbours(_E, "equipment_id", "ingestion_timestamp, event_timestamp", "equipment_id, event_timestamp")
+             + " AND b.event_timestamp < a.event_timestamp",
+    "DQ005": f"SELECT ts, 1 AS w FROM ({_bad_steps})",
+    "DQ006": f"SELECT start_time AS ts, 1 AS w FROM {_B} WHERE end_time <= start_time",
+    "DQ007": f"SELECT ts, 1 AS w FROM ({_LATE}) WHERE y NOT BETWEEN 0 AND 100",
+    "DQ014": f"SELECT max(test_timestamp) AS ts, 1 AS w FROM {_T} GROUP BY batch_id, wafer_id HAVING count(*) > 1",
+    "DQ015": f"SELECT max(start_time) AS ts, 1 AS w FROM {_B} GROUP BY batch_id HAVING count(*) > 1",
+    "DQ016": f"SELECT ts, 1 AS w FROM ({_LATE}) WHERE n NOT BETWEEN 24 AND 26",
+    "DQ017": "SELECT b.event_timestamp AS ts, 1 AS w FROM "
+             + neighbours(_E, "equipment_id", "event_timestamp", "equipment_id, event_timestamp", "status = 'DOWN'")
+             + " AND date_sub('hour', a.event_timestamp, b.event_timestamp) > 72",
+    "DQ020": f"""SELECT max(event_timestamp) AS ts, date_sub('hour', max(event_timestamp), event_timestamp::DATE + INTERVAL 1 DAY) AS w
+                 FROM {_E} WHERE event_timestamp IS NOT NULL GROUP BY event_timestamp::DATE""",
+}
+for _r in ("DQ008", "DQ011", "DQ013", "DQ018"):
+    _dated[_r] = f"SELECT test_timestamp AS ts, 1 AS w FROM {_T} WHERE {ITEMS[_r].split(' WHERE ', 1)[1]}"
+for _r in ("DQ009", "DQ010", "DQ012", "DQ019"):
+    _dated[_r] = f"SELECT event_timestamp AS ts, 1 AS w FROM {_E} WHERE {ITEMS[_r].split(' WHERE ', 1)[1]}"
+_found = " UNION ALL ".join(f"SELECT '{r}' AS rule_id, ts::DATE AS date, w FROM ({q})" for r, q in sorted(_dated.items()))
+_trend = f"""
+WITH days AS (SELECT DISTINCT test_timestamp::DATE AS date FROM {_T} WHERE test_timestamp >= {{AS_OF}} - INTERVAL 30 DAY
+              UNION SELECT DISTINCT event_timestamp::DATE FROM {_E} WHERE event_timestamp >= {{AS_OF}} - INTERVAL 30 DAY),
+     rules AS (SELECT unnest([{", ".join(f"'{r}'" for r in sorted(_dated))}]) AS rule_id),
+     n AS (SELECT rule_id, date, sum(w)::BIGINT AS n FROM ({_found}) GROUP BY ALL),
+     d AS (SELECT rule_id, date, coalesce(n, 0) AS n, row_number() OVER (PARTITION BY rule_id ORDER BY date) AS k
+           FROM rules CROSS JOIN days LEFT JOIN n USING (rule_id, date)),
+     m AS (SELECT a.rule_id, a.k, round(avg(b.n), 4) AS m, any_value(b.n) FILTER (b.k = a.k - 1) AS p
+           FROM d a JOIN d b ON b.rule_id = a.rule_id AND a.k - b.k BETWEEN 0 AND 6 GROUP BY a.rule_id, a.k)
+SELECT rule_id, date, n AS violations, p AS prev_violations, m AS trailing_avg FROM d JOIN m USING (rule_id, k)
+"""
+register("c10_violation_trend", _trend)
+register_dirty("c10_violation_trend_dirty", _trend)
+
+# Batches at fault
+_of_batch = ["DQ002", "DQ005", "DQ006", "DQ007", "DQ015", "DQ016"]
+_faults = " UNION ".join([f"SELECT ex FROM ({ITEMS[r]})" for r in _of_batch] + [
+    f"SELECT batch_id::VARCHAR FROM {_T} WHERE {ITEMS[r].split(' WHERE ', 1)[1]}" for r in ("DQ008", "DQ011", "DQ013", "DQ018")] + [
+    f"SELECT batch_id::VARCHAR FROM {_T} ANTI JOIN dim_process_steps USING (process_step_id)",
+    f"SELECT batch_id::VARCHAR FROM {_T} GROUP BY batch_id, wafer_id HAVING count(*) > 1"])
+CLEAN = f"""SELECT count(*) AS batches, count(*) FILTER (batch_id::VARCHAR NOT IN (SELECT ex FROM bad WHERE ex IS NOT NULL)) AS clean_batches
+            FROM dim_wafer_batches"""
+_clean_share = f"""
+WITH bad AS ({_faults}), c AS ({CLEAN})
+SELECT batches, clean_batches, round(1e2 * clean_batches / batches, 2) AS clean_pct FROM c
+"""
+register("c12_clean_batch_share", _clean_share)
+register_dirty("c12_clean_batch_share_dirty", _clean_share)
+FAULTS = _faults

@@ -1,7 +1,7 @@
 """Oracle SQL for the single-construct queries."""
 
 from waferline.oracle import register, round_avg
-from waferline.oracle.trace import route_cte
+from waferline.oracle.trace import routes
 
 EV = "fact_equipment_events"
 
@@ -16,8 +16,8 @@ FROM w
 """)
 
 register("ag9_route", f"""
-WITH {route_cte("r", "fact_wafer_tests", "wafer_id, batch_id", "equipment_sequence")}
-SELECT * FROM r
+WITH r AS ({routes("wafer_id, batch_id")})
+SELECT wafer_id, batch_id, route AS equipment_sequence FROM r
 """)
 
 register("sf6_yearweek", f"""

@@ -1,181 +1,100 @@
-"""Oracle SQL for the data-quality rules: each rule's SQL as a violation count plus
-its example ids, wrapped into the rule-result row."""
-
-from waferline.oracle import register
-
-# Fixed values shared with the rule catalogue (id -> name, category, severity, layer,
-# threshold, impact).
-META = {
-    "DQ001": ("Wafer-to-Batch Integrity", "REFERENTIAL_INTEGRITY", "CRITICAL", "staging", 0,
-              "Breaks traceability chain, blocks curated layer build"),
-    "DQ002": ("Batch-to-Equipment Integrity", "REFERENTIAL_INTEGRITY", "CRITICAL", "staging", 0,
-              "Cannot perform equipment-level yield analysis"),
-    "DQ003": ("Process Step Validity", "REFERENTIAL_INTEGRITY", "HIGH", "staging", 0,
-              "Invalid process routing analysis"),
-    "DQ004": ("No Time Travel - Equipment Events", "TEMPORAL", "HIGH", "staging", 0,
-              "Data corruption, unreliable equipment history"),
-    "DQ005": ("Process Step Sequence Order", "TEMPORAL", "HIGH", "staging", 0,
-              "Invalid process flow, audit compliance failure"),
-    "DQ006": ("Batch Start Before End", "TEMPORAL", "CRITICAL", "staging", 0,
-              "Invalid duration calculations"),
-    "DQ007": ("Yield Percentage Bounds", "RANGE", "CRITICAL", "staging", 0,
-              "Invalid business metrics, reporting errors"),
-    "DQ008": ("Defect Density Non-Negative", "RANGE", "HIGH", "staging", 0, "Invalid quality metrics"),
-    "DQ009": ("Equipment Temperature Range", "RANGE", "MEDIUM", "raw", 100,
-              "Potential sensor malfunction, data quality warning"),
-    "DQ010": ("Pressure Range Validity", "RANGE", "MEDIUM", "raw", 50, "Sensor calibration may be needed"),
-    "DQ011": ("Wafer ID Not Null", "COMPLETENESS", "CRITICAL", "staging", 0,
-              "Cannot perform wafer-level analysis"),
-    "DQ012": ("Equipment ID Not Null", "COMPLETENESS", "CRITICAL", "raw", 0,
-              "Cannot attribute events to equipment"),
-    "DQ013": ("Test Result Not Null", "COMPLETENESS", "HIGH", "staging", 0, "Cannot calculate yield metrics"),
-    "DQ014": ("Wafer ID Uniqueness", "UNIQUENESS", "CRITICAL", "staging", 0,
-              "Duplicate test results, inflated yield calculations"),
-    "DQ015": ("Batch ID Uniqueness", "UNIQUENESS", "CRITICAL", "staging", 0, "Batch data corruption"),
-    "DQ016": ("Wafer Count Per Batch", "MANUFACTURING", "MEDIUM", "staging", 5,
-              "Potential incomplete batch processing"),
-    "DQ017": ("Equipment Downtime Reasonableness", "MANUFACTURING", "MEDIUM", "staging", 2,
-              "Unreported maintenance or data gap"),
-    "DQ018": ("Test Cycle Time Reasonableness", "MANUFACTURING", "LOW", "staging", 100,
-              "Anomalous test durations - investigate equipment"),
-    "DQ019": ("Late Arriving Data Detection", "TIMELINESS", "WARNING", "raw", 1000,
-              "Monitor for systemic pipeline delays"),
-    "DQ020": ("Data Freshness", "TIMELINESS", "HIGH", "raw", 2, "Potential data pipeline failure"),
-}
+"""DuckDB statements for the data-quality rules.
+
+Every rule is one relation of items (ex, w): an example id and how much it counts. A rule's
+row sums them. Sequences are rank self joins, groups with copies are found by their second
+row, orphans by anti joins.
+"""
+
+from waferline.oracle import register, register_dirty
+from waferline.plans.quality import RULES
+
+EV, TE, BA = "fact_equipment_events", "fact_wafer_tests", "dim_wafer_batches"
+
+
+def where(table: str, ex: str, condition: str) -> str:
+    return f"SELECT {ex}::VARCHAR AS ex, 1 AS w FROM {table} WHERE {condition}"
+
 
-PLANNED = """(SELECT batch_id, trim(unnest(string_split(equipment_sequence, ','))) AS tool
-              FROM dim_wafer_batches)"""
-
-# rule -> (violations SQL returning one value v, example SQL returning column ex or None)
-RULE_SQL = {
-    "DQ001": ("SELECT COUNT(*) FROM fact_wafer_tests wt LEFT JOIN dim_wafer_batches wb "
-              "ON wt.batch_id = wb.batch_id WHERE wb.batch_id IS NULL",
-              "SELECT wt.batch_id AS ex FROM fact_wafer_tests wt LEFT JOIN dim_wafer_batches wb "
-              "ON wt.batch_id = wb.batch_id WHERE wb.batch_id IS NULL"),
-    "DQ002": (f"SELECT COUNT(*) FROM {PLANNED} p LEFT JOIN dim_equipment e "
-              "ON p.tool = CAST(e.equipment_id AS VARCHAR) WHERE e.equipment_id IS NULL",
-              f"SELECT p.batch_id AS ex FROM {PLANNED} p LEFT JOIN dim_equipment e "
-              "ON p.tool = CAST(e.equipment_id AS VARCHAR) WHERE e.equipment_id IS NULL"),
-    "DQ003": ("SELECT COUNT(*) FROM fact_wafer_tests wt LEFT JOIN dim_process_steps ps "
-              "ON wt.process_step_id = ps.process_step_id WHERE ps.process_step_id IS NULL",
-              "SELECT wt.wafer_id AS ex FROM fact_wafer_tests wt LEFT JOIN dim_process_steps ps "
-              "ON wt.process_step_id = ps.process_step_id WHERE ps.process_step_id IS NULL"),
-    "DQ004": ("""SELECT COALESCE(SUM(violations), 0) FROM (
-                 SELECT equipment_id, COUNT(*) AS violations FROM (
-                   SELECT equipment_id, event_timestamp,
-                          LAG(event_timestamp) OVER (PARTITION BY equipment_id
-                              ORDER BY ingestion_timestamp, event_timestamp) AS prev_time
-                   FROM fact_equipment_events) sub
-                 WHERE event_timestamp < prev_time GROUP BY equipment_id)""",
-              """SELECT DISTINCT equipment_id AS ex FROM (
-                   SELECT equipment_id, event_timestamp,
-                          LAG(event_timestamp) OVER (PARTITION BY equipment_id
-                              ORDER BY ingestion_timestamp, event_timestamp) AS prev_time
-                   FROM fact_equipment_events) sub
-                 WHERE event_timestamp < prev_time"""),
-    "DQ005": ("""SELECT COALESCE(SUM(violations), 0) FROM (
-                 SELECT batch_id, COUNT(*) AS violations FROM (
-                   SELECT batch_id, start_time,
-                          LAG(start_time) OVER (PARTITION BY batch_id, wafer_id
-                              ORDER BY process_step_id, start_time) AS prev_step_time
-                   FROM fact_wafer_tests) sub
-                 WHERE start_time < prev_step_time GROUP BY batch_id)""",
-              """SELECT batch_id AS ex FROM (
-                   SELECT batch_id, start_time,
-                          LAG(start_time) OVER (PARTITION BY batch_id, wafer_id
-                              ORDER BY process_step_id, start_time) AS prev_step_time
-                   FROM fact_wafer_tests) sub
-                 WHERE start_time < prev_step_time"""),
-    "DQ006": ("SELECT COUNT(*) FROM dim_wafer_batches WHERE start_time >= end_time",
-              "SELECT batch_id AS ex FROM dim_wafer_batches WHERE start_time >= end_time"),
-    "DQ007": ("""SELECT COUNT(*) FROM (
-                   SELECT batch_id, ROUND(100.0 * CAST(SUM(CASE WHEN pass_fail = 'PASS' THEN 1 ELSE 0 END)
-                          AS DOUBLE) / COUNT(wafer_id), 2) AS yield_pct
-                   FROM fact_wafer_tests GROUP BY batch_id) s
-                 WHERE yield_pct < 0 OR yield_pct > 100""",
-              """SELECT batch_id AS ex FROM (
-                   SELECT batch_id, ROUND(100.0 * CAST(SUM(CASE WHEN pass_fail = 'PASS' THEN 1 ELSE 0 END)
-                          AS DOUBLE) / COUNT(wafer_id), 2) AS yield_pct
-                   FROM fact_wafer_tests GROUP BY batch_id) s
-                 WHERE yield_pct < 0 OR yield_pct > 100"""),
-    "DQ008": ("SELECT COUNT(*) FROM fact_wafer_tests WHERE defect_density < 0",
-              "SELECT wafer_id AS ex FROM fact_wafer_tests WHERE defect_density < 0"),
-    "DQ009": ("SELECT COUNT(*) FROM fact_equipment_events WHERE temperature_c < -50 OR temperature_c > 500",
-              "SELECT equipment_id AS ex FROM fact_equipment_events "
-              "WHERE temperature_c < -50 OR temperature_c > 500"),
-    "DQ010": ("SELECT COUNT(*) FROM fact_equipment_events WHERE pressure_torr < 0.001 OR pressure_torr > 1000",
-              "SELECT equipment_id AS ex FROM fact_equipment_events "
-              "WHERE pressure_torr < 0.001 OR pressure_torr > 1000"),
-    "DQ011": ("SELECT COUNT(*) FROM fact_wafer_tests WHERE wafer_id IS NULL OR CAST(wafer_id AS VARCHAR) = ''",
-              "SELECT batch_id AS ex FROM fact_wafer_tests "
-              "WHERE wafer_id IS NULL OR CAST(wafer_id AS VARCHAR) = ''"),
-    "DQ012": ("SELECT COUNT(*) FROM fact_equipment_events "
-              "WHERE equipment_id IS NULL OR CAST(equipment_id AS VARCHAR) = ''", None),
-    "DQ013": ("SELECT COUNT(*) FROM fact_wafer_tests WHERE pass_fail IS NULL OR pass_fail NOT IN ('PASS', 'FAIL')",
-              "SELECT wafer_id AS ex FROM fact_wafer_tests "
-              "WHERE pass_fail IS NULL OR pass_fail NOT IN ('PASS', 'FAIL')"),
-    "DQ014": ("SELECT COUNT(*) FROM (SELECT batch_id, wafer_id, COUNT(*) AS duplicates FROM fact_wafer_tests "
-              "GROUP BY batch_id, wafer_id HAVING COUNT(*) > 1)",
-              "SELECT wafer_id AS ex FROM fact_wafer_tests GROUP BY batch_id, wafer_id HAVING COUNT(*) > 1"),
-    "DQ015": ("SELECT COUNT(*) FROM (SELECT batch_id, COUNT(*) AS duplicates FROM dim_wafer_batches "
-              "GROUP BY batch_id HAVING COUNT(*) > 1)",
-              "SELECT batch_id AS ex FROM dim_wafer_batches GROUP BY batch_id HAVING COUNT(*) > 1"),
-    "DQ016": ("""SELECT COUNT(*) FROM (SELECT batch_id, COUNT(DISTINCT wafer_id) AS wafer_count
-                 FROM fact_wafer_tests GROUP BY batch_id) sub WHERE wafer_count < 24 OR wafer_count > 26""",
-              """SELECT batch_id AS ex FROM (SELECT batch_id, COUNT(DISTINCT wafer_id) AS wafer_count
-                 FROM fact_wafer_tests GROUP BY batch_id) sub WHERE wafer_count < 24 OR wafer_count > 26"""),
-    "DQ017": ("""SELECT COUNT(*) FROM (
-                   SELECT equipment_id, MAX(date_sub('hour', event_timestamp, nxt)) AS downtime_hours
-                   FROM (SELECT equipment_id, event_timestamp,
-                                LEAD(event_timestamp) OVER (PARTITION BY equipment_id ORDER BY event_timestamp) AS nxt
-                         FROM fact_equipment_events WHERE status = 'DOWN') x
-                   GROUP BY equipment_id) sub WHERE downtime_hours > 72""",
-              """SELECT equipment_id AS ex FROM (
-                   SELECT equipment_id, MAX(date_sub('hour', event_timestamp, nxt)) AS downtime_hours
-                   FROM (SELECT equipment_id, event_timestamp,
-                                LEAD(event_timestamp) OVER (PARTITION BY equipment_id ORDER BY event_timestamp) AS nxt
-                         FROM fact_equipment_events WHERE status = 'DOWN') x
-                   GROUP BY equipment_id) sub WHERE downtime_hours > 72"""),
-    "DQ018": ("""SELECT COUNT(*) FROM fact_wafer_tests
-                 WHERE date_sub('second', start_time, end_time) < 10 OR date_sub('second', start_time, end_time) > 3600""",
-              """SELECT wafer_id AS ex FROM fact_wafer_tests
-                 WHERE date_sub('second', start_time, end_time) < 10 OR date_sub('second', start_time, end_time) > 3600"""),
-    "DQ019": ("SELECT COUNT(*) FROM fact_equipment_events "
-              "WHERE ingestion_timestamp > event_timestamp + INTERVAL 24 HOUR",
-              "SELECT equipment_id AS ex FROM fact_equipment_events "
-              "WHERE ingestion_timestamp > event_timestamp + INTERVAL 24 HOUR"),
-    "DQ020": ("SELECT date_sub('hour', MAX(event_timestamp), {AS_OF}) FROM fact_equipment_events", None),
+def neighbours(table: str, keys: str, order: str, columns: str, rows: str = "true") -> str:
+    """Pairs (a, b) of rows that follow each other within ``keys`` (NULL is a key)."""
+    same = " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in keys.split(", "))
+    ranked = f"(SELECT {columns}, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS k FROM {table} WHERE {rows})"
+    return f"{ranked} a JOIN {ranked} b ON {same} AND b.k = a.k + 1"
+
+
+def second(table: str, keys: str, ex: str) -> str:
+    """One item per group of ``keys`` that has a second row."""
+    return (f"SELECT {ex}::VARCHAR AS ex, 1 AS w FROM (SELECT {ex}, row_number() OVER (PARTITION BY {keys}) AS k FROM {table}) "
+            "WHERE k = 2")
+
+
+LONG = "epoch(end_time) - epoch(start_time)"
+ITEMS = {
+    "DQ001": f"SELECT batch_id::VARCHAR AS ex, 1 AS w FROM {TE} t WHERE batch_id IS NULL OR batch_id NOT IN (SELECT batch_id FROM {BA})",
+    "DQ002": f"""SELECT batch_id::VARCHAR AS ex, 1 AS w FROM (SELECT batch_id, trim(unnest(string_split(equipment_sequence, ','))) AS tool FROM {BA})
+                 ANTI JOIN (SELECT equipment_id::VARCHAR AS tool FROM dim_equipment) USING (tool)""",
+    "DQ003": f"SELECT wafer_id::VARCHAR AS ex, 1 AS w FROM {TE} ANTI JOIN dim_process_steps USING (process_step_id)",
+    "DQ004": "SELECT b.equipment_id::VARCHAR AS ex, 1 AS w FROM "
+             + neighbours(EV, "equipment_id", "ingestion_timestamp NULLS FIRST, event_timestamp NULLS FIRST",
+                          "equipment_id, event_timestamp") + " AND b.event_timestamp < a.event_timestamp",
+    "DQ005": "SELECT b.batch_id::VARCHAR AS ex, 1 AS w FROM "
+             + neighbours(TE, "batch_id, wafer_id", "process_step_id NULLS FIRST, start_time NULLS FIRST",
+                          "batch_id, wafer_id, start_time") + " AND b.start_time < a.start_time",
+    "DQ006": where(BA, "batch_id", "end_time <= start_time"),
+    "DQ007": f"""SELECT batch_id::VARCHAR AS ex, 1 AS w FROM (SELECT batch_id, count(*) FILTER (pass_fail = 'PASS') AS ok, count(wafer_id) AS n
+                 FROM {TE} GROUP BY batch_id) WHERE n > 0 AND NOT round(1e2 * ok / n, 2) BETWEEN 0 AND 100""",
+    "DQ008": where(TE, "wafer_id", "defect_density < 0"),
+    "DQ009": where(EV, "equipment_id", "temperature_c NOT BETWEEN -50 AND 500"),
+    "DQ010": where(EV, "equipment_id", "pressure_torr NOT BETWEEN 0.001 AND 1000"),
+    "DQ011": where(TE, "batch_id", "coalesce(wafer_id::VARCHAR, '') = ''"),
+    "DQ012": where(EV, "NULL", "coalesce(equipment_id::VARCHAR, '') = ''"),
+    "DQ013": where(TE, "wafer_id", "coalesce(pass_fail, '') NOT IN ('PASS', 'FAIL')"),
+    "DQ014": second(TE, "batch_id, wafer_id", "wafer_id"),
+    "DQ015": second(BA, "batch_id", "batch_id"),
+    "DQ016": f"""SELECT batch_id::VARCHAR AS ex, 1 AS w FROM (SELECT batch_id, count(wafer_id) AS n FROM
+                 (SELECT DISTINCT batch_id, wafer_id FROM {TE}) GROUP BY batch_id) WHERE n NOT BETWEEN 24 AND 26""",
+    "DQ017": "SELECT DISTINCT b.equipment_id::VARCHAR AS ex, 1 AS w FROM "
+             + neighbours(EV, "equipment_id", "event_timestamp", "equipment_id, event_timestamp", "status = 'DOWN'")
+             + " AND date_sub('hour', a.event_timestamp, b.event_timestamp) > 72",
+    "DQ018": where(TE, "wafer_id", f"{LONG} NOT BETWEEN 10 AND 3600"),
+    "DQ019": where(EV, "equipment_id", "ingestion_timestamp - INTERVAL 24 HOUR > event_timestamp"),
+    "DQ020": f"SELECT NULL::VARCHAR AS ex, date_sub('hour', max(event_timestamp), {{AS_OF}}) AS w FROM {EV}",
 }
 
 
-def rule_cte(rid: str) -> str:
-    """One CTE body producing the rule's result row (with the layer column)."""
-    name, cat, sev, layer, thr, impact = META[rid]
-    vsql, exsql = RULE_SQL[rid]
-    ex = (f"(SELECT string_agg(ex, ', ' ORDER BY ex) FROM (SELECT DISTINCT CAST(ex AS VARCHAR) AS ex "
-          f"FROM ({exsql}) e WHERE ex IS NOT NULL ORDER BY ex LIMIT 5) t)") if exsql else "NULL"
-    return f"""SELECT '{rid}' AS rule_id, '{name}' AS rule_name, '{cat}' AS category, '{sev}' AS severity,
-       CASE WHEN v <= {thr} THEN 'PASS' WHEN '{sev}' IN ('CRITICAL', 'HIGH') THEN 'FAIL' ELSE 'WARNING' END AS status,
-       CAST(v AS BIGINT) AS violations, CAST({thr} AS BIGINT) AS threshold, '{impact}' AS impact,
-       COALESCE({ex}, '') AS details, '{layer}' AS layer
-FROM (SELECT ({vsql}) AS v) q"""
-
-
-for _rid in META:
-    register(_rid.lower(), f"SELECT rule_id, rule_name, category, severity, status, violations, threshold, "
-                           f"impact, details FROM ({rule_cte(_rid)}) r")
-
-ALL = " UNION ALL ".join(f"({rule_cte(r)})" for r in META)
-register("dq_results", f"SELECT * FROM ({ALL}) r ORDER BY rule_id")
-register("dq_results_raw", f"SELECT * FROM ({ALL}) r WHERE layer = 'raw' ORDER BY rule_id")
-register("dq_summary", f"SELECT layer, status, COUNT(*) AS rules FROM ({ALL}) r GROUP BY layer, status "
-                       "ORDER BY layer, status")
-register("dq_issues", f"""SELECT * FROM ({ALL}) r WHERE status IN ('FAIL', 'WARNING', 'ERROR')
-ORDER BY CASE severity WHEN 'CRITICAL' THEN 0 WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 3
-              ELSE 4 END, rule_id""")
-register("dq_gate", f"""SELECT COUNT(CASE WHEN severity = 'CRITICAL' AND status = 'FAIL' THEN 1 END) = 0 AS promote,
-  COALESCE(string_agg(CASE WHEN severity = 'CRITICAL' AND status = 'FAIL' THEN rule_id END, ',' ORDER BY rule_id), '')
-    AS blocking_rules,
-  COALESCE(string_agg(CASE WHEN severity <> 'CRITICAL' AND status IN ('FAIL', 'WARNING') THEN rule_id END, ','
-                      ORDER BY rule_id), '') AS warning_rules
-FROM ({ALL}) r""")
+def rule_row(rule_id: str, items: str | None = None, scale: str = "v") -> str:
+    """The result row of a rule (``scale``: its violations from the summed items v)."""
+    r = next(x for x in RULES if x.rule_id == rule_id)
+    bad = "FAIL" if r.severity in ("CRITICAL", "HIGH") else "WARNING"
+    total = "sum(w)" if rule_id == "DQ020" else "coalesce(sum(w), 0)"
+    return f"""SELECT '{r.rule_id}' AS rule_id, '{r.name}' AS rule_name, '{r.category}' AS category, '{r.severity}' AS severity,
+       if(coalesce(n <= {r.threshold}, false), 'PASS', '{bad}') AS status, n AS violations, {r.threshold}::BIGINT AS threshold,
+       '{r.impact}' AS impact, array_to_string(list_sort(list_distinct(xs))[:5], ', ') AS details, '{r.layer}' AS layer
+FROM (SELECT ({scale})::BIGINT AS n, xs FROM
+      (SELECT {total} AS v, coalesce(list(ex) FILTER (ex IS NOT NULL), []) AS xs FROM ({items or ITEMS[rule_id]})))"""
+
+
+ALL = " UNION ALL ".join(f"({rule_row(r.rule_id)})" for r in RULES)
+_PLAIN = "rule_id, rule_name, category, severity, status, violations, threshold, impact, details"
+
+for _r in RULES:
+    register(_r.rule_id.lower(), f"SELECT {_PLAIN} FROM ({rule_row(_r.rule_id)})")
+register("dq_results", ALL)
+register("dq_results_raw", f"SELECT * FROM ({ALL}) WHERE layer = 'raw'")
+register("dq_summary", f"SELECT layer, status, count(*) AS rules FROM ({ALL}) GROUP BY ALL")
+register("dq_issues", f"SELECT * FROM ({ALL}) WHERE status <> 'PASS'")
+register("dq_gate", f"""
+WITH r AS ({ALL})
+SELECT NOT bool_or(severity = 'CRITICAL' AND status = 'FAIL') AS promote,
+       coalesce(string_agg(rule_id, ',' ORDER BY rule_id) FILTER (severity = 'CRITICAL' AND status = 'FAIL'), '') AS blocking_rules,
+       coalesce(string_agg(rule_id, ',' ORDER BY rule_id) FILTER (severity <> 'CRITICAL' AND status IN ('FAIL', 'WARNING')), '')
+         AS warning_rules
+FROM r""")
+register_dirty("dq_results_dirty", ALL)
+register("dq_custom", """
+SELECT 'XR001' AS rule_id, if(a <= 10, 'PASS', 'WARNING') AS status, a AS violations FROM
+  (SELECT count(*) AS a FROM fact_wafer_tests WHERE defect_density > 0.09)
+UNION ALL
+SELECT 'XR002', if(b <= 0, 'PASS', 'FAIL'), b FROM
+  (SELECT count(*) AS b FROM (SELECT equipment_id FROM dim_equipment EXCEPT SELECT equipment_id FROM fact_equipment_events))
+UNION ALL SELECT 'XR003', 'ERROR', -1""")

@@ -1,5 +1,4 @@
-"""Oracle SQL for the streaming queries: the batch answer over the same closed input
-(S4: only the daily windows the 24 h watermark has closed)."""
+"""Oracle SQL for the streaming queries: the batch answer over the same input."""
 
 from waferline.oracle import register
 
@@ -20,8 +19,6 @@ SELECT date_trunc('day', event_timestamp) AS window_start,
        COUNT(CASE WHEN status = 'DOWN' THEN 1 END) AS downs
 FROM {EV}
 GROUP BY 1, 2, 3
-HAVING date_trunc('day', event_timestamp) + INTERVAL 1 DAY
-       <= (SELECT MAX(event_timestamp) FROM {EV}) - INTERVAL 24 HOUR
 """)
 register("s5_stream_checks", f"""
 SELECT * FROM (VALUES

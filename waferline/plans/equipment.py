@@ -198,14 +198,14 @@ def e5_maintenance_effect(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 90,
 def e6_criticality(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, value_per_wafer: int = 1000,
                    tiers=(500, 200, 50)) -> DataFrame:
     tests = since(t.fact_wafer_tests, "test_timestamp", as_of, days=days)
-    # A wafer lies in one batch: dedupe (tool, batch, wafer) first so the two distinct
-    # counts need no row expansion.
+    # Partial sums per (tool, batch, wafer) first: the two distinct counts (which skip NULLs,
+    # and count a wafer of two batches once) then expand only the de-duplicated rows.
     per_wafer = (tests.groupBy("equipment_id", "batch_id", "wafer_id")
                  .agg(F.sum(flag(F.col("pass_fail") == "PASS")).alias("p"),
                       F.count(F.lit(1)).alias("n")))
     per_tool = (per_wafer.groupBy("equipment_id")
                 .agg(F.countDistinct("batch_id").alias("batches_processed_30d"),
-                     F.count(F.lit(1)).alias("wafers_processed_30d"),
+                     F.countDistinct("wafer_id").alias("wafers_processed_30d"),
                      pct(F.sum("p"), F.sum("n")).alias("avg_yield")))
     downs = (_events_since(t, as_of, days=days).filter(st_() == "DOWN")
              .groupBy("equipment_id").agg(F.count(F.lit(1)).alias("down_events")))
@@ -215,7 +215,9 @@ def e6_criticality(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, value_per_
          .select("equipment_id", "equipment_type", "manufacturer",
                  F.coalesce("batches_processed_30d", F.lit(0)).alias("batches_processed_30d"),
                  F.coalesce("wafers_processed_30d", F.lit(0)).alias("wafers_processed_30d"),
-                 "avg_yield", F.coalesce("down_events", F.lit(0)).alias("down_events")))
+                 # a tool without tests averages one "not PASS" row: 0
+                 F.coalesce("avg_yield", F.lit(0.0)).alias("avg_yield"),
+                 F.coalesce("down_events", F.lit(0)).alias("down_events")))
     score = ((F.col("wafers_processed_30d") / F.lit(100.0)) * (F.lit(100) - F.col("avg_yield"))
              * (F.lit(1) + F.col("down_events")))
     return j.select(

@@ -4,6 +4,7 @@ The watermark of the incremental examples is one week before the as-of instant."
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -35,6 +36,35 @@ def pl1_standardize(t: FabTables) -> DataFrame:
     return g.crossJoin(r)
 
 
+def pl1_rejects(t: FabTables) -> DataFrame:
+    """Rejected rows of a text landing with bad casts, missing keys and unknown states."""
+    raw = L.as_raw_strings(t.fact_equipment_events)
+    e = F.col("event_id").cast("long")
+    raw = (raw.withColumn("temperature_c", F.when(e % 223 == 2, "n/a").otherwise(F.col("temperature_c")))
+           .withColumn("status", F.when(e % 211 == 1, "BROKEN").otherwise(F.col("status"))))
+    _, rejects = L.standardize(raw, EVENTS_SCHEMA, required=["equipment_id", "event_timestamp"],
+                               allowed={"status": ["RUNNING", "IDLE", "ALARM", "DOWN"]})
+    order = ["cast:temperature_c", "null:equipment_id", "domain:status"]
+    return rejects.select(e.alias("event_id"), F.array_join(F.array_sort("reject_reasons", lambda a, b: (
+        F.array_position(F.array(*map(F.lit, order)), a) - F.array_position(F.array(*map(F.lit, order)), b)).cast("int")),
+        ",").alias("reasons"))
+
+
+def pl6_write_upsert(t: FabTables) -> DataFrame:
+    """A table of files by day: loaded, then merged (twice) with later versions of a fifth
+    of its keys, which move to other days."""
+    from waferline.session import checkpoint_dir
+    spark = t.fact_equipment_events.sparkSession
+    path = f"{checkpoint_dir(spark)}/upsert-table-{uuid.uuid4().hex}"
+    ev = t.fact_equipment_events.select("event_id", "event_timestamp", "ingestion_timestamp")
+    later = ev.filter(F.col("event_id") % 5 == 0).select(
+        "event_id", *[(F.col(c) + F.expr("INTERVAL 36 HOURS")).alias(c) for c in ("event_timestamp", "ingestion_timestamp")])
+    day = lambda df: df.withColumn("event_date", F.to_date("event_timestamp"))
+    for updates in (ev.filter(F.col("ingestion_timestamp") <= ts_lit(WM)), later, later):
+        L.write_upsert(spark, day(updates), path, ["event_id"], ["ingestion_timestamp"], "event_date")
+    return spark.read.parquet(path)
+
+
 def pl2_dedupe(t: FabTables) -> DataFrame:
     return L.dedupe_latest(t.fact_wafer_tests, ["wafer_id", "process_step_id"], ["test_timestamp"])
 
@@ -86,22 +116,27 @@ SAMPLE = 0.05
 
 
 def c8_sampled_checks(t: FabTables) -> DataFrame:
-    ids = [r for r, (tab, _, _) in Q.row_rules(Q.Options()).items() if tab in ("tests", "events")]
-    res = Q.run_checks(L.sampled(t, SAMPLE), rule_ids=ids)
-    return Q.as_text(L.scale_estimates(res, SAMPLE, ids))
-
-
-FACT_RULES = ["DQ004", "DQ005", "DQ008", "DQ009", "DQ010", "DQ011", "DQ012", "DQ013", "DQ014",
-              "DQ017", "DQ018", "DQ019"]
+    return Q.as_text(L.sampled_checks(t, SAMPLE))
 
 
 def c9_incremental_checks(t: FabTables) -> DataFrame:
-    return Q.as_text(Q.run_checks(L.incremental_tables(t, WM), rule_ids=FACT_RULES))
+    return Q.as_text(L.incremental_checks(t, WM))
 
 
 def c10_violation_trend(t: FabTables) -> DataFrame:
-    return L.violation_trend(t)
+    return L.violation_trend(L.daily_violations(t))
 
 
 def c12_clean_batch_share(t: FabTables) -> DataFrame:
     return L.clean_batch_share(t)
+
+
+def dq_custom(t: FabTables) -> DataFrame:
+    """Rules of one's own: a predicate, a builder, and one in error (isolated)."""
+    rules = [Q.Rule("XR001", "High defects", "RANGE", "MEDIUM", "staging", 10, "Review", table="tests",
+                    predicate=F.col("defect_density") > 0.09, example="wafer_id"),
+             Q.Rule("XR002", "Silent tools", "COMPLETENESS", "HIGH", "raw", 0, "Check wiring",
+                    builder=lambda t, o: t.dim_equipment.join(t.fact_equipment_events, "equipment_id", "left_anti").select(
+                        F.col("equipment_id").alias("ex"), F.lit(1).alias("w"))),
+             Q.Rule("XR003", "Broken", "RANGE", "LOW", "raw", 0, "None", table="tests", predicate=F.col("no_such_column") > 0)]
+    return Q.run_checks(t, rule_ids=["XR001", "XR002", "XR003"], rules=rules).select("rule_id", "status", "violations")

@@ -1,8 +1,7 @@
 """Layer pipelines (PL1-PL11) and the rule-driven checks around them.
 
 All functions are DataFrame -> DataFrame. Deduplication and "latest row per key"
-use a ``max_by`` aggregate (map-side partial aggregation; a hot key never lands in
-one sort), not ``ROW_NUMBER`` over the key.
+use ``row_number() = 1``, which Spark limits to one row per key and task before the shuffle.
 """
 
 from __future__ import annotations
@@ -17,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waferline.functions.exprs import as_datetime, flag, pct, since, ts_lit, window_start
-from waferline.plans.quality import Options, row_rules
+from waferline.plans.quality import (RULE_BY_ID, RULES, SET_RULES, Options, Rule, _items, down_gaps_forward,
+                                     dq005_pairs, layer_tables, row_rules, run_checks, verdict)
 from waferline.session import checkpoint_dir
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
@@ -61,11 +61,12 @@ def as_raw_strings(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ PL2 dedupe
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep one row per ``keys``: the one with the greatest ``order`` (then the
-    greatest remaining columns, so exact ties resolve deterministically)."""
-    rest = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order])
-    g = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), ordering).alias("_row"))
-    return g.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+    greatest remaining columns, so exact ties resolve deterministically; NULL is least).
+    ``row_number() = 1`` keeps one row per key and task before the shuffle (window group
+    limit), so a hot key is no more than one row from each task."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*order, *rest] if c not in keys])
+    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
 # ------------------------------------------------------------------ PL3/PL4/PL5 incremental
@@ -84,7 +85,7 @@ def lookback(df: DataFrame, loaded: DataFrame, keys: Sequence[str], watermark,
     """PL4: re-read from ``watermark - hours`` to catch stragglers, drop the keys
     already loaded (anti join) and deduplicate the rest (PL2)."""
     lo = as_datetime(watermark) - timedelta(hours=hours)
-    fresh = df.filter(F.col(ts) > ts_lit(lo)).join(loaded.select(*keys).distinct(), list(keys), "left_anti")
+    fresh = df.filter(F.col(ts) > ts_lit(lo)).join(loaded.select(*keys), list(keys), "left_anti")
     return dedupe_latest(fresh, keys, order)
 
 
@@ -113,23 +114,42 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
 
 def write_upsert(spark, updates: DataFrame, path: str, keys: Sequence[str], order: Sequence[str],
                  partition_col: str) -> None:
-    """Upsert into a Parquet table partitioned by ``partition_col``: only partitions
-    that receive updates are rewritten. Parquet cannot overwrite what it reads in
-    one plan, so the merged partitions are first written to a staging path in the
-    shared checkpoint folder, then swapped in with dynamic partition overwrite."""
+    """Upsert into a Parquet table partitioned by ``partition_col``. Rewritten are the
+    partitions that receive updates and those that hold an older version of an updated
+    key; a partition that loses its last row is removed. Parquet cannot overwrite what it
+    reads in one plan, so the merged partitions are first written to a staging path in the
+    shared checkpoint folder, then swapped in with dynamic partition overwrite. Running it
+    again with the same updates gives the same table."""
+    stage = f"{checkpoint_dir(spark)}/upsert-{uuid.uuid4().hex}"
     try:
         target = spark.read.parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-        updates.write.mode("overwrite").partitionBy(partition_col).parquet(path)   # first load
+        (dedupe_latest(updates, keys, order).write.mode("overwrite")
+         .partitionBy(partition_col).parquet(path))   # first load
         return
-    touched = updates.select(partition_col).distinct()
-    merged = upsert(target.join(touched, partition_col, "left_semi"), updates, keys, order)
-    stage = f"{checkpoint_dir(spark)}/upsert-{uuid.uuid4().hex}"
+    target = target.withColumn(partition_col, F.col(partition_col).cast(updates.schema[partition_col].dataType))
+    held = target.join(updates.select(*keys).distinct(), list(keys), "left_semi").select(partition_col)
+    touched = updates.select(partition_col).union(held).distinct()
+    merged = upsert(target.join(touched.withColumnRenamed(partition_col, "_p"),
+                                F.col(partition_col).eqNullSafe(F.col("_p")), "left_semi"), updates, keys, order)
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    # Partition values that lost all rows: listed from the folders (a folder per value).
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    fs = fs_path(path).getFileSystem(conf)
+
+    def folders(root):
+        f = fs_path(root).getFileSystem(conf)
+        return {st.getPath().getName() for st in f.listStatus(fs_path(root)) if st.isDirectory()}
+
+    names = touched.select(F.coalesce(F.col(partition_col).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias("v"))
+    gone = (folders(path) - folders(stage)) & {f"{partition_col}={r.v}" for r in names.collect()}
+    staged = spark.read.schema(merged.schema).parquet(stage)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    for g in sorted(gone):
+        fs.delete(fs_path(f"{path}/{g}"), True)
 
 
 # ------------------------------------------------------------------ PL7 curated build
@@ -196,9 +216,11 @@ def daily_uptime(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) -> DataFrame
 # ------------------------------------------------------------------ PL10 / C11 row flags
 def with_dq_warning(df: DataFrame, table: str, options: Options | None = None,
                     rule_ids: Sequence[str] | None = None) -> DataFrame:
-    """Add ``dq_warning``: the ids of the row-level rules this row violates."""
+    """Add ``dq_warning``: the ids of the row-level rules this row violates - by default
+    those of HIGH and MEDIUM severity (CRITICAL ones block, lesser ones are only logged)."""
     rr = row_rules(options or Options())
-    ids = [r for r, (tab, _, _) in rr.items() if tab == table and (rule_ids is None or r in rule_ids)]
+    wanted = rule_ids if rule_ids is not None else [r.rule_id for r in RULES if r.severity in ("HIGH", "MEDIUM")]
+    ids = [r for r, (tab, _, _) in rr.items() if tab == table and r in wanted]
     flags = F.filter(F.array(*[F.when(rr[r][1], F.lit(r)) for r in ids]), lambda x: x.isNotNull())
     return df.withColumn("dq_warning", flags)
 
@@ -220,47 +242,158 @@ def evolve(versions: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-# ------------------------------------------------------------------ C8-C12
-def sampled(t: FabTables, fraction: float, seed: int = 7) -> FabTables:
-    """The fact tables sampled (dimensions whole) - counts on it are estimates
-    that :func:`scale_estimates` rescales."""
-    return t.with_(fact_wafer_tests=t.fact_wafer_tests.sample(fraction=fraction, seed=seed),
-                   fact_equipment_events=t.fact_equipment_events.sample(fraction=fraction, seed=seed))
-
-
-def scale_estimates(results: DataFrame, fraction: float, rule_ids: Sequence[str]) -> DataFrame:
-    v = F.col("violations")
-    scaled = F.when(F.col("rule_id").isin(list(rule_ids)), F.round(v / F.lit(fraction)).cast("long")).otherwise(v)
-    return results.withColumn("violations", scaled).withColumn("estimated", F.col("rule_id").isin(list(rule_ids)))
-
+# ------------------------------------------------------------------ C8 sampled checks
+#: The rules that need joins, groups or sequences, and so are worth sampling.
+EXPENSIVE_RULES = ["DQ001", "DQ002", "DQ003", "DQ004", "DQ005", "DQ007", "DQ014", "DQ015", "DQ016", "DQ017"]
+
+
+def sampled_key(key: str, fraction: float):
+    """Keys of the sample: by a hash of the key (NULL: of the empty text), so that a key's
+    rows are all in or all out, whatever the file layout and engine."""
+    h = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, 4), 16, 10)
+    return h.cast("long") < int(round(fraction * 65536))
+
+
+def sampled(t: FabTables, fraction: float) -> FabTables:
+    """Tests and batches of a sample of batches, events of a sample of tools."""
+    return t.with_(fact_wafer_tests=t.fact_wafer_tests.filter(sampled_key("batch_id", fraction)),
+                   fact_equipment_events=t.fact_equipment_events.filter(sampled_key("equipment_id", fraction)))
+
+
+def sampled_checks(t: FabTables, fraction: float, options: Options | None = None) -> DataFrame:
+    """The expensive rules on a key sample. Violations are estimates (scaled by the
+    fraction), and the verdict follows from the estimate."""
+    some = sampled(t, fraction)
+    few = lambda build: lambda _, o: build(some.with_(  # noqa: E731 - rules over batches sample them too
+        dim_wafer_batches=t.dim_wafer_batches.filter(sampled_key("batch_id", fraction))), o)
+    own = [_with_builder(r, few(SET_RULES[r]) if r in ("DQ002", "DQ015") else (lambda _, o, b=SET_RULES[r]: b(some, o)))
+           for r in EXPENSIVE_RULES]
+    res = run_checks(t, rule_ids=EXPENSIVE_RULES, options=options, rules=own)
+    scaled = F.when(F.col("violations") < 0, F.col("violations")).otherwise(
+        F.round(F.col("violations") / F.lit(fraction)).cast("long"))
+    error = F.when(F.col("status") == "ERROR", F.lit("error"))
+    return (res.withColumn("violations", scaled)
+            .withColumn("status", verdict(F.col("violations"), F.col("threshold"), F.col("severity"), error))
+            .withColumn("estimated", F.lit(True)))
+
+
+def _with_builder(rule_id: str, build) -> Rule:
+    r = RULE_BY_ID[rule_id]
+    return Rule(r.rule_id, r.name, r.category, r.severity, r.layer, r.threshold, r.impact, builder=build)
+
+
+# ------------------------------------------------------------------ C9 incremental checks
+INCREMENTAL_RULES = ["DQ001", "DQ003", "DQ004", "DQ005", "DQ007", "DQ008", "DQ009", "DQ010", "DQ011", "DQ012",
+                     "DQ013", "DQ014", "DQ016", "DQ017", "DQ018", "DQ019"]
+
+
+def incremental_checks(t: FabTables, watermark, options: Options | None = None) -> DataFrame:
+    """The rules over fact rows newer than the mark. Row-level rules see the new rows;
+    groups and sequences are judged whole (old rows included) where a new row touches them:
+    a duplicate of an older row, a step before an older one, an old gap that a new event
+    ends. Old rows of keys that no new row has are not read into any shuffle."""
+    new = t.with_(fact_wafer_tests=incremental(t.fact_wafer_tests, watermark, "test_timestamp"),
+                  fact_equipment_events=incremental(t.fact_equipment_events, watermark))
+    mark = ts_lit(watermark)
+
+    def of_touched(keys: Sequence[str], df: DataFrame, fresh: DataFrame) -> DataFrame:
+        k = fresh.select(*[F.col(c).alias(f"_n{i}") for i, c in enumerate(keys)]).distinct()
+        same = F.lit(True)
+        for i, c in enumerate(keys):
+            same = same & F.col(c).eqNullSafe(F.col(f"_n{i}"))
+        return df.join(k, same, "left_semi")
+
+    tests = lambda keys: t.with_(fact_wafer_tests=of_touched(
+        keys, t.fact_wafer_tests, new.fact_wafer_tests))
+
+    def dq004(_, o):
+        from waferline.operators.sequence import keyed_lag
+        ev = of_touched(["equipment_id"], t.fact_equipment_events, new.fact_equipment_events).select(
+            "equipment_id", "event_timestamp", "ingestion_timestamp")
+        tie = [c for c in ("ingestion_timestamp", "event_timestamp") if c != o.dq004_order]
+        seq = keyed_lag(ev, "equipment_id", o.dq004_order, ["event_timestamp"], tie=tie, prefix="prev_")
+        bad = seq.filter((F.col("event_timestamp") < F.col("prev_event_timestamp")) & (F.col("event_timestamp") > mark))
+        return _items(bad, "equipment_id")
+
+    def dq005(_, o):
+        return _items(dq005_pairs(tests(["batch_id", "wafer_id"])).filter(
+            F.greatest("last_test", "prev_test") > mark), "batch_id")
+
+    def dq017(_, o):
+        some = t.with_(fact_equipment_events=of_touched(["equipment_id"], t.fact_equipment_events,
+                                                        new.fact_equipment_events))
+        g = (down_gaps_forward(some).filter(F.col("next_event_timestamp") > mark)
+             .groupBy("equipment_id").agg(F.max("gap_hours").alias("h")).filter(F.col("h") > o.dq017_hours))
+        return _items(g, "equipment_id")
+
+    own = [_with_builder("DQ001", lambda _, o: SET_RULES["DQ001"](new, o)),
+           _with_builder("DQ003", lambda _, o: SET_RULES["DQ003"](new, o)),
+           _with_builder("DQ004", dq004), _with_builder("DQ005", dq005),
+           _with_builder("DQ007", lambda _, o: SET_RULES["DQ007"](tests(["batch_id"]), o)),
+           _with_builder("DQ014", lambda _, o: SET_RULES["DQ014"](tests(list(o.dq014_keys)), o)),
+           _with_builder("DQ016", lambda _, o: SET_RULES["DQ016"](tests(["batch_id"]), o)),
+           _with_builder("DQ017", dq017)]
+    return run_checks(new, rule_ids=INCREMENTAL_RULES, options=options, rules=own)
+
+
+# ------------------------------------------------------------------ C10 trend
+def dated_violations(t: FabTables, options: Options | None = None) -> DataFrame:
+    """rule_id, date, w of every violation of every rule: the day of the test, event or
+    batch start at fault; of the last test for groups of tests; of the event that ends a
+    gap. DQ020 gives, for each day with events, the whole hours from its last event to
+    midnight."""
+    o = options or Options()
+    parts = []
 
-def incremental_tables(t: FabTables, watermark) -> FabTables:
-    """Only fact rows newer than the watermark are checked."""
-    return t.with_(fact_wafer_tests=incremental(t.fact_wafer_tests, watermark, "test_timestamp"),
-                   fact_equipment_events=incremental(t.fact_equipment_events, watermark))
+    def add(rule: str, df: DataFrame, ts, w=None) -> None:
+        parts.append(df.select(F.lit(rule).alias("rule_id"), F.to_date(ts).alias("date"),
+                               (F.lit(1) if w is None else w).cast("long").alias("w")))
+
+    tests, events, batches = t.fact_wafer_tests, t.fact_equipment_events, t.dim_wafer_batches
+    stamp = {"tests": "test_timestamp", "events": "event_timestamp", "batches": "start_time"}
+    rr = row_rules(o)
+    for table, ts in stamp.items():
+        broken = F.filter(F.array(*[F.when(p, F.lit(r)) for r, (tab, p, _) in rr.items() if tab == table]),
+                          lambda x: x.isNotNull())
+        parts.append(layer_tables(t)[table].select(F.explode(broken).alias("rule_id"), F.to_date(ts).alias("date"),
+                                                   F.lit(1).cast("long").alias("w")))
+    add("DQ001", tests.join(batches.select("batch_id"), "batch_id", "left_anti"), "test_timestamp")
+    from waferline.operators.routes import explode_route
+    route = explode_route(batches).join(t.dim_equipment.select(F.col("equipment_id").cast("string").alias("equipment_id")),
+                                        "equipment_id", "left_anti")
+    add("DQ002", route.select("batch_id").join(batches.select("batch_id", "start_time"), "batch_id"), "start_time")
+    add("DQ003", tests.join(t.dim_process_steps.select("process_step_id"), "process_step_id", "left_anti"), "test_timestamp")
+    from waferline.operators.sequence import keyed_lag
+    tie = [c for c in ("ingestion_timestamp", "event_timestamp") if c != o.dq004_order]
+    seq = keyed_lag(events.select("equipment_id", "event_timestamp", "ingestion_timestamp"), "equipment_id",
+                    o.dq004_order, ["event_timestamp"], tie=tie, prefix="prev_")
+    add("DQ004", seq.filter(F.col("event_timestamp") < F.col("prev_event_timestamp")), "event_timestamp")
+    add("DQ005", dq005_pairs(t), "last_test")
+    per_batch = tests.groupBy("batch_id").agg(
+        F.countDistinct("wafer_id").alias("wafers"), F.max("test_timestamp").alias("ts"),
+        F.round(pct(F.sum(flag(F.col("pass_fail") == "PASS")), F.count("wafer_id") if o.dq007_denominator == "tests"
+                    else F.countDistinct("wafer_id")), 2).alias("y"))
+    add("DQ007", per_batch.filter((F.col("y") < 0) | (F.col("y") > 100)), "ts")
+    lo, hi = o.dq016_range
+    add("DQ016", per_batch.filter((F.col("wafers") < lo) | (F.col("wafers") > hi)), "ts")
+    add("DQ014", tests.groupBy(*o.dq014_keys).agg(F.count(F.lit(1)).alias("n"), F.max("test_timestamp").alias("ts"))
+        .filter("n > 1"), "ts")
+    add("DQ015", batches.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("start_time").alias("ts"))
+        .filter("n > 1"), "ts")
+    add("DQ017", down_gaps_forward(t).filter(F.col("gap_hours") > o.dq017_hours), "next_event_timestamp")
+    days = events.groupBy(F.to_date("event_timestamp").alias("d")).agg(F.max("event_timestamp").alias("ts"))
+    left = F.timestamp_diff("HOUR", F.col("ts"), F.date_add("d", 1).cast("timestamp_ntz"))
+    add("DQ020", days.filter(F.col("d").isNotNull()), "ts", left)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
-def violation_trend(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, window_days: int = 7,
-                    options: Options | None = None) -> DataFrame:
-    """Daily violations of every row-level rule, with the previous day and the
-    trailing average (the per-rule windows run over one row per rule and day)."""
-    rr = row_rules(options or Options())
-    tabs = {"tests": (t.fact_wafer_tests, "test_timestamp"),
-            "events": (t.fact_equipment_events, "event_timestamp"),
-            "batches": (t.dim_wafer_batches, "start_time")}
-    since = window_start(as_of, days=days)
-    parts = []
-    for table, (df, ts) in tabs.items():
-        ids = [r for r, (tab, _, _) in rr.items() if tab == table]
-        if not ids:
-            continue
-        g = (df.filter(F.col(ts) >= since).groupBy(F.to_date(ts).alias("date"))
-             .agg(*[F.count_if(rr[r][1]).alias(r) for r in ids]))
-        stack = ", ".join(f"'{r}', `{r}`" for r in ids)
-        parts.append(g.select("date", F.expr(f"stack({len(ids)}, {stack}) AS (rule_id, violations)")))
-    daily = parts[0]
-    for p in parts[1:]:
-        daily = daily.unionByName(p)
+def violation_trend(daily: DataFrame, window_days: int = 7) -> DataFrame:
+    """Per rule and day (rule_id, date, violations - stored results or
+    :func:`daily_violations`) the previous day and the trailing average. The per-rule
+    windows run over one row per rule and day."""
     w = Window.partitionBy("rule_id").orderBy("date")
     return daily.select(
         "rule_id", "date", "violations", F.lag("violations").over(w).alias("prev_violations"),
@@ -268,15 +401,52 @@ def violation_trend(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, window_da
     ).orderBy("rule_id", "date")
 
 
+def daily_violations(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, options: Options | None = None) -> DataFrame:
+    """rule_id, date, violations of every rule on every day of the window on which the
+    facts have rows (0 where a rule is not broken)."""
+    since_ = window_start(as_of, days=days)
+    d = (t.fact_wafer_tests.filter(F.col("test_timestamp") >= since_).select(F.to_date("test_timestamp").alias("date"))
+         .union(t.fact_equipment_events.filter(F.col("event_timestamp") >= since_).select(F.to_date("event_timestamp")))
+         .distinct())
+    zero = d.select(F.explode(F.array(*[F.lit(r.rule_id) for r in RULES])).alias("rule_id"), "date",
+                    F.lit(0).cast("long").alias("w"))
+    found = dated_violations(t, options).join(d, "date", "left_semi").select("rule_id", "date", "w")
+    return zero.unionByName(found).groupBy("rule_id", "date").agg(F.sum("w").alias("violations"))
+
+
+def stored_trend(results: DataFrame, window_days: int = 7) -> DataFrame:
+    """C10 on stored results (IO6): run_date, rule_id, violations of earlier runs."""
+    return violation_trend(results.select("rule_id", F.to_date("run_date").alias("date"), "violations"), window_days)
+
+
+# ------------------------------------------------------------------ C12 clean batches
+def batches_at_fault(t: FabTables, options: Options | None = None) -> DataFrame:
+    """Distinct batch_ids that break a rule which concerns batches: their own rows (DQ002,
+    DQ006, DQ015), one of their tests (DQ003, DQ008, DQ011, DQ013, DQ018) or their tests
+    together (DQ005, DQ007, DQ014, DQ016)."""
+    o = options or Options()
+    rr = row_rules(o)
+    any_of = None
+    for r, (table, p, _) in rr.items():
+        if table == "tests":
+            any_of = p if any_of is None else any_of | p
+    tests, batches = t.fact_wafer_tests, t.dim_wafer_batches
+    sets = [tests.filter(any_of).select("batch_id"), batches.filter(rr["DQ006"][1]).select("batch_id"),
+            tests.join(t.dim_process_steps.select("process_step_id"), "process_step_id", "left_anti").select("batch_id"),
+            tests.groupBy("batch_id", *[k for k in o.dq014_keys if k != "batch_id"]).agg(F.count(F.lit(1)).alias("n"))
+            .filter("n > 1").select("batch_id")]
+    sets += [SET_RULES[r](t, o).select(F.col("ex").cast(tests.schema["batch_id"].dataType).alias("batch_id"))
+             for r in ("DQ002", "DQ005", "DQ007", "DQ015", "DQ016")]
+    out = sets[0]
+    for x in sets[1:]:
+        out = out.unionByName(x)
+    return out.distinct()
+
+
 def clean_batch_share(t: FabTables, options: Options | None = None) -> DataFrame:
-    """Share of batches none of whose test rows breaks a row-level rule."""
-    flagged = with_dq_warning(t.fact_wafer_tests.select("batch_id", *[
-        c for c in t.fact_wafer_tests.columns if c != "batch_id"]), "tests", options)
-    bad = flagged.filter(F.size("dq_warning") > 0).select("batch_id").distinct()
+    """Share of batches that break no rule which concerns batches."""
     batches = t.dim_wafer_batches.select("batch_id")
-    clean = batches.join(bad, "batch_id", "left_anti")
-    total = batches.agg(F.count(F.lit(1)).alias("batches"))
-    good = clean.agg(F.count(F.lit(1)).alias("clean_batches"))
-    return total.crossJoin(good).select("batches", "clean_batches",
-                                        F.round(pct("clean_batches", "batches"), 2).alias("clean_pct"))
-
+    bad = batches_at_fault(t, options).select("batch_id", F.lit(1).alias("bad"))
+    n = batches.join(bad, "batch_id", "left").agg(F.count(F.lit(1)).alias("batches"),
+                                                  F.count_if(F.col("bad").isNull()).alias("clean_batches"))
+    return n.select("batches", "clean_batches", F.round(pct("clean_batches", "batches"), 2).alias("clean_pct"))

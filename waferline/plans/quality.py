@@ -1,12 +1,14 @@
 """Declarative data-quality rules (DQ001-DQ020) and the rule runner.
 
-Execution model (C1): the row-level predicates of one table are fused into ONE
-aggregate (``count_if`` per rule), so each table is scanned once for all of them;
-grouped, orphan (anti-join) and metric rules are one small plan each. All rule
-outcomes are unioned into a single result DataFrame with the verdict (C2) computed
-as a column expression - nothing is collected to the driver. Examples (``details``)
-are the five smallest distinct example ids of each rule, taken with a top-k
-(``TakeOrderedAndProject``) over the distinct violating ids.
+Execution model (C1): the row-level predicates of one table are fused into one scan of
+it, which yields an item per broken rule; grouped, orphan (anti-join) and metric rules are
+one small plan each over their own table. All items are united into one pipeline that
+counts them and picks the five smallest distinct example ids per rule (``details``); the
+verdict (C2) is a column expression - nothing is collected to the driver.
+
+Rules of one's own: a :class:`Rule` with a ``predicate`` (row-level, over ``table``) or a
+``builder`` (any DataFrame of ``ex``, ``w``), passed to ``run_checks(rules=...)``, is
+fused, isolated and reported like the built-in ones; one with a built-in's id replaces it.
 """
 
 from __future__ import annotations
@@ -32,6 +34,12 @@ class Rule:
     layer: str
     threshold: int
     impact: str
+    #: Rules of one's own: a row-level predicate over ``table`` with the column that names
+    #: examples, or a builder ``(tables, options) -> DataFrame(ex, w)``.
+    table: str | None = None
+    predicate: Column | None = None
+    example: str | None = None
+    builder: Callable[[FabTables, Options], DataFrame] | None = None
 
 
 # The rule catalogue (id, name, category, severity, layer, threshold,
@@ -148,7 +156,7 @@ def dq002(t, o):
 
 
 def dq003(t, o):
-    steps = F.broadcast(t.dim_process_steps.select("process_step_id"))
+    steps = t.dim_process_steps.select("process_step_id")
     return _items(t.fact_wafer_tests.join(steps, "process_step_id", "left_anti"), "wafer_id")
 
 
@@ -161,20 +169,24 @@ def dq004(t, o):
     return _items(g, "equipment_id", F.col("violations"))
 
 
-def dq005(t, o):
+def dq005_pairs(t: FabTables) -> DataFrame:
     """LAG(start_time) per wafer ordered by (step, start_time): inside one step the
     order is by start time, so only the first row of a step can be earlier than its
     predecessor, the last row of the previous step. That is exactly
     ``min(start of step) < max(start of previous step)`` - a partial aggregate per
     (wafer, step) followed by a LAG over at most route-length rows per wafer, so even
-    a wafer with millions of duplicate rows stays one small group."""
+    a wafer with millions of duplicate rows stays one small group. ``last_test`` and
+    ``prev_test``: the last test times of the two steps."""
     per_step = (t.fact_wafer_tests.groupBy("batch_id", "wafer_id", "process_step_id")
                 .agg(F.min("start_time").alias("first_start"), F.max("start_time").alias("last_start"),
-                     F.count_if(F.col("start_time").isNull()).alias("nulls")))
+                     F.max("test_timestamp").alias("last_test"), F.count_if(F.col("start_time").isNull()).alias("nulls")))
     w = Window.partitionBy("batch_id", "wafer_id").orderBy(F.col("process_step_id").asc_nulls_first())
-    seq = per_step.withColumn("prev_last", F.lag("last_start").over(w))
-    bad = seq.filter((F.col("nulls") == 0) & (F.col("first_start") < F.col("prev_last")))
-    g = bad.groupBy("batch_id").agg(F.count(F.lit(1)).alias("violations"))
+    seq = per_step.select("*", F.lag("last_start").over(w).alias("prev_last"), F.lag("last_test").over(w).alias("prev_test"))
+    return seq.filter((F.col("nulls") == 0) & (F.col("first_start") < F.col("prev_last")))
+
+
+def dq005(t, o):
+    g = dq005_pairs(t).groupBy("batch_id").agg(F.count(F.lit(1)).alias("violations"))
     return _items(g, "batch_id", F.col("violations"))
 
 
@@ -240,68 +252,73 @@ SET_RULES: dict[str, Callable[[FabTables, Options], DataFrame]] = {
 }
 
 
-def _rule_catalog(spark: SparkSession, ids: list[str]) -> DataFrame:
+def _rule_catalog(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     from waferline.sources.driver import literal_table
-    rows = [(r.rule_id, r.name, r.category, r.severity, r.layer, r.threshold, r.impact)
-            for r in RULES if r.rule_id in ids]
+    rows = [(r.rule_id, r.name, r.category, r.severity, r.layer, r.threshold, r.impact) for r in rules]
     return literal_table(spark, rows, "rule_id string, rule_name string, category string, severity string, "
                                       "layer string, threshold bigint, impact string")
 
 
-def violation_stream(t: FabTables, rule_ids: list[str], o: Options) -> DataFrame:
-    """All violating items of the rules as one stream (rule_id, ex, w).
+def violation_stream(t: FabTables, rules: list[Rule], o: Options) -> DataFrame:
+    """All violating items of the rules as one stream (rule_id, ex, w, err).
 
     The row-level rules of a table are evaluated in ONE scan of it: each row yields
-    one item per rule it breaks (rows that break nothing yield nothing)."""
+    one item per rule it breaks (rows that break nothing yield nothing). A rule whose plan
+    cannot be built yields one item with its error text, and the others still run."""
     tabs = layer_tables(t)
-    rr = row_rules(o)
-    parts: list[DataFrame] = []
+    built_in = row_rules(o)
+    row: dict[str, tuple[str, Column, str | None]] = {}
+    sets: dict[str, Callable[[FabTables, Options], DataFrame]] = {}
+    for r in rules:
+        if r.builder is not None:
+            sets[r.rule_id] = r.builder
+        elif r.predicate is not None:
+            row[r.rule_id] = (r.table, r.predicate, r.example)
+        elif r.rule_id in built_in:
+            row[r.rule_id] = built_in[r.rule_id]
+        else:
+            sets[r.rule_id] = SET_RULES[r.rule_id]
     by_table: dict[str, list[str]] = {}
-    for rid in rule_ids:
-        if rid in rr:
-            by_table.setdefault(rr[rid][0], []).append(rid)
+    for rid, (table, _, _) in row.items():
+        by_table.setdefault(table, []).append(rid)
     spark = t.fact_wafer_tests.sparkSession
-
-    def row_items(df: DataFrame, rids: list[str]) -> DataFrame:
-        broken = F.filter(F.array(*[F.when(rr[r][1], F.lit(r)) for r in rids]), lambda x: x.isNotNull())
-        ex_cols = sorted({rr[r][2] for r in rids if rr[r][2]})
-        ex = None
-        for r in rids:
-            if rr[r][2]:
-                ex = (F.when(F.col("rule_id") == r, s(rr[r][2])) if ex is None
-                      else ex.when(F.col("rule_id") == r, s(rr[r][2])))
-        ex = ex if ex is not None else F.lit(None).cast("string")
-        out = (df.select(F.explode(broken).alias("rule_id"), *ex_cols)
-               .select("rule_id", ex.alias("ex"), F.lit(1).cast("long").alias("w")))
+    parts: list[DataFrame] = []
+    none = F.lit(None).cast("string")
+
+    def row_items(table: str, rids: list[str]) -> DataFrame:
+        # A NULL predicate is no violation; flags and examples leave the scan as arrays.
+        broken = F.filter(F.array(*[F.when(row[r][1], F.struct(
+            F.lit(r).alias("rule_id"), (s(row[r][2]) if row[r][2] else none).alias("ex"))) for r in rids]),
+            lambda x: x.isNotNull())
+        out = (tabs[table].select(F.explode(broken).alias("i"))
+               .select("i.rule_id", "i.ex", F.lit(1).cast("long").alias("w"), none.alias("err")))
         out.schema          # analyse now, so a broken rule is caught here (C3)
         return out
 
     def error_item(rid: str, e: Exception) -> DataFrame:
-        msg = f"Error: {type(e).__name__}: {str(e).splitlines()[0][:200]}"
-        return spark.createDataFrame([(rid, msg, -1)], "rule_id string, ex string, w long")
+        return spark.createDataFrame([(rid, None, None, f"Error: {e}")], "rule_id string, ex string, w long, err string")
 
     for table, rids in by_table.items():
-        df = tabs[table]
         try:
-            parts.append(row_items(df, rids))
+            parts.append(row_items(table, rids))
         except Exception:  # noqa: BLE001 - isolate the failing rule(s), keep the others fused
             ok = []
             for r in rids:
                 try:
-                    row_items(df, [r])
+                    row_items(table, [r])
                     ok.append(r)
                 except Exception as e:  # noqa: BLE001
                     parts.append(error_item(r, e))
             if ok:
-                parts.append(row_items(df, ok))
-    for rid in rule_ids:
-        if rid in SET_RULES:
-            try:
-                items = SET_RULES[rid](t, o).select(F.lit(rid).alias("rule_id"), "ex", "w")
-                items.schema
-                parts.append(items)
-            except Exception as e:  # noqa: BLE001
-                parts.append(error_item(rid, e))
+                parts.append(row_items(table, ok))
+    for rid, build in sets.items():
+        try:
+            items = build(t, o).select(F.lit(rid).alias("rule_id"), F.col("ex").cast("string").alias("ex"),
+                                       F.col("w").cast("long").alias("w"), none.alias("err"))
+            items.schema
+            parts.append(items)
+        except Exception as e:  # noqa: BLE001
+            parts.append(error_item(rid, e))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -311,21 +328,22 @@ def violation_stream(t: FabTables, rule_ids: list[str], o: Options) -> DataFrame
 EXAMPLE_BUCKETS = 1024
 
 
-def rule_outcomes(t: FabTables, rule_ids: list[str], o: Options) -> DataFrame:
-    """(rule_id, violations, details) for the rules that have any violating item.
+def rule_outcomes(t: FabTables, rules: list[Rule], o: Options) -> DataFrame:
+    """(rule_id, violations, details, error) for the rules that have any item. A metric
+    without a value (DQ020 on an empty table) has NULL violations.
 
-    One linear pipeline, so every table is read once:
+    One linear pipeline over the items:
     1. partial aggregate per (rule, example id) - shuffled on the id, so no rule is
        concentrated in one task;
     2. a window per (rule, hash bucket of the id) - each bucket's total weight and
        its k smallest ids (a bucket holds 1/EXAMPLE_BUCKETS of a rule's ids);
     3. per rule: the sum of the bucket totals and the k smallest of the at most
        k * EXAMPLE_BUCKETS surviving ids."""
-    items = violation_stream(t, rule_ids, o)
-    per_ex = items.groupBy("rule_id", "ex").agg(F.sum("w").alias("w"))
+    items = violation_stream(t, rules, o)
+    per_ex = items.groupBy("rule_id", "ex").agg(F.sum("w").alias("w"), F.max("err").alias("err"))
     k = max(o.examples, 1)
     bucket = Window.partitionBy("rule_id", F.pmod(F.hash("ex"), F.lit(EXAMPLE_BUCKETS)))
-    ranked = per_ex.select("rule_id", "ex",
+    ranked = per_ex.select("rule_id", "ex", "err",
                            F.row_number().over(bucket.orderBy(F.col("ex").asc_nulls_last())).alias("_r"),
                            F.sum("w").over(bucket).alias("_bucket_w"))
     kept = ranked.filter(F.col("_r") <= k)
@@ -333,36 +351,41 @@ def rule_outcomes(t: FabTables, rule_ids: list[str], o: Options) -> DataFrame:
                else F.array().cast("array<string>"))
     return kept.groupBy("rule_id").agg(
         F.sum(F.when(F.col("_r") == 1, F.col("_bucket_w"))).alias("violations"),
-        details.alias("details"))
+        details.alias("details"), F.max("err").alias("error"), F.lit(True).alias("found"))
 
 
-def verdict(violations: Column, threshold: Column, severity: Column) -> Column:
-    """-1 -> ERROR; <= threshold -> PASS; CRITICAL/HIGH -> FAIL; otherwise WARNING."""
-    return (F.when(violations == -1, "ERROR").when(violations <= threshold, "PASS")
+def verdict(violations: Column, threshold: Column, severity: Column, error: Column | None = None) -> Column:
+    """An error -> ERROR; <= threshold -> PASS; CRITICAL/HIGH -> FAIL; otherwise
+    WARNING. NULL violations (a metric without a value) never pass."""
+    failed = F.lit(False) if error is None else error.isNotNull()
+    return (F.when(failed, "ERROR").when(violations <= threshold, "PASS")
             .when(severity.isin("CRITICAL", "HIGH"), "FAIL").otherwise("WARNING"))
 
 
 def run_checks(t: FabTables, layer: str | None = None, rule_ids: list[str] | None = None,
-               options: Options | None = None) -> DataFrame:
+               options: Options | None = None, rules: list[Rule] | None = None) -> DataFrame:
     """Result rows (rule_id, rule_name, category, severity, status, violations,
     threshold, impact, details, layer) for the selected rules (``layer`` equal, as
-    the three layer names make the reference's substring test an equality)."""
+    the three layer names make the reference's substring test an equality). ``rules`` adds
+    rules of one's own to the catalogue, or replaces built-in ones of the same id. A rule in
+    error has -1 violations and its whole error text as details."""
     o = options or Options()
-    ids = [r.rule_id for r in RULES
-           if (layer is None or r.layer == layer) and (rule_ids is None or r.rule_id in rule_ids)]
+    catalogue = {r.rule_id: r for r in [*RULES, *(rules or [])]}
+    chosen = [r for r in catalogue.values()
+              if (layer is None or r.layer == layer) and (rule_ids is None or r.rule_id in rule_ids)]
     spark = t.fact_wafer_tests.sparkSession
-    cat = _rule_catalog(spark, ids)
-    if not ids:
-        return cat.select("*", F.lit(None).cast("string").alias("status"),
-                          F.lit(None).cast("long").alias("violations"),
-                          F.array().cast("array<string>").alias("details"))
-    res = F.broadcast(cat).join(rule_outcomes(t, ids, o), "rule_id", "left")
-    v = F.coalesce(F.col("violations"), F.lit(0)).cast("long")
+    if not chosen:
+        return _rule_catalog(spark, RULES[:1]).filter(F.lit(False)).select(
+            "*", F.lit(None).cast("string").alias("status"), F.lit(None).cast("long").alias("violations"),
+            F.array().cast("array<string>").alias("details"))
+    res = F.broadcast(_rule_catalog(spark, chosen)).join(rule_outcomes(t, chosen, o), "rule_id", "left")
+    v = F.when(F.col("found"), F.col("violations")).otherwise(0).cast("long")
     return res.select(
         "rule_id", "rule_name", "category", "severity",
-        verdict(v, F.col("threshold"), F.col("severity")).alias("status"),
-        v.alias("violations"), "threshold", "impact",
-        F.coalesce("details", F.array().cast("array<string>")).alias("details"), "layer",
+        verdict(v, F.col("threshold"), F.col("severity"), F.col("error")).alias("status"),
+        F.when(F.col("error").isNotNull(), F.lit(-1).cast("long")).otherwise(v).alias("violations"), "threshold", "impact",
+        F.when(F.col("error").isNotNull(), F.array("error"))
+        .otherwise(F.coalesce("details", F.array().cast("array<string>"))).alias("details"), "layer",
     ).orderBy("rule_id")
 
 

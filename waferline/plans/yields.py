@@ -68,13 +68,16 @@ def y2_yield_trend(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_wafers
     w = Window.partitionBy("equipment_type").orderBy("test_date")
     ma = F.avg("yield_pct").over(w.rowsBetween(-(ma_rows - 1), 0))
     overall = F.avg("yield_pct").over(Window.partitionBy("equipment_type"))
+    # The deviation is rounded from exact decimals: it often falls on a rounding tie.
+    exact = F.col("yield_pct").cast("decimal(20,2)")
+    dev = F.round(exact - F.avg(exact).over(w.rowsBetween(-(ma_rows - 1), 0)), 2).cast("double")
     d = daily.select("test_date", "equipment_type", "wafers", "yield_pct",
-                     ma.alias("ma"), overall.alias("overall"))
+                     ma.alias("ma"), overall.alias("overall"), dev.alias("dev"))
     y, o = F.col("yield_pct"), F.col("overall")
     return d.select(
         "test_date", "equipment_type", "wafers", "yield_pct",
         stable("ma").alias("yield_7day_ma"), stable("overall").alias("overall_avg_yield"),
-        F.round(y - F.col("ma"), 2).alias("deviation_from_trend"),
+        F.col("dev").alias("deviation_from_trend"),
         F.when(y < o - drop_major, Y2_TREND_STATUS[0]).when(y < o - drop_minor, Y2_TREND_STATUS[1])
          .when(y > o + improve, Y2_TREND_STATUS[2]).otherwise(Y2_TREND_STATUS[3]).alias("trend_status"),
     ).orderBy(F.desc("test_date"), "equipment_type")

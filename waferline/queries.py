@@ -33,6 +33,11 @@ query("r2_health_status")(E.r2_health_status)
 from waferline.plans import trace as B  # noqa: E402
 
 query("b1_wafer_trace")(B.b1_wafer_trace)
+# One wafer, one lot: the form in which the trace is mostly asked for.
+query("b1_wafer_trace_one")(lambda t: B.b1_wafer_trace(
+    t, [t.fact_wafer_tests.agg(F.min("wafer_id")).first()[0]]))
+query("b6_lot_trace_one")(lambda t: B.b6_lot_trace(
+    t, lots=[t.dim_wafer_batches.agg(F.min("lot_number")).first()[0]]))
 query("b2_batch_root_cause")(B.b2_batch_root_cause)
 # Driver tables: wafers repeat steps, so the wafer-denominator yield is far above 100 %
 # and no batch is below 85; the test-row denominator with threshold 90.
@@ -73,6 +78,19 @@ for _n in ("pl1_standardize", "pl2_dedupe", "pl3_incremental", "pl3_watermark",
            "pl5_watermark", "pl6_upsert", "pl8_scd2", "pl10_dq_warning", "c8_sampled_checks",
            "c9_incremental_checks", "c10_violation_trend", "c12_clean_batch_share"):
     query(_n)(getattr(LQ, _n))
+for _n in ("pl6_write_upsert",):
+    query(_n)(getattr(LQ, _n))
+
+from waferline.sources.dirty import dirty_tables  # noqa: E402
+
+# The same plans over tables with faults, where every rule fires.
+query("dq_results_dirty")(lambda t: Q.as_text(Q.run_checks(dirty_tables(t))))
+query("e6_criticality_dirty")(lambda t: E.e6_criticality(dirty_tables(t)))
+query("pl1_rejects")(lambda t: LQ.pl1_rejects(dirty_tables(t)))
+query("pl10_dq_warning_dirty")(lambda t: LQ.pl10_dq_warning(dirty_tables(t)))
+query("c10_violation_trend_dirty")(lambda t: LQ.c10_violation_trend(dirty_tables(t)))
+query("c12_clean_batch_share_dirty")(lambda t: LQ.c12_clean_batch_share(dirty_tables(t)))
+query("dq_custom")(LQ.dq_custom)
 query("pl9_daily_yield")(L.daily_yield)
 query("pl9_daily_yield_recipe")(lambda t: L.daily_yield(t, by_recipe=True))
 query("pl9_daily_uptime")(L.daily_uptime)

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waferline.plans.layers import dedupe_latest
 from waferline.streaming import pipeline as S
 
 EVENT_COLS = ["equipment_id", "event_timestamp", "status", "temperature_c", "pressure_torr",
@@ -45,9 +46,13 @@ def s3_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s4_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows: each micro-batch writes the windows it changed (update mode), and the
+    last version of a window is its result - also of those the watermark has not closed."""
     out, ck = S.stream_dir(spark, "s4")
-    S.run_available_now(S.daily_metrics(S.late_tolerant(S.event_stream(spark, _source(sf_dir)))), out, ck)
-    return spark.read.parquet(out)
+    S.run_available_now(S.daily_metrics(S.late_tolerant(S.event_stream(spark, _source(sf_dir)))), out, ck, mode="update",
+                        foreach=lambda batch, epoch: batch.withColumn("version", F.lit(epoch).cast("long")))
+    return dedupe_latest(spark.read.parquet(out).drop("epoch"), ["window_start", "window_end", "equipment_id"],
+                         ["version"]).drop("version")
 
 
 def s5_stream_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
