@@ -1,5 +1,7 @@
 from datetime import timedelta
 
+from pyspark.sql import functions as F
+
 from conftest import AS_OF, ago, batch_row, equipment_row, event_row, maint_row, make_tables, rows, wt_row
 
 from waferline.plans import equipment as E
@@ -35,7 +37,16 @@ def test_e6_tool_without_tests_is_tier4(spark):
     t = make_tables(spark, equipment=[equipment_row("IDLE1")], events=[event_row("IDLE1", ago(days=1), "DOWN")])
     got = rows(E.e6_criticality(t, AS_OF), "wafers_processed_30d", "yield_pct", "down_events",
                "criticality_score", "criticality_tier")
-    assert got == [(0, None, 1, None, "🟢 TIER 4 - Low Impact Equipment")]
+    # LEFT JOIN and AVG(CASE ... ELSE 0): one row that is no PASS
+    assert got == [(0, 0.0, 1, 0.0, "🟢 TIER 4 - Low Impact Equipment")]
+
+
+def test_e6_counts_a_wafer_of_two_batches_once_and_no_null_wafer(spark):
+    s = ago(days=1)
+    tests = [wt_row("W1", "B1", 1, "T", s), wt_row("W1", "B2", 1, "T", s), wt_row(None, "B2", 1, "T", s)]
+    got = rows(E.e6_criticality(make_tables(spark, equipment=[equipment_row("T")], tests=tests), AS_OF),
+               "batches_processed_30d", "wafers_processed_30d", "estimated_value_processed")
+    assert got == [(2, 1, 1000)]
 
 
 def test_e4_baseline_includes_current_week(spark):
@@ -86,7 +97,7 @@ def test_b7_lag_ties_ordered_by_batch_and_maintenance_between(spark):
     batches = [batch_row("B1", s), batch_row("B2", s), batch_row("B3", s + timedelta(hours=5))]
     t = make_tables(spark, tests=tests, batches=batches,
                     maintenance=[maint_row("PM", "T", s + timedelta(hours=2))])
-    got = rows(B.b7_contamination(t, AS_OF), "batch_id", "prev_batch", "yield_delta", "maintenance_between",
-               "contamination_risk")
+    got = rows(B.b7_contamination(t, AS_OF).orderBy(F.desc("batch_id")), "batch_id", "prev_batch", "yield_delta",
+               "maintenance_between", "contamination_risk")
     assert got == [("B3", "B2", 100.0, 1, "🟢 MAINTENANCE EFFECTIVE"),
                    ("B2", "B1", 0.0, 0, "🔴 POSSIBLE CONTAMINATION - No cleaning between low-yield batches")]

@@ -35,10 +35,11 @@ def test_pass_fail_completeness_counts_each_row_once(spark):
 
 
 def test_thresholds_and_verdicts(spark):
-    df = spark.createDataFrame([(5, 5, "CRITICAL"), (6, 5, "CRITICAL"), (6, 5, "HIGH"), (6, 5, "MEDIUM"),
-                                (6, 5, "LOW"), (6, 5, "WARNING"), (-1, 5, "HIGH")], "v long, th long, sev string")
-    got = [r[0] for r in df.select(Q.verdict(F.col("v"), F.col("th"), F.col("sev"))).collect()]
-    assert got == ["PASS", "FAIL", "FAIL", "WARNING", "WARNING", "WARNING", "ERROR"]
+    df = spark.createDataFrame([(5, 5, "CRITICAL", None), (6, 5, "CRITICAL", None), (6, 5, "HIGH", None), (6, 5, "MEDIUM", None),
+                                (6, 5, "LOW", None), (6, 5, "WARNING", None), (-1, 5, "HIGH", None), (None, 5, "HIGH", None),
+                                (0, 5, "HIGH", "Error: x")], "v long, th long, sev string, err string")
+    got = [r[0] for r in df.select(Q.verdict(F.col("v"), F.col("th"), F.col("sev"), F.col("err"))).collect()]
+    assert got == ["PASS", "FAIL", "FAIL", "WARNING", "WARNING", "WARNING", "PASS", "FAIL", "ERROR"]
 
 
 def test_lateness_downtime_and_duration_boundaries(spark):
@@ -228,3 +229,89 @@ def test_raw_csv_layer_roundtrip_and_result_sink(spark):
     stored = spark.read.parquet(path)
     assert stored.count() == 2 * res.count()
     assert rows(stored.filter("rule_id = 'DQ009'").select("violations").distinct()) == [(1,)]
+
+
+def test_freshness_of_empty_and_future_events(spark):
+    assert _one(make_tables(spark), "DQ020")[:2] == (None, "FAIL")
+    ahead = [event_row("A", AS_OF + timedelta(hours=1, minutes=30))]
+    assert _one(make_tables(spark, events=ahead), "DQ020")[:2] == (-1, "PASS")
+    assert _one(make_tables(spark, events=[event_row("A", ago(hours=5))]), "DQ020")[:2] == (5, "FAIL")
+
+
+def test_event_order_rule_sees_null_tools_across_days(spark):
+    rows_ = lambda tool: [event_row(tool, ago(days=1), ingest=ago(days=3)),
+                          event_row(tool, ago(days=2), ingest=ago(days=1))]
+    assert _one(make_tables(spark, events=rows_("A")), "DQ004")[0] == 1
+    assert _one(make_tables(spark, events=rows_(None)), "DQ004")[0] == 1
+
+
+def test_upsert_dedupes_the_first_load_and_moves_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k string, v int, ing timestamp_ntz, d string"
+    at = lambda n: datetime(2024, 1, n)
+    first = spark.createDataFrame([("k1", 1, at(1), "d1"), ("k1", 2, at(2), "d1"), ("k2", 1, at(1), "d1"), ("k3", 1, at(1), None)], schema)
+    L.write_upsert(spark, first, path, ["k"], ["ing"], "d")
+    assert sorted(rows(spark.read.parquet(path), "k", "v")) == [("k1", 2), ("k2", 1), ("k3", 1)]
+    moved = spark.createDataFrame([("k1", 3, at(3), "d2"), ("k2", 2, at(3), "d2"), ("k3", 2, at(3), "d2")], schema)
+    for _ in range(2):
+        L.write_upsert(spark, moved, path, ["k"], ["ing"], "d")
+        assert sorted(rows(spark.read.parquet(path), "k", "v", "d")) == [("k1", 3, "d2"), ("k2", 2, "d2"), ("k3", 2, "d2")]
+
+
+def test_sampled_checks_judge_the_estimate(spark):
+    s = ago(days=1)
+    tests = [wt_row(f"W{i}", f"B{i}", 99, "T", s) for i in range(400)]
+    r = L.sampled_checks(make_tables(spark, tests=tests), 0.25).filter("rule_id = 'DQ003'").first()
+    assert r.status == "FAIL" and 200 < r.violations < 700 and r.violations % 4 == 0
+
+
+def test_incremental_checks_see_old_neighbours(spark):
+    old, new = ago(days=9), ago(days=1)
+    tests = [wt_row("W1", "B1", 2, "T", old), wt_row("W1", "B1", 2, "T", new), wt_row("W2", "B1", 2, "T", old),
+             wt_row("W2", "B1", 2, "T", old)]
+    t = make_tables(spark, tests=tests, batches=[batch_row("B1", old)],
+                    events=[event_row("D", old, "DOWN"), event_row("D", new, "DOWN")])
+    got = {r.rule_id: r.violations for r in L.incremental_checks(t, ago(days=7)).collect()}
+    assert got["DQ014"] == 1 and got["DQ017"] == 1 and got["DQ001"] == 0 and got["DQ016"] == 1
+
+
+def test_clean_share_counts_all_batch_rules(spark):
+    s = ago(days=1)
+    good = [wt_row(f"W{i}", "B0", 1, "T", s) for i in range(25)]
+    bad_end = ("B1", "L", "R", s, s - timedelta(hours=1), "T", 25)
+    tests = good + [wt_row(f"V{i}", "B1", 1, "T", s) for i in range(25)] + [wt_row(f"U{i}", "B2", 42, "T", s) for i in range(25)]
+    t = make_tables(spark, tests=tests, equipment=[equipment_row("T")], batches=[batch_row("B0", s, seq="T"), bad_end, batch_row("B2", s, seq="T")])
+    assert rows(L.clean_batch_share(t)) == [(3, 1, 33.33)]
+
+
+def test_errors_keep_their_whole_text_and_own_rules_run(spark):
+    t = make_tables(spark, tests=[wt_row("W1", "B1", 1, "T", ago(days=1), dd=0.5)])
+    def broken(tables, o):
+        raise ValueError("first line\n" + "x" * 500)
+    own = [Q.Rule("XX1", "n", "c", "HIGH", "staging", 0, "i", builder=broken),
+           Q.Rule("XX2", "n", "c", "LOW", "staging", 0, "i", table="tests", predicate=F.col("defect_density") > 0.4, example="wafer_id")]
+    got = {r.rule_id: r for r in Q.run_checks(t, rule_ids=["XX1", "XX2", "DQ008"], rules=own).collect()}
+    assert got["XX1"].status == "ERROR" and got["XX1"].violations == -1 and got["XX1"].details == ["Error: first line\n" + "x" * 500]
+    assert (got["XX2"].status, got["XX2"].violations, got["XX2"].details) == ("WARNING", 1, ["W1"])
+    assert got["DQ008"].status == "PASS"
+
+
+def test_results_and_watermarks_are_stored_once(spark, tmp_path):
+    from waferline.sources import layers as IO
+    t = make_tables(spark, tests=[wt_row("W1", "B1", 1, "T", ago(days=1))])
+    res = Q.run_checks(t, rule_ids=["DQ008", "DQ011"])
+    for day in ("2024-01-01", "2024-01-02", "2024-01-02"):
+        path = IO.store_results(res, str(tmp_path), day, "staging")
+    stored = spark.read.parquet(path)
+    assert stored.count() == 4 and L.stored_trend(stored).filter("prev_violations = 0").count() == 2
+    assert IO.read_watermarks(spark, str(tmp_path)) is None
+    for n in (1, 2):
+        IO.store_watermarks(spark.createDataFrame([("s", n)], "source string, current_ts long"), str(tmp_path))
+    assert rows(IO.read_watermarks(spark, str(tmp_path))) == [("s", 2)]
+
+
+def test_every_csv_of_a_folder_is_read(spark, tmp_path):
+    from waferline.sources import layers as IO
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "extra_table.csv").write_text("a,b\n1,x\n")
+    assert list(IO.read_layer(spark, str(tmp_path), "raw", "csv")) == ["extra_table"]

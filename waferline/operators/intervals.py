@@ -1,18 +1,16 @@
-"""Interval lookup (J4): aggregate the events of the same key inside ``[start, end]``.
+"""Interval lookups (J4, J5): what the events of the same key do inside ``[start, end]``.
 
-The reference writes this as a correlated scalar subquery with ``BETWEEN``, which
-Spark plans as a nested-loop join of events with the distinct windows (without the
-key). Here it is an equi-join on ``(key, time bucket)`` plus the range predicate:
+The reference writes these as correlated ``BETWEEN`` subqueries, which Spark plans as a
+nested loop of events with windows.
 
-* every window is exploded into the buckets it touches (``sequence`` + ``explode``),
-* every event has exactly one bucket, so no event is counted twice for a window,
-* the join output is the true overlaps plus the events of the two edge buckets,
-* aggregates are computed once per *distinct* window ``(key, start, end)``, so
-  repeated windows (duplicate test rows) cost nothing extra and no row id is needed.
+* ``interval_sums`` (counts, sums, averages) needs no join of windows with events at all:
+  prefix sums per key, with the window ends as marker rows.
+* ``interval_events`` / ``interval_aggregate`` return or aggregate the overlaps themselves:
+  an equi-join on ``(key, level, time bucket)`` plus the range predicate. A window's level
+  grows with its length, so that it touches at most three buckets of its level, however
+  long (or mis-dated) it is; events are joined once per level that occurs among the windows.
 
-The shuffle key is ``(key, bucket)``: a hot tool is spread over its buckets.
-Choose the bucket near the typical window length (hour for process steps, day for
-week-long maintenance windows).
+The shuffle key always holds a time bucket, so a hot key is spread over its buckets.
 """
 
 from __future__ import annotations
@@ -29,6 +27,23 @@ def _bucket(c, seconds: int) -> Column:
     return F.floor(epoch_seconds(c) / seconds)
 
 
+def _leveled(windows: DataFrame, events: DataFrame, key: str, start: str, end: str, ts: str,
+             bucket_seconds: int, event_key: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct windows and the events, each with a level ``_l`` and a bucket ``_b``: a
+    bucket of level l is 2**l times ``bucket_seconds`` long, no shorter than the window."""
+    length = (epoch_seconds(end) - epoch_seconds(start)).cast("double")
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(length / bucket_seconds, F.lit(1.0))))).cast("int")
+    size = F.lit(bucket_seconds) * F.pow(F.lit(2.0), F.col("_l"))
+    at = lambda c: F.floor(epoch_seconds(c) / size)
+    w = (windows.select(key, start, end).distinct()
+         .filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(end) >= F.col(start)))
+         .withColumn("_l", level).withColumn("_b", F.explode(F.sequence(at(start), at(end)))))
+    # The levels that occur: at most one per doubling of the time span, so a few dozen rows.
+    levels = w.select("_l").distinct()
+    ev = events if event_key == key else events.withColumnRenamed(event_key, key)
+    return w, ev.crossJoin(F.broadcast(levels)).withColumn("_b", at(ts))
+
+
 def interval_aggregate(windows: DataFrame, events: DataFrame, key: str, start: str, end: str,
                        ts: str, aggs: Sequence[Column], bucket_seconds: int = 3600,
                        event_key: str | None = None) -> DataFrame:
@@ -39,13 +54,8 @@ def interval_aggregate(windows: DataFrame, events: DataFrame, key: str, start: s
     (for conditional sub-windows). Windows without events are absent: left-join the
     result back and ``coalesce`` counts to 0 (averages stay NULL)."""
     ek = event_key or key
-    w = (windows.select(key, start, end).distinct()
-         .withColumn("_b", F.explode(F.sequence(_bucket(start, bucket_seconds),
-                                                _bucket(end, bucket_seconds)))))
-    ev = events.withColumn("_b", _bucket(ts, bucket_seconds))
-    if ek != key:
-        ev = ev.withColumnRenamed(ek, key)
-    j = (w.join(ev, [key, "_b"])
+    w, ev = _leveled(windows, events, key, start, end, ts, bucket_seconds, ek)
+    j = (w.join(ev, [key, "_l", "_b"])
          .filter((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end))))
     return j.groupBy(key, start, end).agg(*aggs)
 
@@ -67,20 +77,16 @@ def interval_events(left: DataFrame, events: DataFrame, key: str, start: str, en
     """Left outer interval join returning the matching event rows (one output row
     per (left row, event) overlap; left rows without events appear once with NULLs)."""
     ek = event_key or key
-    ev = events.withColumn("_b", _bucket(ts, bucket_seconds))
-    if ek != key:
-        ev = ev.withColumnRenamed(ek, key)
-    w = (left.select(key, start, end).distinct()
-         .withColumn("_b", F.explode(F.sequence(_bucket(start, bucket_seconds),
-                                                _bucket(end, bucket_seconds)))))
-    pairs = (w.join(ev, [key, "_b"])
+    w, ev = _leveled(left, events, key, start, end, ts, bucket_seconds, ek)
+    pairs = (w.join(ev, [key, "_l", "_b"])
              .filter((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end)))
-             .drop("_b"))
+             .drop("_l", "_b"))
     return left.join(pairs, [key, start, end], "left")
 
 
 def interval_sums(windows: DataFrame, events: DataFrame, key: str, start: str, end: str, ts: str,
-                  values: dict, bucket_seconds: int = 86400, event_key: str | None = None) -> DataFrame:
+                  values: dict, bucket_seconds: int = 86400, event_key: str | None = None,
+                  prune: bool = False) -> DataFrame:
     """Sums of event ``values`` (name -> numeric Column) over ``start <= ts <= end``
     for every distinct window ``(key, start, end)``, by prefix sums - no join of
     windows with events, so the work is linear in rows however densely windows
@@ -94,10 +100,18 @@ def interval_sums(windows: DataFrame, events: DataFrame, key: str, start: str, e
       buckets are carried in from a one-row-per-bucket table, so a hot key is
       spread over its buckets (same scheme as the bucketed LAG).
 
+    ``prune`` drops, before anything is grouped, the events that no window of their key can
+    reach (a semi join on each key's first start and last end): for few windows.
+    ``P(end) - P(start-)`` cancels whatever lies outside, so results are the same.
+
     Returns (key, start, end, *values) with 0 sums for windows without events and
     NULL for windows with a NULL bound or ``end < start``."""
     ek = event_key or key
     names = list(values)
+    if prune:
+        reach = windows.groupBy(F.col(key).alias("_wk")).agg(F.min(start).alias("_lo"), F.max(end).alias("_hi"))
+        events = events.join(reach, (F.col(ek) == F.col("_wk")) & (F.col(ts) >= F.col("_lo")) & (F.col(ts) <= F.col("_hi")),
+                             "left_semi")
     ev = (events.select(F.col(ek).alias("_k"), F.col(ts).cast("timestamp_ntz").alias("_t"),
                         *[values[n].alias(n) for n in names])
           .groupBy("_k", "_t").agg(*[F.sum(n).alias(n) for n in names])

@@ -11,6 +11,7 @@ SELECT {COLS}, date_sub('hour', event_timestamp, ingestion_timestamp) AS delay_h
 FROM {EV} WHERE ingestion_timestamp > event_timestamp + INTERVAL 24 HOUR
 """)
 register("s3_stream_dedupe", f"SELECT {COLS} FROM {EV}")
+register("s3_stream_upsert", f"SELECT {COLS} FROM {EV}")
 register("s4_daily_metrics", f"""
 SELECT date_trunc('day', event_timestamp) AS window_start,
        date_trunc('day', event_timestamp) + INTERVAL 1 DAY AS window_end, equipment_id,

@@ -148,11 +148,13 @@ def e5_maintenance_effect(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 90,
            .withColumn("w_lo", F.col("mt") - span).withColumn("w_hi", F.col("mt") + span))
     # Events and tests form one observation stream and the pre/post windows one window
     # set, so all four subqueries are one prefix-sum pass (both windows include mt).
-    obs = (t.fact_equipment_events.select("equipment_id", F.col("event_timestamp").alias("ts"),
+    # Nothing before the earliest window matters: a literal bound that prunes partitions.
+    reach = days + window_days
+    obs = (_events_since(t, as_of, days=reach).select("equipment_id", F.col("event_timestamp").alias("ts"),
                                           (st_() == "ALARM").cast("long").alias("alarm"),
                                           F.lit(1).cast("long").alias("n_ev"),
                                           F.lit(0.0).alias("y"), F.lit(0).cast("long").alias("n_t"))
-           .unionByName(t.fact_wafer_tests.select(
+           .unionByName(since(t.fact_wafer_tests, "test_timestamp", as_of, days=reach).select(
                "equipment_id", F.col("test_timestamp").alias("ts"), F.lit(0).cast("long").alias("alarm"),
                F.lit(0).cast("long").alias("n_ev"),
                F.when(F.col("pass_fail") == "PASS", 100.0).otherwise(0.0).alias("y"),

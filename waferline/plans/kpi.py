@@ -25,8 +25,7 @@ def _dec2(c) -> F.Column:
 
 
 def x1_chamber_matching(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) -> DataFrame:
-    since = window_start(as_of, days=days)
-    tests = (t.fact_wafer_tests.filter(F.col("test_timestamp") >= since)
+    tests = (since_(t.fact_wafer_tests, "test_timestamp", as_of, days=days)
              .join(t.dim_wafer_batches.select("batch_id", "recipe"), "batch_id"))
     per = (tests.groupBy("recipe", "equipment_id")
            .agg(F.count(F.lit(1)).alias("tests"), F.sum(flag(pass_())).alias("passed"))
@@ -51,7 +50,7 @@ def x1_chamber_matching(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) -> Da
 
 def x2_executive_kpis(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, trend_days: int = 7) -> DataFrame:
     since = window_start(as_of, days=days)
-    tests = t.fact_wafer_tests.filter(F.col("test_timestamp") >= since)
+    tests = since_(t.fact_wafer_tests, "test_timestamp", as_of, days=days)
     fab = tests.agg(F.round(pct(F.sum(flag(pass_())), F.count(F.lit(1))), 2).alias("fab_yield_pct"),
                     F.round(F.avg(ts_diff("SECOND", "start_time", "end_time").cast("decimal(20,0)")) / 60, 2)
                     .cast("double").alias("avg_step_minutes"))
@@ -77,13 +76,13 @@ def x3_control_limits(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, sigmas:
     lim = lim.select("equipment_id", "n", "mean_temp_c", F.round("_sd", 3).alias("sd_temp_c"),
                      (F.col("_m") + sigmas * F.col("_sd")).alias("_ucl"),
                      (F.col("_m") - sigmas * F.col("_sd")).alias("_lcl"))
-    # Limits are one row per tool; the join back to the events lets AQE pick
-    # broadcast or shuffle from the measured size.
-    out = (ev.select("equipment_id", "temperature_c").join(lim.select("equipment_id", "_ucl", "_lcl"),
-                                                           "equipment_id")
+    # Events are counted per (tool, reading) before they meet the limits: no raw event is
+    # shuffled on its tool, and a hot tool is spread over its readings.
+    out = (ev.groupBy("equipment_id", "temperature_c").agg(F.count(F.lit(1)).alias("c"))
+           .join(lim.select("equipment_id", "_ucl", "_lcl"), "equipment_id")
            .groupBy("equipment_id")
-           .agg(F.count_if((F.col("temperature_c") > F.col("_ucl")) |
-                           (F.col("temperature_c") < F.col("_lcl"))).alias("out_of_control")))
+           .agg(F.sum(F.when((F.col("temperature_c") > F.col("_ucl")) | (F.col("temperature_c") < F.col("_lcl")),
+                             F.col("c")).otherwise(0)).alias("out_of_control")))
     return (lim.join(out, "equipment_id", "left")
             .select("equipment_id", "n", "mean_temp_c", "sd_temp_c",
                     F.round("_ucl", 3).alias("ucl_temp_c"), F.round("_lcl", 3).alias("lcl_temp_c"),
@@ -92,19 +91,14 @@ def x3_control_limits(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, sigmas:
 
 
 def x4_yield_excursion(t: FabTables, drop_pts: float = 5.0, lookback_hours: int = 24) -> DataFrame:
-    tests = t.fact_wafer_tests.join(t.dim_wafer_batches.select("batch_id", "lot_number"), "batch_id")
-    # (lot, batch, tool) partial sums first: the two distinct counts then expand only
-    # the de-duplicated rows, not every test row.
-    lbt = tests.groupBy("lot_number", "batch_id", "equipment_id").agg(
+    # One aggregate of the tests per (batch, tool) feeds everything: lots, windows, baseline.
+    # (Tests without a tool have no window, but count.)
+    bt = t.fact_wafer_tests.groupBy("batch_id", "equipment_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(flag(pass_())).alias("p"))
-    lot = lbt.groupBy("lot_number").agg(
-        F.countDistinct("batch_id").alias("batches"), F.sum("n").alias("tests"),
-        F.sum("p").alias("passed"), F.countDistinct("equipment_id").alias("tools"))
-    base = t.fact_wafer_tests.agg(pct(F.sum(flag(pass_())), F.count(F.lit(1))).alias("_base"))
-    win = (t.fact_wafer_tests.select("batch_id", "equipment_id").distinct()
-           .join(t.dim_wafer_batches.select("batch_id", "lot_number", F.col("start_time").alias("b_start"),
-                                            F.col("end_time").alias("b_end")), "batch_id")
-           .withColumn("m_lo", F.col("b_start") - F.expr(f"INTERVAL {lookback_hours} HOURS")))
+    lbt = bt.join(t.dim_wafer_batches.select("batch_id", "lot_number", F.col("start_time").alias("b_start"),
+                                             F.col("end_time").alias("b_end")), "batch_id")
+    win = lbt.withColumn("m_lo", F.col("b_start") - F.expr(f"INTERVAL {lookback_hours} HOURS"))
+    base = bt.agg(pct(F.sum("p"), F.sum("n")).alias("_base"))
     a = interval_sums(win, t.fact_equipment_events, "equipment_id", "b_start", "b_end", "event_timestamp",
                       {"n_alarms": (F.col("status") == "ALARM").cast("long")}, bucket_seconds=3600)
     m = interval_sums(win, t.maintenance_events, "equipment_id", "m_lo", "b_start", "event_timestamp",
@@ -112,10 +106,12 @@ def x4_yield_excursion(t: FabTables, drop_pts: float = 5.0, lookback_hours: int
     per_lot = (win.join(a, ["equipment_id", "b_start", "b_end"], "left")
                .join(m, ["equipment_id", "m_lo", "b_start"], "left")
                .groupBy("lot_number")
-               .agg(F.coalesce(F.sum("n_alarms"), F.lit(0)).alias("alarms_during_batches"),
+               .agg(F.countDistinct("batch_id").alias("batches"), F.sum("n").alias("tests"), F.sum("p").alias("passed"),
+                    F.countDistinct("equipment_id").alias("tools"),
+                    F.coalesce(F.sum("n_alarms"), F.lit(0)).alias("alarms_during_batches"),
                     F.coalesce(F.sum("n_maint"), F.lit(0)).alias("maintenance_before_batches")))
     y = pct("passed", "tests")
-    return (lot.join(per_lot, "lot_number", "left").crossJoin(F.broadcast(base))
+    return (per_lot.crossJoin(F.broadcast(base))
             .select("lot_number", "batches", "tests", F.round(y, 2).alias("yield_pct"),
                     F.round("_base", 2).alias("baseline_pct"),
                     F.round(y - F.col("_base"), 2).alias("deviation_pts"), "tools",

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waferline.functions.exprs import (flag, pct, round_avg, safe_corr, ts_diff, ts_lit,
+from waferline.functions.exprs import (flag, pct, round_avg, safe_corr, since, ts_diff, ts_lit,
                                        window_start)
 from waferline.operators.intervals import interval_events, interval_sums, ratio_of
 from waferline.operators.routes import explode_route, route_string
@@ -45,8 +45,8 @@ def _ids(values):
 
 
 def b1_wafer_trace(t: FabTables, wafer_ids=None) -> DataFrame:
-    tests = t.fact_wafer_tests
-    if _ids(wafer_ids) is not None:
+    tests, few = t.fact_wafer_tests, _ids(wafer_ids) is not None
+    if few:
         tests = tests.filter(F.col("wafer_id").isin(list(_ids(wafer_ids))))
     tests = tests.select("wafer_id", "batch_id", "process_step_id", "equipment_id",
                          F.col("start_time").alias("step_start"), F.col("end_time").alias("step_end"),
@@ -54,8 +54,7 @@ def b1_wafer_trace(t: FabTables, wafer_ids=None) -> DataFrame:
     batches = t.dim_wafer_batches.select("batch_id", "lot_number", "recipe",
                                          F.col("start_time").alias("batch_start"),
                                          F.col("end_time").alias("batch_end"))
-    steps = F.broadcast(t.dim_process_steps.select("process_step_id", "process_step_name",
-                                                   "equipment_type"))
+    steps = t.dim_process_steps.select("process_step_id", "process_step_name", "equipment_type")
     dim = t.dim_equipment.select("equipment_id", "manufacturer")
     h = (tests.join(batches, "batch_id").join(steps, "process_step_id").join(dim, "equipment_id"))
     ev = t.fact_equipment_events
@@ -67,19 +66,21 @@ def b1_wafer_trace(t: FabTables, wafer_ids=None) -> DataFrame:
         "p_sum": F.col("pressure_torr").cast("decimal(30,6)"),
         "p_n": F.col("pressure_torr").isNotNull().cast("long"),
         "alarms_during_process": (F.col("status") == "ALARM").cast("long"),
-    }, bucket_seconds=HOUR)
+    }, bucket_seconds=HOUR, prune=few)
     cond = sums.select("equipment_id", "step_start", "step_end", "alarms_during_process",
                        ratio_of("t_sum", "t_n", 2).alias("avg_temp_c"),
                        ratio_of("p_sum", "p_n", 3).alias("avg_pressure_torr"))
     out = h.join(cond, ["equipment_id", "step_start", "step_end"], "left")
-    return out.select(
+    out = out.select(
         "wafer_id", "batch_id", "lot_number", "recipe", "batch_start", "batch_end",
         "process_step_id", "process_step_name", "equipment_type", "equipment_id", "manufacturer",
         "step_start", "step_end", ts_diff("MINUTE", "step_start", "step_end").alias("duration_minutes"),
         "pass_fail", "defect_density", "bin_code", "avg_temp_c", "avg_pressure_torr",
         F.coalesce("alarms_during_process", F.lit(0)).alias("alarms_during_process"),
         F.when(fail_(), B1_STATUS_INDICATOR[0]).otherwise(B1_STATUS_INDICATOR[1]).alias("status_indicator"),
-    ).orderBy("wafer_id", "process_step_id", "equipment_id", "step_start")
+    )
+    # Sorted for the wafers asked for; a trace of all wafers is a table, not a report.
+    return out.orderBy("wafer_id", "process_step_id", "equipment_id", "step_start") if few else out
 
 
 def batch_yield(tests: DataFrame, denominator: str = "wafers") -> DataFrame:
@@ -107,9 +108,9 @@ def b2_batch_root_cause(t: FabTables, max_yield: float = 85, denominator: str =
                               F.col("end_time").alias("b_end")), "batch_id")
     win2 = win.withColumn("m_lo", F.col("b_start") - F.expr(f"INTERVAL {lookback_hours} HOURS"))
     a = interval_sums(win, t.fact_equipment_events, "equipment_id", "b_start", "b_end", "event_timestamp",
-                      {"n_alarms": (F.col("status") == "ALARM").cast("long")}, bucket_seconds=HOUR)
+                      {"n_alarms": (F.col("status") == "ALARM").cast("long")}, bucket_seconds=HOUR, prune=True)
     m = interval_sums(win2, t.maintenance_events, "equipment_id", "m_lo", "b_start", "event_timestamp",
-                      {"n_maint": F.lit(1).cast("long")}, bucket_seconds=6 * HOUR)
+                      {"n_maint": F.lit(1).cast("long")}, bucket_seconds=6 * HOUR, prune=True)
     per_tool = (win2.join(a, ["equipment_id", "b_start", "b_end"], "left")
                 .join(m, ["equipment_id", "m_lo", "b_start"], "left"))
     factors = per_tool.groupBy("batch_id").agg(
@@ -117,7 +118,7 @@ def b2_batch_root_cause(t: FabTables, max_yield: float = 85, denominator: str =
         F.coalesce(F.sum(F.col("n_tests") * F.col("n_maint")), F.lit(0)).alias("recent_maintenance_count"))
     fails = (tests.filter(fail_()).join(low.select("batch_id"), "batch_id", "left_semi")
              .groupBy("batch_id", "process_step_id").agg(F.count(F.lit(1)).alias("n")))
-    names = F.broadcast(t.dim_process_steps.select("process_step_id", "process_step_name"))
+    names = t.dim_process_steps.select("process_step_id", "process_step_name")
     worst_n = fails.groupBy("batch_id").agg(F.max("n").alias("failures_at_worst_step"))
     worst_name = (fails.join(names, "process_step_id").groupBy("batch_id")
                   .agg(F.max_by("process_step_name",
@@ -141,7 +142,7 @@ def b2_batch_root_cause(t: FabTables, max_yield: float = 85, denominator: str =
 
 def b3_failing_routes(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_wafers: int = 5,
                       top: int = 20, high: int = 50, moderate: int = 20) -> DataFrame:
-    tests = t.fact_wafer_tests.filter(F.col("test_timestamp") >= window_start(as_of, days=days))
+    tests = since(t.fact_wafer_tests, "test_timestamp", as_of, days=days)
     # Route and failure count of a wafer in one aggregation chain over the tests.
     fwe = (route_string(tests.withColumn("failure_count", flag(fail_())), ["wafer_id", "batch_id"],
                         name="equipment_sequence", sums=["failure_count"])
@@ -162,14 +163,13 @@ def b3_failing_routes(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, min_waf
 
 
 def b4_first_failure_step(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) -> DataFrame:
-    tests = t.fact_wafer_tests.filter(F.col("test_timestamp") >= window_start(as_of, days=days))
+    tests = since(t.fact_wafer_tests, "test_timestamp", as_of, days=days)
     wfp = (tests.groupBy("wafer_id", "batch_id")
            .agg(F.min(F.when(fail_(), F.col("process_step_id"))).alias("first_failure_step"),
                 F.max("process_step_id").alias("last_step_reached"))
            .filter(F.col("first_failure_step").isNotNull()))
     total = wfp.agg(F.countDistinct("wafer_id").alias("_all"))     # one row
-    steps = F.broadcast(t.dim_process_steps.select("process_step_id", "process_step_name",
-                                                   "equipment_type"))
+    steps = t.dim_process_steps.select("process_step_id", "process_step_name", "equipment_type")
     j = wfp.join(steps, wfp.first_failure_step == steps.process_step_id)
     g = (j.groupBy("process_step_id", "process_step_name", "equipment_type")
          .agg(F.countDistinct("wafer_id").alias("wafers_failed_at_step"),
@@ -191,7 +191,7 @@ def _batch_tool_yield(tests: DataFrame, batches: DataFrame) -> DataFrame:
 
 def b5_yield_autocorrelation(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 14, min_pairs: int = 10,
                              strong: float = 0.7, moderate: float = 0.4) -> DataFrame:
-    tests = t.fact_wafer_tests.filter(F.col("test_timestamp") >= window_start(as_of, days=days))
+    tests = since(t.fact_wafer_tests, "test_timestamp", as_of, days=days)
     bs = _batch_tool_yield(tests, t.dim_wafer_batches)
     seq = keyed_lag(bs, "equipment_id", "start_time", ["yield_pct"], tie=["batch_id"],
                     bucket_seconds=DAY).filter(F.col("prev_yield_pct").isNotNull())
@@ -217,18 +217,19 @@ def b6_lot_trace(t: FabTables, as_of=DEFAULT_AS_OF, lots=None, denominator: str
     tests = t.fact_wafer_tests.join(b.select("batch_id"), "batch_id", "left_semi")
     y = batch_yield(tests, denominator)
     route = route_string(tests, ["batch_id"], name="equipment_route")
-    j = b.join(y, "batch_id", "left").join(route, "batch_id", "left")
+    j, few = b.join(y, "batch_id", "left").join(route, "batch_id", "left"), _ids(lots) is not None
     den = "wafer_count" if denominator == "wafers" else "n_tests"
     yy = pct(F.coalesce("passed", F.lit(0)), F.coalesce(den, F.lit(0)))
     disp = (F.when(F.col("end_time") > ts_lit(as_of), B6_DISPOSITION[0])
             .when(yy >= release, B6_DISPOSITION[1]).when(yy >= conditional, B6_DISPOSITION[2])
             .otherwise(B6_DISPOSITION[3]))
-    return j.select(
+    out = j.select(
         "lot_number", "batch_id", "recipe", "start_time", "end_time",
         F.coalesce("wafer_count", F.lit(0)).alias("wafer_count"),
         F.coalesce("passed", F.lit(0)).alias("passed_wafers"),
         F.round(yy, 2).alias("batch_yield"), "equipment_route", disp.alias("disposition"),
-    ).orderBy(F.desc("start_time"), "batch_id")
+    )
+    return out.orderBy(F.desc("start_time"), "batch_id") if few else out
 
 
 def b7_contamination(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 14, low: float = 80,
@@ -240,7 +241,7 @@ def b7_contamination(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 14, low: flo
                     tie=["batch_id"], bucket_seconds=DAY)
     mb = interval_sums(seq.filter(F.col("prev_start_time").isNotNull()), t.maintenance_events,
                        "equipment_id", "prev_start_time", "start_time", "event_timestamp",
-                       {"maintenance_between": F.lit(1).cast("long")}, bucket_seconds=DAY)
+                       {"maintenance_between": F.lit(1).cast("long")}, bucket_seconds=DAY, prune=True)
     j = (seq.filter(F.col("prev_batch_id").isNotNull())
          .join(mb, ["equipment_id", "prev_start_time", "start_time"], "left")
          .withColumn("maintenance_between", F.coalesce("maintenance_between", F.lit(0))))
@@ -253,8 +254,7 @@ def b7_contamination(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 14, low: flo
     return j.select(
         "equipment_id", "batch_id", F.col("prev_batch_id").alias("prev_batch"),
         y.alias("current_yield"), p.alias("prev_yield"), F.round(y - p, 2).alias("yield_delta"),
-        "maintenance_between", risk.alias("contamination_risk"), "start_time",
-    ).orderBy("equipment_id", F.desc("start_time"), "batch_id").drop("start_time")
+        "maintenance_between", risk.alias("contamination_risk"))
 
 
 def latest_maintenance(t: FabTables) -> DataFrame:
@@ -276,14 +276,15 @@ def r3_wafer_lineage(t: FabTables, wafer_ids=None) -> DataFrame:
     lin = interval_events(wt, ev, "equipment_id", "start_time", "end_time", "event_timestamp",
                           bucket_seconds=HOUR)
     lin = lin.join(latest_maintenance(t), "equipment_id", "left")
-    return lin.select("wafer_id", "batch_id", "lot_number", "recipe", "equipment_id", "process_step_id",
-                      "test_result", "equipment_status_during_process", "recent_maintenance",
-                      "event_timestamp").orderBy("wafer_id", "process_step_id", "equipment_id",
-                                                 "event_timestamp").drop("event_timestamp")
+    out = lin.select("wafer_id", "batch_id", "lot_number", "recipe", "equipment_id", "process_step_id",
+                     "test_result", "equipment_status_during_process", "recent_maintenance", "event_timestamp")
+    if _ids(wafer_ids) is not None:
+        out = out.orderBy("wafer_id", "process_step_id", "equipment_id", "event_timestamp")
+    return out.drop("event_timestamp")
 
 
 def x5_route_explode(t: FabTables) -> DataFrame:
-    return explode_route(t.dim_wafer_batches).orderBy("batch_id", "position")
+    return explode_route(t.dim_wafer_batches)
 
 
 def x6_route_conformance(t: FabTables) -> DataFrame:
@@ -297,6 +298,5 @@ def x6_route_conformance(t: FabTables) -> DataFrame:
                                   F.count(F.when(ok, 1)).alias("conforming_tests"),
                                   F.count(F.when(F.col("planned").isNull(), 1)).alias("unplanned_steps"))
     return g.select("batch_id", "tests", "conforming_tests", "unplanned_steps",
-                    F.round(pct("conforming_tests", "tests"), 2).alias("conformance_pct")
-                    ).orderBy("batch_id")
+                    F.round(pct("conforming_tests", "tests"), 2).alias("conformance_pct"))
 

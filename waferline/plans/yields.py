@@ -93,8 +93,8 @@ def y3_step_failure(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30) -> DataFr
                      F.avg("defect_density").alias("avg_dd"),
                      F.avg(F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time"))
                            / F.lit(60.0)).alias("avg_min")))
-    steps = F.broadcast(t.dim_process_steps.select("process_step_id", "process_step_name",
-                                                   "equipment_type"))
+    steps = t.dim_process_steps.select("process_step_id", "process_step_name",
+                                                   "equipment_type")
     return (per_step.join(steps, "process_step_id")
             .select("process_step_id", "process_step_name", "equipment_type", "wafers_tested",
                     "passed", "failed", F.round(pct("failed", "n"), 2).alias("failure_rate_pct"),
@@ -206,8 +206,8 @@ def r1_yield_tool_step(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 7,
               F.sum(flag(pass_())).alias("passed_wafers"), F.count(F.lit(1)).alias("n"))
          .filter(F.col("n") >= min_tests))
     dim = t.dim_equipment.select("equipment_id", "equipment_type")
-    steps = F.broadcast(t.dim_process_steps.select(
-        "process_step_id", F.col("process_step_name").alias("process_step")))
+    steps = t.dim_process_steps.select(
+        "process_step_id", F.col("process_step_name").alias("process_step"))
     return (g.join(dim, "equipment_id").join(steps, "process_step_id")
             .select("equipment_id", "equipment_type", "process_step", "total_wafers",
                     "passed_wafers", F.round(pct("passed_wafers", "n"), 2).alias("yield_pct"))

@@ -105,7 +105,7 @@ query("x4_yield_excursion")(X.x4_yield_excursion)
 from waferline.registry import raw_query  # noqa: E402
 from waferline.streaming import queries as SQ  # noqa: E402
 
-for _n in ("s1_ingest", "s2_late_data", "s3_stream_dedupe", "s4_daily_metrics", "s5_stream_checks"):
+for _n in ("s1_ingest", "s2_late_data", "s3_stream_dedupe", "s3_stream_upsert", "s4_daily_metrics", "s5_stream_checks"):
     raw_query(_n)(getattr(SQ, _n))
 
 from waferline.plans import primitives as P  # noqa: E402

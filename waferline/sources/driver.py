@@ -6,8 +6,7 @@ arithmetic (SURVEY §7.3). The identical mapping is spelled out in DuckDB SQL in
 
 Everything here is narrow projections and row-wise expressions over the scans; the
 only shuffles are the batch dimension (grouping orders by batch) and its planned
-route (grouping tests by batch and step). ``nation`` is the TPC-H 25-row table,
-so broadcasting it is bounded.
+route (grouping tests by batch and step).
 """
 
 from __future__ import annotations
@@ -86,7 +85,7 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> FabTables:
     sup = rd("supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     nat = rd("nation").select("n_nationkey", "n_name")
     dim_equipment = (
-        sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey)
+        sup.join(nat, sup.s_nationkey == nat.n_nationkey)
         .select(
             F.col("s_suppkey").alias("equipment_id"),
             _pick(EQUIPMENT_TYPES, F.pmod("s_nationkey", F.lit(7))).alias("equipment_type"),

@@ -37,11 +37,24 @@ def read_table(spark: SparkSession, root: str, layer: str, table: str,
         raise
 
 
+def list_tables(spark: SparkSession, root: str, layer: str, fmt: str = "parquet") -> list[str]:
+    """Names of the tables in a layer's folder (``<name>.csv`` files or folders; for
+    Parquet, sub-folders), on whatever file system it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{layer}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [(st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(path)]
+    if fmt == "csv":
+        return sorted(n[:-4] for n, _ in names if n.endswith(".csv"))
+    return sorted(n for n, folder in names if folder and not n.startswith(("_", ".")) and not n.endswith(".csv"))
+
+
 def read_layer(spark: SparkSession, root: str, layer: str, fmt: str = "parquet",
                tables=None) -> dict[str, DataFrame]:
-    """IO1: every known table of the layer, keyed by name; missing ones are skipped."""
-    names = list(tables) if tables is not None else (
-        list(RAW_TABLES) if fmt == "csv" else list(RAW_TABLES) + [v[1] for v in RAW_TABLES.values()])
+    """IO1: every table in the layer's folder, keyed by name (known ones with their schema);
+    ``tables`` restricts them, and missing ones are skipped."""
+    names = list(tables) if tables is not None else list_tables(spark, root, layer, fmt)
     out = {}
     for n in names:
         df = read_table(spark, root, layer, n, fmt)
@@ -69,10 +82,14 @@ def with_event_date(df: DataFrame, ts: str = "event_timestamp", name: str = "eve
     return df.withColumn(name, F.to_date(ts))
 
 
+#: Date partitions of the two large facts (IO3/IO4): column and the time it comes from.
+PARTITIONS = {"fact_equipment_events": ("event_date", "event_timestamp"), "fact_wafer_tests": ("test_date", "test_timestamp")}
+
+
 def write_curated(t: FabTables, root: str) -> None:
     for name, df in t.as_dict().items():
-        part = ["event_date"] if name == "fact_equipment_events" else None
-        write_layer(with_event_date(df) if part else df, root, "curated", name, partition_by=part)
+        part, ts = PARTITIONS.get(name, (None, None))
+        write_layer(with_event_date(df, ts, part) if part else df, root, "curated", name, partition_by=[part] if part else None)
 
 
 def read_curated(spark: SparkSession, root: str) -> FabTables:
@@ -81,9 +98,27 @@ def read_curated(spark: SparkSession, root: str) -> FabTables:
 
 
 def store_results(results: DataFrame, root: str, run_date, layer: str) -> str:
-    """IO6: append rule results, partitioned by run date and layer."""
+    """IO6: store rule results, partitioned by run date and layer; a re-run of a date and
+    layer replaces its rows."""
     out = (results.drop("layer").withColumn("run_date", F.lit(str(run_date)).cast("date"))
            .withColumn("layer", F.lit(layer)))
     path = f"{root.rstrip('/')}/dq_results"
-    out.write.mode("append").partitionBy("run_date", "layer").parquet(path)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date", "layer").parquet(path))
     return path
+
+
+def store_watermarks(state: DataFrame, root: str) -> int:
+    """Keep the incremental loads' marks (PL5): a new version beside the old ones, so that a
+    failed write leaves the last good one. Returns its number."""
+    spark = state.sparkSession
+    done = [int(n.split("=")[1]) for n in list_tables(spark, root, "watermarks") if n.startswith("version=")]
+    version = max(done, default=0) + 1
+    state.write.mode("overwrite").parquet(f"{root.rstrip('/')}/watermarks/version={version}")
+    return version
+
+
+def read_watermarks(spark: SparkSession, root: str) -> DataFrame | None:
+    """The last stored marks, or None before the first load."""
+    done = [int(n.split("=")[1]) for n in list_tables(spark, root, "watermarks") if n.startswith("version=")]
+    return spark.read.parquet(f"{root.rstrip('/')}/watermarks/version={max(done)}") if done else None

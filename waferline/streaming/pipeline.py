@@ -4,11 +4,12 @@
   checkpoint folder; ``trigger(availableNow=True)`` processes what has arrived and
   stops, so the same job serves scheduled incremental loads. The checkpoint is
   the watermark state of PL3 (which files/offsets are done).
-* S2 late data: ``withWatermark`` on the event time with a 24 h tolerance.
+* S2 late data: rows that arrive more than 24 h after their event, routed as they come;
+  ``late_tolerant`` is the watermark that stateful operators put under themselves.
 * S3 idempotent load: ``dropDuplicatesWithinWatermark`` on the event key, and
   ``foreachBatch`` upserts (PL6) for sinks that must be merged.
-* S4 equipment metrics: daily tumbling windows per tool, append mode (a window is
-  emitted once the watermark passes its end).
+* S4 equipment metrics: daily tumbling windows per tool, in append mode (a window is
+  emitted once the watermark passes its end) or update mode (each change is emitted).
 * S5 rule checks per micro-batch: the fused row-rule aggregate of the DQ runner
   inside ``foreachBatch``.
 

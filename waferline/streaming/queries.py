@@ -19,22 +19,42 @@ def _source(sf_dir: str) -> str:
 
 
 def s1_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of event files and one kept checkpoint: the second run loads only what the
+    first has not seen, and a third finds nothing new."""
     out, ck = S.stream_dir(spark, "s1")
-    S.run_available_now(S.event_stream(spark, _source(sf_dir)).select(*EVENT_COLS), out, ck)
+    landing = out.removesuffix("/out") + "/landing"
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for drop in (0, 1, None):
+        if drop is not None:
+            raw.filter(F.col("event_id") % 2 == drop).write.parquet(f"{landing}/drop={drop}")
+        stream = S.event_stream(spark, f"{landing}/drop=*").select(*EVENT_COLS)
+        S.run_available_now(stream, out, ck)
     return spark.read.parquet(out)
 
 
 def s2_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events ingested more than 24 h after they happened (what a 24 h event-time
-    watermark would have to tolerate), flagged as they stream in."""
+    """Events ingested more than 24 h after they happened, flagged as they stream in (a
+    stateless route: nothing waits for a watermark)."""
     out, ck = S.stream_dir(spark, "s2")
-    st = S.late_tolerant(S.event_stream(spark, _source(sf_dir)))
+    st = S.event_stream(spark, _source(sf_dir))
     late = st.filter(F.col("ingestion_timestamp") > F.col("event_timestamp") + F.expr("INTERVAL 24 HOURS"))
     S.run_available_now(late.select(*EVENT_COLS, F.timestamp_diff(
         "HOUR", F.col("event_timestamp"), F.col("ingestion_timestamp")).alias("delay_hours")), out, ck)
     return spark.read.parquet(out)
 
 
+def s3_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event files delivered twice, each micro-batch merged into a table of files by day."""
+    out, ck = S.stream_dir(spark, "s3-upsert")
+    a, b = (S.event_stream(spark, _source(sf_dir)).select(*EVENT_COLS, F.to_date("event_timestamp").alias("event_date"))
+            for _ in range(2))
+    sink = S.upsert_sink(out, ["event_id"], ["ingestion_timestamp"], "event_date")
+    q = (a.unionByName(b).writeStream.option("checkpointLocation", ck).trigger(availableNow=True)
+         .foreachBatch(sink).outputMode("append").start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select(*EVENT_COLS)
+
+
 def s3_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event files delivered twice (two sources), deduplicated on the key."""
     out, ck = S.stream_dir(spark, "s3")
