@@ -130,14 +130,15 @@ def y5_defect_pareto(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30,
                      high: float = 80, medium: float = 95) -> DataFrame:
     bins = (_tests_since(t, as_of, days).filter(fail_())
             .groupBy("bin_code").agg(F.count(F.lit(1)).alias("defect_count")))
-    # Both windows run over one row per bin code (the grouped result), never the fact.
-    total = F.sum("defect_count").over(Window.partitionBy())
-    shares = bins.withColumn("pct_of_total",
-                             F.round(pct("defect_count", total), 2).cast("decimal(18,2)"))
-    # Default frame = RANGE: bins with equal counts share the cumulative value.
-    cum = F.sum("pct_of_total").over(
-        Window.orderBy(F.desc("defect_count")).rangeBetween(Window.unboundedPreceding, 0))
-    c = shares.withColumn("cumulative_pct", cum)
+    total = bins.agg(F.sum("defect_count").alias("_all"))          # one row
+    shares = bins.crossJoin(F.broadcast(total)).select(
+        "bin_code", "defect_count", F.round(pct("defect_count", "_all"), 2).cast("decimal(18,2)").alias("pct_of_total"))
+    # Bins with equal counts share the cumulative value, so it runs over the distinct counts:
+    # no more than the square root of twice the rows, however many bin codes there are.
+    by_count = shares.groupBy("defect_count").agg(F.sum("pct_of_total").alias("_s"))
+    cum = by_count.select("defect_count", F.sum("_s").over(
+        Window.orderBy(F.desc("defect_count")).rowsBetween(Window.unboundedPreceding, 0)).alias("cumulative_pct"))
+    c = shares.join(cum, "defect_count")
     cp = F.col("cumulative_pct")
     return c.select(
         F.col("bin_code").alias("defect_type"), "defect_count",
