@@ -12,8 +12,9 @@
 5. ``residual``: where a band still holds classes of several components, links between
    members that are not its smallest may be missing. For these classes alone, an exact
    prefix join: two sets of similarity 0.75 must share one of their rarest shingles (a
-   quarter of each set, and one). Per shingle, only classes outside its commonest component
-   are paired with the others. Confirmed links join the star's, and components are final.
+   quarter of each set, and one), early enough in both that what follows can still suffice.
+   Per shingle, only classes outside its commonest component are paired with the others.
+   Confirmed links join the star's, and components are final.
 
 Texts move once (those of classes with candidates are picked from the documents); links,
 components and checksums stay distributed.
@@ -191,21 +192,25 @@ def residual(bands: DataFrame, labels: DataFrame, sets: DataFrame, size: int = W
     # The rarest come first; a set's last ceil(0.75 n) - 1 shingles cannot be the only common ones.
     # Shingles of one class alone take their share of the prefix, but pair with nothing.
     rank = F.row_number().over(Window.partitionBy("cls").orderBy("often", "shingle"))
-    alone = items.groupBy("cls").agg(F.count(F.lit(1)).alias("all"))
     shared = items.join(often, "shingle")
-    shared_n = shared.groupBy("cls").agg(F.count(F.lit(1)).alias("some"))
-    prefix = (shared.withColumn("rank", rank).join(alone.join(shared_n, "cls"), "cls")
-              .filter(F.col("rank") + F.col("all") - F.col("some")
-                      <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
-              .select("shingle", "cls", "label", "n"))
+    some = shared.groupBy("cls").agg(F.count(F.lit(1)).alias("some"))
+    prefix = (shared.withColumn("rank", rank).join(some, "cls")
+              .withColumn("at", F.col("n") - F.col("some") + F.col("rank"))
+              .filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
+              .select("shingle", "cls", "label", "n", "at"))
     main = (prefix.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("shingle").agg(F.max(F.struct("c", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("labels"))
+            .groupBy("shingle").agg(F.max_by("label", "c").alias("main"), F.count(F.lit(1)).alias("labels"))
             .filter("labels > 1"))
-    told = stored(prefix.join(main, "shingle").select("shingle", "cls", "label", "n", (F.col("label") != F.col("main")).alias("stray")), "prefix")
-    x = told.filter("stray").select("shingle", F.col("cls").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-    y = told.select("shingle", F.col("cls").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("stray").alias("sb"))
+    told = stored(prefix.join(main, "shingle").select("shingle", "cls", "label", "n", "at", (F.col("label") != F.col("main")).alias("stray")), "prefix")
+    x = told.filter("stray").select("shingle", F.col("cls").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("at").alias("ia"))
+    y = told.select("shingle", F.col("cls").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("at").alias("ib"),
+                    F.col("stray").alias("sb"))
+    # From the first common shingle on, at most so many can be common; a link needs
+    # 100 c >= PERCENT (na + nb - c).
+    most = 1 + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    enough = most * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT
     return (x.join(y, "shingle").filter((F.col("la") != F.col("lb")) & (~F.col("sb") | (F.col("a") < F.col("b")))
-                                        & alike_in_size(F.col("na"), F.col("nb")))
+                                        & enough & alike_in_size(F.col("na"), F.col("nb")))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
