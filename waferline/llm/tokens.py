@@ -35,9 +35,11 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
@@ -50,6 +52,8 @@ PERCENTILE = 90
 END_ID = 2
 #: Text bytes that one task sorts and tokenises.
 RANGE_BYTES = 24 << 20
+#: A space behind any other white space.
+BLANK_SPACE = (r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] ")
 #: Pieces whose ids a worker remembers.
 REMEMBERED = 1 << 20
 
@@ -71,8 +75,9 @@ def pack(ids: np.ndarray) -> dict:
     grid = grid.reshape(m, BLOCK)
     base = grid.min(axis=1) if m else np.zeros(0, np.uint32)
     diff = grid - base[:, None]
-    need = np.ceil(np.log2(diff.astype(np.float64) + 1)).astype(np.int64)  # bits of each difference
-    width = np.sort(need, axis=1)[:, -(-BLOCK * PERCENTILE // 100) - 1] if m else np.zeros(0, np.int64)
+    need = np.frexp(diff.astype(np.float64))[1].astype(np.uint8)  # bits of each difference
+    rank = -(-BLOCK * PERCENTILE // 100) - 1
+    width = (np.partition(need, rank, axis=1)[:, rank] if m else np.zeros(0)).astype(np.int64)
     at = np.flatnonzero((need > width[:, None]).ravel())
     size = width * BLOCK // 8
     starts = starts_of(size)
@@ -81,7 +86,8 @@ def pack(ids: np.ndarray) -> dict:
         if not w:
             continue
         rows = np.flatnonzero(width == w)
-        bits = np.unpackbits(diff[rows].astype(">u4").reshape(-1, 1).view(np.uint8), axis=1)[:, 32 - w:]
+        wide = 16 if w <= 16 else 32
+        bits = np.unpackbits(diff[rows].astype(f">u{wide // 8}").reshape(-1, 1).view(np.uint8), axis=1)[:, wide - w:]
         packed[ranges(starts[rows], size[rows])] = np.packbits(bits.ravel())
     return {"base": base.astype(np.int32), "width": width.astype(np.int32), "starts": starts[:-1].astype(np.int32),
             "packed": packed.tobytes(), "exception_at": at.astype(np.int32),
@@ -93,14 +99,19 @@ def unpack(seg: dict, n: int) -> np.ndarray:
     base, width, starts = (np.asarray(seg[k], np.int64) for k in ("base", "width", "starts"))
     packed = np.frombuffer(seg["packed"], np.uint8)
     out = np.zeros((len(base), BLOCK), np.int64)
-    for w in np.unique(width):
+    for w in np.unique(width).tolist():
         if not w:
             continue
         rows = np.flatnonzero(width == w)
-        raw = packed[ranges(starts[rows], np.full(len(rows), w * BLOCK // 8))]
-        bits = np.zeros((len(rows) * BLOCK, 32), np.uint8)
-        bits[:, 32 - w:] = np.unpackbits(raw).reshape(-1, w)
-        out[rows] = np.packbits(bits, axis=1).view(">u4").reshape(len(rows), BLOCK)
+        n_bytes = w * BLOCK // 8
+        raw = packed[starts[rows][:, None] + np.arange(n_bytes)]
+        # Each id lies in at most (w + 14) // 8 bytes from its first bit's on.
+        bit = np.arange(BLOCK) * w
+        some = (w + 14) // 8
+        got = np.zeros((len(rows), BLOCK), np.int64)
+        for k in range(some):
+            got = (got << 8) | raw[:, np.minimum((bit >> 3) + k, n_bytes - 1)]
+        out[rows] = (got >> (8 * some - w - (bit & 7))) & ((1 << w) - 1)
     at = np.asarray(seg["exception_at"], np.int64)
     flat = out.ravel()
     flat[at] |= np.asarray(seg["exception_high"], np.int64) << width[at // BLOCK]
@@ -133,68 +144,84 @@ class Encoder:
                          and not pre.get("add_prefix_space") and pre.get("use_regex", True)
                          and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"])
                                      for t in spec.get("added_tokens", [])))
-        mark = [t for t in spec.get("added_tokens", []) if t["special"]]
-        self.mark = (mark[0]["content"], mark[0]["id"]) if mark else None
         self.tokenizer = Tokenizer.from_file(path)
-        self.place: dict[str, int] = {}
-        self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        vocabulary = self.tokenizer.get_vocab()
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # byte-level tokens spell one character per byte
+            self.token_bytes[i] = len(token)
+        for t in spec.get("added_tokens", []):
+            self.token_bytes[t["id"]] = len(t["content"].encode())
+        self.forget()
 
     def encode_whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: list[str]) -> None:
-        """Encode new pieces. The tokenizer cuts at a special token's string before all
-        else, so pieces joined by one come out as if encoded alone."""
-        plain = [p for p in pieces if self.mark and self.mark[0] not in p]
-        got, order = [], []
-        for at in range(0, len(plain), 4096):
-            some = plain[at:at + 4096]
-            ids = np.array(self.encode_whole([self.mark[0].join(some)])[0], np.uint32)
-            cut = np.flatnonzero(ids == self.mark[1])
-            if len(cut) == len(some) - 1:
-                got.append((np.delete(ids, cut), np.diff(np.r_[-1, cut, len(ids)]) - 1))
-                order += some
-            else:
-                plain[at:at + 4096] = [""] * len(some)
-        done = set(order) if len(order) < len(pieces) else None
-        rest = [] if done is None else [p for p in pieces if p not in done]
-        if rest:
-            each = self.encode_whole(rest)
-            got.append((np.array([i for e in each for i in e], np.uint32), np.array([len(e) for e in each])))
-            order += rest
-        for p in order:
+        """Encode new pieces. Pieces that begin with a space and end in a printing character
+        are joined: the tokenizer cuts at each of those spaces as it does when alone, and the
+        tokens' byte lengths tell where a piece ends."""
+        joined = [p for p in pieces if p[:1] == " " and not p[-1:].isspace()]
+        alone = [p for p in pieces if p[:1] != " " or p[-1:].isspace()]
+        ids, sizes = [self.ids], [np.diff(self.starts)]
+        for at in range(0, len(joined), 512):
+            some = joined[at:at + 512]
+            got = np.array(self.encode_whole(["".join(some)])[0], np.uint32)
+            ends = np.cumsum([len(p.encode()) for p in some])
+            reached = np.cumsum(self.token_bytes[got])
+            place = np.searchsorted(reached, ends)
+            if not np.array_equal(reached[np.minimum(place, len(reached) - 1)], ends):
+                raise ValueError("pieces were not cut apart; set by_piece to False for this tokenizer")
+            ids.append(got)
+            sizes.append(np.diff(np.r_[-1, place]))
+        for at in range(0, len(alone), 512):
+            each = self.encode_whole(alone[at:at + 512])
+            ids.append(np.array([i for e in each for i in e], np.uint32))
+            sizes.append(np.array([len(e) for e in each], np.int64))
+        for p in chain(joined, alone):
             self.place[p] = len(self.place)
-        if got:
-            self.ids = np.concatenate([self.ids, *(g[0] for g in got)])
-            self.starts = np.r_[self.starts, self.starts[-1] + np.cumsum(np.concatenate([g[1] for g in got]))]
+        self.ids = np.concatenate(ids)
+        self.starts = starts_of(np.concatenate(sizes))
+
+    def look_up(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of the pieces, learning those that are new."""
+        if len(self.place) + len(pieces) > REMEMBERED:
+            self.forget()
+        new = [p for p in dict.fromkeys(pieces) if p not in self.place]
+        if new:
+            self.learn(new)
+        return np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, ids per text) of the texts."""
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per text) of a string array without nulls."""
         if not self.by_piece:
-            each = self.encode_whole(texts)
+            each = self.encode_whole(texts.to_pylist())
             return np.array([i for e in each for i in e], np.uint32), np.array([len(e) for e in each], np.int64)
-        flat: list[str] = []
-        counts = np.empty(len(texts), np.int64)
-        for k, t in enumerate(texts):
-            if not t:
-                p = []
-            elif re.search(r"\s ", t):  # white space before a space: cut only after printing characters
-                p = re.split(r"(?<=\S)(?= )", t)
-            else:
-                p = t.split(" ")
-                p[1:] = [" " + x for x in p[1:]]
-            counts[k] = len(p)
-            flat += p
-        coded = pa.array(flat, pa.large_string()).dictionary_encode()
+        # White space before a space: cut only after printing characters.
+        odd = np.flatnonzero(pc.match_substring_regex(texts, BLANK_SPACE).to_numpy(zero_copy_only=False))
+        split = pc.split_pattern(texts, " ")
+        counts = np.diff(split.offsets.to_numpy()).astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        first = starts_of(counts)[:-1]
+        # Every piece but a text's first had a space before it. An empty text is one piece.
         pieces = coded.dictionary.to_pylist()
-        if len(self.place) + len(pieces) > REMEMBERED:
-            self.place, self.ids, self.starts = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        self.learn([p for p in pieces if p not in self.place])
-        place = np.array([self.place[p] for p in pieces], np.int64)
-        k = place[coded.indices.to_numpy()] if len(flat) else np.zeros(0, np.int64)
+        lead = coded.dictionary.take(coded.indices.take(pa.array(first))).to_pylist()
+        numbers = self.look_up([" " + p for p in pieces] + lead)
+        k = numbers[coded.indices.to_numpy()]
+        k[first] = numbers[len(pieces):]
         size = self.starts[k + 1] - self.starts[k]
-        per = starts_of(size)[starts_of(counts)]
-        return self.ids[ranges(self.starts[k], size)], np.diff(per)
+        got, per = self.ids[ranges(self.starts[k], size)], np.diff(starts_of(size)[starts_of(counts)])
+        if len(odd):
+            cut = starts_of(per)
+            parts = [got[cut[i]:cut[i + 1]] for i in range(len(per))]
+            for i in odd.tolist():
+                n = self.look_up(re.split(r"(?<=\S)(?= )", texts[i].as_py()))
+                parts[i] = self.ids[ranges(self.starts[n], self.starts[n + 1] - self.starts[n])]
+            got, per = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        return got, per
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -232,9 +259,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, n_ranges
         enc, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
         ids, counts, tokens, total = [], [], [], 0
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                piece = b.slice(at, 1024)
-                got, n = enc.encode(piece.column(1).to_pylist())
+            for at in range(0, b.num_rows, 2048):
+                piece = b.slice(at, 2048)
+                got, n = enc.encode(piece.column(1))
                 cut = starts_of(n)
                 for k, doc_id in enumerate(piece.column(0).to_pylist()):
                     if total and total + n[k] >= SEGMENT_TOKENS:
@@ -274,8 +301,10 @@ def digest(segments: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                seg = {n: b.column(i)[k].as_py() for i, n in enumerate(b.schema.names)}
-                n = np.array(seg["doc_tokens"], np.int64)
+                seg = {n: b.column(i)[k] for i, n in enumerate(b.schema.names)}
+                seg = {n: x.values.to_numpy() if pa.types.is_list(x.type) and n != "doc_ids" else x.as_py()
+                       for n, x in seg.items()}
+                n = seg["doc_tokens"].astype(np.int64)
                 cut = starts_of(n)
                 raw = memoryview(unpack(seg, int(cut[-1])).astype("<u4").tobytes())
                 crc = [zlib.crc32(raw[4 * s:4 * e]) for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
