@@ -226,7 +226,7 @@ def near_duplicates(docs: DataFrame, size: int = WORDS) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in (x.slice(at, 512) for x in batches for at in range(0, x.num_rows, 512)):
             cls, n, texts = (b.column(i).to_pylist() for i in range(3))
             mine = [class_of(s) == c if len(s) else False for s, c in zip(shingles(texts, size), cls, strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -248,10 +248,14 @@ def near_duplicates(docs: DataFrame, size: int = WORDS) -> DataFrame:
     links = stored(confirm(star, sets, size), "star-links")
     labels = components(links)
     missed = stored(confirm(residual(bands.select("key", "cls"), labels, sets, size), sets, size), "missed-links")
-    if missed.limit(1).count():
-        labels = components(links.unionByName(missed))
-
     named = sizes.join(labels, "cls", "left").select("cls", "first_doc", F.coalesce("label", "cls").alias("label"))
+    if missed.limit(1).count():  # these links join whole components: a graph of their labels
+        of = lambda c: labels.select(F.col("cls").alias(c), F.col("label").alias(f"l{c}"))
+        joints = (missed.join(of("a"), "a", "left").join(of("b"), "b", "left")
+                  .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).distinct())
+        named = named.join(components(joints).toDF("joined", "new"), F.col("label") == F.col("joined"), "left").select(
+            "cls", "first_doc", F.coalesce("new", "label").alias("label"))
+
     firsts = named.groupBy("label").agg(F.min("first_doc").alias("component_id"))
     of_class = named.join(firsts, "label").select(F.col("cls").alias("c"), "component_id")
     out = sketches.select("doc_id", "n_shingles", "cls").join(of_class, F.col("cls") == F.col("c"), "left")
