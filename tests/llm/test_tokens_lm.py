@@ -60,6 +60,25 @@ def test_pieces_encode_as_whole_texts():
     assert [ids[cut[i]:cut[i + 1]].tolist() for i in range(len(texts))] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_random_texts_encode_as_whole_texts():
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    r = random.Random(1)
+    signs = ["a", "the", "The", " ", " ", "  ", "\n", "\n", ".", ",", ".,", "'s", "'", "é", "Ünï", "日本", "1", "23", "-", "\t", "\x1c", "\xa0", "\u3000",
+             "\x00", "<|endoftext|>", "&&&", "(", ")", "\r\n", "\U0001F600", "ﬁ", "ª", "×", "ÿ"]
+    texts = ["".join(r.choice(signs) for _ in range(r.randrange(1, 14))) for _ in range(6000)]
+    whole, own = Tokenizer.from_file(PATH), tk.Encoder(PATH)
+    want = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    for at in range(0, len(texts), 500):
+        ids, n = own.encode(pa.array(texts[at:at + 500]))
+        cut = np.r_[0, np.cumsum(n)]
+        for i, t in enumerate(texts[at:at + 500]):
+            assert ids[cut[i]:cut[i + 1]].tolist() == want[at + i], repr(t)
+
+
 @pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 3000])
 def test_blocks_round_trip(n):
     rng = np.random.default_rng(n)

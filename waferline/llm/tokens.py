@@ -19,9 +19,10 @@ Order: one range partitioning on doc_id (the texts' only shuffle); each task sor
 tokenises its range. Ties in doc_id are ordered by text. A document's global start is its
 range's start (a running sum over one row per range) plus its place in the range.
 
-Pieces of text are tokenised once per worker and task: byte-level tokenizers without a
-normaliser cut before every white space that follows a printing character, so a text's ids
-are the concatenation of its pieces' ids. Other tokenizers encode whole texts.
+Pieces of text are tokenised once per worker and reset of its memory: byte-level tokenizers
+without a normaliser always cut before a space that follows a printing character, between a
+letter and a full stop or comma, and around a single line feed, so a text's ids are the
+concatenation of its pieces' ids. Other tokenizers encode whole texts.
 
 Defined cases: null and empty texts hold only the end id; a null doc_id sorts first;
 repeated rows are written as often as they come; extra columns are ignored; an empty table
@@ -52,8 +53,11 @@ PERCENTILE = 90
 END_ID = 2
 #: Text bytes that one task sorts and tokenises.
 RANGE_BYTES = 24 << 20
-#: A space behind any other white space.
-BLANK_SPACE = (r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] ")
+#: Texts that cannot simply be cut before every space, full stop and comma and around every
+#: line feed: with white space before a space or line feed, or with anything but a plain
+#: letter or digit before a full stop or comma.
+_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+UNSAFE = (_WHITE + r"[ \n]|\n" + _WHITE + r"|[^A-Za-z0-9\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}][.,]|^[.,]|\x00")
 #: Pieces whose ids a worker remembers.
 REMEMBERED = 1 << 20
 
@@ -158,26 +162,30 @@ class Encoder:
 
     def learn(self, pieces: list[str]) -> None:
         """Encode new pieces. Pieces that begin with a space and end in a printing character
-        are joined: the tokenizer cuts at each of those spaces as it does when alone, and the
-        tokens' byte lengths tell where a piece ends."""
-        joined = [p for p in pieces if p[:1] == " " and not p[-1:].isspace()]
-        alone = [p for p in pieces if p[:1] != " " or p[-1:].isspace()]
+        are joined as they are, pieces without white space by line feeds: the tokenizer cuts
+        there as it does when a piece is alone, and the tokens' byte lengths tell where one
+        ends."""
+        spaced = [p for p in pieces if p[:1] == " " and not p[-1:].isspace()]
+        bare = [p for p in pieces if p and not re.search(r"\s", p)]
+        known = {*spaced, *bare}
+        alone = [p for p in pieces if p not in known]
         ids, sizes = [self.ids], [np.diff(self.starts)]
-        for at in range(0, len(joined), 512):
-            some = joined[at:at + 512]
-            got = np.array(self.encode_whole(["".join(some)])[0], np.uint32)
-            ends = np.cumsum([len(p.encode()) for p in some])
+        for some, between in [(spaced[at:at + 512], "") for at in range(0, len(spaced), 512)] + [
+                (bare[at:at + 512], "\n") for at in range(0, len(bare), 512)]:
+            got = np.array(self.encode_whole([between.join(some)])[0], np.uint32)
+            ends = np.cumsum([len(p.encode()) + len(between) for p in some]) - len(between)
             reached = np.cumsum(self.token_bytes[got])
-            place = np.searchsorted(reached, ends)
-            if not np.array_equal(reached[np.minimum(place, len(reached) - 1)], ends):
+            last = np.searchsorted(reached, ends)
+            first = np.r_[0, last[:-1] + 1 + len(between)]
+            if not np.array_equal(reached[np.minimum(last, len(reached) - 1)], ends):
                 raise ValueError("pieces were not cut apart; set by_piece to False for this tokenizer")
-            ids.append(got)
-            sizes.append(np.diff(np.r_[-1, place]))
+            ids.append(got[ranges(first, last + 1 - first)])
+            sizes.append(last + 1 - first)
         for at in range(0, len(alone), 512):
             each = self.encode_whole(alone[at:at + 512])
             ids.append(np.array([i for e in each for i in e], np.uint32))
             sizes.append(np.array([len(e) for e in each], np.int64))
-        for p in chain(joined, alone):
+        for p in chain(spaced, bare, alone):
             self.place[p] = len(self.place)
         self.ids = np.concatenate(ids)
         self.starts = starts_of(np.concatenate(sizes))
@@ -200,21 +208,17 @@ class Encoder:
         if not self.by_piece:
             each = self.encode_whole(texts.to_pylist())
             return np.array([i for e in each for i in e], np.uint32), np.array([len(e) for e in each], np.int64)
-        # White space before a space: cut only after printing characters.
-        odd = np.flatnonzero(pc.match_substring_regex(texts, BLANK_SPACE).to_numpy(zero_copy_only=False))
-        split = pc.split_pattern(texts, " ")
+        odd = np.flatnonzero(pc.match_substring_regex(texts, UNSAFE).to_numpy(zero_copy_only=False))
+        marked = texts
+        for char, cut in ((" ", "\0 "), (",", "\0,"), (".", "\0."), ("\n", "\0\n\0")):
+            marked = pc.replace_substring(marked, char, cut)
+        split = pc.split_pattern(marked, "\0")
         counts = np.diff(split.offsets.to_numpy()).astype(np.int64)
         coded = split.flatten().dictionary_encode()
-        first = starts_of(counts)[:-1]
-        # Every piece but a text's first had a space before it. An empty text is one piece.
-        pieces = coded.dictionary.to_pylist()
-        lead = coded.dictionary.take(coded.indices.take(pa.array(first))).to_pylist()
-        numbers = self.look_up([" " + p for p in pieces] + lead)
-        k = numbers[coded.indices.to_numpy()]
-        k[first] = numbers[len(pieces):]
+        k = self.look_up(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         size = self.starts[k + 1] - self.starts[k]
         got, per = self.ids[ranges(self.starts[k], size)], np.diff(starts_of(size)[starts_of(counts)])
-        if len(odd):
+        if len(odd):  # cut only at a space behind a printing character
             cut = starts_of(per)
             parts = [got[cut[i]:cut[i + 1]] for i in range(len(per))]
             for i in odd.tolist():
