@@ -165,6 +165,19 @@ def test_language_edge_tables(spark):
     assert kept.columns == docs.columns and sorted(r[0] for r in rows_of(kept, "doc_id")) == list(range(600))
 
 
+@pytest.mark.parametrize("unseen", ["aa", "bb", "cc"])
+def test_a_language_left_out_of_training_is_rejected(spark, unseen):
+    """All in one script; known texts pass, short ones too."""
+    rows = [(i, t, lang if lang != unseen else None, s) for i, t, lang, s in language_rows() if lang]
+    of = {i: (lang, len(t.split())) for i, t, lang, _ in language_rows()}
+    short = [(5000 + i, " ".join(t.split()[:1 + i % 2]), None, "s") for i, t, lang, _ in language_rows()[:200] if lang and lang != unseen]
+    got = {r[0]: r[1] for r in rows_of(li.identify_documents(documents(spark, rows + short)), "doc_id", "rejected")}
+    strange = [got[i] for i, *_ in rows if of[i][0] == unseen and of[i][1] >= 10]
+    known = [got[i] for i, *_ in rows if of[i][0] != unseen]
+    assert len(strange) > 80 and np.mean(strange) >= 0.95
+    assert np.mean(known) <= 0.01 and np.mean([got[i] for i, *_ in short]) <= 0.02
+
+
 # ------------------------------------------------------------------ operator 7
 
 NOTICE = {"Apache-2.0": "Licensed under the Apache License, Version 2.0.", "MIT": "Released under the MIT License.",

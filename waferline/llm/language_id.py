@@ -5,8 +5,14 @@ only, runs of anything else as one border), hashed to ``DIMENSIONS`` and of leng
 language has up to ``CENTROIDS`` centroids, found by spherical k-means on a bounded sample of
 its labelled texts (``SAMPLE`` per language, chosen by a hash of the id). Inverse document
 frequencies count all labelled training texts. A text gets the language of its nearest
-centroid by cosine; it is rejected where its cosine is less than ``1 / SLACK`` of that of the
-furthest text of that language's sample: one or two words of a known language still pass.
+centroid by cosine.
+
+A text is rejected where its cosine is below what its language allows at its length, counted
+in distinct n-grams (two classes per doubling). Each half of a language's sample is measured
+against centroids of the other half, whole and in cuts of 4, 8, 16... characters; a class
+allows ``SPREAD`` times the distance from the median cosine to the 5 % quantile, downwards
+from the median. One or two words tell little, so nearly all of them pass; texts of ten words
+or more in a language that was not learned mostly go.
 
 The model is a matrix of languages x centroids x dimensions: bounded by its parameters, and
 small enough to broadcast. Texts never move: both passes read them where they lie.
@@ -32,7 +38,9 @@ from pyspark.sql import functions as F
 DIMENSIONS = 1 << 14
 GRAMS = 3
 SAMPLE, CENTROIDS, ROUNDS = 1500, 4, 12
-SLACK = 4.0
+#: Rejection: width below the median, least pieces for a class's quantiles, least cosine of all.
+SPREAD, PIECES, FLOOR = 3.0, 20, 0.01
+CLASSES = 2 * DIMENSIONS.bit_length()
 FOLDS, HELD = 4, 2
 UNKNOWN = "und"
 
@@ -119,8 +127,44 @@ def spherical_means(x: np.ndarray, k: int, rounds: int = ROUNDS) -> tuple[np.nda
     return c, (x @ c.T).max(axis=1)
 
 
+def length_class(n_grams: int) -> int:
+    """Two classes per doubling of the number of distinct n-grams."""
+    return int(2 * np.log2(n_grams))
+
+
+def least_cosines(texts: list, x: np.ndarray, idf: np.ndarray, k: int) -> np.ndarray:
+    """The least cosine allowed per length class, from ``texts`` and their vectors ``x``."""
+    seen: list[list[float]] = [[] for _ in range(CLASSES)]
+    for half in (0, 1):
+        if half >= len(x):
+            break
+        by_dimension = np.ascontiguousarray(spherical_means(x[half::2], k)[0].T)
+        for i, text in enumerate(texts[1 - half::2]):
+            size = 4
+            while True:
+                at = i * 7919 % max(1, len(text) - size + 1)
+                dims, counts = next(gram_counts([text[at:at + size]]))
+                if len(dims):
+                    seen[length_class(len(dims))].append(float((weigh(dims, counts, idf) @ by_dimension[dims]).max()))
+                if size >= len(text):
+                    break
+                size *= 2
+    out, last = np.full(CLASSES, FLOOR), None
+    for c, cosines in enumerate(seen):
+        if len(cosines) >= PIECES:
+            low, middle = np.quantile(cosines, [0.05, 0.5])
+            last = middle - SPREAD * (middle - low)
+        elif cosines and last is None:  # too few to know their spread
+            out[c] = max(FLOOR, min(cosines) / 2)
+            continue
+        if last is not None:  # longer texts come nearer: a shorter class's bound holds for them
+            out[c] = max(FLOOR, last)
+    return out
+
+
 class Model:
-    """languages (of each centroid), centroids by dimension, least cosine of its language, idf."""
+    """languages (of each centroid), centroids by dimension, least cosines of its language by
+    length class, idf."""
 
     def __init__(self, languages: list[str], centroids: np.ndarray, least: np.ndarray, idf: np.ndarray):
         self.languages, self.by_dimension, self.least, self.idf = languages, np.ascontiguousarray(centroids.T), least, idf
@@ -133,7 +177,7 @@ class Model:
         cosines = weigh(at, counts, self.idf) @ self.by_dimension[at]
         best = int(np.argmax(cosines))
         score = float(min(1.0, max(0.0, cosines[best])))
-        return self.languages[best], score, score < self.least[best] / SLACK
+        return self.languages[best], score, score < self.least[best, length_class(len(at))]
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Model:
@@ -142,7 +186,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
     idf = np.log((n + 1) / (df + 1)) + 1
     sizes = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.count(F.lit(1))).collect()}
     if not sizes:
-        return Model([], np.zeros((0, DIMENSIONS)), np.zeros(0), idf)
+        return Model([], np.zeros((0, DIMENSIONS)), np.zeros((0, CLASSES)), idf)
     share = None  # of 2**20 hash values, by language
     for lang, size in sizes.items():
         part = F.when(F.col("lang") == lang, min(1 << 20, -(-(sample << 20) // size)))
@@ -155,19 +199,20 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
         for i, (at, counts) in enumerate(gram_counts(t for _, t in order)):
             if len(at):
                 x[i, at] = weigh(at, counts, idf)
-        x = x[x.any(axis=1)]
+        some = x.any(axis=1)
+        x, texts = x[some], [t for (_, t), ok in zip(order, some, strict=True) if ok]
         if not len(x):
-            return pa.table({"lang": pa.array([], pa.string()), "vector": pa.array([], pa.list_(pa.float32())), "least": pa.array([], pa.float64())})
-        c, cosines = spherical_means(x, centroids)
-        least = [float(cosines.min())] * len(c)
+            return pa.table({"lang": pa.array([], pa.string()), "vector": pa.array([], pa.list_(pa.float32())), "least": pa.array([], pa.list_(pa.float64()))})
+        c, _ = spherical_means(x, centroids)
+        least = [least_cosines(texts, x, idf, centroids)] * len(c)
         return pa.table({"lang": pa.array([rows["lang"][0].as_py()] * len(c), pa.string()),
-                         "vector": pa.array(list(c), pa.list_(pa.float32())), "least": pa.array(least, pa.float64())})
+                         "vector": pa.array(list(c), pa.list_(pa.float32())), "least": pa.array(least, pa.list_(pa.float64()))})
 
     found = (chosen.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
-             .groupBy("lang").applyInArrow(run, "lang string, vector array<float>, least double").collect())
+             .groupBy("lang").applyInArrow(run, "lang string, vector array<float>, least array<double>").collect())
     found.sort(key=lambda r: r[0])  # languages x centroids rows
     return Model([r[0] for r in found], np.array([r[1] for r in found]).reshape(-1, DIMENSIONS),
-                 np.array([r[2] for r in found]), idf)
+                 np.array([r[2] for r in found]).reshape(-1, CLASSES), idf)
 
 
 def identify(text: Column, model: Model, spark: SparkSession) -> Column:
