@@ -178,6 +178,26 @@ def test_a_language_left_out_of_training_is_rejected(spark, unseen):
     assert np.mean(known) <= 0.01 and np.mean([got[i] for i, *_ in short]) <= 0.02
 
 
+def test_the_sample_is_bounded_whatever_the_ids(spark, monkeypatch):
+    """Null and repeated ids, and repeated rows, do not fill one language's group."""
+    sizes, means = spark.sparkContext.accumulator(0), li.spherical_means
+
+    def counted(x, k, rounds=li.ROUNDS):
+        sizes.add(len(x))
+        return means(x, k, rounds)
+
+    monkeypatch.setattr(li, "spherical_means", counted)
+    monkeypatch.setattr(li, "least_cosines", lambda *a: li.np.zeros(li.CLASSES))
+    texts = [" ".join(t.split()[:3]) + f" {prose(i, 3)}" for i, t, *_ in language_rows()]
+    for ids in ([None] * 600, [7] * 600, range(600)):
+        before = sizes.value
+        li.fit(documents(spark, [(i, t, "aa", "s") for i, t in zip(ids, texts, strict=True)]).select("doc_id", "text", "lang"), sample=50)
+        assert 20 <= sizes.value - before <= 100
+    before = sizes.value
+    li.fit(documents(spark, [(None, "the same row", "aa", "s")] * 600).select("doc_id", "text", "lang"), sample=600)
+    assert sizes.value - before == 1
+
+
 # ------------------------------------------------------------------ operator 7
 
 NOTICE = {"Apache-2.0": "Licensed under the Apache License, Version 2.0.", "MIT": "Released under the MIT License.",

@@ -3,7 +3,7 @@
 A text's vector holds the tf-idf weights of its character 1- to 3-grams (lower case, letters
 only, runs of anything else as one border), hashed to ``DIMENSIONS`` and of length 1. Each
 language has up to ``CENTROIDS`` centroids, found by spherical k-means on a bounded sample of
-its labelled texts (``SAMPLE`` per language, chosen by a hash of the id). Inverse document
+its labelled texts (``SAMPLE`` per language, distinct by id and text, chosen by a hash of both). Inverse document
 frequencies count all labelled training texts. A text gets the language of its nearest
 centroid by cosine.
 
@@ -187,11 +187,13 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
     sizes = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.count(F.lit(1))).collect()}
     if not sizes:
         return Model([], np.zeros((0, DIMENSIONS)), np.zeros((0, CLASSES)), idf)
-    share = None  # of 2**20 hash values, by language
+    share = None  # of 2**40 hash values, by language
     for lang, size in sizes.items():
-        part = F.when(F.col("lang") == lang, min(1 << 20, -(-(sample << 20) // size)))
-        share = part if share is None else share.when(F.col("lang") == lang, min(1 << 20, -(-(sample << 20) // size)))
-    chosen = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
+        part = min(1 << 40, -(-(sample << 40) // size))
+        share = (F if share is None else share).when(F.col("lang") == lang, F.lit(part).cast("long"))
+    # The hash is of id and text, and equal rows count once: no id, null or repeated, fills the sample.
+    chosen = (labelled.withColumn("hash", F.xxhash64("doc_id", "text"))
+              .filter(F.pmod("hash", F.lit(1 << 40)) < share).dropDuplicates(["lang", "hash"]))
 
     def run(rows: pa.Table) -> pa.Table:
         order = sorted(zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist(), strict=True), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
