@@ -32,10 +32,12 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents none of whose rows (by doc_id) is contaminated."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.filter("contaminated").select(F.col("doc_id").alias("contaminated_id")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("contaminated_id")), "left_anti")
+    """Documents that are not contaminated. A row goes by its own key, doc_id and text, so
+    rows of a null or repeated id with other texts stay."""
+    row = F.xxhash64("doc_id", F.col("text").cast("string"))
+    found = decontaminate.decontaminate(docs.select(row.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    bad = found.filter("contaminated").select(F.col("doc_id").alias("contaminated_row")).distinct()
+    return docs.join(bad, row == F.col("contaminated_row"), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -112,6 +112,35 @@ def test_first_of_each_keeps_one_whole_document(spark):
     assert (2, None) in kept and (3, "") in kept
 
 
+def test_first_of_each_judges_rows_of_null_and_repeated_ids(spark):
+    copy, other = prose(1, 60), prose(2, 60)
+    rows = [(1, copy, "en", "a"), (8, copy, "en", "a"), (8, other, "en", "a"), (8, other, "en", "a"),  # id 8: a copy of 1, and another text
+            (None, prose(3, 60), "en", "a"), (None, prose(4, 60), "en", "a"), (None, prose(4, 60) + " tail", "en", "a"),
+            (None, None, "en", "a"), (None, "", "en", "a"), (8, " ", "en", "a"), (None, copy, "en", "a"),
+            (9, prose(5, 60), "en", "a"), (9, prose(5, 60) + " tail", "en", "a")]
+    docs = documents(spark, rows)
+    out = nd.first_of_each(docs)
+    assert out.columns == docs.columns
+    kept = rows_of(out, "doc_id", "text")
+    fixed = [(1, copy), (8, other), (None, prose(3, 60)), (None, None), (None, ""), (8, " ")]
+    assert all(kept.count(x) == 1 for x in fixed) and len(kept) == len(fixed) + 2
+    assert sum(i is None and (t or "").startswith(prose(4, 60)) for i, t in kept) == 1
+    assert sum(i == 9 for i, _ in kept) == 1
+
+
+def test_decontamination_stage_judges_rows_of_null_and_repeated_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    item = prose(50, 30)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, item, "en", "a"), (None, prose(3, 60), "en", "a"), (None, None, "en", "a"), (8, item, "en", "a"),
+            (8, prose(4, 60), "en", "a"), (9, prose(5, 60), "en", "a")]
+    docs = documents(spark, rows)
+    out = corpus_pipeline.without_benchmark(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    assert sorted(rows_of(out, "doc_id", "text"), key=key) == sorted([(i, t) for i, t, *_ in rows if t != item], key=key)
+
+
 @pytest.mark.parametrize("similarity", [0.5, 0.75, 0.9])
 def test_signature_estimates_similarity(similarity):
     """Shares of equal minima and maxima follow the sets' similarity; bands rarely miss."""

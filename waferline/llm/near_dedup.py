@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waferline.llm.common import SPACED, split_words, starts_of, stored
+from waferline.llm.common import SPACED, WORD, split_words, starts_of, stored
 
 WORDS = 5
 #: Links have 100 * intersection >= PERCENT * union.
@@ -51,7 +51,7 @@ _ODD = (_RNG.integers(0, 1 << 31, PERMUTATIONS, dtype=np.uint64) * 2 + 1).astype
 _LAYOUT = _RNG.permutation(2 * PERMUTATIONS).reshape(BANDS, ROWS)
 _MIX = _RNG.integers(0, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-SKETCH = "doc_id long, n_shingles long, cls long, bands array<long>"
+SKETCH = "doc_id long, mark long, n_shingles long, cls long, bands array<long>"
 
 
 def shingles(texts, size: int = WORDS) -> Iterator[np.ndarray]:
@@ -98,25 +98,31 @@ def band_keys(s: np.ndarray) -> np.ndarray:
     return (key ^ (key >> np.uint64(33))).view(np.int64)
 
 
+def text_mark() -> Column:
+    """With doc_id, the key of a row: rows of a null or repeated id are told apart by it."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def sketch(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """Store doc_id, n_shingles, class and band keys of every document."""
+    """Store doc_id, mark (checksum of the text), n_shingles, class and band keys of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 piece = b.slice(at, 512)
                 n, cls, bands = [], [], []
-                for s in shingles(piece.column(1).to_pylist(), size):
+                for s in shingles(piece.column(2).to_pylist(), size):
                     n.append(len(s))
                     cls.append(class_of(s) if len(s) else None)
                     bands.append(band_keys(s) if len(s) else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
+                    [piece.column(0), piece.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
                      pa.ListArray.from_arrays(pa.array(starts_of([len(x) for x in bands]), pa.int32()),
                                               pa.array(np.concatenate(bands), pa.int64()))],
-                    ["doc_id", "n_shingles", "cls", "bands"])
+                    ["doc_id", "mark", "n_shingles", "cls", "bands"])
 
-    return stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SKETCH), "sketch")
+    return stored(docs.select(F.col("doc_id").cast("long"), text_mark().alias("mark"), F.col("text").cast("string"))
+                  .mapInArrow(run, SKETCH), "sketch")
 
 
 def alike_in_size(a: Column, b: Column) -> Column:
@@ -214,8 +220,9 @@ def residual(bands: DataFrame, labels: DataFrame, sets: DataFrame, size: int = W
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def near_duplicates(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: a row per row of ``docs`` (doc_id, text)."""
+def judge_rows(docs: DataFrame, size: int = WORDS) -> DataFrame:
+    """doc_id, mark, n_shingles, label (the component's class; null without words),
+    component_id, kept: a row per row of ``docs`` (doc_id, text)."""
     sketches = sketch(docs, size)
     sizes = (sketches.filter("cls is not null").groupBy("cls")
              .agg(F.min("doc_id").alias("first_doc"), F.max("n_shingles").alias("n")))
@@ -257,21 +264,28 @@ def near_duplicates(docs: DataFrame, size: int = WORDS) -> DataFrame:
             "cls", "first_doc", F.coalesce("new", "label").alias("label"))
 
     firsts = named.groupBy("label").agg(F.min("first_doc").alias("component_id"))
-    of_class = named.join(firsts, "label").select(F.col("cls").alias("c"), "component_id")
-    out = sketches.select("doc_id", "n_shingles", "cls").join(of_class, F.col("cls") == F.col("c"), "left")
+    of_class = named.join(firsts, "label").select(F.col("cls").alias("c"), "label", "component_id")
+    out = sketches.select("doc_id", "mark", "n_shingles", "cls").join(of_class, F.col("cls") == F.col("c"), "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+    return out.select("doc_id", "mark", "n_shingles", "label", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def near_duplicates(docs: DataFrame, size: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: a row per row of ``docs`` (doc_id, text)."""
+    return judge_rows(docs, size).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def first_of_each(docs: DataFrame, size: int = WORDS) -> DataFrame:
     """One document of each group of near-duplicates, all columns kept; texts without words
-    all stay."""
-    found = near_duplicates(docs, size)
-    kept = found.filter("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(F.max("n_shingles").alias("kept_n"))
-    stay = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")))
-    some = stay.filter("kept_n > 0").drop("kept_id", "kept_n").dropDuplicates(["doc_id"])
-    return some.unionByName(stay.filter("kept_n = 0").drop("kept_id", "kept_n")).select(*docs.columns)
+    all stay. A row is known by doc_id and text, so ids may be null or repeated: of a group's
+    rows with its smallest id, one stays."""
+    found = judge_rows(docs, size).filter("kept and label is not null")
+    kept = found.groupBy("label").agg(F.min("component_id").alias("kept_id"), F.min("mark").alias("kept_mark")).drop("label")
+    worded = F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
+    some = docs.filter(worded).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (text_mark() == F.col("kept_mark")))
+    some = some.dropDuplicates(["kept_id", "kept_mark"])
+    return some.select(*docs.columns).unionByName(docs.filter(~worded))
 
 
 ORACLE = r"""
