@@ -228,6 +228,28 @@ def test_license_scan(spark):
                 assert any(len(g) == 3 and g in model.feature for g in lic.grams(w))
 
 
+@pytest.mark.parametrize("width,mark", [(72, ""), (80, " * "), (76, "# ")])
+def test_wrapped_notices(spark, width, mark):
+    """Hard-wrapped notices, in comments and without, are found as whole lines."""
+    import textwrap
+
+    wrap = lambda t: "\n".join(mark + x for x in textwrap.wrap(t, width - len(mark)))
+    cases = [(f, p) for f in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "Apache-2.0") for p in lic.PARAGRAPHS[f]]
+    # Set among prose: a blank line (or an empty comment) before, none after.
+    blank = "\n" + mark.rstrip() + "\n"
+    rows = [(k, prose(k, 40) + blank + wrap(p) + "\n" + prose(k + 50, 30), "en", "a") for k, (_, p) in enumerate(cases)]
+    mit = "Copyright (c) 2020 A. N. Other" + blank + blank.join(wrap(p) for p in lic.PARAGRAPHS["MIT"])
+    rows += [(100, mit, "en", "a"), (101, blank.join(wrap(p).replace("\n", blank) for p in lic.PARAGRAPHS["MIT"]), "en", "a"),
+             (102, wrap("Licensed under the Apache") + "\n" + wrap("License, Version 2.0."), "en", "a")]
+    found = lic.scan_documents(documents(spark, rows))
+    got = {r[0]: r[1:] for r in rows_of(lic.digest(found), "doc_id", "n_license", "licenses")}
+    assert {k: got[k][1] for k in range(len(cases))} == {k: f for k, (f, _) in enumerate(cases)}
+    assert all(got[k][0] == 1 for k, (f, _) in enumerate(cases) if f in ("MIT", "ISC", "BSD-3-Clause"))
+    assert got[100] == (2, "MIT") and got[102] == (1, "Apache-2.0")
+    spans = found.filter("doc_id = 0").first()["spans"]
+    assert [rows[0][1][s["start"]:s["end"]] for s in spans if s["confirmed"]] == [wrap(cases[0][1])]
+
+
 def test_license_edge_tables(spark):
     assert rows_of(lic.scan_documents(documents(spark, []))) == []
     assert lic.windows(np.array([0, 1, 64, 65, 96, 97]))[2].tolist() == [1, 64, 64, 33, 64, 64, 64, 64, 33]

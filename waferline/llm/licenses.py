@@ -1,7 +1,11 @@
 """Licence scans with a trained paragraph classifier (operator 7).
 
 A text's paragraphs are its lines; lines of more than ``WIDE`` words are read in windows of
-``WIDE`` words that overlap by half. A multinomial logistic regression over sparse word 1- to
+``WIDE`` words that overlap by half. Notices that are wrapped over lines are read as well: runs
+of lines with words (a line without, as an empty comment line, is a border) are searched for
+3-grams of notices, and where these cross a line's end, windows of up to the longest notice
+slide over them. What such windows confirm is one span of whole lines per family and place; it
+takes the place of its lines' own unconfirmed spans. Comment marks are no words. A multinomial logistic regression over sparse word 1- to
 3-grams tells the licence family of a paragraph, or that it is none (class ``unknown``). It is
 trained on the public notices of :mod:`license_texts`, cut, edited and set among prose, against
 sentences about licences, shuffled notices, and paragraphs of a bounded sample of the documents
@@ -38,6 +42,8 @@ WIDE = 64
 GRAMS = 3
 CONFIRM = 0.7
 PROSE_DOCUMENTS, PROSE_PARAGRAPHS = 400, 6
+#: Wrapped notices: most words between their 3-grams, and window sizes beside the longest notice.
+APART, SIZES = 12, (32, 16, 8)
 UNKNOWN = "unknown"
 FAMILIES = sorted(NAMES)
 RESULT = ("doc_id long, n_paragraphs long, spans array<struct<start:int,end:int,family:string,score:double,confirmed:boolean>>")
@@ -96,9 +102,10 @@ class Classifier:
         self.templates = {f: [set(grams(w, 2)) for w in own[f]] for f in FAMILIES}
         vocabulary = sorted({g for f in FAMILIES for w in own[f] for g in grams(w)}
                             | {g for t in NOT_A_LICENCE for g in grams(words_of(t))})
+        self.longest = max(len(w) for f in FAMILIES for w in own[f])
         self.feature = {g: i for i, g in enumerate(vocabulary)}
         self.words = sorted({w for g in vocabulary for w in g})
-        prose = [w for w in prose if self.resemblance(w) < 0.5]  # notices among the sample
+        prose = [w for w in prose if self.resemblance(w) < 0.5 and self.share(w) < 0.5]  # notices among the sample
         x, y = examples(prose)
         fold = np.random.default_rng(1).random(len(x)) < 0.25
         y = np.array(y)
@@ -125,6 +132,11 @@ class Classifier:
         found = set(grams(words, 2))
         return max((len(t & found) / len(t) for f in FAMILIES for t in self.templates[f]), default=0.0)
 
+    def share(self, words: list[str]) -> float:
+        """The share of the words' own grams that notices have: high for a line of a wrapped one."""
+        found = set(grams(words, 2))
+        return sum(any(g in t for f in FAMILIES for t in self.templates[f]) for g in found) / max(1, len(found))
+
     @staticmethod
     def _softmax(z: np.ndarray) -> np.ndarray:
         e = np.exp(z - z.max(axis=1, keepdims=True))
@@ -165,6 +177,32 @@ def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return line, starts_of(counts)[line] + nth * (WIDE // 2), np.minimum(counts[line] - nth * (WIDE // 2), WIDE)
 
 
+def wrapped(at: np.ndarray, line: np.ndarray, run: np.ndarray, longest: int) -> list[list[tuple[int, int]]]:
+    """Windows (first word, end) across line ends, per place that holds 3-grams of notices.
+    ``at``: where these start; ``line`` and ``run`` of every word."""
+    at = at[run[at] == run[at + 2]]
+    cut = np.flatnonzero((np.diff(at) > APART) | (np.diff(run[at]) != 0)) + 1
+    out = []
+    for place in np.split(at, cut) if len(at) else []:
+        a, b = int(place[0]), int(place[-1]) + 3
+        if line[a] != line[b - 1]:
+            some = {(max(a, e - size), e) for size in (longest, *SIZES)
+                    for e in [*range(min(a + size, b), b, size // 4), b]}
+            out.append(sorted(w for w in some if line[w[0]] != line[w[1] - 1]))
+    return out
+
+
+def merged(found: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
+    """Ranges (first, end, score), those that overlap made one of the best score."""
+    out: list[tuple[int, int, float]] = []
+    for a, b, score in sorted(found):
+        if out and a < out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1]), max(score, out[-1][2])
+        else:
+            out.append((a, b, score))
+    return out
+
+
 def prose_sample(docs: DataFrame, size: int = PROSE_DOCUMENTS, each: int = PROSE_PARAGRAPHS) -> list[list[str]]:
     """Up to ``each`` paragraphs of about ``size`` documents, chosen by a hash of the id."""
     n = docs.count()
@@ -201,20 +239,42 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
                     hit[1:-2] = np.cumsum((a >= 0) & (m >= 0) & (z >= 0) & np.isin((a * v + m) * v + z, triples))
                     hit[-2:] = hit[-3]
                     likely = np.flatnonzero((size >= 3) & (hit[np.maximum(first + size - 2, first)] > hit[first]))
-                    bounds: dict[int, tuple[int, int]] = {}
                     base = starts_of([len(x) for x in lines])
+
+                    def place(k: int) -> tuple[int, int]:
+                        """A line's bounds in its text."""
+                        own, j = lines[of[k]], k - int(base[of[k]])
+                        begin = sum(len(x) + 1 for x in own[:j])
+                        return begin, begin + len(own[j])
+
+                    def judge(a: int, b: int) -> tuple[str, float, bool]:
+                        return model.classify([x.decode() for x in words[a:b].to_pylist()])
+
+                    alone = []  # (line, family, score, confirmed) of windows within a line
                     for w in likely.tolist():
-                        k = int(line[w])
-                        d = int(of[k])
-                        if k not in bounds:
-                            own = lines[d]
-                            j = k - int(base[d])
-                            begin = sum(len(x) + 1 for x in own[:j])
-                            bounds[k] = begin, begin + len(own[j])
-                        family, score, sure = model.classify(
-                            [x.decode() for x in words[int(first[w]):int(first[w] + size[w])].to_pylist()])
+                        family, score, sure = judge(int(first[w]), int(first[w] + size[w]))
                         if family != UNKNOWN:
-                            spans[d].append({"start": bounds[k][0], "end": bounds[k][1], "family": family,
+                            alone.append((int(line[w]), family, score, sure))
+                    some = counts > 0
+                    border = np.r_[True, ~some[:-1] | (of[1:] != of[:-1])]
+                    of_word = np.repeat(np.arange(len(counts)), counts)
+                    sure_of = {(k, family) for k, family, _, sure in alone if sure}
+                    done = np.zeros(len(counts) + 1, bool)  # lines that are notices by themselves
+                    done[[k for k, _ in sure_of]] = True
+                    runs = np.cumsum(border), np.cumsum(border | done[:-1] | np.r_[False, done[:-2]])
+                    hits = np.flatnonzero(np.diff(hit[:-2]))
+                    tried = {w for r in runs for group in wrapped(hits, of_word, r[of_word], model.longest) for w in group}
+                    by_family: dict[str, list] = {}
+                    for x, y in sorted(tried):
+                        family, score, sure = judge(x, y)
+                        if sure and not any((k, family) in sure_of for k in range(of_word[x], of_word[y - 1] + 1)):
+                            by_family.setdefault(family, []).append((x, y, score))
+                    across = [(int(of_word[x]), int(of_word[y - 1]), family, score)  # all confirmed
+                              for family, ranges_ in by_family.items() for x, y, score in merged(ranges_)]
+                    part = {(k, family) for x, y, family, _ in across for k in range(x, y + 1)}
+                    every = [(k, k, family, score, sure) for k, family, score, sure in alone if sure or (k, family) not in part]
+                    for x, y, family, score, sure in sorted(every + [(*a, True) for a in across], key=lambda r: r[0]):
+                        spans[of[x]].append({"start": place(x)[0], "end": place(y)[1], "family": family,
                                              "score": score, "confirmed": bool(sure)})
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(np.bincount(of[line], minlength=len(lines)), pa.int64()),
