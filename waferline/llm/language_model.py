@@ -13,9 +13,9 @@ training tokens are likeliest when each is left out of its own counts.
 2. ``answer_shards``: a shard adds up what all chunks sent, builds its trie and looks up every
    chunk's entries in it. Level 1 holds the sorted contexts and, as an Elias-Fano sequence,
    the pointers to their successors; level 2 the sorted successors, and for each an 8-bit
-   code of its count's logarithm, the quantised joint probability. A context's successors
+   code of its count's logarithm (a count, not a smoothed probability). A context's successors
    are spread over ``SPLITS`` shards, so a context that a third of all words follows does not
-   fall to one task. Levels are flat buffers that can be mapped as they are.
+   fall to one task. Levels live within the call; pointers are decoded whole when looked up.
 3. ``score_chunks`` joins each chunk with its answers and scores its documents.
 
 Nothing is collected but the totals N and V and a likelihood per prior. Words are known by
