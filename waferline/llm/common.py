@@ -32,6 +32,21 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_unique(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", hot: int = 1000) -> DataFrame:
+    """Join a stored ``left`` with ``right``, whose keys are unique. A key that holds more than
+    1/``hot`` of the rows of ``left`` would fill one task; there are fewer than ``hot`` such keys,
+    so their rows of ``right`` are broadcast and only the others are shuffled. No key is null."""
+    many = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    total = left.count()
+    keys = [r[:-1] for r in many.filter(F.col("__n") > max(1, total // hot)).collect()]  # fewer than ``hot`` rows
+    if not keys:
+        return left.join(right, on, how)
+    few = F.broadcast(left.sparkSession.createDataFrame([tuple(k) for k in keys], left.select(*on).schema))
+    rare = left.join(few, on, "left_anti").join(right, on, how)
+    often = left.join(few, on, "left_semi").join(F.broadcast(right.join(few, on, "left_semi")), on, how)
+    return rare.unionByName(often)
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

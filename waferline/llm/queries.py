@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waferline.llm import chat, decontaminate, language_id, language_model, licenses, mix, near_dedup, shard, tokens, vector_search
+from waferline.llm import chat, decontaminate, language_id, language_model, licenses, line_dedup, mix, near_dedup, shard, tokens, vector_search
 from waferline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,6 +80,7 @@ def queries() -> dict[str, Query]:
         "op8_exact_top_k": op8_exact_top_k,
         "op9_trie_scores": op9_trie_scores,
         "op10_decontamination": op10_decontamination,
+        "op11_line_dedup": op11_line_dedup,
         "pipeline": pipeline,
     }
 
@@ -87,4 +92,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_near_duplicates": near_dedup.ORACLE,
         "op8_exact_top_k": vector_search.ORACLE,
         "op10_decontamination": decontaminate.ORACLE,
+        "op11_line_dedup": line_dedup.ORACLE,
     }
