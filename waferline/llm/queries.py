@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waferline.llm import chat, decontaminate, language_id, language_model, licenses, line_dedup, mix, near_dedup, prefix_trie, shard, tokens, vector_search
+from waferline.llm import chat, collocations, decontaminate, language_id, language_model, licenses, line_dedup, mix, near_dedup, prefix_trie, shard, tokens, vector_search
 from waferline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.digest(collocations.collocations(table(spark, sf_dir, "documents")))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.digest(prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")))
 
@@ -85,6 +89,7 @@ def queries() -> dict[str, Query]:
         "op9_trie_scores": op9_trie_scores,
         "op10_decontamination": op10_decontamination,
         "op11_line_dedup": op11_line_dedup,
+        "op12_collocations": op12_collocations,
         "op13_prefix_trie": op13_prefix_trie,
         "pipeline": pipeline,
     }
@@ -98,5 +103,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_exact_top_k": vector_search.ORACLE,
         "op10_decontamination": decontaminate.ORACLE,
         "op11_line_dedup": line_dedup.ORACLE,
+        "op12_collocations": collocations.ORACLE,
         "op13_prefix_trie": prefix_trie.ORACLE,
     }
