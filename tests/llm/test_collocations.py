@@ -65,10 +65,10 @@ def test_one_word_and_one_phrase_nearly_everywhere(spark):
 
 
 def test_scores_pass_64_bits(spark):
-    phrases = spark.createDataFrame([("en", "x", 1, 9 * 10**17), ("en", "y", 1, 8 * 10**17), ("en", "x y", 2, 7 * 10**17)],
+    phrases = spark.createDataFrame([("en", "x", 1, 9 * 10**16), ("en", "y", 1, 8 * 10**16), ("en", "x y", 2, 7 * 10**16)],
                                     "lang string, phrase string, words int, f long")
-    totals = spark.createDataFrame([("en", 9 * 10**17)], "lang string, n long")
-    assert rows_of(cl.score(phrases, totals), "score") == [(1000 * 7 * 9 * 10**34 // (9 * 8 * 10**34),)]
+    totals = spark.createDataFrame([("en", 9 * 10**16)], "lang string, n long")
+    assert rows_of(cl.score(phrases, totals), "score") == [(1000 * 7 * 9 * 10**32 // (9 * 8 * 10**32),)]
 
 
 @pytest.mark.parametrize("seed", range(5))

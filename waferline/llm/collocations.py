@@ -14,7 +14,7 @@
    counted exactly by their words, added up per piece before the shuffle. Words are counted
    all.
 4. ``score``: counts of both sides of each cut are joined (very common sides by broadcast), and
-   scores are exact decimals. Phrases inside a longer one as frequent are dropped.
+   scores are exact decimals (to 10^17 words). Phrases inside a longer one as frequent are dropped.
 
 Defined cases: null texts are empty; null lang is ``und``, together with that lang; repeated
 rows count as often as they come; no phrase crosses a piece or a text; ties end with the
