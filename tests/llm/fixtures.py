@@ -10,7 +10,8 @@ SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 #: Columns beside the five of documents, with names that operators use inside.
-EXTRA = ("size", "shard", "slot", "cls", "label", "score", "n", "h", "word", "part", "rank", "target", "copies", "rejected")
+EXTRA = ("size", "shard", "slot", "cls", "label", "score", "n", "h", "word", "part", "rank", "target", "copies", "rejected",
+         "kept_id", "kept_mark", "mix_mark", "mix_id", "mix_copy", "contaminated_row", "shard_row", "mark", "dropped", "lo")
 DOCUMENTS = ("doc_id long, text string, lang string, source string, n_chars long, "
              + ", ".join(f"{c} string" for c in EXTRA))
 

@@ -156,3 +156,54 @@ def test_signature_estimates_similarity(similarity):
         missed += not (x == y).any()
     assert abs(np.mean(equal) - similarity ** nd.ROWS) < 0.06
     assert missed == 0 or similarity < 0.75
+
+
+def crowd(seed, n, edits, words_=150, base=True):
+    """A text and ``n`` copies with ``edits`` words changed in each."""
+    r = random.Random(seed)
+    text = prose(seed, words_, 5000).split()
+    out = [" ".join(text)] if base else []
+    for k in range(n):
+        w = list(text)
+        for i in r.sample(range(words_), edits):
+            w[i] = f"e{k}x{i}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_a_crowd_just_below_the_bound_gives_few_pairs(spark):
+    """Five words of 150 changed: no copy reaches another. What is left to compare grows with
+    the copies, not with their square."""
+    made, confirm = [], nd.confirm
+
+    def counted(pairs, sets, size=nd.WORDS):
+        made.append(pairs.count())
+        return confirm(pairs, sets, size)
+
+    sizes = []
+    for n in (150, 300):
+        made.clear()
+        nd.confirm = counted
+        try:
+            check(spark, [(i, t, "en", "a") for i, t in enumerate(crowd(5, n, 6, base=False))])
+        finally:
+            nd.confirm = confirm
+        sizes.append(sum(made))
+    assert sizes[1] < 3 * sizes[0] + 100
+
+
+@pytest.mark.parametrize("edits", [2, 3, 4])
+def test_recall_on_crowds(spark, edits):
+    """With the text they come from, and without: pairs of copies at 0.65 to 0.9."""
+    rows = [(i, t, "en", "a") for i, t in enumerate(crowd(edits, 120, edits) + crowd(10 + edits, 120, edits, base=False))]
+    check(spark, rows)
+
+
+def test_bitmaps_bound_what_sets_have_apart():
+    rng = np.random.default_rng(3)
+    for n in (1, 40, 700):
+        a, b = (np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64)) for _ in range(2))
+        b = np.union1d(a[: n // 2], b)
+        apart = len(np.setxor1d(a, b))
+        x = nd.bitmap(a) ^ nd.bitmap(b)
+        assert sum(int(v).bit_count() for v in x.view(np.uint64)) <= apart

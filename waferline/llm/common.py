@@ -32,6 +32,17 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores as make it differ from all columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def join_unique(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", hot: int = 1000) -> DataFrame:
     """Join a stored ``left`` with ``right``, whose keys are unique. A key that holds more than
     1/``hot`` of the rows of ``left`` would fill one task; there are fewer than ``hot`` such keys,

@@ -6,15 +6,19 @@
    ``ROWS`` values make a band; a pair of similarity 0.75 misses all bands with probability
    (1 - 0.75**ROWS)**BANDS, about 2 in a million.
 2. Candidates: classes that share a band. A band's classes are not paired with each other but
-   each with the smallest (a star), so a band of m classes gives m - 1 pairs, however large.
+   each with the band's lead (a star), so a band of m classes gives m - 1 pairs, however large.
+   The lead is the class that meets most others in all its bands: of a group of edited copies,
+   the text they were made from.
 3. ``confirm``: both full sets, intersected exactly.
 4. ``components`` of the confirmed links, by spreading minima and jumping along them.
-5. ``residual``: where a band still holds classes of several components, links between
-   members that are not its smallest may be missing. For these classes alone, an exact
-   prefix join: two sets of similarity 0.75 must share one of their rarest shingles (a
-   quarter of each set, and one), early enough in both that what follows can still suffice.
-   Per shingle, only classes outside its commonest component are paired with the others.
-   Confirmed links join the star's, and components are final.
+5. ``again``: bands that still hold several components get new leads, drawn by a hash of band
+   and round, so a class meets as many leads as it has bands; only pairs across components are
+   confirmed. Rounds go on until one adds no link. Pairs stay below bands times classes.
+6. ``residual``: what rounds of stars can have missed, exactly. For the classes of bands that
+   are still mixed, a prefix join: two sets of similarity 0.75 must share one of their rarest
+   shingles (a quarter of each set, and one), early enough in both that what follows can still
+   suffice, and their parity bitmaps must not differ in more bits than the sets may. Per
+   shingle, only classes outside its commonest component are paired with the others.
 
 Texts move once (those of classes with candidates are picked from the documents); links,
 components and checksums stay distributed.
@@ -36,7 +40,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waferline.llm.common import SPACED, WORD, split_words, starts_of, stored
+from waferline.llm.common import SPACED, WORD, fresh, split_words, starts_of, stored
 
 WORDS = 5
 #: Links have 100 * intersection >= PERCENT * union.
@@ -51,6 +55,9 @@ _ODD = (_RNG.integers(0, 1 << 31, PERMUTATIONS, dtype=np.uint64) * 2 + 1).astype
 _LAYOUT = _RNG.permutation(2 * PERMUTATIONS).reshape(BANDS, ROWS)
 _MIX = _RNG.integers(0, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+#: Bits of a class's parity bitmap, in words of 64.
+BITMAP = 8
+
 SKETCH = "doc_id long, mark long, n_shingles long, cls long, bands array<long>"
 
 
@@ -171,13 +178,53 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Per bit the parity of the shingles that fall on it: the bitmaps of two sets differ in no
+    more bits than the sets have elements apart."""
+    bits = np.bincount((s >> np.uint64(20)).astype(np.int64) & (64 * BITMAP - 1), minlength=64 * BITMAP) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def linked(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (cls, label) after more links (a, b): a graph of the labels they join."""
+    of = lambda c: labels.select(F.col("cls").alias(c), F.col("label").alias(f"l{c}"))
+    joints = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+              .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).distinct())
+    new = components(joints).toDF("joined", "new")
+    ends = links.select(F.col("a").alias("cls")).union(links.select(F.col("b").alias("cls"))).distinct()
+    alone = ends.join(labels, "cls", "left_anti").select("cls", F.col("cls").alias("label"))
+    return stored(labels.unionByName(alone).join(new, F.col("label") == F.col("joined"), "left")
+                  .select("cls", F.coalesce("new", "label").alias("label")), "labels")
+
+
+def mixed_bands(bands: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``bands`` with their label, of bands of three classes or more that hold several
+    components (in a band of two, the star has seen the only pair)."""
+    named = bands.join(labels, "cls", "left").select(*bands.columns, F.coalesce("label", "cls").alias("label"))
+    mixed = named.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return named.join(mixed.filter("m > 2 and lo <> hi").select("key"), "key")
+
+
+def again(bands: DataFrame, labels: DataFrame, sets: DataFrame, size: int = WORDS) -> DataFrame:
+    """``labels`` after rounds of stars with new leads, until a round adds no link."""
+    rounds = 0
+    while True:
+        rounds += 1
+        named = stored(mixed_bands(bands, labels), "mixed")
+        leads = named.groupBy("key").agg(F.max(F.struct(F.xxhash64(F.lit(rounds), "key", "cls").alias("draw"), F.col("cls").alias("a"),
+                                                        F.col("n").alias("na"), F.col("label").alias("la"))).alias("lead")).select("key", "lead.*")
+        pairs = named.join(leads, "key").filter((F.col("label") != F.col("la")) & alike_in_size(F.col("n"), F.col("na")))
+        pairs = pairs.select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct()
+        found = stored(confirm(pairs, sets, size), "round-links")
+        if not found.limit(1).count():
+            return labels
+        labels = linked(labels, found)
+
+
 def residual(bands: DataFrame, labels: DataFrame, sets: DataFrame, size: int = WORDS) -> DataFrame:
     """Pairs (a, b) of different components that the stars may have missed: all pairs that
     can reach the similarity among the classes of mixed bands of three classes or more."""
-    named = bands.join(labels, "cls", "left").select("key", "cls", F.coalesce("label", "cls").alias("label"))
-    mixed = named.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    mixed = mixed.filter("m > 2 and lo <> hi").select("key")
-    open_ = named.join(mixed, "key").select("cls", "label").distinct()
+    open_ = mixed_bands(bands, labels).select("cls", "label").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -190,10 +237,11 @@ def residual(bands: DataFrame, labels: DataFrame, sets: DataFrame, size: int = W
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(n, piece.column(0)[i].as_py(), np.int64)),
                          pa.array(np.full(n, piece.column(1)[i].as_py(), np.int64)),
-                         pa.array(s.view(np.int64)), pa.array(np.full(n, n, np.int64))], ["cls", "label", "shingle", "n"])
+                         pa.array(s.view(np.int64)), pa.array(np.full(n, n, np.int64)),
+                         pa.array([bitmap(s)] * n, pa.list_(pa.int64()))], ["cls", "label", "shingle", "n", "bits"])
 
     items = stored(open_.join(sets, "cls").select("cls", "label", "packed")
-                   .mapInArrow(run, "cls long, label long, shingle long, n long"), "residual")
+                   .mapInArrow(run, "cls long, label long, shingle long, n long, bits array<long>"), "residual")
     often = items.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     # The rarest come first; a set's last ceil(0.75 n) - 1 shingles cannot be the only common ones.
     # Shingles of one class alone take their share of the prefix, but pair with nothing.
@@ -203,18 +251,21 @@ def residual(bands: DataFrame, labels: DataFrame, sets: DataFrame, size: int = W
     prefix = (shared.withColumn("rank", rank).join(some, "cls")
               .withColumn("at", F.col("n") - F.col("some") + F.col("rank"))
               .filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
-              .select("shingle", "cls", "label", "n", "at"))
+              .select("shingle", "cls", "label", "n", "at", "bits"))
     main = (prefix.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("shingle").agg(F.max_by("label", "c").alias("main"), F.count(F.lit(1)).alias("labels"))
             .filter("labels > 1"))
-    told = stored(prefix.join(main, "shingle").select("shingle", "cls", "label", "n", "at", (F.col("label") != F.col("main")).alias("stray")), "prefix")
-    x = told.filter("stray").select("shingle", F.col("cls").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("at").alias("ia"))
+    told = stored(prefix.join(main, "shingle").select("shingle", "cls", "label", "n", "at", "bits", (F.col("label") != F.col("main")).alias("stray")), "prefix")
+    x = told.filter("stray").select("shingle", F.col("cls").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("bits").alias("ba"))
     y = told.select("shingle", F.col("cls").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("at").alias("ib"),
-                    F.col("stray").alias("sb"))
+                    F.col("stray").alias("sb"), F.col("bits").alias("bb"))
     # From the first common shingle on, at most so many can be common; a link needs
     # 100 c >= PERCENT (na + nb - c).
     most = 1 + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
     enough = most * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT
+    # 100 c >= PERCENT (na + nb - c) also bounds how many elements the sets have apart.
+    apart = sum((F.bit_count(F.col("ba")[i].bitwiseXOR(F.col("bb")[i])) for i in range(1, BITMAP)), F.bit_count(F.col("ba")[0].bitwiseXOR(F.col("bb")[0])))
+    enough &= apart * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)
     return (x.join(y, "shingle").filter((F.col("la") != F.col("lb")) & (~F.col("sb") | (F.col("a") < F.col("b")))
                                         & enough & alike_in_size(F.col("na"), F.col("nb")))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
@@ -227,9 +278,12 @@ def judge_rows(docs: DataFrame, size: int = WORDS) -> DataFrame:
     sizes = (sketches.filter("cls is not null").groupBy("cls")
              .agg(F.min("doc_id").alias("first_doc"), F.max("n_shingles").alias("n")))
     keys = sketches.filter("cls is not null").select("cls", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("cls").alias("lead"), F.max("cls").alias("last")).filter("lead <> last")
-    bands = stored(keys.join(shared, "key").select("key", "cls", "lead").distinct(), "bands")
+    shared = keys.groupBy("key").agg(F.min("cls").alias("least"), F.max("cls").alias("last")).filter("least <> last")
+    bands = stored(keys.join(shared, "key").select("key", "cls").distinct().join(sizes.select("cls", "n"), "cls"), "bands")
     active = bands.select("cls").distinct().join(sizes, "cls")
+    # The class that meets most others leads its bands.
+    met = bands.join(bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "key").groupBy("cls").agg(F.sum("m").alias("met"))
+    leads = bands.join(met, "cls").groupBy("key").agg(F.max(F.struct("met", F.col("cls").alias("lead"), F.col("n").alias("nl"))).alias("x")).select("key", "x.lead", "x.nl")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
@@ -248,20 +302,14 @@ def judge_rows(docs: DataFrame, size: int = WORDS) -> DataFrame:
     sets = stored(texts.join(active, F.col("d").eqNullSafe(F.col("first_doc"))).select("cls", "n", "text")
                   .mapInArrow(pack, "cls long, n long, packed binary").dropDuplicates(["cls"]), "sets")
 
-    star = (bands.filter("cls <> lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
-            .join(sizes.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a")
-            .join(sizes.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
-            .filter(alike_in_size(F.col("na"), F.col("nb"))).select("a", "b"))
+    star = (bands.join(leads, "key").filter((F.col("cls") != F.col("lead")) & alike_in_size(F.col("n"), F.col("nl")))
+            .select(F.least("lead", "cls").alias("a"), F.greatest("lead", "cls").alias("b")).distinct())
     links = stored(confirm(star, sets, size), "star-links")
-    labels = components(links)
-    missed = stored(confirm(residual(bands.select("key", "cls"), labels, sets, size), sets, size), "missed-links")
+    labels = again(bands, components(links), sets, size)
+    missed = stored(confirm(residual(bands, labels, sets, size), sets, size), "missed-links")
+    if missed.limit(1).count():
+        labels = linked(labels, missed)
     named = sizes.join(labels, "cls", "left").select("cls", "first_doc", F.coalesce("label", "cls").alias("label"))
-    if missed.limit(1).count():  # these links join whole components: a graph of their labels
-        of = lambda c: labels.select(F.col("cls").alias(c), F.col("label").alias(f"l{c}"))
-        joints = (missed.join(of("a"), "a", "left").join(of("b"), "b", "left")
-                  .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).distinct())
-        named = named.join(components(joints).toDF("joined", "new"), F.col("label") == F.col("joined"), "left").select(
-            "cls", "first_doc", F.coalesce("new", "label").alias("label"))
 
     firsts = named.groupBy("label").agg(F.min("first_doc").alias("component_id"))
     of_class = named.join(firsts, "label").select(F.col("cls").alias("c"), "label", "component_id")
@@ -280,12 +328,13 @@ def first_of_each(docs: DataFrame, size: int = WORDS) -> DataFrame:
     """One document of each group of near-duplicates, all columns kept; texts without words
     all stay. A row is known by doc_id and text, so ids may be null or repeated: of a group's
     rows with its smallest id, one stays."""
+    at, mark = fresh(docs, "kept_id", "kept_mark")
     found = judge_rows(docs, size).filter("kept and label is not null")
-    kept = found.groupBy("label").agg(F.min("component_id").alias("kept_id"), F.min("mark").alias("kept_mark")).drop("label")
+    kept = found.groupBy("label").agg(F.min("component_id").alias(at), F.min("mark").alias(mark)).drop("label")
     worded = F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
-    some = docs.filter(worded).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (text_mark() == F.col("kept_mark")))
-    some = some.dropDuplicates(["kept_id", "kept_mark"])
-    return some.select(*docs.columns).unionByName(docs.filter(~worded))
+    some = docs.filter(worded).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(at)) & (text_mark() == F.col(mark)))
+    some = some.dropDuplicates([at, mark])
+    return some.select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.filter(~worded))
 
 
 ORACLE = r"""
