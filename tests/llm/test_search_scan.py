@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -198,6 +199,69 @@ def test_the_sample_is_bounded_whatever_the_ids(spark, monkeypatch):
     assert sizes.value - before == 1
 
 
+def test_against_a_plain_dictionary_version(spark):
+    """Same hashes and centroids, weights and cosines in dictionaries: the same predictions."""
+    rows = [r for r in awkward_rows()] + [(i, t, lang, s) for i, t, lang, s in language_rows()[:150]]
+    docs = documents(spark, rows)
+    model = li.fit(li.training_rows(docs))
+    learned = [(t or "", lang) for i, t, lang, _ in rows if lang is not None and not li.crc_fold(i)]
+
+    def grams(text):
+        out, border = Counter(), True
+        chars = []
+        for c in (text or "").lower():
+            if c.isalpha():
+                chars.append(ord(c))
+                border = False
+            elif not border or not chars:
+                chars.append(0)
+                border = True
+        if not any(chars):
+            return out
+        chars = [0, *chars, 0]
+        for n in range(1, li.GRAMS + 1):
+            for i in range(len(chars) - n + 1):
+                if n == 1 and not chars[i]:
+                    continue
+                code = 0
+                for k in range(n):
+                    code = (code * 0x110003 + chars[i + k] + k + 1) % 2**64
+                out[(code * 0x9E3779B97F4A7C15 % 2**64) >> (64 - li.DIMENSIONS.bit_length() + 1)] += 1
+        return out
+
+    df = Counter(d for t, _ in learned for d in grams(t))
+    centroids = model.by_dimension.T
+    want = []
+    for i, text, *_ in rows:
+        g = grams(text)
+        if not g:
+            want.append((i, "und", 0.0, True))
+            continue
+        w = {d: (1 + math.log(c)) * (math.log((len(learned) + 1) / (df[d] + 1)) + 1) for d, c in g.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        scores = [sum(x * v[d] for d, x in w.items()) / norm for v in centroids]
+        k = max(range(len(scores)), key=scores.__getitem__)
+        want.append((i, model.languages[k], min(1.0, max(0.0, scores[k])), bool(scores[k] < model.least[k, li.length_class(len(g))])))
+    got = rows_of(li.identify_documents(docs), "doc_id", "lang_pred", "score", "rejected")
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert (g[0], g[1], g[3]) == (w[0], w[1], w[3]) and g[2] == pytest.approx(w[2], abs=1e-4)
+
+
+def test_means_of_sparse_rows_are_those_of_dense_rows():
+    r = li.np.random.default_rng(4)
+    vectors = []
+    for _ in range(60):
+        at = li.np.sort(r.choice(li.DIMENSIONS, r.integers(1, 40), replace=False))
+        w = r.random(len(at))
+        vectors.append((at, w / li.np.linalg.norm(w)))
+    x = li.Rows(vectors)
+    dense = li.np.array([x.dense(i) for i in range(len(x))])
+    v = r.random(li.DIMENSIONS).astype(li.np.float32)
+    some = r.random(60) < 0.5
+    assert x.cosines(v) == pytest.approx(dense @ v, abs=1e-4) and x.sum(some) == pytest.approx(dense[some].sum(axis=0), abs=1e-4)
+    assert li.spherical_means(x, 4).shape == (4, li.DIMENSIONS)
+
+
 # ------------------------------------------------------------------ operator 7
 
 NOTICE = {"Apache-2.0": "Licensed under the Apache License, Version 2.0.", "MIT": "Released under the MIT License.",
@@ -253,3 +317,11 @@ def test_wrapped_notices(spark, width, mark):
 def test_license_edge_tables(spark):
     assert rows_of(lic.scan_documents(documents(spark, []))) == []
     assert lic.windows(np.array([0, 1, 64, 65, 96, 97]))[2].tolist() == [1, 64, 64, 33, 64, 64, 64, 64, 33]
+
+
+def test_large_finite_components_take_no_part(spark):
+    """256 times 1e308 is no number; the other rows are searched as ever."""
+    rows = [(0, [1e308, 1.0]), (50, [1.0, 2.0]), (51, [3.0, -1e200]), (52, [2.0, 1.0]), (100, [1e149, -1e149])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = rows_of(vs.top_k(v, vs.every_nth(v)), "query_id", "rank", "vec_id")
+    assert {r[0] for r in got} == {50, 100} and {r[2] for r in got if r[0] == 50} == {52, 100}

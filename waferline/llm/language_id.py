@@ -107,24 +107,51 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return df[:-1], int(df[-1])
 
 
-def spherical_means(x: np.ndarray, k: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """(centroids of length 1, cosine of each row of ``x`` to its own)."""
+class Rows:
+    """Sparse vectors: dimensions and weights of all rows one after the other."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]]):
+        self.size = np.array([len(at) for at, _ in vectors], np.int64)
+        self.at = np.concatenate([at for at, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int32)
+        self.weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)]).astype(np.float32)
+        self.start = np.cumsum(self.size) - self.size
+
+    def __len__(self) -> int:
+        return len(self.size)
+
+    def dense(self, i: int) -> np.ndarray:
+        out = np.zeros(DIMENSIONS, np.float32)
+        mine = slice(self.start[i], self.start[i] + self.size[i])
+        out[self.at[mine]] = self.weights[mine]
+        return out
+
+    def cosines(self, vector: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(self.weights * vector[self.at], self.start)
+
+    def sum(self, some: np.ndarray) -> np.ndarray:
+        """The sum of the rows that the mask ``some`` names."""
+        mine = np.repeat(some, self.size)
+        return np.bincount(self.at[mine], self.weights[mine], minlength=DIMENSIONS).astype(np.float32)
+
+
+def spherical_means(x: Rows, k: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Centroids of length 1 of non-empty rows."""
     chosen = [0]
-    near = x @ x[0]
+    near = x.cosines(x.dense(0))
     while len(chosen) < min(k, len(x)):  # start from rows far from each other
         far = int(np.argmin(near))
         if near[far] > 1 - 1e-6:
             break
         chosen.append(far)
-        near = np.maximum(near, x @ x[far])
-    c = x[chosen].copy()
+        near = np.maximum(near, x.cosines(x.dense(far)))
+    c = np.array([x.dense(i) for i in chosen])
     for _ in range(rounds):
-        own = np.argmax(x @ c.T, axis=1)
+        own = np.argmax(np.array([x.cosines(v) for v in c]), axis=0)
         for j in range(len(c)):
             if (own == j).any():
-                m = x[own == j].mean(axis=0)
+                m = x.sum(own == j)
                 c[j] = m / max(np.linalg.norm(m), 1e-12)
-    return c, (x @ c.T).max(axis=1)
+    return c
 
 
 def length_class(n_grams: int) -> int:
@@ -132,13 +159,13 @@ def length_class(n_grams: int) -> int:
     return int(2 * np.log2(n_grams))
 
 
-def least_cosines(texts: list, x: np.ndarray, idf: np.ndarray, k: int) -> np.ndarray:
-    """The least cosine allowed per length class, from ``texts`` and their vectors ``x``."""
+def least_cosines(texts: list, vectors: list, idf: np.ndarray, k: int) -> np.ndarray:
+    """The least cosine allowed per length class, from ``texts`` and their vectors."""
     seen: list[list[float]] = [[] for _ in range(CLASSES)]
     for half in (0, 1):
-        if half >= len(x):
+        if half >= len(vectors):
             break
-        by_dimension = np.ascontiguousarray(spherical_means(x[half::2], k)[0].T)
+        by_dimension = np.ascontiguousarray(spherical_means(Rows(vectors[half::2]), k).T)
         for i, text in enumerate(texts[1 - half::2]):
             size = 4
             while True:
@@ -197,16 +224,15 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
 
     def run(rows: pa.Table) -> pa.Table:
         order = sorted(zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist(), strict=True), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
-        x = np.zeros((len(order), DIMENSIONS), np.float32)
-        for i, (at, counts) in enumerate(gram_counts(t for _, t in order)):
+        texts, vectors = [], []  # a text has some hundred n-grams: sparse, or the sample would fill a task
+        for (_, text), (at, counts) in zip(order, gram_counts(t for _, t in order), strict=True):
             if len(at):
-                x[i, at] = weigh(at, counts, idf)
-        some = x.any(axis=1)
-        x, texts = x[some], [t for (_, t), ok in zip(order, some, strict=True) if ok]
-        if not len(x):
+                texts.append(text)
+                vectors.append((at.astype(np.int32), weigh(at, counts, idf).astype(np.float32)))
+        if not texts:
             return pa.table({"lang": pa.array([], pa.string()), "vector": pa.array([], pa.list_(pa.float32())), "least": pa.array([], pa.list_(pa.float64()))})
-        c, _ = spherical_means(x, centroids)
-        least = [least_cosines(texts, x, idf, centroids)] * len(c)
+        c = spherical_means(Rows(vectors), centroids)
+        least = [least_cosines(texts, vectors, idf, centroids)] * len(c)
         return pa.table({"lang": pa.array([rows["lang"][0].as_py()] * len(c), pa.string()),
                          "vector": pa.array(list(c), pa.list_(pa.float32())), "least": pa.array(least, pa.list_(pa.float64()))})
 
