@@ -144,3 +144,25 @@ def test_written_shards_hold_the_texts(spark, tmp_path):
     shard.write_shards(documents(spark, rows), str(tmp_path / "out"), 3)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(rows_of(back, "doc_id", "text"), key=key) == sorted(((i, t) for i, t, *_ in rows), key=key)
+
+
+def test_shards_keep_every_one_of_rows_alike_in_id_and_text(spark, tmp_path):
+    """Rows that differ in other columns only, nulls among them."""
+    rows = [(1, "same", lang, src) for lang, src in (("en", "x"), (None, "y"), ("x", None), (None, "x"))]
+    rows += [(None, "same", None, str(i)) for i in range(40)] + [(1, "same", "en", "x")] * 3
+    shard.write_shards(documents(spark, rows), str(tmp_path / "out"), 3)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert Counter(rows_of(out, "doc_id", "text", "lang", "source")) == Counter(rows)
+    assert sorted(out.columns) == sorted([*documents(spark, []).columns, "shard", "slot"] if "shard" not in documents(spark, []).columns
+                                         else documents(spark, []).columns)
+    places = rows_of(out, "shard", "slot")
+    assert len(set(places)) == len(rows) and all({s for k, s in places if k == x} == set(range(sum(k == x for k, _ in places))) for x in range(3))
+
+
+def test_mixed_documents_tell_apart_which_column_is_null(spark):
+    rows = [(1, "a few words", "x", None), (1, "a few words", None, "x"), (None, "a few words", None, None)]
+    docs = documents(spark, rows)
+    out = mix.mixed_documents(docs)
+    assert out.columns == docs.columns
+    assert set(rows_of(out, "doc_id", "text", "lang", "source")) == set(rows)
+    assert {r[0] for r in rows_of(out, "mix_mark")} == {"x"}

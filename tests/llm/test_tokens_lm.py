@@ -98,20 +98,21 @@ def test_blocks_round_trip(n):
 
 
 def brute_scores(rows, prior):
-    d = [(i, [*words(t), "</s>"]) for i, t, *_ in rows]
+    end, begin = "", " "  # no word is either
+    d = [(i, [*words(t), end]) for i, t, *_ in rows]
     held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in d]
     c, b, starts = Counter(), Counter(), 0
     for (_, w), h in zip(d, held):
         if not h:
             c.update(w)
-            b.update(zip(["<s>", *w[:-1]], w))
+            b.update(zip([begin, *w[:-1]], w))
             starts += 1
     n, v = sum(c.values()), len(c)
-    before = {**c, "<s>": starts}
+    before = {**c, begin: starts}
     out = []
     for (i, w), h in zip(d, held):
         base = sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w)
-        score = sum(math.log10((b[p, x] + prior * (c[x] + 1) / (n + v + 1)) / (before.get(p, 0) + prior)) for p, x in zip(["<s>", *w[:-1]], w))
+        score = sum(math.log10((b[p, x] + prior * (c[x] + 1) / (n + v + 1)) / (before.get(p, 0) + prior)) for p, x in zip([begin, *w[:-1]], w))
         out.append((i, h, len(w), sum(c[x] > 0 for x in w), n, base, score))
     return out
 

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waferline.llm.common import n_words, stored
+from waferline.llm.common import fresh, n_words, stored
 
 WEIGHTS = (5, 2, 1)
 SHARE, CAP = 1.5, 2
@@ -147,7 +147,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP,
     block = lambda x: F.floor(x / block_words).cast("long")
     parts = (documents.withColumn("epoch", F.explode_outer(epochs)).withColumn("at", at)
              .withColumn("block", F.explode_outer(F.sequence(block(F.col("at")), block(F.col("at") + F.col("size") - 1)))))
-    joined = parts.join(slots, ["src", "block"], "left")
+    # What the mix never takes has no block, and would share one key per source: no join for it.
+    joined = parts.filter("block is not null").join(slots, ["src", "block"], "left").unionByName(
+        parts.filter("block is null").select("*", *[F.lit(None).cast(slots.schema[c].dataType).alias(c) for c in slots.columns if c not in ("src", "block")]))
     lo, hi = F.greatest("at", "first_word"), F.least(F.col("at") + F.col("size"), F.col("end_word"))
     pieces = joined.select("slot", "src", "bucket", "nth", "doc_id", "size", "fingerprint", "epoch",
                            (lo - F.col("at")).alias("from_word"),
@@ -171,14 +173,16 @@ def digest(m: Mix) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents that the mix takes, whole, as often as it reaches into them; all
     columns kept. Rows alike in all columns are taken together."""
-    mark = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    # The hash skips nulls, so which columns are null goes into it, too.
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    mark = F.xxhash64(*cols, *[c.isNull() for c in cols])
+    at, of, mine, copies, copy = fresh(docs, "mix_id", "mix_mark", "mix_row", "mix_times", "mix_copy")
     times = (taken(mix(docs, fingerprint=mark, **options)).filter("taken > 0")
-             .groupBy(F.col("doc_id").alias("mix_id"), F.col("fingerprint").alias("mix_mark"))
-             .agg(F.sum(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("mix_times")))
-    one = docs.withColumn("mix_mark", mark).dropDuplicates(["doc_id", "mix_mark"])
-    return (one.join(times.withColumnRenamed("mix_mark", "mix_m"),
-                     F.col("doc_id").cast("long").eqNullSafe(F.col("mix_id")) & (F.col("mix_mark") == F.col("mix_m")))
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times")))).select(*docs.columns))
+             .groupBy(F.col("doc_id").alias(at), F.col("fingerprint").alias(of))
+             .agg(F.sum(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias(copies)))
+    one = docs.withColumn(mine, mark).dropDuplicates(["doc_id", mine])
+    return (one.join(times, F.col("doc_id").cast("long").eqNullSafe(F.col(at)) & (F.col(mine) == F.col(of)))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*cols))
 
 
 ORACLE = r"""

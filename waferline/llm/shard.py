@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waferline.llm.common import stored
+from waferline.llm.common import fresh, stored
 from waferline.llm.mix import hash48
 
 SHARDS, VIRTUAL, GRID = 8, 256, 4096
@@ -83,6 +83,11 @@ def plan(counts: dict[int, int], order: list[tuple[int, int, int, list[int]]], s
 
 def assign(docs: DataFrame, shards: int = SHARDS, virtual: int = VIRTUAL, grid: int = GRID) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot: one row per row of ``docs`` (doc_id, text)."""
+    return assign_copies(docs, shards, virtual, grid).drop("copy")
+
+
+def assign_copies(docs: DataFrame, shards: int, virtual: int, grid: int) -> DataFrame:
+    """``assign`` with ``copy``: the number, from 0, of a row among those of its id and text."""
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     layout = cells(shards, virtual, grid)
@@ -108,11 +113,11 @@ def assign(docs: DataFrame, shards: int = SHARDS, virtual: int = VIRTUAL, grid:
     step = 1 << 16
     each = (rows.withColumn("ahead", ahead)
             .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / step))))
-            .withColumn("nth", F.explode(F.sequence(F.col("part") * step,
-                                                    F.least(F.col("copies"), (F.col("part") + 1) * step) - 1)))
-            .withColumn("nth", F.col("ahead") + F.col("nth")))
+            .withColumn("copy", F.explode(F.sequence(F.col("part") * step,
+                                                     F.least(F.col("copies"), (F.col("part") + 1) * step) - 1)))
+            .withColumn("nth", F.col("ahead") + F.col("copy")))
     return (each.join(planned, "cell").filter("first <= nth and nth < end")
-            .select("doc_id", "size", "text_crc32", "shard", (F.col("slot_at") + F.col("nth") - F.col("first")).alias("slot")))
+            .select("doc_id", "size", "text_crc32", "copy", "shard", (F.col("slot_at") + F.col("nth") - F.col("first")).alias("slot")))
 
 
 def digest(assigned: DataFrame) -> DataFrame:
@@ -120,14 +125,22 @@ def digest(assigned: DataFrame) -> DataFrame:
                            F.lit(None).cast("int").alias("grown_shard"))
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, **options) -> None:
-    """Write the documents as ``path/shard=K``, with their slot, all other columns kept."""
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, virtual: int = VIRTUAL, grid: int = GRID) -> None:
+    """Write the documents as ``path/shard=K``, with their slot, all other columns kept. Rows of
+    one id and text are numbered, in two levels, and each takes one of their places."""
+    kept = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    (row,) = fresh(docs, "shard_row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "shard-documents")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    one = (docs.withColumn("shard_size", (F.octet_length(text) + 1).cast("long"))
-           .withColumn("shard_crc", F.crc32(text.cast("binary"))).dropDuplicates(["doc_id", "shard_size", "shard_crc"]))
-    a = assign(docs, shards, **options).toDF("a_doc", "a_size", "a_crc", "shard", "slot")
-    (one.select(*kept, "shard_size", "shard_crc").join(
-        a, F.col("doc_id").cast("long").eqNullSafe(F.col("a_doc")) & (F.col("shard_size") == F.col("a_size"))
-        & (F.col("shard_crc") == F.col("a_crc")))
-     .select(*kept, "shard", "slot").write.partitionBy("shard").parquet(path))
+    thin = rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
+                       F.crc32(text.cast("binary")).alias("text_crc32"), F.pmod(F.xxhash64(row), F.lit(256)).alias("bucket"))
+    key = ["id", "size", "text_crc32"]
+    thin = thin.withColumn("id", F.struct("doc_id"))  # a null id is a key like any other
+    before = Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = thin.groupBy(*key, "bucket").agg(F.count(F.lit(1)).alias("n")).select(
+        *key, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy(*key, "bucket").orderBy("row")) - 1
+    numbered = thin.withColumn("place", place).join(sizes, [*key, "bucket"]).select(*key, (F.col("place") + F.col("before")).alias("copy"), "row")
+    places = assign_copies(docs, shards, virtual, grid).withColumn("id", F.struct("doc_id")).drop("doc_id")
+    found = numbered.join(places, [*key, "copy"]).select(F.col("row").alias(row), "shard", "slot")
+    (rows.select(*[f"`{c}`" for c in kept], row).join(found, row).drop(row).write.partitionBy("shard").parquet(path))

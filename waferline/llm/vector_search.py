@@ -13,8 +13,8 @@ Queries are a stated set, taken in blocks of ``BLOCK`` rows: a block is broadcas
 task keeps its k best per query while its candidates stream past, and a window over those
 few rows per query and task picks the final k.
 
-Defined cases: null vectors, vectors with null or non-finite components, empty vectors and
-null vec_ids take no part; vectors are compared with those of their own length only; ties go
+Defined cases: null vectors, vectors with null or non-finite components (or of 1e150 and more,
+whose squares are not finite), empty vectors and null vec_ids take no part; vectors are compared with those of their own length only; ties go
 to the smaller vec_id; repeated rows are candidates each (a query's own id never is its
 candidate), and a repeated query is searched once per different vector, the best of all
 reported; scores beyond 64 bits stop at the limit; extra columns are ignored.
@@ -34,6 +34,8 @@ from waferline.llm.common import stored
 LEVELS = (2, 8, 16)
 K, SCALE, EVERY = 5, 256, 50
 BLOCK, CHUNK = 4096, 4096
+#: Components from here on count as non-finite: their squares are, and no score could hold them.
+LIMIT = 1e150
 
 
 def integers(ids: list, vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -46,7 +48,7 @@ def integers(ids: list, vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.nda
     for i, n in zip(ids, sizes, strict=True):
         x = values[at:at + n]
         at += n
-        if n and i is not None and np.isfinite(x).all():
+        if n and i is not None and (np.abs(x) < LIMIT).all():
             by_length.setdefault(n, []).append((i, x))
     return {n: (np.array([r[0] for r in rows], np.int64), np.floor(SCALE * np.array([r[1] for r in rows])))
             for n, rows in by_length.items()}
