@@ -12,6 +12,12 @@ result as Parquet to the shared folder and hands what it reads back to the next
 All but the last return the columns of ``documents``. Stages 1 to 3 only take documents away,
 stage 4 only repeats documents or leaves them out, by source. What SQL cannot express (the
 learned stage 1) is tested against a brute-force version instead.
+
+Defined cases, for every stage: null and empty texts have no letters and go in stage 1, the
+others take them as texts without words; rows with a null or repeated doc_id are told apart by
+their texts (stage 4: by all columns); of equal rows stage 2 keeps one; null languages and
+sources are values like any other; further columns, whatever their names, stay as they are up
+to stage 4; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waferline.llm import decontaminate, language_id, mix, near_dedup, shard
-from waferline.llm.common import stored, table
+from waferline.llm.common import fresh, stored, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +41,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that are not contaminated. A row goes by its own key, doc_id and text, so
     rows of a null or repeated id with other texts stay."""
     row = F.xxhash64("doc_id", F.col("text").cast("string"))
+    (mark,) = fresh(docs, "contaminated_row")
     found = decontaminate.decontaminate(docs.select(row.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    bad = found.filter("contaminated").select(F.col("doc_id").alias("contaminated_row")).distinct()
-    return docs.join(bad, row == F.col("contaminated_row"), "left_anti")
+    bad = found.filter("contaminated").select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(bad, row == F.col(mark), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
