@@ -1,7 +1,8 @@
 """Oracle SQL for the layer-pipeline queries."""
 
 from waferline.oracle import register, register_dirty
-from waferline.oracle.quality import ITEMS, neighbours, rule_row
+from waferline.oracle.quality import ALL, ITEMS, neighbours, rule_row
+from waferline.plans.quality import RULES
 
 WM = "TIMESTAMP '2024-01-24 00:00:00'"
 EV = "fact_equipment_events"
@@ -112,6 +113,35 @@ FROM {EV} WHERE event_timestamp >= {{AS_OF}} - INTERVAL 30 DAY
 GROUP BY 1, 2 ORDER BY 1, 2
 """)
 
+# The kept tables after all loads are those of one full build.
+_kept_yield = f"""
+SELECT CAST(t.test_timestamp AS DATE) AS test_date, b.recipe, COUNT(*) AS tests, COUNT(DISTINCT t.wafer_id) AS wafers,
+       CAST(SUM({PASS}) AS BIGINT) AS passed, ROUND(100.0 * CAST(SUM({PASS}) AS DOUBLE) / COUNT(*), 2) AS yield_pct
+FROM fact_wafer_tests t JOIN dim_wafer_batches b ON t.batch_id = b.batch_id GROUP BY 1, 2
+"""
+register("pl9_kept_yield", _kept_yield)
+register_dirty("pl9_kept_yield_dirty", _kept_yield)
+
+
+def _uptime(rows: str) -> str:
+    n = lambda s: f"CAST(SUM(CASE WHEN status = '{s}' THEN 1 ELSE 0 END) AS BIGINT)"
+    return (f"SELECT CAST(event_timestamp AS DATE) AS date, equipment_id, COUNT(*) AS events, {n('RUNNING')} AS running, {n('ALARM')} AS alarms, "
+            f"{n('DOWN')} AS downs, ROUND(100.0 * CAST({n('RUNNING')} AS DOUBLE) / COUNT(*), 2) AS uptime_pct FROM {EV} {rows} GROUP BY 1, 2")
+
+
+register("pl9_kept_uptime", _uptime(""))
+# Three runs of the raw rules; the last takes what has arrived by the as-of instant.
+register("pl_incremental_run", f"""
+SELECT *, 3::BIGINT AS runs, {3 * sum(r.layer == 'raw' for r in RULES)}::BIGINT AS results
+FROM ({_uptime("WHERE ingestion_timestamp <= {AS_OF}")})
+""")
+register("c3_isolated", f"""
+SELECT * FROM ({ALL}) UNION ALL BY NAME
+SELECT * FROM (VALUES ('XR004', 'Bin as number', 'RANGE', 'LOW', 'ERROR', -1, 0, 'None', NULL, 'staging'),
+                      ('XR005', 'Broken share', 'RANGE', 'LOW', 'ERROR', -1, 0, 'None', NULL, 'raw'))
+     v(rule_id, rule_name, category, severity, status, violations, threshold, impact, details, layer)
+""")
+
 FLAGS = {"DQ008": "defect_density < 0", "DQ013": "coalesce(pass_fail, '') NOT IN ('PASS', 'FAIL')"}
 _pl10 = f"""
 SELECT wafer_id, batch_id, process_step_id, equipment_id, start_time,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waferline.functions.exprs import as_datetime, ts_lit
+from waferline.plans import kept as K
 from waferline.plans import layers as L
 from waferline.plans import quality as Q
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
@@ -140,3 +141,56 @@ def dq_custom(t: FabTables) -> DataFrame:
                         F.col("equipment_id").alias("ex"), F.lit(1).alias("w"))),
              Q.Rule("XR003", "Broken", "RANGE", "LOW", "raw", 0, "None", table="tests", predicate=F.col("no_such_column") > 0)]
     return Q.run_checks(t, rule_ids=["XR001", "XR002", "XR003"], rules=rules).select("rule_id", "status", "violations")
+
+
+# ------------------------------------------------------------------ PL9 kept KPIs, incremental runs
+def _kept_root(t: FabTables, name: str) -> str:
+    from waferline.session import checkpoint_dir
+    return f"{checkpoint_dir(t.fact_wafer_tests.sparkSession)}/{name}-{uuid.uuid4().hex}"
+
+
+def pl9_kept_yield(t: FabTables) -> DataFrame:
+    """Three loads, the last of late rows, the second run twice: the kept table after them."""
+    spark, root = t.fact_wafer_tests.sparkSession, _kept_root(t, "kept-yield")
+    tests, late = t.fact_wafer_tests, F.coalesce(F.col("wafer_id") % 10 == 0, F.lit(False))
+    new = F.col("test_timestamp") > ts_lit(WM)
+    parts = {"1": tests.filter(~new & ~late), "2": tests.filter(new & ~late), "3": tests.filter(late)}
+    for load in ("1", "2", "2", "3"):
+        K.refresh(spark, root, K.DAILY_YIELD, K.yield_rows(parts[load], t.dim_wafer_batches), load)
+    return K.read_kept(spark, root, K.DAILY_YIELD)
+
+
+def pl9_kept_uptime(t: FabTables) -> DataFrame:
+    """Events in three loads by arrival, so that a load has late events of earlier days."""
+    spark, root = t.fact_wafer_tests.sparkSession, _kept_root(t, "kept-uptime")
+    ev, ing = t.fact_equipment_events, F.col("ingestion_timestamp")
+    a, b = ts_lit(WM - timedelta(days=7)), ts_lit(WM)
+    for load, part in (("1", ing <= a), ("2", (ing > a) & (ing <= b)), ("3", (ing > b) | ing.isNull())):
+        K.refresh(spark, root, K.DAILY_UPTIME, K.uptime_rows(ev.filter(part)), load)
+    return K.read_kept(spark, root, K.DAILY_UPTIME)
+
+
+#: The rules that block a run on the driver tables, whose wafers repeat steps and batches.
+BLOCKING = ("DQ006", "DQ011", "DQ012")
+
+
+def pl_incremental_run(t: FabTables) -> DataFrame:
+    """Load, validate, promote, advance: runs of three dates with kept marks, then the kept
+    uptime beside the number of rule results of all runs."""
+    spark, root = t.fact_wafer_tests.sparkSession, _kept_root(t, "incremental")
+    for day in (14, 7, 0):
+        upto = as_datetime(DEFAULT_AS_OF) - timedelta(days=day)
+        K.incremental_run(spark, root, t, upto, upto.date(), BLOCKING, layer="raw")
+    runs = spark.read.parquet(f"{root}/dq_results").agg(F.countDistinct("run_date").alias("runs"), F.count(F.lit(1)).alias("results"))
+    return K.read_kept(spark, root, K.DAILY_UPTIME).join(F.broadcast(runs))
+
+
+def c3_isolated(t: FabTables) -> DataFrame:
+    """All rules and two that fail while they run: a cast of text and a division by zero."""
+    rules = [Q.Rule("XR004", "Bin as number", "RANGE", "LOW", "staging", 0, "None", table="tests",
+                    predicate=(F.concat(F.lit("x"), F.col("wafer_id").cast("string")).cast("int") > 5), example="wafer_id"),
+             Q.Rule("XR005", "Broken share", "RANGE", "LOW", "raw", 0, "None",
+                    builder=lambda t, o: t.fact_equipment_events.groupBy("equipment_id").agg((F.lit(1) / (F.count("event_id") * 0)).alias("w"))
+                    .select(F.col("equipment_id").cast("string").alias("ex"), F.col("w").cast("long").alias("w")))]
+    res = Q.run_isolated(t, rules=rules)
+    return Q.as_text(res).withColumn("details", F.when(F.col("status") != "ERROR", F.col("details")))

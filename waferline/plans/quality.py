@@ -1,8 +1,9 @@
 """Declarative data-quality rules (DQ001-DQ020) and the rule runner.
 
-Execution model (C1): the row-level predicates of one table are fused into one scan of
-it, which yields an item per broken rule; grouped, orphan (anti-join) and metric rules are
-one small plan each over their own table. All items are united into one pipeline that
+Execution model (C1): the rules about tests share one aggregate per (batch, wafer, step), so
+ten rules read the tests once; the row-level predicates of any other table are fused into one
+scan of it, which yields an item per broken rule; the remaining grouped, orphan (anti-join) and
+metric rules are one small plan each over their own table. All items are united into one pipeline that
 counts them and picks the five smallest distinct example ids per rule (``details``); the
 verdict (C2) is a column expression - nothing is collected to the driver.
 
@@ -252,6 +253,66 @@ SET_RULES: dict[str, Callable[[FabTables, Options], DataFrame]] = {
 }
 
 
+# ------------------------------------------------------------------ shared grain of the test rules
+#: The rules that one aggregate of the tests per (batch, wafer, step) answers.
+GRAIN_RULES = ("DQ001", "DQ003", "DQ005", "DQ007", "DQ008", "DQ011", "DQ013", "DQ014", "DQ016", "DQ018")
+
+
+def grain_rules(rules: list[Rule], o: Options) -> list[str]:
+    """Which of ``rules`` share the grain: the built-in ones, if there are two or more."""
+    out = [r.rule_id for r in rules if r.rule_id in GRAIN_RULES and r.builder is None and r.predicate is None
+           and (r.rule_id != "DQ014" or set(o.dq014_keys) in ({"batch_id", "wafer_id"}, {"batch_id", "wafer_id", "process_step_id"}))]
+    return out if len(out) > 1 else []
+
+
+def grain_items(t: FabTables, rids: list[str], o: Options) -> DataFrame:
+    """Items (rule_id, ex, w) of the test rules ``rids`` from ONE scan of the tests.
+
+    Rows are added up per (batch, wafer, step), those per (batch, wafer), where the rules about
+    rows, steps and wafers become items with their counts. Each (batch, wafer) also yields what
+    it adds to its batch; items and batch parts are summed in one aggregate by example, and the
+    rules about batches follow from the parts' sums. Every step is combined before its shuffle,
+    so a batch or wafer with a third of all rows is a few rows from each task."""
+    of_rows = {r: p for r, (table, p, _) in row_rules(o).items() if table == "tests" and r in rids and r != "DQ011"}
+    keys = ["batch_id", "wafer_id", "process_step_id"]
+    count = lambda c: F.count_if(c).alias
+    steps = t.fact_wafer_tests.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("start_time").alias("first_start"), F.max("start_time").alias("last_start"),
+        count(F.col("start_time").isNull())("nulls"), count(F.col("pass_fail") == "PASS")("passed"),
+        *[count(p)(r) for r, p in of_rows.items()])
+    known = t.dim_process_steps.select("process_step_id", F.lit(True).alias("known")).distinct()
+    wafers = steps.join(known, "process_step_id", "left").groupBy("batch_id", "wafer_id").agg(
+        F.sum("n").alias("n"), F.sum("passed").alias("passed"), F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("DQ003"),
+        count(F.col("n") > 1)("repeated_steps"), *[F.sum(r).alias(r) for r in of_rows],
+        F.array_sort(F.collect_list(F.struct("process_step_id", "first_start", "last_start", "nulls"))).alias("route"))
+    back = F.expr("size(filter(sequence(1, size(route)), i -> i > 1 and route[i - 1].nulls = 0 and route[i - 1].first_start < route[i - 2].last_start))")
+    repeated = F.col("repeated_steps") if "process_step_id" in o.dq014_keys else (F.col("n") > 1).cast("long")
+    batch, wafer, has_wafer = s("batch_id"), s("wafer_id"), F.col("wafer_id").isNotNull()
+    weights = {"DQ003": (wafer, F.col("DQ003")), "DQ005": (batch, back), "DQ011": (batch, F.when(_blank("wafer_id"), F.col("n")).otherwise(0)),
+               "DQ014": (wafer, repeated), **{r: (wafer, F.col(r)) for r in of_rows}}
+    zero = F.lit(0).cast("long")
+
+    def item(rid, ex, w, n=zero, passed=zero, with_wafer=zero, wafer_count=zero):
+        return F.struct(F.lit(rid).alias("rule_id"), ex.alias("ex"), w.cast("long").alias("w"), n.alias("n"), passed.alias("passed"),
+                        with_wafer.alias("with_wafer"), wafer_count.alias("wafer_count"))
+
+    found = [F.when(w > 0, item(r, ex, w)) for r, (ex, w) in weights.items() if r in rids]
+    found.append(item("batch", batch, zero, F.col("n"), F.col("passed"), F.when(has_wafer, F.col("n")).otherwise(0).cast("long"), has_wafer.cast("long")))
+    each = wafers.select(F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("i")).select("i.*")
+    sums = each.groupBy("rule_id", "ex").agg(*[F.sum(c).alias(c) for c in ("w", "n", "passed", "with_wafer", "wafer_count")])
+    batches = t.dim_wafer_batches.select(F.lit("batch").alias("rule_id"), s("batch_id").alias("ex"), F.lit(True).alias("listed")).distinct()
+    of_batch, lo_hi = F.col("rule_id") == "batch", o.dq016_range
+    share = F.round(F.try_divide(F.lit(100.0) * F.col("passed").cast("double"),
+                                 F.col("wafer_count" if o.dq007_denominator == "wafers" else "with_wafer").cast("double")), 2)
+    rules = {"DQ001": F.when(F.col("listed").isNull(), F.col("n")), "DQ007": F.when((share < 0) | (share > 100), 1),
+             "DQ016": F.when((F.col("wafer_count") < lo_hi[0]) | (F.col("wafer_count") > lo_hi[1]), 1)}
+    out = F.when(of_batch, F.array(*[F.struct(F.lit(r).alias("rule_id"), w.cast("long").alias("w")) for r, w in rules.items() if r in rids]
+                                   or [F.struct(F.lit("").alias("rule_id"), F.lit(None).cast("long").alias("w"))])
+                 ).otherwise(F.array(F.struct("rule_id", "w")))
+    return (sums.join(batches, ["rule_id", "ex"], "left").select("ex", F.explode(out).alias("i")).filter(F.col("i.w").isNotNull())
+            .select("i.rule_id", "ex", "i.w"))
+
+
 def _rule_catalog(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     from waferline.sources.driver import literal_table
     rows = [(r.rule_id, r.name, r.category, r.severity, r.layer, r.threshold, r.impact) for r in rules]
@@ -269,7 +330,16 @@ def violation_stream(t: FabTables, rules: list[Rule], o: Options) -> DataFrame:
     built_in = row_rules(o)
     row: dict[str, tuple[str, Column, str | None]] = {}
     sets: dict[str, Callable[[FabTables, Options], DataFrame]] = {}
+    parts: list[DataFrame] = []
+    shared = grain_rules(rules, o)
+    if shared:
+        try:
+            parts.append(grain_items(t, shared, o).withColumn("err", F.lit(None).cast("string")))
+        except Exception:  # noqa: BLE001 - a column is missing: each rule by itself, to isolate it
+            shared = []
     for r in rules:
+        if r.rule_id in shared:
+            continue
         if r.builder is not None:
             sets[r.rule_id] = r.builder
         elif r.predicate is not None:
@@ -282,7 +352,6 @@ def violation_stream(t: FabTables, rules: list[Rule], o: Options) -> DataFrame:
     for rid, (table, _, _) in row.items():
         by_table.setdefault(table, []).append(rid)
     spark = t.fact_wafer_tests.sparkSession
-    parts: list[DataFrame] = []
     none = F.lit(None).cast("string")
 
     def row_items(table: str, rids: list[str]) -> DataFrame:
@@ -362,6 +431,12 @@ def verdict(violations: Column, threshold: Column, severity: Column, error: Colu
             .when(severity.isin("CRITICAL", "HIGH"), "FAIL").otherwise("WARNING"))
 
 
+def chosen_rules(layer: str | None, rule_ids: list[str] | None, rules: list[Rule] | None) -> list[Rule]:
+    catalogue = {r.rule_id: r for r in [*RULES, *(rules or [])]}
+    return [r for r in catalogue.values()
+            if (layer is None or r.layer == layer) and (rule_ids is None or r.rule_id in rule_ids)]
+
+
 def run_checks(t: FabTables, layer: str | None = None, rule_ids: list[str] | None = None,
                options: Options | None = None, rules: list[Rule] | None = None) -> DataFrame:
     """Result rows (rule_id, rule_name, category, severity, status, violations,
@@ -370,15 +445,18 @@ def run_checks(t: FabTables, layer: str | None = None, rule_ids: list[str] | Non
     rules of one's own to the catalogue, or replaces built-in ones of the same id. A rule in
     error has -1 violations and its whole error text as details."""
     o = options or Options()
-    catalogue = {r.rule_id: r for r in [*RULES, *(rules or [])]}
-    chosen = [r for r in catalogue.values()
-              if (layer is None or r.layer == layer) and (rule_ids is None or r.rule_id in rule_ids)]
+    chosen = chosen_rules(layer, rule_ids, rules)
     spark = t.fact_wafer_tests.sparkSession
     if not chosen:
         return _rule_catalog(spark, RULES[:1]).filter(F.lit(False)).select(
             "*", F.lit(None).cast("string").alias("status"), F.lit(None).cast("long").alias("violations"),
             F.array().cast("array<string>").alias("details"))
-    res = F.broadcast(_rule_catalog(spark, chosen)).join(rule_outcomes(t, chosen, o), "rule_id", "left")
+    return _judged(_rule_catalog(spark, chosen), rule_outcomes(t, chosen, o))
+
+
+def _judged(catalogue: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Result rows of a rule list (a literal table) and its rules' outcomes."""
+    res = F.broadcast(catalogue).join(outcomes, "rule_id", "left")
     v = F.when(F.col("found"), F.col("violations")).otherwise(0).cast("long")
     return res.select(
         "rule_id", "rule_name", "category", "severity",
@@ -389,6 +467,35 @@ def run_checks(t: FabTables, layer: str | None = None, rule_ids: list[str] | Non
     ).orderBy("rule_id")
 
 
+OUTCOME = "rule_id string, violations bigint, details array<string>, error string, found boolean"
+
+
+def run_isolated(t: FabTables, layer: str | None = None, rule_ids: list[str] | None = None,
+                 options: Options | None = None, rules: list[Rule] | None = None) -> DataFrame:
+    """C3 at run time: :func:`run_checks`, run now, where a rule that fails while it runs (an
+    ANSI cast, a division by zero) is ERROR with its message and takes no other rule with it.
+
+    The rules run fused, as ever. When a group fails, its halves run, until the guilty rules
+    are alone: one of n rules in error costs about 2 log2(n) smaller runs, none costs nothing.
+    A rule's outcome is one row of at most ``examples`` ids, so outcomes are collected."""
+    o = options or Options()
+    spark = t.fact_wafer_tests.sparkSession
+    chosen = chosen_rules(layer, rule_ids, rules)
+    if not chosen:
+        return run_checks(t, layer, rule_ids, o, rules)
+
+    def outcomes(group: list[Rule]) -> list[tuple]:
+        try:
+            return [tuple(r) for r in rule_outcomes(t, group, o).select("rule_id", "violations", "details", "error", "found").collect()]
+        except Exception as e:  # noqa: BLE001 - whatever a rule raises is that rule's result
+            if len(group) == 1:
+                return [(group[0].rule_id, None, [], f"Error: {e}", True)]
+            half = len(group) // 2
+            return outcomes(group[:half]) + outcomes(group[half:])
+
+    return _judged(_rule_catalog(spark, chosen), spark.createDataFrame(outcomes(chosen), OUTCOME))
+
+
 def as_text(results: DataFrame) -> DataFrame:
     """Results with ``details`` rendered as one comma-separated string."""
     return results.withColumn("details", F.array_join("details", ", "))
