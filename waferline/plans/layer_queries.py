@@ -181,8 +181,8 @@ def pl_incremental_run(t: FabTables) -> DataFrame:
     for day in (14, 7, 0):
         upto = as_datetime(DEFAULT_AS_OF) - timedelta(days=day)
         K.incremental_run(spark, root, t, upto, upto.date(), BLOCKING, layer="raw")
-    runs = spark.read.parquet(f"{root}/dq_results").agg(F.countDistinct("run_date").alias("runs"), F.count(F.lit(1)).alias("results"))
-    return K.read_kept(spark, root, K.DAILY_UPTIME).join(F.broadcast(runs))
+    runs = spark.read.parquet(f"{root}/dq_results").agg(F.countDistinct("run_date").alias("runs"), F.count(F.lit(1)).alias("results")).first()
+    return K.read_kept(spark, root, K.DAILY_UPTIME).select("*", F.lit(runs[0]).cast("long").alias("runs"), F.lit(runs[1]).cast("long").alias("results"))
 
 
 def c3_isolated(t: FabTables) -> DataFrame:
