@@ -108,6 +108,9 @@ from waferline.streaming import queries as SQ  # noqa: E402
 
 for _n in ("s1_ingest", "s2_late_data", "s3_stream_dedupe", "s3_stream_upsert", "s4_daily_metrics", "s5_stream_checks"):
     raw_query(_n)(getattr(SQ, _n))
+for _n in ("s2_two_routes", "s4_daily_metrics_kept", "s5_stateful_checks"):
+    query(_n)(getattr(SQ, _n))
+query("s5_stateful_checks_dirty")(lambda t: SQ.s5_stateful_checks(dirty_tables(t)))
 
 from waferline.plans import primitives as P  # noqa: E402
 

@@ -4,11 +4,16 @@ returns the sink read back as a batch DataFrame."""
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waferline.functions.exprs import as_datetime, ts_lit
 from waferline.plans.layers import dedupe_latest
+from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 from waferline.streaming import pipeline as S
+from waferline.streaming import stateful as ST
 
 EVENT_COLS = ["equipment_id", "event_timestamp", "status", "temperature_c", "pressure_torr",
               "ingestion_timestamp", "event_id"]
@@ -80,3 +85,47 @@ def s5_stream_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.run_available_now(S.event_stream(spark, _source(sf_dir)), out, ck, foreach=S.batch_rule_counts())
     return (spark.read.parquet(out).groupBy("rule_id")
             .agg(F.sum("violations").alias("violations")).orderBy("rule_id"))
+
+
+# ------------------------------------------------------------------ state between micro-batches
+def _drops(df: DataFrame, name: str, number, sink, last: int = 2) -> None:
+    """Land ``df`` in drops 0 to ``last`` by ``number`` and run a stream with one kept
+    checkpoint after each, every drop a micro-batch for ``sink(root)``."""
+    spark = df.sparkSession
+    out, ck = S.stream_dir(spark, name)
+    landing = out.removesuffix("/out") + "/landing"
+    for k in range(last + 1):
+        df.filter(number == k).write.parquet(f"{landing}/drop={k}")
+        stream = spark.readStream.schema(df.schema).parquet(f"{landing}/drop=*")
+        (stream.writeStream.option("checkpointLocation", ck).trigger(availableNow=True)
+         .foreachBatch(sink).start().awaitTermination())
+
+
+def s5_stateful_checks(t: FabTables) -> DataFrame:
+    """Three drops that part neighbours and copies: DQ004, DQ005, DQ014 and DQ017 over all."""
+    spark = t.fact_wafer_tests.sparkSession
+    root, _ = S.stream_dir(spark, "s5-state")
+    _drops(t.fact_equipment_events, "s5-events", F.col("event_id") % 3, ST.event_rules_sink(root))
+    part = F.pmod(F.coalesce(F.col("wafer_id"), F.lit(0)) + F.coalesce(F.col("process_step_id"), F.lit(0)), F.lit(3))
+    _drops(t.fact_wafer_tests, "s5-tests", part, ST.test_rules_sink(root, compact_every=2))
+    return ST.rule_counts(spark, root)
+
+
+def s2_two_routes(t: FabTables) -> DataFrame:
+    """Three drops by arrival, the last with stragglers of all days: what went on, and what the
+    look-back takes from the rescue table."""
+    spark, ing = t.fact_equipment_events.sparkSession, F.col("ingestion_timestamp")
+    root, _ = S.stream_dir(spark, "s2-routes")
+    wm = as_datetime(DEFAULT_AS_OF) - timedelta(days=7)
+    drop = (F.when(F.col("event_id") % 10 == 0, 2).when(ing <= ts_lit(wm - timedelta(days=7)), 0).when(ing <= ts_lit(wm), 1).otherwise(2))
+    _drops(t.fact_equipment_events.select(*EVENT_COLS), "s2-drops", drop, ST.route_sink(root))
+    main, late = ST.route(spark, root, "main"), ST.rescued(spark, root, ["event_id"])
+    return main.withColumn("route", F.lit("main")).unionByName(late.withColumn("route", F.lit("rescue")))
+
+
+def s4_daily_metrics_kept(t: FabTables) -> DataFrame:
+    """All daily windows after three drops that each hold rows of every day."""
+    spark = t.fact_equipment_events.sparkSession
+    root, _ = S.stream_dir(spark, "s4-kept")
+    _drops(t.fact_equipment_events, "s4-drops", F.col("event_id") % 3, ST.daily_windows_sink(root))
+    return ST.daily_windows(spark, root)
