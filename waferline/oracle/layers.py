@@ -158,12 +158,14 @@ FROM {EV} WHERE event_id % 223 = 2 OR equipment_id IS NULL OR event_id % 211 = 1
 """)
 
 _NEWEST = """FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingestion_timestamp DESC) AS k FROM u) WHERE k = 1"""
-register("pl6_write_upsert", f"""
+_upserted = (f"""
 WITH u AS (SELECT * FROM {EV} WHERE ingestion_timestamp <= {WM}
            UNION ALL SELECT * REPLACE (event_timestamp + INTERVAL 36 HOUR AS event_timestamp,
                                        ingestion_timestamp + INTERVAL 36 HOUR AS ingestion_timestamp) FROM {EV} WHERE event_id % 5 = 0)
 SELECT event_id, event_timestamp, ingestion_timestamp, event_timestamp::DATE AS event_date {_NEWEST}
 """)
+register("pl6_write_upsert", _upserted)
+register("pl6_versioned_upsert", _upserted)
 
 # The sample of keys that Spark takes, by the same hash
 _LOT = "('0x' || substr(md5(coalesce({0}::VARCHAR, '')), 1, 4))::BIGINT < 3277"
@@ -268,3 +270,17 @@ SELECT batches, clean_batches, round(1e2 * clean_batches / batches, 2) AS clean_
 register("c12_clean_batch_share", _clean_share)
 register_dirty("c12_clean_batch_share_dirty", _clean_share)
 FAULTS = _faults
+
+# PL7: rows by policy and by the keys that no dimension has
+_fks = {"fact_wafer_tests": (("batch_id", "dim_wafer_batches"), ("process_step_id", "dim_process_steps"), ("equipment_id", "dim_equipment")),
+        "fact_equipment_events": (("equipment_id", "dim_equipment"),), "maintenance_events": (("equipment_id", "dim_equipment"),)}
+_lacks = " UNION ALL ".join(
+    f"""SELECT '{fact}' AS fact, concat_ws(',', {", ".join(f"CASE WHEN {c} IS NULL OR {c} NOT IN (SELECT {c} FROM {d} WHERE {c} IS NOT NULL) THEN '{c}' END"
+        for c, d in keys)}) AS orphan_keys FROM {fact}""" for fact, keys in _fks.items())
+_conformed = f"""
+WITH r AS ({_lacks})
+SELECT policy, fact, CASE WHEN orphan_keys = '' OR policy = 'keep' THEN 'curated' ELSE policy END AS route, orphan_keys, count(*) AS rows
+FROM r CROSS JOIN (SELECT unnest(['keep', 'drop', 'quarantine']) AS policy) GROUP BY ALL
+"""
+register("pl7_conformed", _conformed)
+register_dirty("pl7_conformed_dirty", _conformed)

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waferline.functions.exprs import as_datetime, ts_lit
+from waferline.plans import conform as CF
 from waferline.plans import kept as K
 from waferline.plans import layers as L
 from waferline.plans import quality as Q
+from waferline.sources import versioned as V
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
 WM = as_datetime(DEFAULT_AS_OF) - timedelta(days=7)
@@ -66,6 +68,20 @@ def pl6_write_upsert(t: FabTables) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def pl6_versioned_upsert(t: FabTables) -> DataFrame:
+    """The same three changes to a table of versions, and what its last version holds."""
+    from waferline.session import checkpoint_dir
+    spark = t.fact_equipment_events.sparkSession
+    path = f"{checkpoint_dir(spark)}/versioned-table-{uuid.uuid4().hex}"
+    ev = t.fact_equipment_events.select("event_id", "event_timestamp", "ingestion_timestamp")
+    later = ev.filter(F.col("event_id") % 5 == 0).select(
+        "event_id", *[(F.col(c) + F.expr("INTERVAL 36 HOURS")).alias(c) for c in ("event_timestamp", "ingestion_timestamp")])
+    for updates in (ev.filter(F.col("ingestion_timestamp") <= ts_lit(WM)), later, later):
+        V.write_upsert_versioned(spark, updates.withColumn("event_date", F.to_date("event_timestamp")), path,
+                                 ["event_id"], ["ingestion_timestamp"], "event_date")
+    return V.read_version(spark, path)
+
+
 def pl2_dedupe(t: FabTables) -> DataFrame:
     return L.dedupe_latest(t.fact_wafer_tests, ["wafer_id", "process_step_id"], ["test_timestamp"])
 
@@ -194,3 +210,17 @@ def c3_isolated(t: FabTables) -> DataFrame:
                     .select(F.col("equipment_id").cast("string").alias("ex"), F.col("w").cast("long").alias("w")))]
     res = Q.run_isolated(t, rules=rules)
     return Q.as_text(res).withColumn("details", F.when(F.col("status") != "ERROR", F.col("details")))
+
+
+# ------------------------------------------------------------------ PL7 conformed build
+def pl7_conformed(t: FabTables) -> DataFrame:
+    """The facts written under each orphan policy, counted by what their rows' keys lack."""
+    spark, out = t.fact_wafer_tests.sparkSession, None
+    for policy in CF.POLICIES:
+        root = _kept_root(t, f"conformed-{policy}")
+        CF.write_conformed(t, root, dict.fromkeys(CF.FOREIGN_KEYS, policy))
+        for table in sorted({fk[0] for fk in CF.FOREIGN_KEYS}):
+            n = CF.route_counts(spark, root, table).select(F.lit(policy).alias("policy"), F.lit(table).alias("fact"), "route",
+                                                           F.array_join("orphan_keys", ",").alias("orphan_keys"), "rows")
+            out = n if out is None else out.unionByName(n)
+    return out
