@@ -284,3 +284,12 @@ FROM r CROSS JOIN (SELECT unnest(['keep', 'drop', 'quarantine']) AS policy) GROU
 """
 register("pl7_conformed", _conformed)
 register_dirty("pl7_conformed_dirty", _conformed)
+
+# PL11: every row as the last version makes it
+_backfilled = f"""
+SELECT wafer_id, batch_id, process_step_id, start_time, end_time, pass_fail, if(c BETWEEN 10 AND 3600, c, NULL) AS cycle_s,
+       CASE WHEN pass_fail = 'PASS' THEN 1 ELSE 0 END::BIGINT AS passed, if(c BETWEEN 10 AND 3600, c, NULL) > 1800 AS slow, 'v3' AS transform_version
+FROM (SELECT *, date_sub('second', start_time, end_time) AS c FROM {_T})
+"""
+register("pl11_backfill", _backfilled)
+register_dirty("pl11_backfill_dirty", _backfilled)

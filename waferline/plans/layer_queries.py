@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waferline.functions.exprs import as_datetime, ts_lit
+from waferline.functions.exprs import as_datetime, flag, ts_diff, ts_lit
 from waferline.plans import conform as CF
 from waferline.plans import kept as K
 from waferline.plans import layers as L
 from waferline.plans import quality as Q
+from waferline.plans import transforms as TR
 from waferline.sources import versioned as V
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
@@ -224,3 +225,22 @@ def pl7_conformed(t: FabTables) -> DataFrame:
                                                            F.array_join("orphan_keys", ",").alias("orphan_keys"), "rows")
             out = n if out is None else out.unionByName(n)
     return out
+
+
+# ------------------------------------------------------------------ PL11 versioned transforms
+def _test_versions() -> list[TR.Version]:
+    cycle = F.col("cycle_s")
+    return [TR.Version("v1", {"cycle_s": ts_diff("SECOND", "start_time", "end_time").cast("long")}),
+            TR.Version("v2", {"cycle_s": F.when(cycle.between(10, 3600), cycle), "passed": flag(F.col("pass_fail") == "PASS").cast("long")}),
+            TR.Version("v3", {"slow": cycle > 1800})]
+
+
+def pl11_backfill(t: FabTables) -> DataFrame:
+    """Tests written by three versions of a transform, each with its own columns, read as one
+    table and brought to the last version."""
+    spark, root = t.fact_wafer_tests.sparkSession, _kept_root(t, "transforms")
+    base = t.fact_wafer_tests.select("wafer_id", "batch_id", "process_step_id", "start_time", "end_time", "pass_fail")
+    third = F.pmod(F.coalesce(F.col("batch_id"), F.lit(0)), F.lit(3))
+    for k, name in enumerate(("v1", "v2", "v3")):
+        TR.apply(base.filter(third == k), _test_versions(), name).write.parquet(f"{root}/part={k}")
+    return TR.backfill(spark.read.option("mergeSchema", True).parquet(root).drop("part"), _test_versions())

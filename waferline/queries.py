@@ -78,7 +78,7 @@ for _n in ("pl1_standardize", "pl2_dedupe", "pl3_incremental", "pl3_watermark",
            "pl5_watermark", "pl6_upsert", "pl8_scd2", "pl10_dq_warning", "c8_sampled_checks",
            "c9_incremental_checks", "c10_violation_trend", "c12_clean_batch_share"):
     query(_n)(getattr(LQ, _n))
-for _n in ("pl6_write_upsert", "pl6_versioned_upsert", "pl7_conformed", "pl9_kept_yield", "pl9_kept_uptime", "pl_incremental_run", "c3_isolated"):
+for _n in ("pl6_write_upsert", "pl6_versioned_upsert", "pl7_conformed", "pl11_backfill", "pl9_kept_yield", "pl9_kept_uptime", "pl_incremental_run", "c3_isolated"):
     query(_n)(getattr(LQ, _n))
 
 from waferline.sources.dirty import dirty_tables  # noqa: E402
@@ -92,6 +92,7 @@ query("c10_violation_trend_dirty")(lambda t: LQ.c10_violation_trend(dirty_tables
 query("c12_clean_batch_share_dirty")(lambda t: LQ.c12_clean_batch_share(dirty_tables(t)))
 query("pl9_kept_yield_dirty")(lambda t: LQ.pl9_kept_yield(dirty_tables(t)))
 query("pl7_conformed_dirty")(lambda t: LQ.pl7_conformed(dirty_tables(t)))
+query("pl11_backfill_dirty")(lambda t: LQ.pl11_backfill(dirty_tables(t)))
 query("dq_custom")(LQ.dq_custom)
 query("pl9_daily_yield")(L.daily_yield)
 query("pl9_daily_yield_recipe")(lambda t: L.daily_yield(t, by_recipe=True))
