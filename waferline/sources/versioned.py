@@ -147,3 +147,15 @@ def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     for n in gone:
         files.delete(f"{root}/data/{n}")
     return gone
+
+
+def write_version(spark: SparkSession, table: DataFrame, root: str, partition_col: str) -> int:
+    """Put ``table`` whole in the place of the last version; returns the version that this makes.
+    ``table`` may be made from the last version, whose files stay as they are."""
+    files, known = _Files(spark, root), versions(spark, root)
+    number = known[-1] + 1 if known else 1
+    folder = f"{FOLDER}={number:012d}-{uuid.uuid4().hex[:12]}"
+    table.write.mode("overwrite").partitionBy(partition_col).parquet(f"{root}/data/{folder}")
+    written = [n for n in files.names(f"{root}/data/{folder}") if n.startswith(f"{partition_col}=")]
+    _commit(files, root, number, dict.fromkeys(written, folder), table.schema)
+    return number
