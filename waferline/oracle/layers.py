@@ -68,7 +68,7 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY ingestion_time
 WHERE rn = 1
 """)
 
-register("pl8_scd2", f"""
+_scd2 = (f"""
 WITH snap AS (
   SELECT equipment_id, snapshot_date, status FROM (
     SELECT equipment_id, CAST(event_timestamp AS DATE) AS snapshot_date, status,
@@ -85,6 +85,19 @@ SELECT equipment_id, status, snapshot_date AS effective_start_date,
        LEAD(snapshot_date) OVER w IS NULL AS current_flag
 FROM ch WINDOW w AS (PARTITION BY equipment_id ORDER BY snapshot_date)
 """)
+register("pl8_scd2", _scd2)
+register("pl8_kept_dimension", _scd2)
+# Every tool on every day that has a snapshot: islands of the same status, where none is a status too.
+register("pl8_kept_dimension_closed", f"""
+WITH snap AS (SELECT equipment_id, event_timestamp::DATE AS d, arg_max(status, (event_timestamp, event_id)) AS status FROM {EV} GROUP BY ALL),
+     grid AS (SELECT k.tool, x.d, s.status FROM (SELECT DISTINCT equipment_id AS tool FROM snap) k CROSS JOIN (SELECT DISTINCT d FROM snap) x
+              LEFT JOIN snap s ON s.equipment_id IS NOT DISTINCT FROM k.tool AND s.d = x.d),
+     ch AS (SELECT * FROM (SELECT *, lag(status) OVER w AS before FROM grid WINDOW w AS (PARTITION BY tool ORDER BY d))
+            WHERE status IS DISTINCT FROM before),
+     v AS (SELECT *, lead(d) OVER (PARTITION BY tool ORDER BY d) AS next FROM ch)
+SELECT tool AS equipment_id, status, d AS effective_start_date, (next - 1)::DATE AS effective_end_date, next IS NULL AS current_flag
+FROM v WHERE status IS NOT NULL
+""")
 
 PASS = "CASE WHEN pass_fail = 'PASS' THEN 1 ELSE 0 END"
 register("pl9_daily_yield", f"""
@@ -293,3 +306,53 @@ FROM (SELECT *, date_sub('second', start_time, end_time) AS c FROM {_T})
 """
 register("pl11_backfill", _backfilled)
 register_dirty("pl11_backfill_dirty", _backfilled)
+
+# C8 with bounds: totals per batch or tool in the sample
+_per = {r: q.replace("::VARCHAR AS ex", " AS c") for r, q in ITEMS.items() if r in ("DQ001", "DQ002", "DQ004", "DQ005", "DQ007", "DQ015", "DQ016", "DQ017")}
+_per["DQ003"] = f"SELECT batch_id AS c, 1 AS w FROM {_T} ANTI JOIN dim_process_steps USING (process_step_id)"
+_per["DQ014"] = f"SELECT batch_id AS c, 1 AS w FROM {_T} GROUP BY batch_id, wafer_id HAVING count(*) > 1"
+_y = " UNION ALL ".join(f"SELECT '{r}' AS rule_id, c, sum(w) AS y FROM (" + _swap(_per[r], {"fact_wafer_tests": _TE, EV: _EV} | (
+    {"dim_wafer_batches": _BA} if r in ("DQ002", "DQ015") else {})) + ") GROUP BY c" for r in _SAMPLED)
+_names = ", ".join(f"('{r.rule_id}', '{r.severity}', {r.threshold}::BIGINT)" for r in RULES if r.rule_id in _SAMPLED)
+_judged = lambda n: f"CASE WHEN {n} <= threshold THEN 'PASS' WHEN severity IN ('CRITICAL', 'HIGH') THEN 'FAIL' ELSE 'WARNING' END"
+_estimated = f"""
+WITH some_tests AS (SELECT * FROM fact_wafer_tests WHERE {_SOME["fact_wafer_tests"]}),
+     some_events AS (SELECT * FROM {EV} WHERE {_SOME[EV]}),
+     some_batches AS (SELECT * FROM dim_wafer_batches WHERE {_SOME["dim_wafer_batches"]}),
+     g AS (SELECT rule_id, count(*) AS k, sum(y)::BIGINT AS s, sum(y * y)::DOUBLE AS q, max(y)::BIGINT AS m FROM ({_y}) GROUP BY rule_id),
+     b AS (SELECT rule_id, severity, threshold, coalesce(k, 0) AS clusters, coalesce(s, 0) AS found, coalesce(round(s / 0.05), 0)::BIGINT AS estimate,
+                  coalesce(round(sqrt(0.95 * q) / 0.05, 4), 0) AS std_error,
+                  coalesce(greatest(s, floor(s / 0.05 - 1.959964 * sqrt(0.95 * q) / 0.05)::BIGINT), 0) AS low,
+                  coalesce(greatest(ceil(s / 0.05 + 1.959964 * sqrt(0.95 * q) / 0.05)::BIGINT, 59 * m), 59) AS high
+           FROM (VALUES {_names}) r(rule_id, severity, threshold) LEFT JOIN g USING (rule_id))
+SELECT *, if(({_judged('low')}) = ({_judged('high')}), {_judged('low')}, 'UNCERTAIN') AS status FROM b
+"""
+register("c8_estimated_checks", _estimated)
+register_dirty("c8_estimated_checks_dirty", _estimated)
+
+# C10 from the ledger: every rule over the rows of the week before each run
+_runs = {0: "2024-01-31", 7: "2024-01-24", 14: "2024-01-17"}
+_weeks = ", ".join(f"""tests_{k} AS (SELECT * FROM {_T} WHERE test_timestamp > TIMESTAMP '{d}' - INTERVAL 7 DAY AND test_timestamp <= TIMESTAMP '{d}'),
+     events_{k} AS (SELECT * FROM {_E} WHERE ingestion_timestamp > TIMESTAMP '{d}' - INTERVAL 7 DAY AND ingestion_timestamp <= TIMESTAMP '{d}')"""
+                   for k, d in _runs.items())
+_ran = " UNION ALL ".join(f"SELECT rule_id, DATE '{d}' AS date, violations FROM ({rule_row(r.rule_id, _swap(ITEMS[r.rule_id], {_T: f'tests_{k}', _E: f'events_{k}'}))})"
+                          for k, d in _runs.items() for r in RULES)
+_ledger = f"""
+WITH {_weeks}, r AS ({_ran})
+SELECT a.rule_id, a.date, any_value(a.violations) AS violations, max(b.violations) FILTER (b.date = a.date - 7) AS prev_violations,
+       round(avg(b.violations), 4) AS trailing_avg
+FROM r a JOIN r b ON a.rule_id = b.rule_id AND b.date <= a.date GROUP BY a.rule_id, a.date
+"""
+register("c10_stored_trend", _ledger)
+register_dirty("c10_stored_trend_dirty", _ledger)
+
+# IO1-IO4: which lines the landing breaks
+_landed = f"""
+SELECT event_id, equipment_id, event_timestamp, status, event_timestamp::DATE AS event_date, NULL::BIGINT AS fields FROM {_E}
+WHERE event_id % 101 <> 3 AND event_id % 103 <> 4 AND event_id % 107 <> 5 AND event_timestamp::DATE >= DATE '2024-01-21'
+UNION ALL
+SELECT event_id, NULL, NULL, NULL, NULL, CASE WHEN event_id % 103 = 4 THEN 2 WHEN event_id % 107 = 5 THEN 5 ELSE 4 END
+FROM {_E} WHERE event_id % 101 = 3 OR event_id % 103 = 4 OR event_id % 107 = 5
+"""
+register("io_raw_landing", _landed)
+register_dirty("io_raw_landing_dirty", _landed)

@@ -17,12 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waferline.functions.exprs import flag, pct, ts_lit
+from waferline.functions.exprs import as_datetime, flag, pct, ts_lit
 from waferline.plans import layers as L
 from waferline.plans.quality import Options, gate, run_checks
 from waferline.sources.layers import read_watermarks, store_results, store_watermarks
@@ -164,3 +165,19 @@ def incremental_run(spark: SparkSession, root: str, t: FabTables, upto, run_date
 
 def marks_version(spark: SparkSession, root: str) -> int:
     return max((int(v) for v in _folders(spark, f"{root.rstrip('/')}/watermarks", "version")), default=0)
+
+
+# ------------------------------------------------------------------ runs in the ledger
+def ledger_run(root: str, t: FabTables, upto, days: int, run_date, options: Options | None = None) -> None:
+    """Judge what the ``days`` days up to ``upto`` brought (tests by test time, events by arrival)
+    with all rules, and keep the results under ``run_date``; a second run of the date takes the
+    place of the first. Read the runs with :func:`read_ledger`."""
+    new = {}
+    for table, ts in SOURCES.values():
+        new[table] = getattr(t, table).filter((F.col(ts) > ts_lit(as_datetime(upto) - timedelta(days=days))) & (F.col(ts) <= ts_lit(upto)))
+    store_results(run_checks(t.with_(**new), options=options), root, run_date, "all")
+
+
+def read_ledger(spark: SparkSession, root: str, layer: str = "all") -> DataFrame:
+    """The rule results of all stored runs of a layer, with their run_date; other layers are not read."""
+    return spark.read.parquet(f"{root.rstrip('/')}/dq_results").filter(F.col("layer") == layer)

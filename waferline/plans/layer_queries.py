@@ -13,10 +13,13 @@ from pyspark.sql import types as T
 
 from waferline.functions.exprs import as_datetime, flag, ts_diff, ts_lit
 from waferline.plans import conform as CF
+from waferline.plans import dimension as D
+from waferline.plans import estimates as ES
 from waferline.plans import kept as K
 from waferline.plans import layers as L
 from waferline.plans import quality as Q
 from waferline.plans import transforms as TR
+from waferline.sources import landing as IO
 from waferline.sources import versioned as V
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
@@ -244,3 +247,64 @@ def pl11_backfill(t: FabTables) -> DataFrame:
     for k, name in enumerate(("v1", "v2", "v3")):
         TR.apply(base.filter(third == k), _test_versions(), name).write.parquet(f"{root}/part={k}")
     return TR.backfill(spark.read.option("mergeSchema", True).parquet(root).drop("part"), _test_versions())
+
+
+# ------------------------------------------------------------------ PL8 kept dimension
+def _kept_dimension(t: FabTables, close: bool) -> DataFrame:
+    """Snapshots of the days, every fourth at a time and out of order; the first merge has another
+    status for its days and is then made right."""
+    spark, root = t.fact_wafer_tests.sparkSession, _kept_root(t, "dimension")
+    snaps = L.daily_status_snapshots(t)
+    turn = F.pmod(F.datediff("snapshot_date", F.lit("2024-01-01").cast("date")), F.lit(4))
+    for k in (2, 0, 3, 1, 2):
+        D.merge_snapshots(spark, root, snaps.filter(turn == k).withColumn("status", F.col("status") if D.read_dimension(spark, root) is not None
+                          else F.lit("UNKNOWN")), "equipment_id", ["status"], close=close)
+    return D.read_dimension(spark, root)
+
+
+def pl8_kept_dimension(t: FabTables) -> DataFrame:
+    return _kept_dimension(t, False)
+
+
+def pl8_kept_dimension_closed(t: FabTables) -> DataFrame:
+    """The same, where a tool that a day's snapshot lacks ends its version."""
+    return _kept_dimension(t, True)
+
+
+# ------------------------------------------------------------------ C8 with bounds, C10 from the ledger
+def c8_estimated_checks(t: FabTables) -> DataFrame:
+    return ES.estimated_checks(t, SAMPLE)
+
+
+def c10_stored_trend(t: FabTables) -> DataFrame:
+    """Runs of three dates in the ledger, not in their order, one of them first with other rows;
+    the trend of every rule from what is stored."""
+    spark, root = t.fact_wafer_tests.sparkSession, _kept_root(t, "ledger")
+    for day, days in ((7, 1), (14, 7), (0, 7), (7, 7)):
+        upto = as_datetime(DEFAULT_AS_OF) - timedelta(days=day)
+        K.ledger_run(root, t, upto, days, upto.date())
+    return L.stored_trend(K.read_ledger(spark, root))
+
+
+# ------------------------------------------------------------------ IO1-IO4 raw landing
+LANDED = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("equipment_id", T.LongType()),
+                       T.StructField("event_timestamp", T.TimestampNTZType()), T.StructField("status", T.StringType())])
+
+
+def io_raw_landing(t: FabTables) -> DataFrame:
+    """Events landed as CSV, where some lines have a word for a number, lack fields or have one
+    too many; then the raw rows of the last ten days, read by date, beside all malformed lines."""
+    spark, root = t.fact_wafer_tests.sparkSession, _kept_root(t, "landing")
+    e = F.col("event_id")
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in LANDED.names]
+    tool = F.when(e % 101 == 3, F.lit("tool-x")).otherwise(text[1])
+    line = F.concat_ws(",", text[0], tool, F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"), text[3])
+    line = F.when(e % 103 == 4, F.concat_ws(",", text[0], text[1])).when(e % 107 == 5, F.concat(line, F.lit(",more"))).otherwise(line)
+    t.fact_equipment_events.select(line.alias("value")).write.text(f"{root}/landing/equipment_logs")
+    IO.land(spark, f"{root}/landing/equipment_logs", root, "equipment_logs", LANDED, "1", "event_timestamp")
+    day = F.lit((as_datetime(DEFAULT_AS_OF) - timedelta(days=10)).date())
+    good = IO.read_raw(spark, root, "equipment_logs", LANDED).filter(F.col("event_date") >= day).drop("load")
+    held = F.split("line", ",")
+    bad = IO.read_quarantine(spark, root, "equipment_logs").select(
+        held[0].cast("long").alias("event_id"), F.size(held).cast("long").alias("fields"))
+    return good.withColumn("fields", F.lit(None).cast("long")).unionByName(bad, allowMissingColumns=True)

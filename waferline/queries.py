@@ -80,6 +80,8 @@ for _n in ("pl1_standardize", "pl2_dedupe", "pl3_incremental", "pl3_watermark",
     query(_n)(getattr(LQ, _n))
 for _n in ("pl6_write_upsert", "pl6_versioned_upsert", "pl7_conformed", "pl11_backfill", "pl9_kept_yield", "pl9_kept_uptime", "pl_incremental_run", "c3_isolated"):
     query(_n)(getattr(LQ, _n))
+for _n in ("pl8_kept_dimension", "pl8_kept_dimension_closed", "c8_estimated_checks", "c10_stored_trend", "io_raw_landing"):
+    query(_n)(getattr(LQ, _n))
 
 from waferline.sources.dirty import dirty_tables  # noqa: E402
 
@@ -93,6 +95,9 @@ query("c12_clean_batch_share_dirty")(lambda t: LQ.c12_clean_batch_share(dirty_ta
 query("pl9_kept_yield_dirty")(lambda t: LQ.pl9_kept_yield(dirty_tables(t)))
 query("pl7_conformed_dirty")(lambda t: LQ.pl7_conformed(dirty_tables(t)))
 query("pl11_backfill_dirty")(lambda t: LQ.pl11_backfill(dirty_tables(t)))
+query("c8_estimated_checks_dirty")(lambda t: LQ.c8_estimated_checks(dirty_tables(t)))
+query("c10_stored_trend_dirty")(lambda t: LQ.c10_stored_trend(dirty_tables(t)))
+query("io_raw_landing_dirty")(lambda t: LQ.io_raw_landing(dirty_tables(t)))
 query("dq_custom")(LQ.dq_custom)
 query("pl9_daily_yield")(L.daily_yield)
 query("pl9_daily_yield_recipe")(lambda t: L.daily_yield(t, by_recipe=True))
