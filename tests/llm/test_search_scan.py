@@ -314,6 +314,22 @@ def test_wrapped_notices(spark, width, mark):
     assert [rows[0][1][s["start"]:s["end"]] for s in spans if s["confirmed"]] == [wrap(cases[0][1])]
 
 
+@pytest.mark.parametrize("before", [0, 10, 20, 40])
+def test_every_notice_at_every_offset(spark, before):
+    """Each paragraph among other words on one line, wrapped, and alone; prose has none."""
+    import textwrap
+
+    cases = [(f, p) for f in lic.FAMILIES for p in lic.PARAGRAPHS[f]]
+    rows = [(i, prose(i, 90) + "\n" + prose(i + 7, 300), "en", "a") for i in range(200)]
+    for k, (_, p) in enumerate(cases):
+        line = (prose(k, before) + " " if before else "") + p + " " + prose(k + 1, 15)
+        rows += [(1000 + k, line, "en", "a"), (2000 + k, prose(k, before) + "\n\n" + "\n".join(textwrap.wrap(p, 72)), "en", "a")]
+    got = {r[0]: r[1] for r in rows_of(lic.digest(lic.scan_documents(documents(spark, rows))), "doc_id", "licenses")}
+    assert {(i, got[i]) for i in range(200)} == {(i, "") for i in range(200)}
+    assert {(i + k, got[i + k]) for k in range(len(cases)) for i in (1000, 2000)} == {
+        (i + k, f) for k, (f, _) in enumerate(cases) for i in (1000, 2000)}
+
+
 def test_license_edge_tables(spark):
     assert rows_of(lic.scan_documents(documents(spark, []))) == []
     assert lic.windows(np.array([0, 1, 64, 65, 96, 97]))[2].tolist() == [1, 64, 64, 33, 64, 64, 64, 64, 33]

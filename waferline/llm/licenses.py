@@ -1,17 +1,19 @@
 """Licence scans with a trained paragraph classifier (operator 7).
 
 A text's paragraphs are its lines; lines of more than ``WIDE`` words are read in windows of
-``WIDE`` words that overlap by half. Notices that are wrapped over lines are read as well: runs
-of lines with words (a line without, as an empty comment line, is a border) are searched for
-3-grams of notices, and where these cross a line's end, windows of up to the longest notice
-slide over them. What such windows confirm is one span of whole lines per family and place; it
-takes the place of its lines' own unconfirmed spans. Comment marks are no words. A multinomial logistic regression over sparse word 1- to
-3-grams tells the licence family of a paragraph, or that it is none (class ``unknown``). It is
+``WIDE`` words that overlap by half. Notices among other words of a line and notices that are
+wrapped over lines are read as well: runs of lines with words (a line without, as an empty
+comment line, is a border) are searched for 3-grams of notices, and windows of up to the longest
+notice slide over the places that hold them. What such windows confirm is one span of whole
+lines per family and place; it takes the place of its lines' own unconfirmed spans. Comment
+marks are no words. A multinomial logistic regression over sparse word 1- to 3-grams tells the
+licence family of a paragraph, or that it is none (class ``unknown``). It is
 trained on the public notices of :mod:`license_texts`, cut, edited and set among prose, against
 sentences about licences, shuffled notices, and paragraphs of a bounded sample of the documents
 (``PROSE_DOCUMENTS`` of them). Temperature and threshold are calibrated on examples that were
 not trained on. A predicted family is confirmed by template comparison: enough of the word
-2- and 3-grams of one of its notices must occur in the paragraph.
+2- and 3-grams of one of its notices must occur in the paragraph. It also decides among
+families that are close, as headers that differ in a word.
 
 Only paragraphs with a 3-gram of some notice are scored: no other can be confirmed, because
 without a common 3-gram less than ``CONFIRM`` of a notice's 2- and 3-grams are shared.
@@ -41,7 +43,11 @@ from waferline.llm.license_texts import NAMES, NOT_A_LICENCE, NOTICES, PARAGRAPH
 WIDE = 64
 GRAMS = 3
 CONFIRM = 0.7
+#: Families whose probability is at least this share of the greatest are close.
+CLOSE = 0.05
 PROSE_DOCUMENTS, PROSE_PARAGRAPHS = 400, 6
+#: The characters of a sampled paragraph that may come to the driver.
+PROSE_CHARACTERS = 4096
 #: Wrapped notices: most words between their 3-grams, and window sizes beside the longest notice.
 APART, SIZES = 12, (32, 16, 8)
 UNKNOWN = "unknown"
@@ -157,16 +163,29 @@ class Classifier:
             w, b = w + vw, b + vb
         return w, b
 
-    def classify(self, words: list[str]) -> tuple[str, float, bool]:
-        """(family or unknown, calibrated probability, confirmed)."""
+    def best(self, words: list[str]) -> tuple[str, float, int]:
+        """(family or unknown, calibrated probability, the most grams of a template of the family
+        that the words hold; 0 if they confirm none). Among close families, as those of headers that
+        differ in a word, the one with most of these grams is taken; where no family reaches the
+        threshold but all together do, only a confirmed one is."""
         at, value = self.vector(words)
         z = (value @ self.weights[at] if len(at) else 0.0) + self.bias
         p = self._softmax(z[None] / self.temperature)[0]
-        k = int(p[:-1].argmax())
-        if p[k] < self.threshold:
-            return UNKNOWN, float(p[-1]), False
+        top = int(p[:-1].argmax())
+        if 1 - p[-1] < self.threshold:
+            return UNKNOWN, float(p[-1]), 0
         found = set(grams(words, 2))
-        return FAMILIES[k], float(p[k]), any(len(t & found) >= CONFIRM * len(t) for t in self.templates[FAMILIES[k]])
+        held = {k: max((n for t in self.templates[FAMILIES[k]] if (n := len(t & found)) >= CONFIRM * len(t)), default=0)
+                for k in np.flatnonzero(p[:-1] >= CLOSE * p[top]).tolist()}
+        k = max(held, key=lambda k: (held[k], float(p[k]), -k))
+        if p[top] < self.threshold and not held[k]:
+            return UNKNOWN, float(p[-1]), 0
+        return FAMILIES[k], float(p[k]), held[k]
+
+    def classify(self, words: list[str]) -> tuple[str, float, bool]:
+        """(family or unknown, calibrated probability, confirmed)."""
+        family, score, held = self.best(words)
+        return family, score, held > 0
 
 
 def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,39 +196,50 @@ def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return line, starts_of(counts)[line] + nth * (WIDE // 2), np.minimum(counts[line] - nth * (WIDE // 2), WIDE)
 
 
-def wrapped(at: np.ndarray, line: np.ndarray, run: np.ndarray, longest: int) -> list[list[tuple[int, int]]]:
-    """Windows (first word, end) across line ends, per place that holds 3-grams of notices.
-    ``at``: where these start; ``line`` and ``run`` of every word."""
+def places(at: np.ndarray, run: np.ndarray, longest: int) -> list[tuple[int, int]]:
+    """Windows (first word, end) over each place that holds 3-grams of notices, in a line or
+    across line ends. ``at``: where these start; ``run`` of every word."""
     at = at[run[at] == run[at + 2]]
     cut = np.flatnonzero((np.diff(at) > APART) | (np.diff(run[at]) != 0)) + 1
-    out = []
+    out: set[tuple[int, int]] = set()
     for place in np.split(at, cut) if len(at) else []:
         a, b = int(place[0]), int(place[-1]) + 3
-        if line[a] != line[b - 1]:
-            some = {(max(a, e - size), e) for size in (longest, *SIZES)
-                    for e in [*range(min(a + size, b), b, size // 4), b]}
-            out.append(sorted(w for w in some if line[w[0]] != line[w[1] - 1]))
-    return out
-
-
-def merged(found: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
-    """Ranges (first, end, score), those that overlap made one of the best score."""
-    out: list[tuple[int, int, float]] = []
-    for a, b, score in sorted(found):
-        if out and a < out[-1][1]:
-            out[-1] = out[-1][0], max(b, out[-1][1]), max(score, out[-1][2])
+        out |= {(max(a, e - size), e) for size in (longest, *SIZES) for e in [*range(min(a + size, b), b, size // 4), b]}
+    return sorted(out)
+
+
+def settled(found: list[tuple[int, int, str, float, int]]) -> list[tuple[int, int, str, float]]:
+    """Of confirmed windows (first, end, family, score, grams of a template) that overlap, the one
+    with most grams stays, then the shorter one, then the likelier; in the order of the text."""
+    kept: list[tuple[int, int, str, float]] = []
+    for w in sorted(found, key=lambda w: (-w[4], w[1] - w[0], -w[3], w[:3])):
+        if all(w[1] <= k[0] or k[1] <= w[0] for k in kept):
+            kept.append(w[:4])
+    return sorted(kept)
+
+
+def lined(windows_: list[tuple[int, int, str, float]], line: np.ndarray) -> list[tuple[int, int, str, float]]:
+    """(first line, last line, family, score): windows of a family that share a line made one."""
+    out: list[tuple[int, int, str, float]] = []
+    last: dict[str, int] = {}
+    for a, b, family, score in windows_:
+        i, j = int(line[a]), int(line[b - 1])
+        if family in last and out[last[family]][1] >= i:
+            at = last[family]
+            out[at] = out[at][0], max(j, out[at][1]), family, max(score, out[at][3])
         else:
-            out.append((a, b, score))
+            last[family] = len(out)
+            out.append((i, j, family, score))
     return out
 
 
 def prose_sample(docs: DataFrame, size: int = PROSE_DOCUMENTS, each: int = PROSE_PARAGRAPHS) -> list[list[str]]:
-    """Up to ``each`` paragraphs of about ``size`` documents, chosen by a hash of the id."""
+    """The first words of up to ``each`` paragraphs of about ``size`` documents, chosen by a hash of the id."""
     n = docs.count()
     share = min(1 << 20, -(-(size << 20) // max(n, 1)))
     line = F.regexp_extract_all("text", F.lit(r"[^\n]+"), 0)
     rows = (docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).orderBy(F.xxhash64("doc_id", "text")).limit(2 * size)
-            .select(F.explode(F.slice(line, 1, each)).alias("line")).collect())
+            .select(F.explode(F.slice(line, 1, each)).alias("line")).select(F.left("line", F.lit(PROSE_CHARACTERS)).alias("line")).collect())
     return [w for w in (words_of(r[0])[:WIDE] for r in rows) if w]
 
 
@@ -247,35 +277,38 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
                         begin = sum(len(x) + 1 for x in own[:j])
                         return begin, begin + len(own[j])
 
-                    def judge(a: int, b: int) -> tuple[str, float, bool]:
-                        return model.classify([x.decode() for x in words[a:b].to_pylist()])
+                    def judge(a: int, b: int) -> tuple[str, float, int]:
+                        return model.best([x.decode() for x in words[a:b].to_pylist()])
 
-                    alone = []  # (line, family, score, confirmed) of windows within a line
-                    for w in likely.tolist():
-                        family, score, sure = judge(int(first[w]), int(first[w] + size[w]))
-                        if family != UNKNOWN:
-                            alone.append((int(line[w]), family, score, sure))
+                    held, guessed = [], []  # confirmed windows; (line, family, score) of the others
                     some = counts > 0
                     border = np.r_[True, ~some[:-1] | (of[1:] != of[:-1])]
                     of_word = np.repeat(np.arange(len(counts)), counts)
-                    sure_of = {(k, family) for k, family, _, sure in alone if sure}
                     done = np.zeros(len(counts) + 1, bool)  # lines that are notices by themselves
-                    done[[k for k, _ in sure_of]] = True
+                    for w in likely.tolist():
+                        x, y = int(first[w]), int(first[w] + size[w])
+                        family, score, n = judge(x, y)
+                        if n:
+                            held.append((x, y, family, score, n))
+                            done[line[w]] = True
+                        elif family != UNKNOWN:
+                            guessed.append((int(line[w]), family, score))
                     runs = np.cumsum(border), np.cumsum(border | done[:-1] | np.r_[False, done[:-2]])
                     hits = np.flatnonzero(np.diff(hit[:-2]))
-                    tried = {w for r in runs for group in wrapped(hits, of_word, r[of_word], model.longest) for w in group}
-                    by_family: dict[str, list] = {}
-                    for x, y in sorted(tried):
-                        family, score, sure = judge(x, y)
-                        if sure and not any((k, family) in sure_of for k in range(of_word[x], of_word[y - 1] + 1)):
-                            by_family.setdefault(family, []).append((x, y, score))
-                    across = [(int(of_word[x]), int(of_word[y - 1]), family, score)  # all confirmed
-                              for family, ranges_ in by_family.items() for x, y, score in merged(ranges_)]
-                    part = {(k, family) for x, y, family, _ in across for k in range(x, y + 1)}
-                    every = [(k, k, family, score, sure) for k, family, score, sure in alone if sure or (k, family) not in part]
-                    for x, y, family, score, sure in sorted(every + [(*a, True) for a in across], key=lambda r: r[0]):
+                    for x, y in sorted({w for r in runs for w in places(hits, r[of_word], model.longest)}):
+                        if of_word[x] == of_word[y - 1] and done[of_word[x]]:
+                            continue
+                        family, score, n = judge(x, y)
+                        if n:
+                            held.append((x, y, family, score, n))
+                    sure = lined(settled(held), of_word)
+                    part = {(k, family) for x, y, family, _ in sure for k in range(x, y + 1)}
+                    inside = {x for x, y, _, _ in sure if x == y}
+                    every = [(*a, True) for a in sure] + [
+                        (k, k, family, score, False) for k, family, score in guessed if k not in inside and (k, family) not in part]
+                    for x, y, family, score, confirmed in sorted(every, key=lambda r: r[0]):
                         spans[of[x]].append({"start": place(x)[0], "end": place(y)[1], "family": family,
-                                             "score": score, "confirmed": bool(sure)})
+                                             "score": score, "confirmed": confirmed})
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(np.bincount(of[line], minlength=len(lines)), pa.int64()),
                      pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("family", pa.string()),
