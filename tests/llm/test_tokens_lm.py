@@ -137,7 +137,12 @@ def test_scores_of_edge_tables(spark):
 def test_trie_and_levels():
     rng = np.random.default_rng(0)
     for values in ([], [0], [0, 0, 0], [5, 5, 9, 4000], np.sort(rng.integers(0, 10**7, 1000)).tolist()):
-        assert lm.EliasFano(np.array(values, np.int64)).values().tolist() == values
+        levels = lm.EliasFano(np.array(values, np.int64))
+        assert levels.get(np.arange(len(values))).tolist() == values
+        some = rng.permutation(len(values))[:50]
+        assert levels.get(some).tolist() == [values[i] for i in some]
+    long = np.cumsum(rng.integers(0, 3, 200_000) * (rng.random(200_000) < 0.1) * 500)   # more than one slice, empty blocks
+    assert (lm.EliasFano(long).get(np.arange(len(long))) == long).all()
     left, right = rng.integers(0, 50, 3000).astype(np.uint64), rng.integers(0, 30, 3000).astype(np.uint32)
     n = rng.integers(1, 4, 3000)
     want = Counter()
@@ -149,3 +154,9 @@ def test_trie_and_levels():
     assert got.tolist() == [want[x] for x in asked]
     counts = np.array([1, 128, 129, 1000, 10**6, 10**9])
     assert (np.abs(np.log2(lm.from_codes(lm.to_codes(counts)) / counts)) <= 0.13).all()
+
+
+def test_counts_beyond_32_bits():
+    for counts in ([], [0, 5], [2**32 - 1], [2**32 + 5, 1], [2**40]):
+        a = np.array(counts, np.uint64)
+        assert lm._open_counts(lm._press_counts(a), len(a)).tolist() == counts

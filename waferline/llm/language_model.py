@@ -15,11 +15,12 @@ training tokens are likeliest when each is left out of its own counts.
    the pointers to their successors; level 2 the sorted successors, and for each an 8-bit
    code of its count's logarithm (a count, not a smoothed probability). A context's successors
    are spread over ``SPLITS`` shards, so a context that a third of all words follows does not
-   fall to one task. Levels live within the call; pointers are decoded whole when looked up.
+   fall to one task. Levels live within the call; a pointer is selected on the sequence's bits.
 3. ``score_chunks`` joins each chunk with its answers and scores its documents.
 
 Nothing is collected but the totals N and V and a likelihood per prior. Words are known by
-64-bit hashes, successors by 32 bits within their context's shard; word counts are exact.
+64-bit hashes, successors by 32 bits within their context's shard; word counts are exact,
+beyond 32 bits, too (a chunk's own fit in them).
 Shards and chunks grow in number with the input, not in size.
 
 Defined cases: null and word-less texts hold the end token only; a null doc_id trains;
@@ -65,6 +66,9 @@ def held_out(doc_id) -> bool:
 
 # ------------------------------------------------------------------ compact levels
 
+#: Bytes of a block of a bit vector, for each of which the ones before it are kept.
+_SELECT = 16
+
 class EliasFano:
     """A monotone sequence: low bits packed, high bits as unary gaps in a bit vector."""
 
@@ -77,11 +81,23 @@ class EliasFano:
         high[(values >> self.low_bits) + np.arange(n)] = 1
         self.high = np.packbits(high)
 
-    def values(self) -> np.ndarray:
-        """All members, decoded: the i-th one bit at p stands for high part p - i."""
-        high = np.flatnonzero(np.unpackbits(self.high))[:self.n] - np.arange(self.n)
-        bits = np.unpackbits(self.low)[:self.n * self.low_bits].reshape(self.n, self.low_bits).astype(np.int64)
-        return (high << self.low_bits) + (bits << np.arange(self.low_bits)).sum(axis=1)
+        block = np.add.reduceat(np.unpackbits(self.high).reshape(-1, 8).sum(axis=1, dtype=np.int64), np.arange(0, len(self.high), _SELECT))
+        self.ones = np.r_[0, np.cumsum(block)]  # one bits before each block of the bit vector
+
+    def get(self, at: np.ndarray) -> np.ndarray:
+        """The members with the numbers ``at``: each one bit is selected in its block, whose number of
+        earlier ones is kept; only the blocks and low bits that are asked for are read."""
+        out = np.empty(len(at), np.int64)
+        padded = np.r_[self.high, np.zeros(-len(self.high) % _SELECT, np.uint8)].reshape(-1, _SELECT)
+        for k in range(0, len(at), 1 << 16):
+            i = np.asarray(at[k:k + (1 << 16)], np.int64)
+            block = np.searchsorted(self.ones, i, side="right") - 1
+            upto = np.cumsum(np.unpackbits(padded[block], axis=1), axis=1, dtype=np.int16)
+            place = (upto <= (i - self.ones[block])[:, None]).sum(axis=1)  # bits before the wanted one
+            bit = i[:, None] * self.low_bits + np.arange(self.low_bits)
+            low = (self.low[bit >> 3] >> (7 - (bit & 7))) & 1 if self.low_bits else np.zeros((len(i), 0), np.int64)
+            out[k:k + len(i)] = ((block * (8 * _SELECT) + place - i) << self.low_bits) + (low.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
+        return out
 
 
 def to_codes(counts: np.ndarray) -> np.ndarray:
@@ -115,8 +131,8 @@ class Trie:
             return out
         at = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
         seen = np.flatnonzero(self.contexts[at] == contexts)
-        bounds = self.pointers.values()
-        lo, hi, want = bounds[at[seen]], bounds[at[seen] + 1], successors[seen]
+        asked, back = np.unique(at[seen], return_inverse=True)
+        lo, hi, want = self.pointers.get(asked)[back], self.pointers.get(asked + 1)[back], successors[seen]
         end = hi.copy()
         while True:  # all binary searches in step
             open_ = lo < hi
@@ -141,6 +157,17 @@ def _open(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
 
 
+def _press_counts(a: np.ndarray) -> bytes:
+    """Counts in 32 bits where they fit, else in 64."""
+    return _press(a.astype(np.uint64 if len(a) and int(a.max()) >> 32 else np.uint32))
+
+
+def _open_counts(b: bytes, n: int) -> np.ndarray:
+    """The ``n`` counts that ``_press_counts`` wrote."""
+    raw = zstandard.ZstdDecompressor().decompress(b)
+    return np.frombuffer(raw, np.uint64 if n and len(raw) == 8 * n else np.uint32)
+
+
 def _raw40(h: np.ndarray) -> bytes:
     return np.ascontiguousarray(h.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
@@ -251,7 +278,7 @@ def answer_shards(chunks: DataFrame) -> DataFrame:
         words = [np.frombuffer(b, np.uint64) for b in col("words")]
         known, back = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(back, weights=np.concatenate([_open(b, np.uint32) for b in col("word_counts")]),
-                            minlength=len(known)).astype(np.uint32)
+                            minlength=len(known)).astype(np.uint64)
         vocabulary = int((total[known != _BEGIN] > 0).sum())
         fan = [_open(b, np.uint32) for b in col("fanout")]
         contexts = [np.repeat(_open40(b), f) for b, f in zip(col("contexts"), fan, strict=True)]
@@ -262,7 +289,7 @@ def answer_shards(chunks: DataFrame) -> DataFrame:
         cut = starts_of([len(w) for w in words])
         return pa.table({
             "chunk": rows["chunk"].cast(pa.string()), "shard": rows["shard"].cast(pa.int32()),
-            "word_counts": pa.array([_press(total[back[cut[i]:cut[i + 1]]]) for i in range(len(words))], pa.binary()),
+            "word_counts": pa.array([_press_counts(total[back[cut[i]:cut[i + 1]]]) for i in range(len(words))], pa.binary()),
             "codes": pa.array([_press(trie.look_up(c, s)) for c, s in zip(contexts, successors, strict=True)], pa.binary()),
             "n_vocabulary": pa.array([vocabulary] + [0] * (len(words) - 1), pa.int64())})
 
@@ -280,7 +307,8 @@ def score_chunks(chunks: DataFrame, answers: DataFrame, n: int, v: int, shards:
         c = Chunk(tokens, lengths, marks, shards)
         count, pair = np.zeros(len(marks)), np.zeros(len(c.left))
         for s, w, p in zip(got["shard"].to_pylist(), got["word_counts"].to_pylist(), got["codes"].to_pylist(), strict=True):
-            count[c.words(s)] = _open(w, np.uint32)
+            own_words = c.words(s)
+            count[own_words] = _open_counts(w, len(own_words))
             pair[c.pairs(s)] = from_codes(_open(p, np.uint8))
         first = starts_of(lengths)[:-1]
         before, now = count[c.left], count[c.right]
