@@ -27,7 +27,8 @@ def test_interval_lookups_are_equi_joins(spark, name):
 def test_cross_joins_only_take_one_row_aggregates(spark):
     import re
     for name in E.queries():
-        if name[0] == "s" and name[1].isdigit() or name.startswith("op") or name in ("pipeline", "pl6_write_upsert"):
+        if name[0] == "s" and name[1].isdigit() or name.startswith("op") or name in ("pipeline", "pl6_write_upsert") or name.startswith(
+                ("pl8_kept_dimension", "c10_stored_trend", "io_raw_landing")):
             continue                       # these run jobs when called
         p = _plan(spark, name)
         assert "CartesianProduct" not in p, name
