@@ -114,3 +114,41 @@ def test_interval_sums_equal_nested_loop_with_copies(spark):
         m = [v for kk, t, v in evs if kk == k and s <= t <= e]
         want[(k, s, e)] = (len(m), float(sum(m)))
     assert got == want
+
+
+def test_sums_appended_to_rows_equal_a_nested_loop(spark):
+    import random
+    from waferline.operators.intervals import with_interval_sums
+    rnd = random.Random(7)
+    at = lambda h: T0 + timedelta(minutes=round(h * 60))
+    ev = [(rnd.choice(["a", "b", None]), at(rnd.randrange(0, 2400) / 20), rnd.choice([1, 2, None])) for _ in range(300)]
+    ev += [ev[0]] * 3 + [("a", None, 5)]
+    left = [(i % 40, rnd.choice(["a", "b", "c", None]), at(s), at(s + rnd.choice([-2, 0, 0.05, 1, 1.5, 30, 24 * 400]))) for i, s in
+            enumerate(rnd.randrange(0, 2400) / 20 for _ in range(120))]
+    left += [left[0]] * 2 + [(99, "a", None, at(1)), (98, "a", at(1), None), (97, None, None, None), (96, "a", at(-24 * 365 * 60), at(3))]
+    w, e = spark.createDataFrame(left, "id int, k string, s timestamp_ntz, e timestamp_ntz"), spark.createDataFrame(ev, "k string, t timestamp_ntz, v int")
+    values = {"n": F.lit(1).cast("long"), "v": F.col("v").cast("long")}
+
+    def loop(_, k, s, e):
+        if None in (k, s, e) or e < s:
+            return None, None
+        inside = [x for x in ev if x[0] == k and x[1] is not None and s <= x[1] <= e]
+        return len(inside), sum(x[2] or 0 for x in inside)
+
+    want = sorted((r + loop(*r) for r in left), key=str)
+    for prune in (False, True):
+        got = with_interval_sums(w, e, "k", "s", "e", "t", values, 3600, prune=prune).collect()
+        assert sorted((tuple(r) for r in got), key=str) == want
+
+
+def test_interval_events_keep_copies_and_rows_without_a_window(spark):
+    from waferline.operators.intervals import interval_events
+    at = lambda h: T0 + timedelta(minutes=round(h * 60))
+    left = [(1, "a", at(0.5), at(1.5)), (1, "a", at(0.5), at(1.5)), (2, None, at(0), at(9)), (3, "a", at(3), at(2)), (4, "a", None, at(2)),
+            (5, "a", at(-24 * 30), at(24 * 30)), (6, "b", at(1), at(1))]
+    ev = [("a", at(0.5), "x"), ("a", at(1.5), "y"), ("a", at(1.6), "z"), (None, at(1), "n"), ("b", at(1), "w"), ("a", None, "t")]
+    w, e = spark.createDataFrame(left, "id int, k string, s timestamp_ntz, e timestamp_ntz"), spark.createDataFrame(ev, "k string, t timestamp_ntz, st string")
+    df = interval_events(w, e, "k", "s", "e", "t")
+    assert df.columns == ["k", "s", "e", "id", "t", "st"]
+    assert sorted(((r.id, r.st) for r in df.collect()), key=str) == sorted(
+        [(1, "x"), (1, "y"), (1, "x"), (1, "y"), (2, None), (3, None), (4, None), (5, "x"), (5, "y"), (5, "z"), (6, "w")], key=str)

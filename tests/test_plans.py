@@ -82,3 +82,31 @@ def test_curated_facts_prune_by_date(spark, tmp_path):
     p = Y.y1_yield_by_equipment(read_curated(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
     filters = [ln[ln.index("PartitionFilters"):ln.index("PushedFilters")] for ln in p.splitlines() if "FileScan" in ln]
     assert any("test_date" in f for f in filters)
+
+
+@pytest.mark.parametrize("name,most", [("x4_yield_excursion", 18), ("b1_wafer_trace", 12), ("j4_interval_lookup", 6), ("r3_wafer_lineage", 9)])
+def test_rows_with_windows_are_shuffled_once_per_step(spark, name, most):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # as with large dimensions
+    try:
+        assert _plan(spark, name).count("Exchange hashpartitioning") <= most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("name", ["e6_criticality", "e6_criticality_dirty"])
+def test_criticality_counts_without_expanding_rows(spark, name):
+    assert "Expand" not in _plan(spark, name)
+
+
+@pytest.mark.parametrize("name", ["b6_lot_trace", "b6_lot_trace_tests"])
+def test_a_trace_of_all_lots_shuffles_no_raw_tests(spark, name):
+    assert "LeftSemi" not in _plan(spark, name)
+
+
+def test_ledger_runs_share_one_batch_dimension(spark, monkeypatch):
+    from waferline.plans import layer_queries as LQ
+    seen, run = [], LQ.K.ledger_run
+    monkeypatch.setattr(LQ.K, "ledger_run", lambda root, t, *a: (seen.append(t.dim_wafer_batches.inputFiles()), run(root, t, *a)))
+    E.queries()["c10_stored_trend"](spark, SF)
+    assert len(seen) == 4 and all(f.count("/batches/") for s in seen for f in s) and seen[0] and len({tuple(sorted(s)) for s in seen}) == 1

@@ -5,6 +5,8 @@ nested loop of events with windows.
 
 * ``interval_sums`` (counts, sums, averages) needs no join of windows with events at all:
   prefix sums per key, with the window ends as marker rows.
+* ``with_interval_sums`` appends such sums to the rows that hold the windows, which pass one
+  shuffle with their other columns and are joined with nothing: for more windows than events.
 * ``interval_events`` / ``interval_aggregate`` return or aggregate the overlaps themselves:
   an equi-join on ``(key, level, time bucket)`` plus the range predicate. A window's level
   grows with its length, so that it touches at most three buckets of its level, however
@@ -72,16 +74,88 @@ def interval_lookup(left: DataFrame, events: DataFrame, key: str, start: str, en
     return out
 
 
+def _seen(left: DataFrame, events: DataFrame, key: str, start: str, end: str, ts: str, bucket_seconds: int,
+          bounds: DataFrame | None) -> tuple[Column, DataFrame, DataFrame]:
+    """(whether a row's window holds anything, ``left`` with the level ``_l`` and the bucket ``_b`` in
+    which its window starts, the events of ``_k``, ``_t`` with every ``_l`` and ``_b`` of windows that may
+    reach them). A bucket is no shorter than its level's windows, so a window ends in the bucket
+    of its start or the next one, and an event is seen from its own and the one before. Rows with
+    an empty window or no key are spread by their hash. ``bounds``: a smaller table that has
+    the starts and ends of all windows of ``left``, to find the levels that occur."""
+    ok = F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(end) >= F.col(start))
+    length = (epoch_seconds(end) - epoch_seconds(start)).cast("double")
+    level = F.when(ok, F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(length / bucket_seconds, F.lit(1.0)))))).otherwise(0).cast("int")
+    size = F.lit(bucket_seconds) * F.pow(F.lit(2.0), F.col("_l"))
+    valid = F.coalesce(ok & F.col(key).isNotNull(), F.lit(False))
+    w = left.withColumn("_l", level).withColumn("_b", F.when(valid, F.floor(epoch_seconds(start) / size))
+                                                .otherwise(F.xxhash64(*left.columns)))
+    # The levels that occur: at most one per doubling of the time span, so a few dozen rows.
+    levels = (left if bounds is None else bounds).select(level.alias("_l")).distinct()
+    at = F.floor(epoch_seconds(ts) / size)
+    ev = events.crossJoin(F.broadcast(levels)).withColumn("_b", F.explode(F.array(at, at - 1)))
+    return valid, w, ev
+
+
 def interval_events(left: DataFrame, events: DataFrame, key: str, start: str, end: str,
                     ts: str, bucket_seconds: int = 3600, event_key: str | None = None) -> DataFrame:
     """Left outer interval join returning the matching event rows (one output row
-    per (left row, event) overlap; left rows without events appear once with NULLs)."""
+    per (left row, event) overlap; left rows without events appear once with NULLs).
+
+    Left rows are in one bucket each, so one outer join keeps them; they are shuffled once."""
     ek = event_key or key
-    w, ev = _leveled(left, events, key, start, end, ts, bucket_seconds, ek)
-    pairs = (w.join(ev, [key, "_l", "_b"])
-             .filter((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end)))
-             .drop("_l", "_b"))
-    return left.join(pairs, [key, start, end], "left")
+    _, w, ev = _seen(left, events.withColumnRenamed(ek, "_k").filter(F.col("_k").isNotNull()), key, start, end, ts,
+                     bucket_seconds, None)
+    ev = ev.withColumnRenamed("_l", "_el").withColumnRenamed("_b", "_eb")
+    on = ((F.col(key) == F.col("_k")) & (F.col("_l") == F.col("_el")) & (F.col("_b") == F.col("_eb"))
+          & (F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end)))
+    first = [key, start, end]
+    return (w.join(ev, on, "left").drop("_k", "_l", "_b", "_el", "_eb")
+            .select(*first, *[c for c in left.columns if c not in first], *[c for c in events.columns if c != ek]))
+
+
+def _pruned(windows: DataFrame, events: DataFrame, key: str, event_key: str, start: str, end: str, ts: str) -> DataFrame:
+    """The events that a window of their key may reach: between the key's first start and last end."""
+    reach = windows.groupBy(F.col(key).alias("_wk")).agg(F.min(start).alias("_lo"), F.max(end).alias("_hi"))
+    return events.join(reach, (F.col(event_key) == F.col("_wk")) & (F.col(ts) >= F.col("_lo")) & (F.col(ts) <= F.col("_hi")),
+                       "left_semi")
+
+
+def with_interval_sums(left: DataFrame, events: DataFrame, key: str, start: str, end: str, ts: str,
+                       values: dict, bucket_seconds: int = 86400, event_key: str | None = None,
+                       prune: bool = False, bounds: DataFrame | None = None) -> DataFrame:
+    """``left`` with the sums of event ``values`` (name -> numeric Column) over
+    ``start <= ts <= end`` of the same key: 0 where no event is inside, NULL where the key or a
+    bound is NULL or ``end < start``. The same sums as :func:`interval_sums`, for many windows.
+
+    * Left rows take part in prefix sums of the events they see (key, level, bucket), once
+      placed at their start and once at their end: ``P(end) - P(start-)``. Both orders are sorts
+      in one partitioning, so left rows are shuffled once, as they are (copies, too).
+    * Events are collapsed per (key, ts), then seen from two buckets of each level.
+
+    The work is linear in rows however densely windows overlap, and a hot key is spread over
+    its buckets. ``prune`` and ``bounds``: see ``_pruned`` and ``_seen``."""
+    ek, names = event_key or key, list(values)
+    if prune:
+        events = _pruned(left, events, key, ek, start, end, ts)
+    ev = (events.select(F.col(ek).alias("_k"), F.col(ts).cast("timestamp_ntz").alias("_t"),
+                        *[values[n].alias("_v_" + n) for n in names])
+          .filter(F.col("_k").isNotNull() & F.col("_t").isNotNull())
+          .groupBy("_k", "_t").agg(*[F.sum("_v_" + n).alias("_v_" + n) for n in names]))
+    valid, w, ev = _seen(left, ev, key, start, end, "_t", bucket_seconds, bounds)
+    w = w.withColumn("_k", F.col(key)).withColumn("_w", F.lit(True))
+    u = w.unionByName(ev, allowMissingColumns=True)
+    vals = ["_v_" + n for n in names]
+
+    def upto(bound: str, kind: int) -> list[Column]:
+        # at equal times, starts come before events and ends after them
+        run = Window.partitionBy("_k", "_l", "_b").orderBy(
+            F.coalesce(F.col("_t"), F.col(bound).cast("timestamp_ntz")), F.when(F.col("_w"), kind).otherwise(1)
+        ).rowsBetween(Window.unboundedPreceding, 0)
+        return [F.coalesce(F.sum(v).over(run), F.lit(0)) for v in vals]
+
+    d = u.select("*", *[c.alias(f"_s{i}") for i, c in enumerate(upto(start, 0))])
+    d = d.select("*", *[c.alias(f"_e{i}") for i, c in enumerate(upto(end, 2))]).filter("_w")
+    return d.select(*left.columns, *[F.when(valid, F.col(f"_e{i}") - F.col(f"_s{i}")).alias(n) for i, n in enumerate(names)])
 
 
 def interval_sums(windows: DataFrame, events: DataFrame, key: str, start: str, end: str, ts: str,
@@ -109,9 +183,7 @@ def interval_sums(windows: DataFrame, events: DataFrame, key: str, start: str, e
     ek = event_key or key
     names = list(values)
     if prune:
-        reach = windows.groupBy(F.col(key).alias("_wk")).agg(F.min(start).alias("_lo"), F.max(end).alias("_hi"))
-        events = events.join(reach, (F.col(ek) == F.col("_wk")) & (F.col(ts) >= F.col("_lo")) & (F.col(ts) <= F.col("_hi")),
-                             "left_semi")
+        events = _pruned(windows, events, key, ek, start, end, ts)
     ev = (events.select(F.col(ek).alias("_k"), F.col(ts).cast("timestamp_ntz").alias("_t"),
                         *[values[n].alias(n) for n in names])
           .groupBy("_k", "_t").agg(*[F.sum(n).alias(n) for n in names])

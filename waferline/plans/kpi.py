@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from waferline.functions.exprs import flag, pct, round_avg, ts_diff, window_start
 from waferline.functions.exprs import since as since_
-from waferline.operators.intervals import interval_sums
+from waferline.operators.intervals import with_interval_sums
 from waferline.plans.layers import clean_batch_share, daily_yield
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
 
@@ -91,25 +91,31 @@ def x3_control_limits(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, sigmas:
 
 
 def x4_yield_excursion(t: FabTables, drop_pts: float = 5.0, lookback_hours: int = 24) -> DataFrame:
-    # One aggregate of the tests per (batch, tool) feeds everything: lots, windows, baseline.
-    # (Tests without a tool have no window, but count.)
-    bt = t.fact_wafer_tests.groupBy("batch_id", "equipment_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(flag(pass_())).alias("p"))
-    lbt = bt.join(t.dim_wafer_batches.select("batch_id", "lot_number", F.col("start_time").alias("b_start"),
-                                             F.col("end_time").alias("b_end")), "batch_id")
-    win = lbt.withColumn("m_lo", F.col("b_start") - F.expr(f"INTERVAL {lookback_hours} HOURS"))
-    base = bt.agg(pct(F.sum("p"), F.sum("n")).alias("_base"))
-    a = interval_sums(win, t.fact_equipment_events, "equipment_id", "b_start", "b_end", "event_timestamp",
-                      {"n_alarms": (F.col("status") == "ALARM").cast("long")}, bucket_seconds=3600)
-    m = interval_sums(win, t.maintenance_events, "equipment_id", "m_lo", "b_start", "event_timestamp",
-                      {"n_maint": F.lit(1).cast("long")}, bucket_seconds=6 * 3600)
-    per_lot = (win.join(a, ["equipment_id", "b_start", "b_end"], "left")
-               .join(m, ["equipment_id", "m_lo", "b_start"], "left")
-               .groupBy("lot_number")
-               .agg(F.countDistinct("batch_id").alias("batches"), F.sum("n").alias("tests"), F.sum("p").alias("passed"),
-                    F.countDistinct("equipment_id").alias("tools"),
-                    F.coalesce(F.sum("n_alarms"), F.lit(0)).alias("alarms_during_batches"),
-                    F.coalesce(F.sum("n_maint"), F.lit(0)).alias("maintenance_before_batches")))
+    # One aggregate of the tests per (batch, tool) feeds the sums. (Tests without a tool have no
+    # window, but count.)
+    tests, lookback = t.fact_wafer_tests, F.expr(f"INTERVAL {lookback_hours} HOURS")
+    bt = tests.groupBy("batch_id", "equipment_id").agg(F.count(F.lit(1)).alias("n"), F.sum(flag(pass_())).alias("p"))
+    batches = t.dim_wafer_batches.select("batch_id", "lot_number", F.col("start_time").alias("b_start"),
+                                         F.col("end_time").alias("b_end")).withColumn("m_lo", F.col("b_start") - lookback)
+    base = tests.agg(pct(F.sum(flag(pass_())), F.count(F.lit(1))).alias("_base"))
+    win = bt.join(batches, "batch_id").drop("batch_id")
+    win = with_interval_sums(win, t.fact_equipment_events, "equipment_id", "b_start", "b_end", "event_timestamp",
+                             {"n_alarms": (F.col("status") == "ALARM").cast("long")}, bucket_seconds=3600, bounds=batches)
+    win = with_interval_sums(win.drop("b_end"), t.maintenance_events, "equipment_id", "m_lo", "b_start", "event_timestamp",
+                             {"n_maint": F.lit(1).cast("long")}, bucket_seconds=6 * 3600, bounds=batches)
+    # Lots' tools are counted as rows per (lot, tool), and their batches as rows per (lot, batch):
+    # distinct counts beside the sums would send every row three times.
+    zero = F.lit(0).cast("long")
+    per_tool = (win.groupBy("lot_number", "equipment_id")
+                .agg(*[F.sum(c).alias(c) for c in ("n", "p", "n_alarms", "n_maint")])
+                .select("lot_number", zero.alias("batches"), "n", "p", F.col("equipment_id").isNotNull().cast("long").alias("tools"),
+                        "n_alarms", "n_maint"))
+    of_batch = (batches.join(tests.select("batch_id").distinct(), "batch_id").select("lot_number", "batch_id").distinct()
+                .select("lot_number", F.lit(1).cast("long").alias("batches"), *[zero.alias(c) for c in ("n", "p", "tools", "n_alarms", "n_maint")]))
+    per_lot = (per_tool.unionByName(of_batch).groupBy("lot_number")
+               .agg(F.sum("batches").alias("batches"), F.sum("n").alias("tests"), F.sum("p").alias("passed"),
+                    F.sum("tools").alias("tools"), F.sum("n_alarms").alias("alarms_during_batches"),
+                    F.sum("n_maint").alias("maintenance_before_batches")))
     y = pct("passed", "tests")
     return (per_lot.crossJoin(F.broadcast(base))
             .select("lot_number", "batches", "tests", F.round(y, 2).alias("yield_pct"),
