@@ -200,15 +200,16 @@ def e5_maintenance_effect(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 90,
 def e6_criticality(t: FabTables, as_of=DEFAULT_AS_OF, days: int = 30, value_per_wafer: int = 1000,
                    tiers=(500, 200, 50)) -> DataFrame:
     tests = since(t.fact_wafer_tests, "test_timestamp", as_of, days=days)
-    # Partial sums per (tool, batch, wafer) first: the two distinct counts (which skip NULLs,
-    # and count a wafer of two batches once) then expand only the de-duplicated rows.
-    per_wafer = (tests.groupBy("equipment_id", "batch_id", "wafer_id")
-                 .agg(F.sum(flag(F.col("pass_fail") == "PASS")).alias("p"),
-                      F.count(F.lit(1)).alias("n")))
-    per_tool = (per_wafer.groupBy("equipment_id")
-                .agg(F.countDistinct("batch_id").alias("batches_processed_30d"),
-                     F.countDistinct("wafer_id").alias("wafers_processed_30d"),
-                     pct(F.sum("p"), F.sum("n")).alias("avg_yield")))
+    # The two distinct counts (which skip NULLs, and count a wafer of two batches once) are rows
+    # per (tool, wafer) and per (tool, batch), each in an aggregate of its own: together they
+    # would keep every row of a task in two hash maps, under wider keys.
+    per_wafer = (tests.groupBy("equipment_id", "wafer_id")
+                 .agg(F.sum(flag(F.col("pass_fail") == "PASS")).alias("p"), F.count(F.lit(1)).alias("n"))
+                 .groupBy("equipment_id").agg(F.count("wafer_id").alias("wafers_processed_30d"),
+                                              pct(F.sum("p"), F.sum("n")).alias("avg_yield")))
+    per_batch = (tests.select("equipment_id", "batch_id").distinct()
+                 .groupBy("equipment_id").agg(F.count("batch_id").alias("batches_processed_30d")))
+    per_tool = per_wafer.join(per_batch, "equipment_id")
     downs = (_events_since(t, as_of, days=days).filter(st_() == "DOWN")
              .groupBy("equipment_id").agg(F.count(F.lit(1)).alias("down_events")))
     dim = (t.dim_equipment.filter(F.col("status") == "ACTIVE")
