@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from waferline.functions.exprs import (flag, pct, round_avg, safe_corr, since, ts_diff, ts_lit,
                                        window_start)
-from waferline.operators.intervals import interval_events, interval_sums, ratio_of
+from waferline.operators.intervals import interval_events, interval_sums, ratio_of, with_interval_sums
 from waferline.operators.routes import explode_route, route_string
 from waferline.operators.sequence import keyed_lag
 from waferline.sources.tables import DEFAULT_AS_OF, FabTables
@@ -56,21 +56,18 @@ def b1_wafer_trace(t: FabTables, wafer_ids=None) -> DataFrame:
                                          F.col("end_time").alias("batch_end"))
     steps = t.dim_process_steps.select("process_step_id", "process_step_name", "equipment_type")
     dim = t.dim_equipment.select("equipment_id", "manufacturer")
-    h = (tests.join(batches, "batch_id").join(steps, "process_step_id").join(dim, "equipment_id"))
-    ev = t.fact_equipment_events
-    # All three subqueries share one window: one prefix-sum pass over the events.
-    # Windows come from the tests alone (no dimension joins).
-    sums = interval_sums(tests, ev, "equipment_id", "step_start", "step_end", "event_timestamp", {
+    # All three subqueries share one window: one prefix-sum pass, through which the tests go
+    # before they get the dimensions' columns.
+    cond = with_interval_sums(tests, t.fact_equipment_events, "equipment_id", "step_start", "step_end", "event_timestamp", {
         "t_sum": F.col("temperature_c").cast("decimal(30,6)"),
         "t_n": F.col("temperature_c").isNotNull().cast("long"),
         "p_sum": F.col("pressure_torr").cast("decimal(30,6)"),
         "p_n": F.col("pressure_torr").isNotNull().cast("long"),
         "alarms_during_process": (F.col("status") == "ALARM").cast("long"),
     }, bucket_seconds=HOUR, prune=few)
-    cond = sums.select("equipment_id", "step_start", "step_end", "alarms_during_process",
-                       ratio_of("t_sum", "t_n", 2).alias("avg_temp_c"),
+    cond = cond.select(*tests.columns, "alarms_during_process", ratio_of("t_sum", "t_n", 2).alias("avg_temp_c"),
                        ratio_of("p_sum", "p_n", 3).alias("avg_pressure_torr"))
-    out = h.join(cond, ["equipment_id", "step_start", "step_end"], "left")
+    out = cond.join(batches, "batch_id").join(steps, "process_step_id").join(dim, "equipment_id")
     out = out.select(
         "wafer_id", "batch_id", "lot_number", "recipe", "batch_start", "batch_end",
         "process_step_id", "process_step_name", "equipment_type", "equipment_id", "manufacturer",
