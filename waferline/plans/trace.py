@@ -265,13 +265,14 @@ def r3_wafer_lineage(t: FabTables, wafer_ids=None) -> DataFrame:
     tests = t.fact_wafer_tests
     if _ids(wafer_ids) is not None:
         tests = tests.filter(F.col("wafer_id").isin(list(_ids(wafer_ids))))
-    wt = (tests.select("wafer_id", "batch_id", "equipment_id", "process_step_id",
-                       F.col("pass_fail").alias("test_result"), "start_time", "end_time")
-          .join(t.dim_wafer_batches.select("batch_id", "lot_number", "recipe"), "batch_id"))
+    wt = tests.select("wafer_id", "batch_id", "equipment_id", "process_step_id",
+                      F.col("pass_fail").alias("test_result"), "start_time", "end_time")
     ev = t.fact_equipment_events.select("equipment_id", "event_timestamp",
                                         F.col("status").alias("equipment_status_during_process"))
+    # The batches' columns come last, so the interval join shuffles narrow rows.
     lin = interval_events(wt, ev, "equipment_id", "start_time", "end_time", "event_timestamp",
                           bucket_seconds=HOUR)
+    lin = lin.join(t.dim_wafer_batches.select("batch_id", "lot_number", "recipe"), "batch_id")
     lin = lin.join(latest_maintenance(t), "equipment_id", "left")
     out = lin.select("wafer_id", "batch_id", "lot_number", "recipe", "equipment_id", "process_step_id",
                      "test_result", "equipment_status_during_process", "recent_maintenance", "event_timestamp")
