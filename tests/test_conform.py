@@ -53,3 +53,18 @@ def test_written_routes_and_counts(spark, tmp_path):
 def test_unknown_policies_are_refused(spark):
     with pytest.raises(ValueError):
         CF.routed(tables(spark), "fact_wafer_tests", {TESTS: "ignore"})
+
+
+def test_large_dimensions_do_not_shuffle_the_fact(spark, tmp_path):
+    s = ago(days=1)
+    t = make_tables(spark, tests=[wt_row("w", "B1", 1, "T", s), wt_row("v", "BX", 1, "T", s), wt_row("n", None, 1, "U", s)],
+                    batches=[batch_row(f"B{i}", s) for i in range(300)], equipment=[equipment_row("T")])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")
+    try:
+        df = CF.routed(t, "fact_wafer_tests", {TESTS: "drop"}, CF.orphan_keys(t, str(tmp_path)))
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(rows(df, "wafer_id", "orphan_keys", "route")) == sorted(rows(CF.routed(t, "fact_wafer_tests", {TESTS: "drop"}),
+                                                                                 "wafer_id", "orphan_keys", "route"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

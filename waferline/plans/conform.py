@@ -6,7 +6,9 @@ way: quarantine before drop before keep, so nothing that anyone wants to look at
 
 A fact meets the distinct keys of each dimension in a left join: small dimensions are broadcast
 by their measured size; for large ones, whose side has one row per key, the adaptive skew join
-splits hot keys. It is written in one pass, partitioned by route; dropped rows are counted in
+splits hot keys. Before a fact is written, its distinct keys that no dimension has are found and
+kept in files: they are mostly few, so that its rows meet them without a shuffle, however large
+the dimensions are. It is written in one pass, partitioned by route; dropped rows are counted in
 another, which Spark leaves out where no policy drops.
 """
 
@@ -40,13 +42,32 @@ def _checked(policies: Mapping) -> dict:
     return {fk: policies.get(fk, "keep") for fk in FOREIGN_KEYS}
 
 
-def routed(t: FabTables, fact: str, policies: Mapping | None = None) -> DataFrame:
+def orphan_keys(t: FabTables, root: str) -> dict[tuple, DataFrame]:
+    """The distinct keys of each foreign key that its dimension lacks (null keys left out), kept
+    below ``root/orphan_keys``: read back, their size is known before a fact is joined with them."""
+    out = {}
+    for i, fk in enumerate(FOREIGN_KEYS):
+        fact = getattr(t, fk[0])
+        keys = fact.select(F.col(fk[1]).alias("_key")).filter(F.col("_key").isNotNull()).distinct()
+        known = getattr(t, fk[2]).select(F.col(fk[3]).alias("_known")).distinct()
+        path = f"{root.rstrip('/')}/orphan_keys/{i}"
+        keys.join(known, F.col("_key") == F.col("_known"), "left_anti").write.mode("overwrite").parquet(path)
+        out[fk] = fact.sparkSession.read.schema(keys.schema).parquet(path)
+    return out
+
+
+def routed(t: FabTables, fact: str, policies: Mapping | None = None, orphans: Mapping | None = None) -> DataFrame:
     """The rows of ``fact`` with ``orphan_keys`` (the columns whose key no dimension has, in the
     order of ``FOREIGN_KEYS``) and ``route``: ``curated``, ``drop`` or ``quarantine``. Foreign
-    keys without a policy are kept. Copies stay copies."""
+    keys without a policy are kept. Copies stay copies. ``orphans``: what :func:`orphan_keys` found."""
     df, rules, lacks = getattr(t, fact), _checked(policies or {}), []
     names = df.columns
     for i, fk in enumerate(k for k in FOREIGN_KEYS if k[0] == fact):
+        if orphans is not None:
+            lost = orphans[fk].select(F.col("_key").alias(f"_key{i}"))
+            df = df.join(lost, F.col(fk[1]) == F.col(f"_key{i}"), "left")
+            lacks.append((fk, F.col(fk[1]).isNull() | F.col(f"_key{i}").isNotNull()))
+            continue
         known = getattr(t, fk[2]).select(F.col(fk[3]).alias(f"_key{i}")).filter(F.col(f"_key{i}").isNotNull()).distinct()
         df = df.join(known, F.col(fk[1]) == F.col(f"_key{i}"), "left")
         lacks.append((fk, F.col(f"_key{i}").isNull()))
@@ -69,11 +90,13 @@ def conform(t: FabTables, policies: Mapping | None = None) -> tuple[FabTables, d
     return t.with_(**curated), held
 
 
-def write_conformed(t: FabTables, root: str, policies: Mapping | None = None) -> None:
+def write_conformed(t: FabTables, root: str, policies: Mapping | None = None, orphans: Mapping | None = None) -> None:
     """Write every fact below ``root/conformed`` by route, in the place of what was there. Of
-    dropped rows their number is kept, by orphan keys."""
+    dropped rows their number is kept, by orphan keys. ``orphans``: what :func:`orphan_keys`
+    found in ``t``; without them they are looked for."""
+    orphans = orphan_keys(t, root) if orphans is None else orphans
     for fact in dict.fromkeys(fk[0] for fk in FOREIGN_KEYS):
-        rows, path = routed(t, fact, policies), f"{root.rstrip('/')}/conformed/{fact}"
+        rows, path = routed(t, fact, policies, orphans), f"{root.rstrip('/')}/conformed/{fact}"
         (rows.filter(F.col("route") != "drop").write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("route").parquet(f"{path}/rows"))
         (rows.filter(F.col("route") == "drop").groupBy("route", "orphan_keys").agg(F.count(F.lit(1)).alias("rows"))

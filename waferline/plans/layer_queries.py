@@ -220,9 +220,10 @@ def c3_isolated(t: FabTables) -> DataFrame:
 def pl7_conformed(t: FabTables) -> DataFrame:
     """The facts written under each orphan policy, counted by what their rows' keys lack."""
     spark, out = t.fact_wafer_tests.sparkSession, None
+    orphans = CF.orphan_keys(t, _kept_root(t, "orphans"))
     for policy in CF.POLICIES:
         root = _kept_root(t, f"conformed-{policy}")
-        CF.write_conformed(t, root, dict.fromkeys(CF.FOREIGN_KEYS, policy))
+        CF.write_conformed(t, root, dict.fromkeys(CF.FOREIGN_KEYS, policy), orphans)
         for table in sorted({fk[0] for fk in CF.FOREIGN_KEYS}):
             n = CF.route_counts(spark, root, table).select(F.lit(policy).alias("policy"), F.lit(table).alias("fact"), "route",
                                                            F.array_join("orphan_keys", ",").alias("orphan_keys"), "rows")
