@@ -211,10 +211,12 @@ def b6_lot_trace(t: FabTables, as_of=DEFAULT_AS_OF, lots=None, denominator: str
     b = t.dim_wafer_batches.select("lot_number", "batch_id", "recipe", "start_time", "end_time")
     if _ids(lots) is not None:
         b = b.filter(F.col("lot_number").isin(list(_ids(lots))))
-    tests = t.fact_wafer_tests.join(b.select("batch_id"), "batch_id", "left_semi")
+    tests, few = t.fact_wafer_tests, _ids(lots) is not None
+    if few:  # a trace of all lots reads all tests: the joins below leave out unknown batches
+        tests = tests.join(b.select("batch_id"), "batch_id", "left_semi")
     y = batch_yield(tests, denominator)
     route = route_string(tests, ["batch_id"], name="equipment_route")
-    j, few = b.join(y, "batch_id", "left").join(route, "batch_id", "left"), _ids(lots) is not None
+    j = b.join(y, "batch_id", "left").join(route, "batch_id", "left")
     den = "wafer_count" if denominator == "wafers" else "n_tests"
     yy = pct(F.coalesce("passed", F.lit(0)), F.coalesce(den, F.lit(0)))
     disp = (F.when(F.col("end_time") > ts_lit(as_of), B6_DISPOSITION[0])
