@@ -160,3 +160,35 @@ def test_counts_beyond_32_bits():
     for counts in ([], [0, 5], [2**32 - 1], [2**32 + 5, 1], [2**40]):
         a = np.array(counts, np.uint64)
         assert lm._open_counts(lm._press_counts(a), len(a)).tolist() == counts
+
+
+def test_hot_contexts_are_spread_by_weight(spark):
+    rows = [(i, " ".join(f"the w{(7 * i + k) % 900}" for k in range(60)), "en", "a") for i in range(40)]
+    docs = documents(spark, rows)
+    splits = lm.context_splits(docs, 60)
+    mark = lambda word: lm.xxhash.xxh3_64_intdigest(word) >> 48
+    assert splits[mark(b"the")] >= 60 and splits[mark(b"w1")] == lm.SPLITS
+    assert lm.context_splits(documents(spark, [(1, "a", "en", "a")] * 300), 60)[int(lm._BEGIN) >> 48] > lm.SPLITS
+    sent = lm.count_chunks(docs, 60, splits, 1000).filter("shard >= 0").select("successors").collect()
+    assert max(len(r[0]) // 4 for r in sent) <= 90  # of about 900 pairs a chunk; a fourth of those of "the" would be more
+    few, many = ({(r["doc_id"], r["n_known"], round(r["score"], 9)) for r in lm.score_documents(docs, shards=s).collect()} for s in (1, 60))
+    assert few == many and len(few) == 40
+
+
+def test_memory_of_chunks_and_levels():
+    """Arrays beside the input stay few: an executor's workers hold chunks and shards whole."""
+    import tracemalloc
+
+    def peak(f):
+        tracemalloc.start()
+        try:
+            f()
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    rng, n = np.random.default_rng(3), 1 << 19
+    left, right = rng.integers(0, n // 4, n).astype(np.uint64), rng.integers(0, 1 << 32, n).astype(np.uint32)
+    assert peak(lambda: lm.Trie(left, right, np.ones(n, np.uint32))) <= 60 * n
+    tokens, lengths, marks = rng.integers(0, 1000, n).astype(np.int32), np.full(n // 64, 64), np.arange(1002).astype(np.uint16)
+    assert peak(lambda: lm.Chunk(tokens, lengths, marks, np.full(1 << 16, 4, np.uint16), 8)) <= 50 * n

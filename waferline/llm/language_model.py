@@ -14,8 +14,8 @@ training tokens are likeliest when each is left out of its own counts.
    chunk's entries in it. Level 1 holds the sorted contexts and, as an Elias-Fano sequence,
    the pointers to their successors; level 2 the sorted successors, and for each an 8-bit
    code of its count's logarithm (a count, not a smoothed probability). A context's successors
-   are spread over ``SPLITS`` shards, so a context that a third of all words follows does not
-   fall to one task. Levels live within the call; a pointer is selected on the sequence's bits.
+   are spread over ``SPLITS`` shards, and over more the heavier it is (``context_splits``), so a
+   context that a third of all words follows does not fall to a few tasks. Levels live within the call; a pointer is selected on the sequence's bits.
 3. ``score_chunks`` joins each chunk with its answers and scores its documents.
 
 Nothing is collected but the totals N and V and a likelihood per prior. Words are known by
@@ -46,7 +46,10 @@ from waferline.llm.common import SPACED, split_words, starts_of, stored
 CHUNK_TOKENS = 2_000_000
 #: Text bytes per shard, and the least number of shards.
 SHARD_BYTES, LEAST_SHARDS = 16 << 20, 48
-SPLITS = 4
+#: Shards of a context's successors, at least, and the part of a shard that one of them may fill before there are more.
+SPLITS, HOT = 4, 0.25
+#: Bytes of text in which the contexts are weighed for that.
+WEIGH_BYTES = 32 << 20
 PRIORS = (1.0, 10.0, 100.0, 1000.0)
 FOLDS, HELD = 7, 2
 
@@ -102,8 +105,9 @@ class EliasFano:
 
 def to_codes(counts: np.ndarray) -> np.ndarray:
     """8-bit codes on a logarithmic scale: exact to 128, then four steps per doubling."""
-    wide = 128 + np.round(4 * np.log2(np.maximum(counts, 128) / 128))
-    return np.minimum(np.where(counts <= 128, counts, wide), 255).astype(np.uint8)
+    codes, wide = np.minimum(counts, 128).astype(np.uint8), np.flatnonzero(counts > 128)
+    codes[wide] = np.minimum(128 + np.round(4 * np.log2(counts[wide] / 128)), 255)
+    return codes
 
 
 def from_codes(codes: np.ndarray) -> np.ndarray:
@@ -111,14 +115,28 @@ def from_codes(codes: np.ndarray) -> np.ndarray:
     return np.where(c <= 128, c, 128 * 2 ** ((c - 128) / 4))
 
 
+def _starts_of_runs(a: np.ndarray) -> np.ndarray:
+    """Where each run of equal values of the sorted ``a`` begins."""
+    new = np.ones(len(a), bool)
+    np.not_equal(a[1:], a[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 class Trie:
     """Two levels of a shard: contexts, and each context's successors with their codes."""
 
     def __init__(self, contexts: np.ndarray, successors: np.ndarray, counts: np.ndarray):
         """Pairs may repeat; their counts add up."""
-        self.contexts, c = np.unique(contexts, return_inverse=True)
-        pairs, back = np.unique(c.astype(np.uint64) << np.uint64(32) | successors.astype(np.uint64), return_inverse=True)
-        self.codes = to_codes(np.bincount(back, weights=counts, minlength=len(pairs)).astype(np.int64))
+        self.contexts = np.unique(contexts)
+        pairs = np.searchsorted(self.contexts, contexts).view(np.uint64)
+        pairs <<= np.uint64(32)
+        pairs |= successors
+        order = np.argsort(pairs)
+        pairs = pairs[order]
+        new = _starts_of_runs(pairs)
+        self.codes = to_codes(np.add.reduceat(counts[order], new, dtype=np.int64) if len(new) else np.zeros(0, np.int64))
+        del order
+        pairs = pairs[new]
         self.successors = (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         fanout = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=len(self.contexts))
         self.pointers = EliasFano(starts_of(fanout))
@@ -180,27 +198,43 @@ def _open40(b: bytes) -> np.ndarray:
 
 def _shard(mark: np.ndarray, split, shards: int) -> np.ndarray:
     """Shard of a word (split 0) or of a context's successors, by 16-bit marks."""
-    return ((mark.astype(np.uint64) * np.uint64(SPLITS) + np.asarray(split, np.uint64))
-            * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % shards
+    h = mark.astype(np.uint64)
+    h <<= np.uint64(16)
+    h += np.asarray(split, np.uint64)
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h >>= np.uint64(33)
+    h %= np.uint64(shards)
+    return h.astype(np.int32)
+
+
+def _by_shard(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the members in order of their shards, and where each shard's begin."""
+    return np.argsort(shard, kind="stable").astype(np.int32), starts_of(np.bincount(shard, minlength=shards))
 
 
 class Chunk:
-    """Distinct bigrams of a token sequence (codes of words, then end and begin marks)."""
+    """Distinct bigrams of a token sequence (codes of words, then end and begin marks). Arrays as
+    long as the sequence are few and 32-bit, and let go as soon as they have been used."""
 
-    def __init__(self, tokens: np.ndarray, lengths: np.ndarray, marks: np.ndarray, shards: int):
+    def __init__(self, tokens: np.ndarray, lengths: np.ndarray, marks: np.ndarray, splits: np.ndarray, shards: int):
         size = len(marks)
-        first = starts_of(lengths)[:-1]
-        before = np.empty(len(tokens), np.int64)
-        before[1:] = tokens[:-1]
-        before[first] = size - 1
-        keys, self.pair_of = np.unique(before * size + tokens, return_inverse=True)
-        self.left, self.right = keys // size, keys % size
-        self.pair_shard = _shard(marks[self.left], marks[self.right] % SPLITS, shards)
-        self.word_shard = _shard(marks, 0, shards)
-        self.pair_order = np.argsort(self.pair_shard, kind="stable")
-        self.word_order = np.argsort(self.word_shard, kind="stable")
-        self.pair_cut = np.searchsorted(self.pair_shard[self.pair_order], np.arange(shards + 1))
-        self.word_cut = np.searchsorted(self.word_shard[self.word_order], np.arange(shards + 1))
+        keys = np.empty(len(tokens), np.int64)
+        keys[1:] = tokens[:-1]
+        keys[starts_of(lengths)[:-1]] = size - 1
+        keys *= size
+        keys += tokens
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = _starts_of_runs(keys)
+        keys, n = keys[new], len(keys)
+        self.pair_of = np.empty(n, np.int32)
+        self.pair_of[order] = np.repeat(np.arange(len(new), dtype=np.int32), np.diff(new, append=n))
+        del order, new
+        self.left, self.right = (keys // size).astype(np.int32), (keys % size).astype(np.int32)
+        del keys
+        context = marks[self.left]
+        self.pair_order, self.pair_cut = _by_shard(_shard(context, marks[self.right] % splits[context], shards), shards)
+        self.word_order, self.word_cut = _by_shard(_shard(marks, 0, shards), shards)
 
     def pairs(self, shard: int) -> np.ndarray:
         return self.pair_order[self.pair_cut[shard]:self.pair_cut[shard + 1]]
@@ -213,29 +247,35 @@ _NAMES = [f.split()[0] for f in PARTS.split(", ")]
 _TYPES = [pa.string(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.binary()] * 8, pa.int64()]
 
 
-def _chunk_rows(name: str, ids: list, counts: np.ndarray, words: pa.Array, shards: int) -> Iterator[pa.RecordBatch]:
-    coded = words.dictionary_encode()
+def _chunk_rows(name: str, ids: list, counts: np.ndarray, words: list[pa.Array], splits: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a chunk. ``words`` is emptied: the words are not kept beside their codes."""
+    coded = pa.concat_arrays(words).dictionary_encode()
+    words.clear()
     hashes = np.array([*map(xxhash.xxh3_64_intdigest, coded.dictionary.to_pylist()), _END, _BEGIN], np.uint64)
     marks = (hashes >> np.uint64(48)).astype(np.uint16)
     lengths = counts + 1
     ends = np.cumsum(lengths) - 1
-    tokens = np.empty(int(lengths.sum()), np.int64)
+    tokens = np.empty(int(lengths.sum()), np.int32)
     inner = np.ones(len(tokens), bool)
     inner[ends] = False
     tokens[inner] = coded.indices.to_numpy()
     tokens[ends] = len(hashes) - 2
+    del coded, inner
     trains = np.array([not held_out(i) for i in ids])
     token_trains = np.repeat(trains, lengths)
-    c = Chunk(tokens, lengths, marks, shards)
+    c = Chunk(tokens, lengths, marks, splits, shards)
     pair_counts = np.bincount(c.pair_of, weights=token_trains, minlength=len(c.left)).astype(np.uint32)
     word_counts = np.bincount(tokens, weights=token_trains, minlength=len(hashes)).astype(np.uint32)
-    word_counts[-1] = trains.sum()
+    word_counts[-1], n_train = trains.sum(), int(token_trains.sum())
+    del token_trains
+    c.pair_of = None  # the rows need the distinct pairs only
 
     def row(*values):
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _TYPES, strict=True)], _NAMES)
 
     yield row(name, -1, ids, lengths.tolist(), _press(tokens.astype(np.uint32)), marks.tobytes(),
-              *[None] * 6, int(token_trains.sum()))
+              *[None] * 6, n_train)
+    del tokens
     for s in range(shards):
         w, p = c.words(s), c.pairs(s)
         if not len(w) and not len(p):
@@ -247,7 +287,33 @@ def _chunk_rows(name: str, ids: list, counts: np.ndarray, words: pa.Array, shard
                   (hashes[c.right[p]] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), _press(pair_counts[p]), None)
 
 
-def count_chunks(docs: DataFrame, shards: int, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+def context_splits(docs: DataFrame, shards: int, share: float = 1.0) -> np.ndarray:
+    """Over how many shards the successors of the words of each 16-bit mark are spread: ``SPLITS``,
+    or more if they are so many that a part would exceed ``HOT`` of a shard. The words are weighed
+    in a random ``share`` of the documents. It says where a pair is counted, not what is counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = np.zeros(1 << 16, np.int64)
+        for b in batches:
+            weight[int(_BEGIN) >> 48] += b.num_rows  # each text's first word follows the begin mark
+            for at in range(0, b.num_rows, 256):
+                coded = split_words(b.column(0).slice(at, 256).to_pylist(), SPACED)[0].value_counts()
+                marks = np.array([*map(xxhash.xxh3_64_intdigest, coded.field(0).to_pylist())], np.uint64) >> np.uint64(48)
+                np.add.at(weight, marks.astype(np.int64), coded.field(1).to_numpy())
+        seen = np.flatnonzero(weight)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(weight[seen])], ["mark", "weight"])
+
+    some = docs.select(F.col("text").cast("string"))
+    if share < 1:
+        some = some.sample(share, seed=1)
+    got = some.mapInArrow(run, "mark int, weight long").groupBy("mark").agg(F.sum("weight").alias("weight")).toArrow()  # 65,536 rows at most
+    marks, weight = got["mark"].to_numpy(), got["weight"].to_numpy()
+    splits = np.full(1 << 16, SPLITS, np.uint16)
+    splits[marks] = np.clip(np.ceil(weight / max(weight.sum(), 1) * shards / HOT), SPLITS, min(max(shards, SPLITS), (1 << 16) - 1))
+    return splits
+
+
+def count_chunks(docs: DataFrame, shards: int, splits: np.ndarray, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """Store the chunks of ``docs`` (doc_id, text) and what they send to the shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,10 +328,10 @@ def count_chunks(docs: DataFrame, shards: int, chunk_tokens: int = CHUNK_TOKENS)
                 words.append(w)
                 total += len(w) + len(c)
                 if total >= chunk_tokens:
-                    yield from _chunk_rows(f"{part}-{k}", ids, np.concatenate(counts), pa.concat_arrays(words), shards)
+                    yield from _chunk_rows(f"{part}-{k}", ids, np.concatenate(counts), words, splits, shards)
                     ids, counts, words, total, k = [], [], [], 0, k + 1
         if ids:
-            yield from _chunk_rows(f"{part}-{k}", ids, np.concatenate(counts), pa.concat_arrays(words), shards)
+            yield from _chunk_rows(f"{part}-{k}", ids, np.concatenate(counts), words, splits, shards)
 
     return stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PARTS), "lm-chunks")
 
@@ -274,37 +340,40 @@ def answer_shards(chunks: DataFrame) -> DataFrame:
     """Store, per chunk and shard, the total counts of its words and the codes of its pairs."""
 
     def run(rows: pa.Table) -> pa.Table:
-        col = lambda n: rows[n].to_pylist()
+        col = lambda n: (x.as_buffer() for x in rows[n])  # noqa: E731 - a view per row, no copy of the column
         words = [np.frombuffer(b, np.uint64) for b in col("words")]
         known, back = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(back, weights=np.concatenate([_open(b, np.uint32) for b in col("word_counts")]),
                             minlength=len(known)).astype(np.uint64)
         vocabulary = int((total[known != _BEGIN] > 0).sum())
-        fan = [_open(b, np.uint32) for b in col("fanout")]
-        contexts = [np.repeat(_open40(b), f) for b, f in zip(col("contexts"), fan, strict=True)]
-        successors = [np.frombuffer(b, np.uint32) for b in col("successors")]
-        flat = np.concatenate([_open(b, np.uint32) for b in col("counts")])
-        trained = flat > 0
-        trie = Trie(np.concatenate(contexts)[trained], np.concatenate(successors)[trained], flat[trained])
+        pairs = lambda: ((np.repeat(_open40(c), _open(f, np.uint32)), np.frombuffer(s, np.uint32))  # noqa: E731 - of one chunk at a time
+                         for c, f, s in zip(col("contexts"), col("fanout"), col("successors"), strict=True))
+        counts = [_open(b, np.uint32) for b in col("counts")]
+        trained = [(c[n > 0], s[n > 0], n[n > 0]) for (c, s), n in zip(pairs(), counts, strict=True)]
+        del counts
+        levels = [np.concatenate(x) for x in zip(*trained)]
+        del trained
+        trie = Trie(*levels)
+        del levels
         cut = starts_of([len(w) for w in words])
         return pa.table({
             "chunk": rows["chunk"].cast(pa.string()), "shard": rows["shard"].cast(pa.int32()),
             "word_counts": pa.array([_press_counts(total[back[cut[i]:cut[i + 1]]]) for i in range(len(words))], pa.binary()),
-            "codes": pa.array([_press(trie.look_up(c, s)) for c, s in zip(contexts, successors, strict=True)], pa.binary()),
+            "codes": pa.array([_press(trie.look_up(c, s)) for c, s in pairs()], pa.binary()),
             "n_vocabulary": pa.array([vocabulary] + [0] * (len(words) - 1), pa.int64())})
 
     sent = chunks.filter("shard >= 0").select("chunk", "shard", "words", "word_counts", "contexts", "fanout", "successors", "counts")
     return stored(sent.groupBy("shard").applyInArrow(run, ANSWERS), "lm-answers")
 
 
-def score_chunks(chunks: DataFrame, answers: DataFrame, n: int, v: int, shards: int) -> DataFrame:
+def score_chunks(chunks: DataFrame, answers: DataFrame, n: int, v: int, shards: int, splits: np.ndarray) -> DataFrame:
     """Score each chunk's documents, under every prior."""
 
     def run(own: pa.Table, got: pa.Table) -> pa.Table:
         ids, lengths = own["doc_ids"][0].as_py(), np.array(own["lengths"][0].as_py(), np.int64)
         marks = np.frombuffer(own["marks"][0].as_py(), np.uint16)
-        tokens = _open(own["tokens"][0].as_py(), np.uint32).astype(np.int64)
-        c = Chunk(tokens, lengths, marks, shards)
+        tokens = _open(own["tokens"][0].as_buffer(), np.int32)
+        c = Chunk(tokens, lengths, marks, splits, shards)
         count, pair = np.zeros(len(marks)), np.zeros(len(c.left))
         for s, w, p in zip(got["shard"].to_pylist(), got["word_counts"].to_pylist(), got["codes"].to_pylist(), strict=True):
             own_words = c.words(s)
@@ -317,9 +386,9 @@ def score_chunks(chunks: DataFrame, answers: DataFrame, n: int, v: int, shards:
         scores, left_out = [], []
         for m in PRIORS:
             p = (pair + m * (now + 1) / (n + v + 1)) / (before + m)
-            scores.append(np.add.reduceat(np.log10(p)[c.pair_of], first))
-            q = (np.maximum(pair - 1, 0) + m * np.maximum(now, 1) / (n + v + 1)) / (np.maximum(before - 1, 0) + m)
-            left_out.append(np.where(held, 0.0, np.add.reduceat(np.log10(q)[c.pair_of], first)))
+            scores.append(np.add.reduceat(np.log10(p, out=p)[c.pair_of], first))
+            p = (np.maximum(pair - 1, 0) + m * np.maximum(now, 1) / (n + v + 1)) / (np.maximum(before - 1, 0) + m)
+            left_out.append(np.where(held, 0.0, np.add.reduceat(np.log10(p, out=p)[c.pair_of], first)))
         return pa.table({
             "doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(held), "n_tokens": pa.array(lengths),
             "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64)[tokens], first)),
@@ -335,14 +404,15 @@ def score_chunks(chunks: DataFrame, answers: DataFrame, n: int, v: int, shards:
 def score_documents(docs: DataFrame, shards: int | None = None, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, prior per
     document of ``docs`` (doc_id, text)."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if shards is None:
-        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         shards = max(LEAST_SHARDS, -(-size // SHARD_BYTES))
-    chunks = count_chunks(docs, shards, chunk_tokens)
+    splits = context_splits(docs, shards, min(1.0, WEIGH_BYTES / max(size, 1)))
+    chunks = count_chunks(docs, shards, splits, chunk_tokens)
     answers = answer_shards(chunks)
     n = chunks.agg(F.sum("n_train")).first()[0] or 0
     v = answers.agg(F.sum("n_vocabulary")).first()[0] or 0
-    scores = score_chunks(chunks, answers, n, v, shards)
+    scores = score_chunks(chunks, answers, n, v, shards, splits)
     likely = scores.agg(*[F.sum(F.get("left_out", F.lit(k))).alias(str(k)) for k in range(len(PRIORS))]).first()
     best = max(range(len(PRIORS)), key=lambda k: (likely[k] if likely[k] is not None else 0.0, -k))
     return scores.select(
