@@ -53,3 +53,26 @@ def test_trend_of_stored_runs(spark, tmp_path):
         K.ledger_run(root, t, upto, days, upto.date())
     got = rows(L.stored_trend(K.read_ledger(spark, root)).filter("rule_id = 'DQ008'"), "date", "violations", "prev_violations", "trailing_avg")
     assert got == [(ago(days=7).date(), 1, None, 1.0), (AS_OF.date(), 2, 1, 1.5)]
+
+
+def test_input_of_several_runs_is_computed_once(spark, tmp_path, monkeypatch):
+    tests = [wt_row(f"w{d}", "B", 1, "T", ago(days=d), dd=-1.0) for d in range(40)]
+    events = [event_row("T", ago(days=d)) for d in range(40)]
+    t = make_tables(spark, tests=tests, batches=[batch_row("B", ago(days=1))], equipment=[equipment_row("T")], events=events)
+    runs = [(AS_OF - timedelta(days=b), n) for b, n in ((20, 5), (0, 2), (1, 3), (30, 0), (4, 1))]   # some overlap or touch, one is empty
+    assert K._spans(runs) == [(ago(days=30), ago(days=30)), (ago(days=25), ago(days=20)), (ago(days=5), AS_OF)]
+    kept = K.runs_input(str(tmp_path), t, runs)
+    assert {r[0] for r in kept.fact_wafer_tests.select("wafer_id").collect()} == {f"w{d}" for d in (1, 2, 3, 4, 5, 21, 22, 23, 24, 25)}  # tested some minutes after their start
+    for upto, days in runs:
+        judged = []
+        for k, x in enumerate((t, kept)):
+            K.ledger_run(str(tmp_path / f"ledger{k}"), x, upto, days, upto.date())
+            judged.append(rows(K.read_ledger(spark, str(tmp_path / f"ledger{k}")).filter(F.col("run_date") == F.lit(upto.date())), "rule_id", "violations", "status", "details"))
+        assert judged[0] == judged[1]
+
+    from waferline.plans import layer_queries as LQ
+    plans, run = [], K.ledger_run
+    monkeypatch.setattr(K, "ledger_run", lambda root, x, *a: (plans.append([d._jdf.queryExecution().optimizedPlan().toString() for d in (
+        x.dim_wafer_batches, x.fact_wafer_tests, x.fact_equipment_events)]), run(root, x, *a)))
+    LQ.c10_stored_trend(dirty_tables(driver_tables(spark, "/root/testdata/sf0.001")))
+    assert len(plans) == 4 and not any(word in p for x in plans for p in x for word in ("Aggregate", "Join", "Union"))

@@ -18,8 +18,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,13 +170,46 @@ def marks_version(spark: SparkSession, root: str) -> int:
 
 
 # ------------------------------------------------------------------ runs in the ledger
+def _span(upto, days: int) -> tuple:
+    """After when and up to when a run's rows came."""
+    return as_datetime(upto) - timedelta(days=days), as_datetime(upto)
+
+
+def _within(ts: str, after, upto) -> Column:
+    return (F.col(ts) > ts_lit(after)) & (F.col(ts) <= ts_lit(upto))
+
+
+def _spans(runs: Sequence[tuple]) -> list[tuple]:
+    """The runs' spans, those that touch or overlap as one: a time is compared as seldom as can be."""
+    out: list[tuple] = []
+    for after, upto in sorted(_span(*r) for r in runs):
+        if out and after <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], upto))
+        else:
+            out.append((after, upto))
+    return out
+
+
+def runs_input(root: str, t: FabTables, runs: Sequence[tuple]) -> FabTables:
+    """``t`` for several runs of :func:`ledger_run`, ``(upto, days)`` each: every row of the facts that
+    one of them judges and the whole batch dimension, which all of them judge, are computed once and
+    read from files below ``root``, however much work lies between the tables and their sources."""
+    spark, path = t.fact_wafer_tests.sparkSession, f"{root.rstrip('/')}/runs_input"
+    rows = {"dim_wafer_batches": t.dim_wafer_batches}
+    for table, ts in SOURCES.values():
+        rows[table] = getattr(t, table).filter(reduce(or_, [_within(ts, *x) for x in _spans(runs)]))
+    for name, df in rows.items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    return t.with_(**{name: spark.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in rows.items()})
+
+
 def ledger_run(root: str, t: FabTables, upto, days: int, run_date, options: Options | None = None) -> None:
     """Judge what the ``days`` days up to ``upto`` brought (tests by test time, events by arrival)
     with all rules, and keep the results under ``run_date``; a second run of the date takes the
     place of the first. Read the runs with :func:`read_ledger`."""
     new = {}
     for table, ts in SOURCES.values():
-        new[table] = getattr(t, table).filter((F.col(ts) > ts_lit(as_datetime(upto) - timedelta(days=days))) & (F.col(ts) <= ts_lit(upto)))
+        new[table] = getattr(t, table).filter(_within(ts, *_span(upto, days)))
     store_results(run_checks(t.with_(**new), options=options), root, run_date, "all")
 
 

@@ -279,10 +279,11 @@ def c8_estimated_checks(t: FabTables) -> DataFrame:
 
 def c10_stored_trend(t: FabTables) -> DataFrame:
     """Runs of three dates in the ledger, not in their order, one of them first with other rows;
-    the trend of every rule from what is stored."""
+    the trend of every rule from what is stored. What the runs judge is computed once for all."""
     spark, root = t.fact_wafer_tests.sparkSession, _kept_root(t, "ledger")
-    for day, days in ((7, 1), (14, 7), (0, 7), (7, 7)):
-        upto = as_datetime(DEFAULT_AS_OF) - timedelta(days=day)
+    runs = [(as_datetime(DEFAULT_AS_OF) - timedelta(days=day), days) for day, days in ((7, 1), (14, 7), (0, 7), (7, 7))]
+    t = K.runs_input(root, t, runs)
+    for upto, days in runs:
         K.ledger_run(root, t, upto, days, upto.date())
     return L.stored_trend(K.read_ledger(spark, root))
 
